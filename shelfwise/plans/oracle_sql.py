@@ -139,7 +139,8 @@ SELECT *,
   CASE WHEN promotion_flag THEN 5 + (sku_no + week_num) % 16 ELSE 0 END AS depth,
   tier_no = 2 AND (sku_no + week_num + region_no) % 50 = 0 AS inv,
   (75 + region_no * 15) / 100.0 AS rf,
-  (sku_no * 7 + region_no * 13 + tier_no * 5 + week_num * 3) % 97 AS k
+  (sku_no * 7 + region_no * 13 + tier_no * 5 + week_num * 3) % 97 AS k,
+  (sku_no * 3 + region_no * 7) % 10 AS g
 FROM o_p1
 """)
 
@@ -149,7 +150,8 @@ SELECT *,
   CASE WHEN m >= 4 AND m < 7 AND NOT promotion_flag THEN (cost_cents * (95 + m % 13)) // 100 ELSE cost_cents END AS cost_row,
   CASE WHEN tier_no = 0 THEN price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17) // 100
        ELSE ((price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17) // 100) * 95) // 100 END AS comp,
-  """ + R("base_demand * rf * k / 4.0", 2) + """ AS beginning_inventory
+  """ + R("""base_demand * rf * CASE WHEN g = 0 THEN 0.0 WHEN g <= 2 THEN (k % 3) / 4.0
+                                   WHEN g <= 5 THEN k / 16.0 ELSE k / 4.0 END""", 2) + """ AS beginning_inventory
 FROM (
   SELECT *, ((p1 * (100 + adj)) // 100 * (100 - depth)) // 100 AS p3
   FROM (SELECT *, (price_cents * (10000 - tier_bp)) // 10000 AS p1 FROM o_p2)
@@ -161,7 +163,7 @@ SELECT *, """ + R("least(latent_demand, avail)", 2) + """ AS units_sold,
        """ + R("greatest(0.0, latent_demand - avail)", 2) + """ AS lost_sales_estimate
 FROM (
   SELECT *, beginning_inventory + receipts AS avail FROM (
-    SELECT *, CASE WHEN beginning_inventory < base_demand * 1.5 AND (sku_no + week_num) % 3 = 0
+    SELECT *, CASE WHEN beginning_inventory < base_demand * 1.5 AND (sku_no + week_num) % 3 = 0 AND g <> 0
                    THEN """ + R("base_demand * (2 + (sku_no * week_num) % 4)", 2) + """ ELSE 0.0 END AS receipts
     FROM o_p3))
 """)
@@ -174,6 +176,7 @@ FROM (
          """ + R("(p4 / 100.0) * units_sold", 2) + """ AS revenue,
          """ + R("(cost_row / 100.0) * units_sold", 2) + """ AS cogs,
          CASE WHEN receipts > 0 THEN receipts * 0.5
+              WHEN g >= 1 AND g <= 2 THEN """ + R("base_demand * ((sku_no * 3 + week_num) % 30) / 2.0", 2) + """
               WHEN ending_inventory < base_demand THEN """ + R("base_demand * ((sku_no * 3 + week_num) % 30) / 10.0", 2) + """
               ELSE 0.0 END AS on_order
   FROM (SELECT *, """ + R("greatest(0.0, avail - units_sold)", 2) + """ AS ending_inventory FROM o_p4))

@@ -256,6 +256,10 @@ def build_panel(cells: DataFrame, products: DataFrame) -> DataFrame:
         "(((price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17)) div 100) * 95) div 100"))
     region_factor = (F.lit(75) + r * 15) / 100.0
     k = (s * 7 + r * 13 + t * 5 + w * 3) % 97
+    # stock regime per SKU x region: none / thin with large orders / medium / deep
+    regime = (s * 3 + r * 7) % 10
+    stock_weeks = (F.when(regime == 0, F.lit(0.0)).when(regime <= 2, (k % 3) / 4.0)
+                   .when(regime <= 5, k / 16.0).otherwise(k / 4.0))
     df = df.select(
         "*",
         (F.col("_p4") / 100.0).alias("realized_price"),
@@ -263,10 +267,11 @@ def build_panel(cells: DataFrame, products: DataFrame) -> DataFrame:
         (F.col("price_cents") / 100.0).alias("regular_price"),
         (comp / 100.0).alias("competitor_price"),
         region_factor.alias("_rf"),
-        r2(F.col("base_demand") * region_factor * k / 4.0).alias("beginning_inventory"),
+        regime.alias("_g"),
+        r2(F.col("base_demand") * region_factor * stock_weeks).alias("beginning_inventory"),
     )
     receipts = F.when(
-        (F.col("beginning_inventory") < F.col("base_demand") * 1.5) & ((s + w) % 3 == 0),
+        (F.col("beginning_inventory") < F.col("base_demand") * 1.5) & ((s + w) % 3 == 0) & (F.col("_g") != 0),
         r2(F.col("base_demand") * (F.lit(2) + (s * w) % 4)),
     ).otherwise(0.0)
     df = df.withColumn("receipts", receipts)
@@ -283,6 +288,7 @@ def finish_panel(df: DataFrame) -> DataFrame:
     s, w = F.col("sku_no"), F.col("week_num")
     on_order = (
         F.when(F.col("receipts") > 0, F.col("receipts") * 0.5)
+        .when((F.col("_g") >= 1) & (F.col("_g") <= 2), r2(F.col("base_demand") * ((s * 3 + w) % 30) / 2.0))
         .when(F.col("ending_inventory") < F.col("base_demand"), r2(F.col("base_demand") * ((s * 3 + w) % 30) / 10.0))
         .otherwise(0.0)
     )
