@@ -333,7 +333,8 @@ def what_if_price(rows: DataFrame, params: DataFrame) -> DataFrame:
     df = rows.join(params, SERIES, "inner")
     inv = F.coalesce(F.col("inventory"), F.col("ending_inventory"))
     el = F.col("el_estimated_elasticity")
-    promo_units = F.col("units_sold") * F.when(F.col("promotion"), 1.15).otherwise(1.0)
+    # the promotion flag is carried on the row but the elasticity path does not read it
+    promo_units = F.col("units_sold")
     sim = simulate_price(promo_units, F.col("price"), F.col("realized_price"), F.col("unit_cost"), el, inv)
     curve = F.transform(candidate_prices(F.col("realized_price")), lambda p: F.struct(
         p.alias("price"), simulate_price(promo_units, p, F.col("realized_price"), F.col("unit_cost"), el, inv)

@@ -162,3 +162,394 @@ JOIN lk_numbered b ON a.sku_id = b.sku_id AND a.region = b.region AND a.customer
                   AND b.rn = a.rn - k.lag
 GROUP BY lag
 """, "lk_numbered")
+
+# ------------------------------------------------------------ 2.4 / 2.5 baseline and metrics
+cte("bl", ("split_features",), """
+SELECT t.*, t.adjusted_units AS actual,
+       CASE WHEN coalesce(a.v, 0.0) > 0 THEN coalesce(a.v, 0.0) ELSE coalesce(b.v, 0.0) END AS baseline_pred
+FROM split_features t
+LEFT JOIN (SELECT sku_id, region, customer_tier, week_num + 52 AS wk, adjusted_units AS v
+           FROM split_features WHERE split = 'train') a
+  ON t.sku_id = a.sku_id AND t.region = a.region AND t.customer_tier = a.customer_tier AND a.wk = t.week_num
+LEFT JOIN (SELECT sku_id, region, customer_tier, week_num + 1 AS wk, adjusted_units AS v
+           FROM split_features WHERE split = 'train') b
+  ON t.sku_id = b.sku_id AND t.region = b.region AND t.customer_tier = b.customer_tier AND b.wk = t.week_num
+WHERE t.split = 'test'
+""")
+q("baseline_seasonal_naive", f"SELECT {K}, actual, baseline_pred FROM bl", "bl")
+
+MET = {
+    "mae": "avg(abs({y} - {p}))",
+    "rmse": "sqrt(avg(({y} - {p}) * ({y} - {p})))",
+    "wape": "CASE WHEN sum(abs({y})) = 0 THEN 0.0 ELSE sum(abs({y} - {p})) / sum(abs({y})) END",
+    "rmsle": "sqrt(avg((ln(1 + greatest({y}, 0.0)) - ln(1 + greatest({p}, 0.0))) * "
+             "(ln(1 + greatest({y}, 0.0)) - ln(1 + greatest({p}, 0.0)))))",
+    "bias": "avg({p} - {y})",
+}
+for _m, _e in MET.items():
+    q("metric_" + _m, f"SELECT {R6(_e.format(y='actual', p='baseline_pred'))} AS {_m} FROM bl", "bl")
+q("metrics_all", "SELECT category, " + ", ".join(
+    f"{R6(e.format(y='actual', p='baseline_pred'))} AS {m}" for m, e in MET.items())
+  + ", count(*) AS n_rows FROM bl GROUP BY category", "bl")
+q("baseline_improvement", f"""
+SELECT {R6('b')} AS baseline_wape, {R6('m')} AS model_wape,
+       {R6('CASE WHEN b = 0 THEN 0.0 ELSE (b - m) / b END')} AS wape_improvement
+FROM (SELECT {MET['wape'].format(y='actual', p='baseline_pred')} AS b,
+             {MET['wape'].format(y='actual', p='lag_1_units')} AS m FROM bl)
+""", "bl")
+
+# ------------------------------------------------------------ 2.6 elasticity
+QUALITY = ("(price_test_flag OR price_change_reason IN ('random_regional_test', 'scheduled_review', "
+           "'supplier_cost_change')) AND NOT stockout_flag AND weeks_of_cover > 2")
+cte("el_sample", ("panel",), f"""
+SELECT panel.* FROM panel, (SELECT count(*) FILTER (WHERE {QUALITY}) AS nq FROM panel) c
+WHERE CASE WHEN c.nq >= 100 THEN {QUALITY} ELSE NOT stockout_flag END
+""")
+cte("el_est", ("el_sample",), """
+SELECT *, ln(1 + (units_sold + lost_sales_estimate)) AS log_units, ln(greatest(realized_price, 0.01)) AS log_price
+FROM el_sample
+""")
+q("elasticity_sample", f"SELECT {K}, price_change_reason, price_test_flag FROM el_sample", "el_sample")
+q("elasticity_log_transform", f"SELECT {K}, {R6('log_units')} AS log_units, {R6('log_price')} AS log_price FROM el_est",
+  "el_est")
+
+_X = ["log_price", "competitor_price_index", "promotion_depth", "seasonality_index"]
+cte("el_mom", ("el_est",), "SELECT category, region, customer_tier, GROUPING(category, region, customer_tier) AS gid, "
+    "count(*) AS n, stddev_samp(log_price) AS price_sd, var_pop(log_units) AS vyy, "
+    + ", ".join(f"covar_pop({_X[i]}, log_units) AS cy{i}" for i in range(4)) + ", "
+    + ", ".join(f"covar_pop({_X[i]}, {_X[j]}) AS c{i}{j}" for i in range(4) for j in range(i, 4))
+    + " FROM el_est GROUP BY GROUPING SETS ((category, region, customer_tier), (category, customer_tier), ())")
+
+
+def gauss_solve(src: str) -> str:
+    """Adds beta_0..beta_3 and rss by Gaussian elimination of (n C + I) w = n c_xy (no pivoting; SPD)."""
+    n = "CAST(n AS DOUBLE)"
+    cols = []
+    cur, curf = {}, {}
+    for i in range(4):
+        for j in range(4):
+            a, b = min(i, j), max(i, j)
+            cols.append(f"{n} * c{a}{b}" + (" + 1.0" if i == j else "") + f" AS e0_{i}{j}")
+            cur[(i, j)] = f"e0_{i}{j}"
+        cols.append(f"{n} * cy{i} AS f0_{i}")
+        curf[i] = f"f0_{i}"
+    sql = f"SELECT *, {', '.join(cols)} FROM ({src})"
+    for k in range(3):
+        cols, nc, nf = [], dict(cur), dict(curf)
+        for i in range(k + 1, 4):
+            fac = f"({cur[(i, k)]} / {cur[(k, k)]})"
+            for j in range(k + 1, 4):
+                cols.append(f"{cur[(i, j)]} - {fac} * {cur[(k, j)]} AS e{k + 1}_{i}{j}")
+                nc[(i, j)] = f"e{k + 1}_{i}{j}"
+            cols.append(f"{curf[i]} - {fac} * {curf[k]} AS f{k + 1}_{i}")
+            nf[i] = f"f{k + 1}_{i}"
+        sql = f"SELECT *, {', '.join(cols)} FROM ({sql})"
+        cur, curf = nc, nf
+    sql = f"SELECT *, {curf[3]} / {cur[(3, 3)]} AS beta_3 FROM ({sql})"
+    for i in (2, 1, 0):
+        s = curf[i] + "".join(f" - {cur[(i, j)]} * beta_{j}" for j in range(i + 1, 4))
+        sql = f"SELECT *, ({s}) / {cur[(i, i)]} AS beta_{i} FROM ({sql})"
+    wb = " + ".join(f"beta_{i} * {n} * cy{i}" for i in range(4))
+    ww = " + ".join(f"beta_{i} * beta_{i}" for i in range(4))
+    return f"SELECT *, greatest(0.0, {n} * vyy - ({wb}) - ({ww})) AS rss FROM ({sql})"
+
+
+def fit_cols(prior: str) -> str:
+    clip = "least(greatest(beta_0, -3.0), -0.1)"
+    return f"""{R6(f"CASE WHEN n < 10 OR price_sd < 0.01 THEN {prior} ELSE {clip} END")} AS estimated_elasticity,
+       {R6("CASE WHEN n < 10 THEN 0.0 ELSE price_sd END")} AS price_variation,
+       {R6("CASE WHEN n < 10 THEN 1.0 WHEN price_sd < 0.01 THEN 0.5 ELSE sqrt(rss / n) / sqrt(CAST(n AS DOUBLE)) END")}
+         AS standard_error,
+       {R6("CASE WHEN n < 10 THEN 0.2 WHEN price_sd < 0.01 THEN 0.3 ELSE least(1.0, n / 200.0) * least(1.0, price_sd / 0.1) END")}
+         AS confidence_score"""
+
+
+cte("el_global", ("el_mom",), f"""
+SELECT 'global' AS estimation_level, n AS sample_size, {fit_cols('-1.0')}
+FROM ({gauss_solve("SELECT * FROM el_mom WHERE gid = 7")})
+""")
+cte("el_cells", ("el_mom", "products"), """
+SELECT c.category, t.customer_tier, 'All' AS region, 'category_tier' AS level, coalesce(m.n, 0) AS n,
+       m.price_sd, m.vyy, """ + ", ".join(f"m.cy{i}" for i in range(4)) + ", "
+    + ", ".join(f"m.c{i}{j}" for i in range(4) for j in range(i, 4)) + """
+FROM (SELECT DISTINCT category FROM products) c
+CROSS JOIN (VALUES ('Retail'), ('Trade'), ('Fleet')) t(customer_tier)
+LEFT JOIN (SELECT * FROM el_mom WHERE gid = 2) m ON m.category = c.category AND m.customer_tier = t.customer_tier
+UNION ALL
+SELECT category, customer_tier, region, 'category_region_tier' AS level, n, price_sd, vyy, """
+    + ", ".join(f"cy{i}" for i in range(4)) + ", " + ", ".join(f"c{i}{j}" for i in range(4) for j in range(i, 4)) + """
+FROM el_mom WHERE gid = 0 AND n >= 30
+""")
+CLASS = """CASE WHEN {c} < 0.4 OR {e} IS NULL OR isnan({e}) THEN 'Low confidence'
+     WHEN {e} >= -3.0 AND {e} < -1.5 THEN 'Highly elastic' WHEN {e} >= -1.5 AND {e} < -1.0 THEN 'Elastic'
+     WHEN {e} >= -1.0 AND {e} < -0.5 THEN 'Moderate' WHEN {e} >= -0.5 AND {e} < -0.1 THEN 'Inelastic'
+     ELSE 'Moderate' END"""
+cte("el_pre", ("el_cells", "el_global"), f"""
+SELECT *, {CLASS.format(c='confidence_score', e='estimated_elasticity')} AS elasticity_class FROM (
+  SELECT CASE WHEN level = 'category_tier' THEN category || ' × ' || customer_tier
+              ELSE category || ' × ' || region || ' × ' || customer_tier END AS elasticity_segment,
+         category, region, customer_tier, CAST(n AS BIGINT) AS sample_size, level AS estimation_level, g AS _global,
+         {fit_cols('g')}
+  FROM ({gauss_solve("SELECT * FROM el_cells")}), (SELECT estimated_elasticity AS g FROM el_global))
+""")
+cte("elasticity", ("el_pre",), f"""
+SELECT elasticity_segment, category, region, customer_tier,
+       CASE WHEN confidence_score < 0.4 THEN {R6('least(greatest(confidence_score * estimated_elasticity + (1.0 - confidence_score) * _global, -3.0), -0.1)')}
+            ELSE estimated_elasticity END AS estimated_elasticity,
+       sample_size, price_variation, standard_error, confidence_score, estimation_level,
+       CASE WHEN confidence_score < 0.4 THEN 'Low confidence' ELSE elasticity_class END AS elasticity_class
+FROM el_pre
+""")
+q("elasticity_fit_global", "SELECT * FROM el_global", "el_global")
+q("elasticity_fit_category_tier", "SELECT * FROM elasticity WHERE estimation_level = 'category_tier'", "elasticity")
+q("elasticity_fit_category_region_tier", "SELECT * FROM elasticity WHERE estimation_level = 'category_region_tier'",
+  "elasticity")
+q("elasticity_fallbacks", """
+SELECT elasticity_segment, estimation_level, sample_size, estimated_elasticity, price_variation, standard_error,
+       confidence_score,
+       CASE WHEN sample_size < 10 THEN 'prior' WHEN standard_error = 0.5 THEN 'global_flat' ELSE 'fit' END AS fallback
+FROM el_pre""", "el_pre")
+q("elasticity_clip_confidence", """SELECT elasticity_segment, estimation_level, estimated_elasticity, standard_error,
+  confidence_score FROM el_pre""", "el_pre")
+q("elasticity_class", """SELECT elasticity_segment, estimation_level, estimated_elasticity, confidence_score,
+  elasticity_class FROM el_pre""", "el_pre")
+q("elasticity_shrink", "SELECT * FROM elasticity", "elasticity")
+q("elasticity_reload", f"""
+SELECT e.elasticity_segment, e.category, e.region, e.customer_tier, e.estimated_elasticity, e.sample_size,
+       e.price_variation, e.standard_error, e.confidence_score, e.estimation_level,
+       {CLASS.format(c='e.confidence_score', e='e.estimated_elasticity')} AS elasticity_class,
+       {R6('g.global_elasticity')} AS global_elasticity
+FROM elasticity e, (SELECT coalesce(max(CASE WHEN estimation_level = 'global' THEN estimated_elasticity END),
+                                    median(estimated_elasticity)) AS global_elasticity FROM elasticity) g
+""", "elasticity")
+
+# ------------------------------------------------------------ 2.7 pricing
+cte("latest", ("panel",), """
+SELECT * FROM panel
+QUALIFY row_number() OVER (PARTITION BY sku_id, region, customer_tier ORDER BY week_num DESC) = 1
+""")
+_PCOLS = ("product_name, subcategory, brand_tier, private_label_flag, regular_retail_price, minimum_margin_pct, "
+          "minimum_advertised_price, supplier, lead_time_days, case_pack, product_age_weeks, lifecycle_stage, "
+          "base_demand, true_price_elasticity, seasonality_strength, inventory_holding_cost, obsolescence_risk, "
+          "minimum_order_quantity")
+cte("rec_rows", ("latest", "products", "elasticity", "el_global"), f"""
+SELECT l.*, {', '.join('p.' + c.strip() for c in _PCOLS.split(','))},
+  CASE WHEN a.category IS NOT NULL THEN a.estimated_elasticity WHEN b.category IS NOT NULL THEN b.estimated_elasticity
+       ELSE g.estimated_elasticity END AS el_estimated_elasticity,
+  CASE WHEN a.category IS NOT NULL THEN a.confidence_score WHEN b.category IS NOT NULL THEN b.confidence_score
+       ELSE 0.3 END AS el_confidence_score,
+  CASE WHEN a.category IS NOT NULL THEN a.sample_size WHEN b.category IS NOT NULL THEN b.sample_size
+       ELSE 0 END AS el_sample_size,
+  CASE WHEN a.category IS NOT NULL THEN a.price_variation WHEN b.category IS NOT NULL THEN b.price_variation
+       ELSE 0.0 END AS el_price_variation,
+  CASE WHEN a.category IS NOT NULL THEN a.elasticity_class WHEN b.category IS NOT NULL THEN b.elasticity_class
+       ELSE 'Low confidence' END AS el_elasticity_class,
+  CASE WHEN a.category IS NOT NULL THEN a.estimation_level WHEN b.category IS NOT NULL THEN b.estimation_level
+       ELSE 'global_prior' END AS el_estimation_level,
+  max(CASE WHEN l.customer_tier = 'Retail' THEN l.realized_price END) OVER (PARTITION BY l.sku_id, l.region) AS tier_retail_price,
+  max(CASE WHEN l.customer_tier = 'Trade' THEN l.realized_price END) OVER (PARTITION BY l.sku_id, l.region) AS tier_trade_price,
+  max(CASE WHEN l.customer_tier = 'Fleet' THEN l.realized_price END) OVER (PARTITION BY l.sku_id, l.region) AS tier_fleet_price
+FROM latest l
+LEFT JOIN products p USING (sku_id)
+LEFT JOIN (SELECT * FROM elasticity WHERE estimation_level = 'category_region_tier') a
+  ON a.category = l.category AND a.region = l.region AND a.customer_tier = l.customer_tier
+LEFT JOIN (SELECT * FROM elasticity WHERE region = 'All') b
+  ON b.category = l.category AND b.customer_tier = l.customer_tier
+CROSS JOIN el_global g
+""")
+S3 = "sku_id, region, customer_tier"
+
+
+def sim_sql(price: str, prefix: str) -> str:
+    """Simulation columns at ``price`` (SQL mirror of the Spark simulate_price)."""
+    u = f"{prefix}units"
+    return f"""greatest(0.0, units_sold * pow(CASE WHEN realized_price > 0 THEN {price} / realized_price ELSE 1.0 END,
+                    el_estimated_elasticity)) AS {u}""", u
+
+
+def sim_layer(src: str, price: str, p: str) -> str:
+    units_expr, u = sim_sql(price, p)
+    l1 = f"SELECT *, {units_expr} FROM ({src})"
+    l2 = f"""SELECT *, {price} * {u} AS {p}revenue, greatest(0.0, ending_inventory - {u}) AS {p}ending,
+                    CASE WHEN {u} > 0 THEN {u} ELSE 1.0 END AS {p}weekly FROM ({l1})"""
+    l3 = f"""SELECT *, {p}revenue - unit_cost * {u} AS {p}gp,
+                    CASE WHEN {p}weekly <= 0.01 THEN 999.0 ELSE {p}ending / {p}weekly END AS {p}woc,
+                    CASE WHEN {p}ending < 2 AND {u} > ending_inventory THEN 1.0 WHEN {p}ending < 5 THEN 0.8
+                         WHEN {p}ending < 10 THEN 0.1 ELSE 0.0 END AS {p}sp FROM ({l2})"""
+    return f"""SELECT *, CASE WHEN {p}revenue = 0 THEN 0.0 ELSE {p}gp / {p}revenue END AS {p}margin,
+                      CASE WHEN {p}woc > 16 THEN {p}ending ELSE 0.0 END AS {p}excess FROM ({l3})"""
+
+
+def score_sql(obj: str) -> str:
+    if obj == "maximize_gross_profit":
+        return "c_gp"
+    if obj == "maximize_revenue":
+        return "c_revenue"
+    if obj == "reduce_excess_inventory":
+        return "(cur_ending - c_ending) * 10 + c_gp * 0.3"
+    return ("0.4 * c_gp + 0.25 * CASE WHEN excess_inventory_flag OR weeks_of_cover > 16 "
+            "THEN greatest(0.0, cur_ending - c_ending) ELSE 0.0 END - 0.2 * (c_sp * 100) "
+            "- 0.1 * (abs(CASE WHEN realized_price > 0 THEN (candidate_price - realized_price) / realized_price "
+            "ELSE 0.0 END) * 50) - 0.05 * CASE WHEN el_confidence_score < 0.4 THEN (1.0 - el_confidence_score) * 20 "
+            "ELSE 0.0 END")
+
+
+cte("cand", ("rec_rows",), f"""
+SELECT r.*, i.idx, {R('r.realized_price * (1.0 + (i.idx - 15) / 100.0)', 2)} AS candidate_price
+FROM rec_rows r CROSS JOIN range(0, 31) i(idx)
+""")
+_CAND_SIMS = sim_layer(sim_layer("SELECT * FROM cand", "realized_price", "cur_"), "candidate_price", "c_")
+for _obj in ("balanced", "maximize_gross_profit", "maximize_revenue", "reduce_excess_inventory"):
+    cte(f"sims_{_obj}", ("cand",), f"SELECT *, {R6(score_sql(_obj))} AS score FROM ({_CAND_SIMS})")
+q("candidate_prices", f"SELECT {S3}, realized_price, CAST(idx AS INTEGER) AS idx, candidate_price FROM cand", "cand")
+q("simulate_candidates", f"""
+SELECT {S3}, CAST(idx AS INTEGER) AS idx, candidate_price, {R6('c_units')} AS predicted_units, {R6('c_revenue')} AS revenue,
+       {R6('c_gp')} AS gross_profit, {R6('c_margin')} AS gross_margin_pct, {R6('c_ending')} AS expected_ending_inventory,
+       {R6('c_woc')} AS expected_weeks_of_cover
+FROM sims_balanced""", "sims_balanced")
+q("inventory_impact", f"""
+SELECT {S3}, CAST(idx AS INTEGER) AS idx, {R6('c_ending')} AS expected_ending_inventory,
+       {R6('c_woc')} AS expected_weeks_of_cover, {R6('c_sp')} AS stockout_probability,
+       {R6('c_excess')} AS excess_inventory_remaining
+FROM sims_balanced""", "sims_balanced")
+for _n, _obj in (("score_gross_profit", "maximize_gross_profit"), ("score_revenue", "maximize_revenue"),
+                 ("score_excess_reduction", "reduce_excess_inventory"), ("score_balanced", "balanced")):
+    q(_n, f"SELECT {S3}, CAST(idx AS INTEGER) AS idx, score FROM sims_{_obj}", f"sims_{_obj}")
+
+cte("best", ("sims_balanced", "rec_rows"), f"""
+SELECT r.*, coalesce(b.candidate_price, r.realized_price) AS best_price, b.score AS best_score
+FROM rec_rows r LEFT JOIN (
+  SELECT {S3}, candidate_price, score FROM sims_balanced WHERE score IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY {S3} ORDER BY score DESC, idx ASC) = 1
+) b USING (sku_id, region, customer_tier)
+""")
+q("argmax_candidate", f"SELECT {S3}, realized_price, best_price, best_score FROM best", "best")
+q("tier_price_map", f"SELECT {S3}, tier_retail_price, tier_trade_price, tier_fleet_price FROM rec_rows", "rec_rows")
+
+CUR = "realized_price"
+cte("g1", ("best",), f"""
+SELECT *, CASE WHEN hit1 THEN {CUR} * (1.0 + sgn * mm) ELSE best_price END AS g_price,
+          CASE WHEN hit1 THEN sgn * mm ELSE g_change0 END AS g_change, hit1 AS g1_max_move,
+          'NO_MATERIAL_OPPORTUNITY' AS g_reason
+FROM (SELECT *, abs(actual) > mm AS hit1, CASE WHEN actual > 0 THEN 1.0 ELSE -1.0 END AS sgn FROM (
+  SELECT *, CASE WHEN {CUR} > 0 THEN (best_price - {CUR}) / {CUR} ELSE 0.0 END AS actual,
+            CASE WHEN {CUR} > 0 THEN (best_price - {CUR}) / {CUR} ELSE 0.0 END AS g_change0,
+            CASE WHEN el_confidence_score < 0.4 THEN least(mm0, 0.03) ELSE mm0 END AS mm
+  FROM (SELECT *, CASE WHEN excess_inventory_flag OR weeks_of_cover > 16 THEN 0.15 ELSE 0.1 END AS mm0 FROM best)))
+""")
+cte("g2", ("g1",), """
+SELECT * REPLACE (CASE WHEN g2_margin_floor THEN g_floor ELSE g_price END AS g_price,
+                  CASE WHEN g2_margin_floor THEN 'LOW_MARGIN_PROTECTION' ELSE g_reason END AS g_reason)
+FROM (SELECT *, g_price < g_floor AS g2_margin_floor FROM (
+  SELECT *, CASE WHEN coalesce(minimum_margin_pct, 0.15) < 1 THEN unit_cost / (1.0 - coalesce(minimum_margin_pct, 0.15))
+                 ELSE unit_cost * 1.5 END AS g_floor FROM g1))
+""")
+cte("g3", ("g2",), """
+SELECT * REPLACE (CASE WHEN g3_map THEN coalesce(minimum_advertised_price, 0.0) ELSE g_price END AS g_price,
+                  CASE WHEN g3_map THEN 'MAP_CONSTRAINT' ELSE g_reason END AS g_reason)
+FROM (SELECT *, coalesce(minimum_advertised_price, 0.0) > 0 AND g_price < coalesce(minimum_advertised_price, 0.0)
+               AS g3_map FROM g2)
+""")
+cte("g4", ("g3",), """
+SELECT * REPLACE (CASE WHEN g4_ladder_b THEN least(g_price, tier_retail_price) ELSE g_price END AS g_price)
+FROM (SELECT *, customer_tier = 'Fleet' AND tier_retail_price IS NOT NULL AND g_price > tier_retail_price AS g4_ladder_b
+FROM (SELECT * REPLACE (CASE WHEN ha THEN tier_retail_price WHEN hb THEN tier_trade_price ELSE g_price END AS g_price,
+                        CASE WHEN ha OR hb THEN 'PRICE_LADDER_CONSTRAINT' ELSE g_reason END AS g_reason),
+             coalesce(ha OR hb, false) AS g4_ladder_a
+      FROM (SELECT *, coalesce(customer_tier = 'Trade' AND tier_retail_price IS NOT NULL AND g_price > tier_retail_price, false) AS ha,
+                      coalesce(customer_tier = 'Fleet' AND tier_trade_price IS NOT NULL AND g_price > tier_trade_price, false) AS hb
+            FROM g3)))
+""")
+cte("g5", ("g4",), f"""
+SELECT * REPLACE (CASE WHEN cut THEN {CUR} WHEN rise THEN {CUR} * 1.03 ELSE g_price END AS g_price,
+                  CASE WHEN cut THEN 'STOCKOUT_PROTECTION' ELSE g_reason END AS g_reason),
+       cut OR rise AS g5_stockout
+FROM (SELECT *, weeks_of_cover < 2 AND g_price < {CUR} AS cut,
+                weeks_of_cover < 2 AND NOT (g_price < {CUR}) AND g_price > {CUR} * 1.03 AS rise FROM g4)
+""")
+cte("g6", ("g5",), f"""
+SELECT * REPLACE (CASE WHEN g6_low_conf THEN CASE WHEN g_change > 0 THEN {CUR} * 1.03 ELSE {CUR} * 0.97 END
+                       ELSE g_price END AS g_price,
+                  CASE WHEN g6_low_conf THEN 'LOW_CONFIDENCE_TEST' ELSE g_reason END AS g_reason)
+FROM (SELECT *, el_confidence_score < 0.4 AND abs(g_change) > 0.03 AS g6_low_conf FROM g5)
+""")
+RND = "CASE WHEN {p} >= 1 THEN floor({p}) + 0.99 ELSE " + R("{p}", 2) + " END"
+cte("g7", ("g6",), f"""
+SELECT * REPLACE (CASE WHEN g7_map THEN {RND.format(p='coalesce(minimum_advertised_price, 0.0)')} ELSE g_price END AS g_price)
+FROM (SELECT *, coalesce(minimum_advertised_price, 0.0) > 0 AND g_price < coalesce(minimum_advertised_price, 0.0) AS g7_map
+FROM (SELECT * REPLACE (CASE WHEN g7_floor THEN {RND.format(p='g_floor')} ELSE g_price END AS g_price)
+      FROM (SELECT *, g_price < g_floor AS g7_floor FROM (
+            SELECT * REPLACE ({RND.format(p='g_price')} AS g_price) FROM g6))))
+""")
+for _g, _c, _fl in (("max_move", "g1", ["g1_max_move"]), ("margin_floor", "g2", ["g2_margin_floor"]),
+                    ("map", "g3", ["g3_map"]), ("tier_ladder", "g4", ["g4_ladder_a", "g4_ladder_b"]),
+                    ("stockout", "g5", ["g5_stockout"]), ("low_confidence", "g6", ["g6_low_conf"]),
+                    ("recheck", "g7", ["g7_floor", "g7_map"])):
+    q("guard_" + _g, f"SELECT {S3}, {R6('g_price')} AS guarded_price, {R6('g_change')} AS change_arg, g_reason, "
+      + ", ".join(_fl) + f" FROM {_c}", _c)
+
+cte("recs_raw", ("g7",), sim_layer(sim_layer(f"""
+SELECT *, concat_ws(',', CASE WHEN g1_max_move THEN 'MAX_MOVE' END, CASE WHEN g2_margin_floor THEN 'MARGIN_FLOOR' END,
+          CASE WHEN g3_map THEN 'MAP' END, CASE WHEN g4_ladder_a THEN 'TIER_LADDER' END,
+          CASE WHEN g4_ladder_b THEN 'TIER_LADDER' END, CASE WHEN g5_stockout THEN 'STOCKOUT_PROTECTION' END,
+          CASE WHEN g6_low_conf THEN 'LOW_CONFIDENCE' END, CASE WHEN g7_floor THEN 'MARGIN_FLOOR' END,
+          CASE WHEN g7_map THEN 'MAP' END) AS guardrail_triggered,
+       CASE WHEN {CUR} > 0 THEN (g_price - {CUR}) / {CUR} ELSE 0.0 END AS fin_change
+FROM g7""", "realized_price", "cur_"), "g_price", "fin_"))
+ACTION = """CASE WHEN (g6_low_conf OR el_confidence_score < 0.3) AND abs(fin_change) < 0.01 THEN 'Hold'
+     WHEN (g6_low_conf OR el_confidence_score < 0.3) AND abs(fin_change) < 0.05 THEN 'Test'
+     WHEN (g6_low_conf OR el_confidence_score < 0.3) THEN 'Manual Review'
+     WHEN abs(fin_change) < 0.005 THEN 'Hold' WHEN fin_change > 0.01 THEN 'Increase'
+     WHEN fin_change < -0.01 THEN 'Decrease' ELSE 'Hold' END"""
+cte("recommendations", ("recs_raw",), f"""
+SELECT sku_id, category, region, customer_tier, {CUR} AS current_price, g_price AS recommended_price,
+       {R('fin_change', 4)} AS price_change_pct, cur_units AS predicted_current_units,
+       fin_units AS predicted_recommended_units, cur_revenue AS current_revenue, fin_revenue AS projected_revenue,
+       cur_gp AS current_gross_profit, fin_gp AS projected_gross_profit, fin_gp - cur_gp AS gross_profit_lift,
+       fin_margin AS gross_margin_pct, fin_ending AS expected_ending_inventory, fin_woc AS expected_weeks_of_cover,
+       el_estimated_elasticity AS elasticity, el_confidence_score AS elasticity_confidence,
+       {ACTION} AS recommendation_action,
+       CASE WHEN guardrail_triggered = '' THEN CASE WHEN excess_inventory_flag THEN 'EXCESS_INVENTORY_MARKDOWN'
+                 WHEN competitor_price_index > 1.05 THEN 'COMPETITOR_PRICE_GAP'
+                 WHEN el_confidence_score > 0.6 AND g_change > 0.02 THEN 'INELASTIC_MARGIN_OPPORTUNITY'
+                 ELSE g_reason END ELSE g_reason END AS reason_code,
+       guardrail_triggered, 'Pending' AS approval_status, 'v2.0.0-inventory-engine' AS policy_version
+FROM recs_raw
+""")
+_RF = ["predicted_current_units", "predicted_recommended_units", "current_revenue", "projected_revenue",
+       "current_gross_profit", "projected_gross_profit", "gross_profit_lift", "gross_margin_pct",
+       "expected_ending_inventory", "expected_weeks_of_cover", "recommended_price"]
+q("reason_code", f"SELECT {S3}, guardrail_triggered, reason_code FROM recommendations", "recommendations")
+q("guardrail_list", f"SELECT {S3}, guardrail_triggered FROM recommendations", "recommendations")
+q("pricing_action", f"SELECT {S3}, price_change_pct, elasticity_confidence, recommendation_action FROM recommendations",
+  "recommendations")
+q("optimize_prices", "SELECT * REPLACE (" + ", ".join(f"{R6(c)} AS {c}" for c in _RF) + ") FROM recommendations",
+  "recommendations")
+q("price_recommendations", f"""SELECT {S3}, category, current_price, {R6('recommended_price')} AS recommended_price,
+  price_change_pct, {R6('gross_profit_lift')} AS gross_profit_lift, recommendation_action, reason_code
+FROM recommendations""", "recommendations")
+q("round_price", f"""
+SELECT {S3}, {R6('p')} AS raw_price, floor(p + 0.5) AS nearest_dollar, {RND.format(p='p')} AS ending_99,
+       CASE WHEN p >= 1 THEN floor(p) + 0.95 ELSE {R('p', 2)} END AS ending_95, {R('p', 2)} AS cents
+FROM (SELECT *, realized_price * 0.97 AS p FROM rec_rows)""", "rec_rows")
+q("elasticity_lookup", f"""SELECT {S3}, category, el_estimated_elasticity, el_confidence_score, el_sample_size,
+  el_price_variation, el_elasticity_class, el_estimation_level FROM rec_rows""", "rec_rows")
+q("latest_by_key", "SELECT * REPLACE (CAST(week_start AS VARCHAR) AS week_start) FROM latest", "latest")
+q("latest_with_product", f"""SELECT {S3}, week_num, realized_price, unit_cost, product_name, brand_tier,
+  minimum_margin_pct, minimum_advertised_price, lead_time_days, case_pack, lifecycle_stage, base_demand,
+  minimum_order_quantity FROM rec_rows""", "rec_rows")
+q("predict_at_price", f"""SELECT {S3}, {R6('realized_price * 1.05')} AS candidate_price,
+  {R6('greatest(0.0, units_sold * pow(CASE WHEN realized_price > 0 THEN realized_price * 1.05 / realized_price ELSE 1.0 END, el_estimated_elasticity))')}
+  AS predicted_units FROM rec_rows""", "rec_rows")
+q("predict_batch_at_prices", f"""SELECT {S3}, CAST(idx AS INTEGER) AS idx, candidate_price, {R6('c_units')} AS predicted_units
+FROM sims_balanced""", "sims_balanced")
+q("what_if_price", f"""
+SELECT {S3}, what_if_price, {R6('w_units')} AS predicted_units, {R6('w_revenue')} AS revenue, {R6('w_gp')} AS gross_profit,
+       {R6('w_margin')} AS gross_margin_pct, {R6('w_ending')} AS expected_ending_inventory,
+       {R6('w_woc')} AS expected_weeks_of_cover, w_sp AS stockout_probability, cb.curve_best_price,
+       {R6('cb.curve_max_gross_profit')} AS curve_max_gross_profit
+FROM ({sim_layer(f"SELECT *, {R('realized_price * 0.95', 2)} AS what_if_price FROM rec_rows", "what_if_price", "w_")}) w
+JOIN (SELECT {S3}, candidate_price AS curve_best_price, {R6('c_gp')} AS curve_max_gross_profit FROM sims_balanced
+      QUALIFY row_number() OVER (PARTITION BY {S3} ORDER BY {R6('c_gp')} DESC, candidate_price ASC) = 1) cb
+  USING (sku_id, region, customer_tier)
+""", "rec_rows", "sims_balanced")

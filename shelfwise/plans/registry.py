@@ -180,3 +180,290 @@ def q_time_split(spark, sf):
 @query("leakage_check")
 def q_leakage_check(spark, sf):
     return ft.leakage_check(_feat(spark, sf))
+
+
+# ------------------------------------------------------------ 2.4 demand (SQL-checkable parts)
+def _baseline(spark, sf):
+    from shelfwise.operators.demand import baseline_seasonal_naive
+    return baseline_seasonal_naive(pipe(spark, sf).split_features)
+
+
+@query("baseline_seasonal_naive")
+def q_baseline(spark, sf):
+    return _baseline(spark, sf).select(*KEY, "actual", "baseline_pred")
+
+
+@query("predict_at_price")
+def q_predict_at_price(spark, sf):
+    rows = pipe(spark, sf).rec_rows
+    price = F.col("realized_price") * 1.05
+    units = pr.predict_at_price(F.col("units_sold"), price, F.col("realized_price"), F.col("el_estimated_elasticity"))
+    return rows.select(*SERIES, r6(price).alias("candidate_price"), r6(units).alias("predicted_units"))
+
+
+@query("predict_batch_at_prices")
+def q_predict_batch(spark, sf):
+    rows = pipe(spark, sf).rec_rows
+    cur, e = F.col("realized_price"), F.col("el_estimated_elasticity")
+    units = F.transform(pr.candidate_prices(cur), lambda p: F.struct(
+        p.alias("candidate_price"), pr.predict_at_price(F.col("units_sold"), p, cur, e).alias("predicted_units")))
+    d = rows.select(*SERIES, F.posexplode(units).alias("idx", "c"))
+    return d.select(*SERIES, "idx", "c.candidate_price", r6(F.col("c.predicted_units")).alias("predicted_units"))
+
+
+# ------------------------------------------------------------ 2.5 metrics (seasonal-naive vs actual, test rows)
+def _metric(spark, sf, which):
+    from shelfwise.operators import metrics as mt
+    d = _baseline(spark, sf)
+    return d.agg(r6(mt.METRICS[which](F.col("actual"), F.col("baseline_pred"))).alias(which.lower()))
+
+
+for _m in ("MAE", "RMSE", "WAPE", "RMSLE", "Bias"):
+    QUERIES["metric_" + _m.lower()] = (lambda m: (lambda spark, sf: _metric(spark, sf, m)))(_m)
+
+
+@query("metrics_all")
+def q_metrics_all(spark, sf):
+    from shelfwise.operators import metrics as mt
+    d = _baseline(spark, sf)
+    out = mt.metrics_all(d, "actual", "baseline_pred", ["category"])
+    return out.withColumns({c: r6(F.col(c)) for c in ("mae", "rmse", "wape", "rmsle", "bias")})
+
+
+@query("baseline_improvement")
+def q_baseline_improvement(spark, sf):
+    from shelfwise.operators import metrics as mt
+    d = _baseline(spark, sf)
+    w_base = mt.METRICS["WAPE"](F.col("actual"), F.col("baseline_pred"))
+    w_lag = mt.METRICS["WAPE"](F.col("actual"), F.col("lag_1_units"))
+    a = d.agg(w_base.alias("baseline_wape"), w_lag.alias("model_wape"))
+    return a.select(r6(F.col("baseline_wape")).alias("baseline_wape"), r6(F.col("model_wape")).alias("model_wape"),
+                    r6(mt.baseline_improvement(F.col("baseline_wape"), F.col("model_wape"))).alias("wape_improvement"))
+
+
+# ------------------------------------------------------------ 2.6 elasticity
+def _est(spark, sf):
+    return el.elasticity_log_transform(el.elasticity_sample(pipe(spark, sf).panel))
+
+
+def _pre_shrink(spark, sf):
+    p = pipe(spark, sf)
+    seg = el._fit_segments(el.segment_moments(_est(spark, sf)), p.products)
+    return seg.withColumn("elasticity_class", el.elasticity_class_col(F.col("estimated_elasticity"),
+                                                                      F.col("confidence_score")))
+
+
+@query("elasticity_sample")
+def q_elasticity_sample(spark, sf):
+    return el.elasticity_sample(pipe(spark, sf).panel).select(*KEY, "price_change_reason", "price_test_flag")
+
+
+@query("elasticity_log_transform")
+def q_elasticity_log_transform(spark, sf):
+    return rounded(_est(spark, sf).select(*KEY, "log_units", "log_price"), "log_units", "log_price")
+
+
+@query("elasticity_fit_global")
+def q_elasticity_fit_global(spark, sf):
+    return pipe(spark, sf).global_elasticity
+
+
+@query("elasticity_fit_category_tier")
+def q_elasticity_fit_ct(spark, sf):
+    return pipe(spark, sf).elasticity.filter(F.col("estimation_level") == "category_tier")
+
+
+@query("elasticity_fit_category_region_tier")
+def q_elasticity_fit_crt(spark, sf):
+    return pipe(spark, sf).elasticity.filter(F.col("estimation_level") == "category_region_tier")
+
+
+@query("elasticity_fallbacks")
+def q_elasticity_fallbacks(spark, sf):
+    d = _pre_shrink(spark, sf)
+    kind = (F.when(F.col("sample_size") < 10, "prior").when(F.col("standard_error") == 0.5, "global_flat")
+            .otherwise("fit"))
+    return d.select("elasticity_segment", "estimation_level", "sample_size", "estimated_elasticity",
+                    "price_variation", "standard_error", "confidence_score", kind.alias("fallback"))
+
+
+@query("elasticity_clip_confidence")
+def q_elasticity_clip(spark, sf):
+    return _pre_shrink(spark, sf).select("elasticity_segment", "estimation_level", "estimated_elasticity",
+                                         "standard_error", "confidence_score")
+
+
+@query("elasticity_class")
+def q_elasticity_class(spark, sf):
+    return _pre_shrink(spark, sf).select("elasticity_segment", "estimation_level", "estimated_elasticity",
+                                         "confidence_score", "elasticity_class")
+
+
+@query("elasticity_shrink")
+def q_elasticity_shrink(spark, sf):
+    return pipe(spark, sf).elasticity
+
+
+@query("elasticity_lookup")
+def q_elasticity_lookup(spark, sf):
+    rows = pipe(spark, sf).rec_rows
+    return rows.select(*SERIES, "category", *[c for c in rows.columns if c.startswith("el_")])
+
+
+@query("elasticity_reload")
+def q_elasticity_reload(spark, sf):
+    t = el.elasticity_reload(pipe(spark, sf).elasticity.drop("elasticity_class"))
+    return rounded(t, "global_elasticity")
+
+
+# ------------------------------------------------------------ 2.7 pricing
+_LATEST_DROP = ["week_start"]
+
+
+@query("latest_by_key")
+def q_latest_by_key(spark, sf):
+    d = pr.latest_by_key(pipe(spark, sf).panel)
+    return d.withColumn("week_start", F.col("week_start").cast("string"))
+
+
+@query("latest_with_product")
+def q_latest_with_product(spark, sf):
+    p = pipe(spark, sf)
+    d = pr.latest_with_product(pr.latest_by_key(p.panel), p.products)
+    return d.select(*SERIES, "week_num", "realized_price", "unit_cost", "product_name", "brand_tier",
+                    "minimum_margin_pct", "minimum_advertised_price", "lead_time_days", "case_pack",
+                    "lifecycle_stage", "base_demand", "minimum_order_quantity")
+
+
+@query("candidate_prices")
+def q_candidate_prices(spark, sf):
+    rows = pipe(spark, sf).rec_rows
+    return rows.select(*SERIES, "realized_price", F.posexplode(pr.candidate_prices(F.col("realized_price")))
+                       .alias("idx", "candidate_price"))
+
+
+def _sims(spark, sf, objective="balanced"):
+    rows = pipe(spark, sf).rec_rows
+    d = pr.simulate_candidates(rows, objective).select(*SERIES, F.explode("candidate_sims").alias("s"))
+    return d.select(*SERIES, "s.*")
+
+
+@query("simulate_candidates")
+def q_simulate_candidates(spark, sf):
+    cols = ["predicted_units", "revenue", "gross_profit", "gross_margin_pct", "expected_ending_inventory",
+            "expected_weeks_of_cover"]
+    d = _sims(spark, sf).select(*SERIES, "idx", "candidate_price", *cols)
+    return rounded(d, *cols)
+
+
+@query("inventory_impact")
+def q_inventory_impact(spark, sf):
+    cols = ["expected_ending_inventory", "expected_weeks_of_cover", "stockout_probability",
+            "excess_inventory_remaining"]
+    return rounded(_sims(spark, sf).select(*SERIES, "idx", *cols), *cols)
+
+
+for _name, _obj in (("score_gross_profit", "maximize_gross_profit"), ("score_revenue", "maximize_revenue"),
+                    ("score_excess_reduction", "reduce_excess_inventory"), ("score_balanced", "balanced")):
+    QUERIES[_name] = (lambda o: (lambda spark, sf: _sims(spark, sf, o).select(*SERIES, "idx", "score")))(_obj)
+
+
+@query("argmax_candidate")
+def q_argmax_candidate(spark, sf):
+    d = pr.argmax_candidate(pr.simulate_candidates(pipe(spark, sf).rec_rows, "balanced"))
+    return d.select(*SERIES, "realized_price", "best_price", "best_score")
+
+
+@query("tier_price_map")
+def q_tier_price_map(spark, sf):
+    return pipe(spark, sf).rec_rows.select(*SERIES, "tier_retail_price", "tier_trade_price", "tier_fleet_price")
+
+
+def _guard_stage(spark, sf, upto):
+    p = pipe(spark, sf)
+    d = pr.argmax_candidate(pr.simulate_candidates(p.rec_rows, p.sc.objective))
+    cur = F.col("realized_price")
+    d = d.withColumns({"g_price": F.col("best_price"),
+                       "g_change": F.when(cur > 0, (F.col("best_price") - cur) / cur).otherwise(0.0),
+                       "g_reason": F.lit("NO_MATERIAL_OPPORTUNITY")})
+    steps = [("max_move", lambda x: pr.guard_max_move(x, p.sc)), ("margin_floor", pr.guard_margin_floor),
+             ("map", pr.guard_map), ("tier_ladder", pr.guard_tier_ladder), ("stockout", pr.guard_stockout),
+             ("low_confidence", pr.guard_low_confidence), ("recheck", lambda x: pr.guard_recheck(x, p.sc.price_rounding))]
+    for name, fn in steps:
+        d = fn(d)
+        if name == upto:
+            break
+    return d
+
+
+_GUARD_OUT = {"max_move": ["g1_max_move"], "margin_floor": ["g2_margin_floor"], "map": ["g3_map"],
+              "tier_ladder": ["g4_ladder_a", "g4_ladder_b"], "stockout": ["g5_stockout"],
+              "low_confidence": ["g6_low_conf"], "recheck": ["g7_floor", "g7_map"]}
+for _g, _flags in _GUARD_OUT.items():
+    QUERIES["guard_" + _g] = (lambda g, fl: (lambda spark, sf: _guard_stage(spark, sf, g).select(
+        *SERIES, r6(F.col("g_price")).alias("guarded_price"), r6(F.col("g_change")).alias("change_arg"),
+        "g_reason", *fl)))(_g, _flags)
+
+
+@query("round_price")
+def q_round_price(spark, sf):
+    rows = pipe(spark, sf).rec_rows
+    p = F.col("realized_price") * 0.97
+    return rows.select(*SERIES, r6(p).alias("raw_price"),
+                       *[pr.round_price(p, m).alias(m) for m in ("nearest_dollar", "ending_99", "ending_95", "cents")])
+
+
+def _recs(spark, sf):
+    return pipe(spark, sf).recommendations
+
+
+_REC_FLOATS = ["predicted_current_units", "predicted_recommended_units", "current_revenue", "projected_revenue",
+               "current_gross_profit", "projected_gross_profit", "gross_profit_lift", "gross_margin_pct",
+               "expected_ending_inventory", "expected_weeks_of_cover", "recommended_price"]
+
+
+@query("reason_code")
+def q_reason_code(spark, sf):
+    return _recs(spark, sf).select(*SERIES, "guardrail_triggered", "reason_code")
+
+
+@query("guardrail_list")
+def q_guardrail_list(spark, sf):
+    return _recs(spark, sf).select(*SERIES, "guardrail_triggered")
+
+
+@query("pricing_action")
+def q_pricing_action(spark, sf):
+    return _recs(spark, sf).select(*SERIES, "price_change_pct", "elasticity_confidence", "recommendation_action")
+
+
+@query("optimize_prices")
+def q_optimize_prices(spark, sf):
+    return rounded(_recs(spark, sf), *_REC_FLOATS)
+
+
+@query("price_recommendations")
+def q_price_recommendations(spark, sf):
+    d = _recs(spark, sf)
+    return rounded(d.select(*SERIES, "category", "current_price", "recommended_price", "price_change_pct",
+                            "gross_profit_lift", "recommendation_action", "reason_code"),
+                   "recommended_price", "gross_profit_lift")
+
+
+@query("what_if_price")
+def q_what_if_price(spark, sf):
+    rows = pipe(spark, sf).rec_rows
+    params = rows.select(*SERIES, r2_(F.col("realized_price") * 0.95).alias("price"),
+                         F.lit(False).alias("promotion"), F.lit(None).cast("double").alias("inventory"))
+    d = pr.what_if_price(rows, params)
+    best = F.array_max(F.transform("price_curve", lambda c: F.struct(r6(c["gross_profit"]).alias("g"),
+                                                                     (-c["price"]).alias("np"))))
+    d = d.withColumns({"curve_best_price": -best["np"], "curve_max_gross_profit": best["g"]}).drop("price_curve")
+    cols = ["predicted_units", "revenue", "gross_profit", "gross_margin_pct", "expected_ending_inventory",
+            "expected_weeks_of_cover", "curve_max_gross_profit"]
+    return rounded(d, *cols)
+
+
+def r2_(c):
+    from shelfwise.functions.columns import r2
+    return r2(c)
