@@ -95,26 +95,33 @@ def demand_history(panel: DataFrame, window: int = 8, demand_col: str | None = N
     """Mean / sample sd / trend of demand over the last ``window`` rows of each SKU x region.
 
     Rows of all tiers are mixed (reference grain); ties on week are ordered by tier.
+    The panel holds at most weeks x tiers rows per SKU x region, so the window
+    is bounded by the dimensions.  Sums of cent values are rounded to cents and
+    the sd comes from exact sums, so every engine and summation order agrees.
     """
     dcol = demand_col or ("adjusted_units" if "adjusted_units" in panel.columns else "latent_demand")
     tcol = "adjusted_units" if "adjusted_units" in panel.columns else "units_sold"
     w = W.partitionBy(*SR).orderBy(F.col("week_num").desc(), F.col("customer_tier").desc())
     ranked = panel.select(*SR, F.col(dcol).alias("_d"), F.col(tcol).alias("_t"),
-                          F.row_number().over(w).alias("_rn")).filter(F.col("_rn") <= window)
-    g = ranked.groupBy(*SR).agg(
-        F.avg("_d").alias("_avg"), F.stddev_samp("_d").alias("_sd"), F.count(F.lit(1)).alias("_n"),
-        F.collect_list(F.struct("_rn", "_t")).alias("_hist"))  # <= window elements per key
+                          F.row_number().over(w).alias("_rn"),
+                          F.count(F.lit(1)).over(W.partitionBy(*SR)).alias("_all"))
+    ranked = ranked.filter(F.col("_rn") <= window).withColumn("_n", F.least(F.col("_all"), F.lit(window)))
     half = (F.col("_n") / 2).cast("int")
-    recent = F.aggregate(F.filter("_hist", lambda s: s["_rn"] <= half), F.lit(0.0), lambda a, s: a + s["_t"]) / half
-    prior = F.aggregate(F.filter("_hist", lambda s: s["_rn"] > F.col("_n") - half), F.lit(0.0),
-                        lambda a, s: a + s["_t"]) / half
+    g = ranked.groupBy(*SR).agg(
+        F.first("_n").alias("_n"),
+        r2(F.sum("_d")).alias("_s1"), r2(F.sum(F.col("_d") * F.col("_d"))).alias("_s2"),
+        r2(F.sum(F.when(F.col("_rn") <= half, F.col("_t")))).alias("_rs"),
+        r2(F.sum(F.when(F.col("_rn") > F.col("_n") - half, F.col("_t")))).alias("_ps"))
+    n = F.col("_n").cast("double")
+    avg = F.col("_s1") / n
+    var = (n * F.col("_s2") - F.col("_s1") * F.col("_s1")) / (n * (n - 1))
+    sd = F.when(F.col("_n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).otherwise(avg * 0.2)
+    h = (F.col("_n") / 2).cast("int")
+    recent = F.try_divide(F.coalesce(F.col("_rs"), F.lit(0.0)), h)
+    prior = F.try_divide(F.coalesce(F.col("_ps"), F.lit(0.0)), h)
     trend = F.when(F.col("_n") < 4, F.lit(0.0)).when(prior <= 0, F.lit(0.0)).otherwise((recent - prior) / prior)
-    return g.select(
-        *SR,
-        F.greatest(F.coalesce(F.col("_avg"), F.lit(0.0)), F.lit(0.0)).alias("avg_demand"),
-        F.greatest(F.when(F.col("_n") > 1, F.col("_sd")).otherwise(F.col("_avg") * 0.2), F.lit(0.0)).alias("demand_sd"),
-        trend.alias("trend"),
-    )
+    return g.select(*SR, F.greatest(avg, F.lit(0.0)).alias("avg_demand"),
+                    F.greatest(sd, F.lit(0.0)).alias("demand_sd"), trend.alias("trend"))
 
 
 def tier_inventory_rollup(panel: DataFrame) -> DataFrame:
@@ -124,17 +131,17 @@ def tier_inventory_rollup(panel: DataFrame) -> DataFrame:
     last = panel.groupBy(*SR, "customer_tier").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("week_num"))).alias(c) for c in cols])
     return last.groupBy(*SR).agg(
-        F.sum("ending_inventory").alias("on_hand"), F.sum("on_order").alias("on_order_sum"),
-        F.sum("latent_demand").alias("latent_sum"), F.sum("units_sold").alias("sold_sum"),
-        F.sum("beginning_inventory").alias("begin_sum"), F.sum("receipts").alias("receipts_sum"),
-        F.sum("lost_sales_estimate").alias("lost_sum"))
+        r2(F.sum("ending_inventory")).alias("on_hand"), r2(F.sum("on_order")).alias("on_order_sum"),
+        r2(F.sum("latent_demand")).alias("latent_sum"), r2(F.sum("units_sold")).alias("sold_sum"),
+        r2(F.sum("beginning_inventory")).alias("begin_sum"), r2(F.sum("receipts")).alias("receipts_sum"),
+        r2(F.sum("lost_sales_estimate")).alias("lost_sum"))
 
 
 def sku_region_metrics(panel: DataFrame, products: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
     """The 26-column SKU x region snapshot (SKUs absent from products are dropped)."""
     hist = demand_history(panel, INVENTORY_POLICY["demand_window_weeks"])
     roll = tier_inventory_rollup(panel)
-    units_total = panel.groupBy(*SR).agg(F.sum("units_sold").alias("units_total"))
+    units_total = panel.groupBy(*SR).agg(r2(F.sum("units_sold")).alias("units_total"))
     p = products.select("sku_id", F.col("category").alias("p_category"), F.col("unit_cost").alias("p_cost"),
                         "lead_time_days", "case_pack", "product_age_weeks", "lifecycle_stage",
                         "obsolescence_risk", "minimum_order_quantity")

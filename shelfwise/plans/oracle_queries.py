@@ -553,3 +553,222 @@ JOIN (SELECT {S3}, candidate_price AS curve_best_price, {R6('c_gp')} AS curve_ma
       QUALIFY row_number() OVER (PARTITION BY {S3} ORDER BY {R6('c_gp')} DESC, candidate_price ASC) = 1) cb
   USING (sku_id, region, customer_tier)
 """, "rec_rows", "sims_balanced")
+
+# ------------------------------------------------------------ 2.8 inventory
+from shelfwise.plans.oracle_sql import RECURSIVE  # noqa: E402
+
+cte("inv_top", ("panel",), """
+SELECT *, count(*) OVER (PARTITION BY sku_id, region) AS n FROM (
+  SELECT sku_id, region, latent_demand, units_sold,
+         row_number() OVER (PARTITION BY sku_id, region ORDER BY week_num DESC, customer_tier DESC) AS rn
+  FROM panel) WHERE rn <= 8
+""")
+cte("inv_hist", ("inv_top",), """
+SELECT sku_id, region, greatest(s1 / n, 0.0) AS avg_demand,
+       greatest(CASE WHEN n > 1 THEN sqrt(greatest((n * s2 - s1 * s1) / (n * (n - 1)), 0.0)) ELSE s1 / n * 0.2 END, 0.0)
+         AS demand_sd,
+       CASE WHEN n < 4 THEN 0.0 WHEN ps / (n // 2) <= 0 THEN 0.0
+            ELSE (rs / (n // 2) - ps / (n // 2)) / (ps / (n // 2)) END AS trend
+FROM (SELECT sku_id, region, CAST(any_value(n) AS DOUBLE) AS n, """ + R("sum(latent_demand)", 2) + """ AS s1,
+             """ + R("sum(latent_demand * latent_demand)", 2) + """ AS s2,
+             coalesce(""" + R("sum(CASE WHEN rn <= n // 2 THEN units_sold END)", 2) + """, 0.0) AS rs,
+             coalesce(""" + R("sum(CASE WHEN rn > n - n // 2 THEN units_sold END)", 2) + """, 0.0) AS ps
+      FROM inv_top GROUP BY sku_id, region)
+""")
+cte("inv_roll", ("latest",), """
+SELECT sku_id, region, """ + ", ".join(R(f"sum({c})", 2) + f" AS {a}" for c, a in (
+    ("ending_inventory", "on_hand"), ("on_order", "on_order_sum"), ("latent_demand", "latent_sum"),
+    ("units_sold", "sold_sum"), ("beginning_inventory", "begin_sum"), ("receipts", "receipts_sum"),
+    ("lost_sales_estimate", "lost_sum"))) + """
+FROM latest GROUP BY sku_id, region
+""")
+ERF = ("(CASE WHEN ({x}) < 0 THEN -1.0 ELSE 1.0 END * (1.0 - (1.0 / (1.0 + 0.3275911 * abs({x}))) * "
+       "(0.254829592 + (1.0 / (1.0 + 0.3275911 * abs({x}))) * (-0.284496736 + (1.0 / (1.0 + 0.3275911 * abs({x}))) * "
+       "(1.421413741 + (1.0 / (1.0 + 0.3275911 * abs({x}))) * (-1.453152027 + (1.0 / (1.0 + 0.3275911 * abs({x}))) * "
+       "1.061405429)))) * exp(-(abs({x}) * abs({x})))))")
+
+
+def inventory_metrics_sql(z: float, target: float) -> str:
+    sp_z = "((on_hand + on_order_sum) - avg_demand * lt1) / (demand_sd * sqrt(lt1))"
+    cdf = f"0.5 * (1.0 + {ERF.format(x=f'-({sp_z}) / 1.4142135623730951')})"
+    return f"""
+SELECT sku_id, category, region, unit_cost, on_hand AS on_hand_inventory, on_order_sum AS on_order_inventory,
+  avail AS available_inventory, {R('avg_demand', 3)} AS average_weekly_demand, {R('demand_sd', 3)} AS demand_std,
+  {R('trend', 4)} AS demand_trend, {R('ohw', 2)} AS on_hand_weeks_of_cover, {R('aw', 2)} AS available_weeks_of_cover,
+  {R('turns', 3)} AS inventory_turns, {R('st', 4)} AS sell_through_rate, {R('sp', 4)} AS stockout_probability,
+  {R('ss', 2)} AS safety_stock, {R('avg_demand * greatest(lt, 0.1) + ss', 2).replace('(avg_demand', '(greatest(0.0, avg_demand').replace('+ ss)', '+ ss))')} AS reorder_point,
+  {R('ex', 2)} AS excess_units, {R('greatest(0.0, ex * unit_cost)', 2)} AS excess_inventory_value,
+  {R('CASE WHEN latent_sum > sold_sum THEN greatest(0.0, latent_sum - sold_sum) ELSE lost_sum END', 2)} AS lost_sales_estimate,
+  {R('''least(greatest(coalesce(obsolescence_risk, 0.1) + CASE WHEN lifecycle_stage IN ('Decline', 'End-of-Life') THEN 0.35 ELSE 0.0 END
+     + CASE WHEN product_age_weeks > 130 THEN 0.15 ELSE 0.0 END + CASE WHEN aw > 20 THEN 0.2 ELSE 0.0 END
+     + CASE WHEN trend < -0.1 THEN 0.15 ELSE 0.0 END + CASE WHEN st < 0.2 THEN 0.15 ELSE 0.0 END, 0.0), 1.0)''', 4)}
+     AS obsolescence_risk_score,
+  {R('lt', 2)} AS lead_time_weeks, CAST(coalesce(case_pack, 1) AS INTEGER) AS case_pack,
+  CAST(coalesce(minimum_order_quantity, 1) AS INTEGER) AS minimum_order_quantity,
+  coalesce(lifecycle_stage, 'Mature') AS lifecycle_stage, coalesce(product_age_weeks, 52) AS product_age_weeks
+FROM (
+  SELECT *, CASE WHEN avg_demand <= 0.01 THEN 999.0 ELSE on_hand / avg_demand END AS ohw,
+         CASE WHEN avg_demand <= 0.01 THEN 999.0 ELSE avail / avg_demand END AS aw,
+         greatest(0.0, {z} * demand_sd * sqrt(greatest(lt, 0.1))) AS ss,
+         greatest(0.0, avail - {float(target)} * greatest(avg_demand, 0.01)) AS ex,
+         CASE WHEN begin_sum + receipts_sum <= 0 THEN 0.0 ELSE least(1.0, sold_sum / (begin_sum + receipts_sum)) END AS st,
+         CASE WHEN avg_demand <= 0 THEN 0.0
+              WHEN demand_sd * sqrt(lt1) <= 0 THEN CASE WHEN on_hand + on_order_sum < avg_demand * lt1 THEN 1.0 ELSE 0.0 END
+              ELSE least(greatest({cdf}, 0.0), 1.0) END AS sp,
+         CASE WHEN unit_cost * greatest(on_hand, 1.0) * 52 <= 0 THEN 0.0
+              ELSE unit_cost * units_total / (unit_cost * greatest(on_hand, 1.0) * 52) END AS turns
+  FROM (
+    SELECT r.*, h.avg_demand, h.demand_sd, h.trend, u.units_total, p.category, p.unit_cost, p.case_pack,
+           p.product_age_weeks, p.lifecycle_stage, p.obsolescence_risk, p.minimum_order_quantity,
+           coalesce(p.lead_time_days, 14) / 7.0 AS lt, greatest(coalesce(p.lead_time_days, 14) / 7.0, 0.1) AS lt1,
+           r.on_hand + r.on_order_sum AS avail
+    FROM inv_roll r
+    JOIN inv_hist h USING (sku_id, region)
+    JOIN (SELECT sku_id, region, {R('sum(units_sold)', 2)} AS units_total FROM panel GROUP BY sku_id, region) u USING (sku_id, region)
+    JOIN products p USING (sku_id)))
+"""
+
+
+def status_sql(tgt: float = 8) -> str:
+    return f"""CASE WHEN on_hand_inventory <= 0 THEN 'STOCKOUT'
+     WHEN stockout_probability >= 0.6 OR (on_hand_weeks_of_cover < lead_time_weeks AND on_hand_inventory > 0) THEN 'STOCKOUT_RISK'
+     WHEN obsolescence_risk_score >= 0.65 OR (lifecycle_stage IN ('Decline', 'End-of-Life') AND available_weeks_of_cover > 4)
+          THEN 'OBSOLETE_RISK'
+     WHEN available_weeks_of_cover < 4 AND on_hand_inventory > 0 THEN 'UNDERSTOCKED'
+     WHEN inventory_turns < 2.0 AND available_weeks_of_cover > {float(tgt)} THEN 'SLOW_MOVING'
+     WHEN available_weeks_of_cover > 16 THEN 'OVERSTOCKED' ELSE 'HEALTHY' END"""
+
+
+cte("inventory_metrics", ("panel", "products", "inv_roll", "inv_hist"), inventory_metrics_sql(1.65, 8))
+cte("inv_status", ("inventory_metrics",), f"SELECT *, {status_sql(8)} AS inventory_status FROM inventory_metrics")
+
+q("avg_weekly_demand", f"SELECT sku_id, region, {R6('avg_demand')} AS avg_demand, {R6('demand_sd')} AS demand_sd FROM inv_hist",
+  "inv_hist")
+q("demand_trend", f"SELECT sku_id, region, {R6('trend')} AS trend FROM inv_hist", "inv_hist")
+q("tier_inventory_rollup", "SELECT sku_id, region, " + ", ".join(
+    f"{R6(c)} AS {c}" for c in ("on_hand", "on_order_sum", "latent_sum", "sold_sum", "begin_sum", "receipts_sum",
+                                "lost_sum")) + " FROM inv_roll", "inv_roll")
+_INVQ = {
+    "weeks_of_cover": "on_hand_inventory, available_inventory, average_weekly_demand, on_hand_weeks_of_cover, available_weeks_of_cover",
+    "safety_stock": "demand_std, lead_time_weeks, safety_stock",
+    "reorder_point": "average_weekly_demand, lead_time_weeks, safety_stock, reorder_point",
+    "excess_units_value": "available_inventory, excess_units, excess_inventory_value",
+    "lost_sales": "lost_sales_estimate",
+    "sell_through": "sell_through_rate",
+    "stockout_probability": "on_hand_inventory, on_order_inventory, stockout_probability",
+    "obsolescence_score": "lifecycle_stage, product_age_weeks, demand_trend, obsolescence_risk_score",
+    "inventory_turns": "unit_cost, on_hand_inventory, inventory_turns",
+}
+for _n, _c in _INVQ.items():
+    q(_n, f"SELECT sku_id, region, {_c} FROM inv_status", "inv_status")
+q("holding_cost", f"""SELECT sku_id, region, excess_inventory_value,
+  {R6('excess_inventory_value * 0.25 * 0.019230769230769232')} AS holding_cost FROM inv_status""", "inv_status")
+CPR = "CASE WHEN {p} <= 1 THEN greatest(0.0, ceil({q})) WHEN {q} <= 0 THEN 0.0 ELSE ceil({q} / {p}) * {p} END"
+q("case_pack_round", f"""SELECT sku_id, region, case_pack, {R6('q3')} AS quantity,
+  CAST({CPR.format(p='case_pack', q='q3')} AS DOUBLE) AS rounded_quantity
+FROM (SELECT *, average_weekly_demand * 3 - on_hand_inventory AS q3 FROM inv_status)""", "inv_status")
+q("sku_region_metrics", "SELECT * FROM inventory_metrics", "inventory_metrics")
+q("inventory_status", """SELECT sku_id, region, on_hand_inventory, available_weeks_of_cover, stockout_probability,
+  inventory_turns, obsolescence_risk_score, inventory_status FROM inv_status""", "inv_status")
+
+# ------------------------------------------------------------ 2.9 replenishment
+cte("replen", ("inv_status",), f"""
+SELECT * REPLACE (rop AS reorder_point, ss AS safety_stock),
+  net AS net_requirement,
+  CASE WHEN inventory_status = 'STOCKOUT' THEN greatest(qq, CAST({CPR.format(p='coalesce(case_pack, 1)', q='average_weekly_demand * 4')} AS DOUBLE))
+       WHEN covered OR stop THEN 0.0 ELSE qq END AS recommended_order_quantity,
+  CASE WHEN average_weekly_demand > 0 THEN floor(on_hand_inventory / average_weekly_demand * 100 + 0.5) / 100.0
+       ELSE 999.0 END AS expected_stockout_weeks,
+  CASE WHEN inventory_status = 'STOCKOUT' THEN 'EXPEDITE_ORDER' WHEN covered THEN 'NO_ACTION' WHEN exp THEN 'EXPEDITE_ORDER'
+       WHEN short THEN 'REPLENISH' WHEN stop THEN 'STOP_OR_DELAY_ORDER' ELSE 'NO_ACTION' END AS replenishment_action,
+  CASE WHEN inventory_status = 'STOCKOUT' THEN 'STOCKOUT_EXPEDITE' WHEN covered THEN 'ON_ORDER_COVERS_REQUIREMENT'
+       WHEN exp THEN 'IMMINENT_STOCKOUT' WHEN short THEN 'BELOW_REORDER_POINT' WHEN stop THEN 'EXCESS_ON_ORDER'
+       ELSE 'SUFFICIENT_INVENTORY' END AS replenishment_reason
+FROM (
+  SELECT *, short AND NOT covered AND stockout_probability >= 0.65 AS exp FROM (
+    SELECT *, CASE WHEN q0 > 0 AND q0 < coalesce(minimum_order_quantity, 1) THEN CAST(coalesce(minimum_order_quantity, 1) AS DOUBLE)
+                   ELSE q0 END AS qq,
+           inventory_status IN ('STOCKOUT_RISK', 'UNDERSTOCKED') AS short,
+           inventory_status IN ('STOCKOUT_RISK', 'UNDERSTOCKED') AND on_order_inventory >= rop * 0.9 AS covered,
+           inventory_status IN ('OVERSTOCKED', 'SLOW_MOVING', 'OBSOLETE_RISK') AND on_order_inventory > 0
+             AND on_hand_inventory + on_order_inventory > rop * 2 AS stop
+    FROM (SELECT *, CAST({CPR.format(p='coalesce(case_pack, 1)', q='net')} AS DOUBLE) AS q0 FROM (
+      SELECT *, greatest(0.0, rop - on_hand_inventory - on_order_inventory) AS net FROM (
+        SELECT *, CASE WHEN coalesce(reorder_point, 0.0) <= 0
+                       THEN greatest(0.0, average_weekly_demand * greatest(coalesce(lead_time_weeks, 2.0), 0.1) + ss)
+                       ELSE reorder_point END AS rop FROM (
+          SELECT *, CASE WHEN coalesce(reorder_point, 0.0) <= 0
+                         THEN greatest(0.0, 1.65 * coalesce(demand_std, average_weekly_demand * 0.2)
+                                       * sqrt(greatest(coalesce(lead_time_weeks, 2.0), 0.1)))
+                         ELSE coalesce(safety_stock, 0.0) END AS ss
+          FROM inv_status))))))
+""")
+q("replenishment", f"""SELECT sku_id, region, inventory_status, {R6('reorder_point')} AS reorder_point,
+  {R6('safety_stock')} AS safety_stock, {R6('net_requirement')} AS net_requirement, recommended_order_quantity,
+  expected_stockout_weeks, replenishment_action, replenishment_reason FROM replen""", "replen")
+
+# ------------------------------------------------------------ 2.9 transfers (recursive walk per source)
+cte("tr_pairs", ("inv_status",), """
+SELECT s.sku_id, s.category, s.region AS source_region, d.region AS destination_region,
+       greatest(0.0, s.on_hand_inventory - s.safety_stock - s.average_weekly_demand * 2) AS source_excess,
+       CASE WHEN greatest(0.0, d.reorder_point - d.on_hand_inventory - d.on_order_inventory) <= 0
+            THEN d.average_weekly_demand * 2
+            ELSE greatest(0.0, d.reorder_point - d.on_hand_inventory - d.on_order_inventory) END AS destination_shortage,
+       s.case_pack AS s_pack, s.unit_cost AS s_cost, s.inventory_status AS s_status,
+       row_number() OVER (PARTITION BY s.sku_id, s.region ORDER BY d.region) AS rk
+FROM inv_status s JOIN inv_status d ON s.sku_id = d.sku_id AND s.region <> d.region
+WHERE s.inventory_status IN ('OVERSTOCKED', 'SLOW_MOVING', 'OBSOLETE_RISK')
+  AND d.inventory_status IN ('STOCKOUT', 'STOCKOUT_RISK', 'UNDERSTOCKED')
+""")
+q("transfer_candidates", f"""SELECT sku_id, source_region, destination_region, {R6('source_excess')} AS source_excess,
+  {R6('destination_shortage')} AS destination_shortage FROM tr_pairs""", "tr_pairs")
+
+
+def walk_sql(min_value: float) -> str:
+    qty = CPR.format(p="p.s_pack", q="least(w.rem, p.destination_shortage, 500.0)")
+    keep = (f"w.rem > 0 AND ({qty}) > 0 AND ({qty}) * (p.s_cost * 1.5 - p.s_cost) * 0.7 - ({qty}) * 2.5 > {min_value} "
+            f"AND ({qty}) * (p.s_cost * 1.5 - p.s_cost) * 0.7 > ({qty}) * 2.5")
+    return f"""
+SELECT sku_id, source_region, CAST(0 AS BIGINT) AS rk, source_excess AS rem, false AS kept, CAST(0 AS DOUBLE) AS qty,
+       CAST(NULL AS VARCHAR) AS destination_region
+FROM tr_pairs WHERE rk = 1 AND source_excess > 0
+UNION ALL
+SELECT w.sku_id, w.source_region, p.rk,
+       CASE WHEN {keep} THEN w.rem - CAST({qty} AS DOUBLE) ELSE w.rem END,
+       {keep}, CAST({qty} AS DOUBLE), p.destination_region
+FROM tr_walk w JOIN tr_pairs p ON p.sku_id = w.sku_id AND p.source_region = w.source_region AND p.rk = w.rk + 1
+"""
+
+
+cte("tr_walk", ("tr_pairs",), walk_sql(50.0))
+RECURSIVE.add("tr_walk")
+AFTER = """CASE WHEN {h} <= 0 THEN 'STOCKOUT'
+     WHEN {x}.stockout_probability >= 0.6 OR ({x}.on_hand_weeks_of_cover < {x}.lead_time_weeks AND {h} > 0) THEN 'STOCKOUT_RISK'
+     WHEN {x}.obsolescence_risk_score >= 0.65 OR ({x}.lifecycle_stage IN ('Decline', 'End-of-Life') AND {w} > 4) THEN 'OBSOLETE_RISK'
+     WHEN {w} < 4 AND {h} > 0 THEN 'UNDERSTOCKED'
+     WHEN {x}.inventory_turns < 2.0 AND {w} > 8.0 THEN 'SLOW_MOVING'
+     WHEN {w} > 16 THEN 'OVERSTOCKED' ELSE 'HEALTHY' END"""
+cte("transfers", ("tr_walk", "tr_pairs", "inv_status"), f"""
+SELECT w.sku_id, p.category, w.source_region, w.destination_region, w.qty AS transfer_quantity,
+       {R('w.qty * 2.5', 2)} AS transfer_cost, 2.5 AS transfer_cost_per_unit,
+       {R('w.qty * (p.s_cost * 1.5) * 0.7', 2)} AS expected_revenue_recovered,
+       {R('w.qty * (p.s_cost * 1.5 - p.s_cost) * 0.7', 2)} AS expected_gp_recovered,
+       {R('w.qty * (p.s_cost * 1.5 - p.s_cost) * 0.7 - w.qty * 2.5', 2)} AS net_transfer_value,
+       s.inventory_status AS source_status_before,
+       {AFTER.format(h='(s.on_hand_inventory - w.qty)', x='s',
+                     w='((s.on_hand_inventory - w.qty) / greatest(s.average_weekly_demand, 0.01))')} AS source_status_after,
+       d.inventory_status AS destination_status_before,
+       {AFTER.format(h='(d.on_hand_inventory + w.qty)', x='d',
+                     w='((d.on_hand_inventory + w.qty) / greatest(d.average_weekly_demand, 0.01))')} AS destination_status_after,
+       'REGIONAL_IMBALANCE' AS transfer_reason
+FROM tr_walk w
+JOIN tr_pairs p ON p.sku_id = w.sku_id AND p.source_region = w.source_region AND p.rk = w.rk
+JOIN inv_status s ON s.sku_id = w.sku_id AND s.region = w.source_region
+JOIN inv_status d ON d.sku_id = w.sku_id AND d.region = w.destination_region
+WHERE w.kept
+""")
+q("transfer_allocation", "SELECT sku_id, source_region, destination_region, transfer_quantity FROM transfers", "transfers")
+q("transfer_value", """SELECT sku_id, source_region, destination_region, transfer_cost, expected_revenue_recovered,
+  expected_gp_recovered, net_transfer_value FROM transfers""", "transfers")
+q("transfer_status_after", """SELECT sku_id, source_region, destination_region, source_status_before, source_status_after,
+  destination_status_before, destination_status_after FROM transfers""", "transfers")

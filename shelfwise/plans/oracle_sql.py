@@ -30,12 +30,16 @@ def _closure(names) -> list[str]:
     return seen
 
 
+RECURSIVE = set()
+
+
 def with_ctes(select: str, *names: str) -> str:
     order = _closure(names)
     if not order:
         return select
     parts = [f"{n} AS (\n{CTES[n][0]}\n)" for n in order]
-    return "WITH " + ",\n".join(parts) + "\n" + select
+    head = "WITH RECURSIVE " if RECURSIVE.intersection(order) else "WITH "
+    return head + ",\n".join(parts) + "\n" + select
 
 
 def R(x: str, k: int) -> str:

@@ -34,6 +34,15 @@ class Pipeline:
         if materialize:
             ensure_checkpoint_dir(spark)
 
+    def with_scenario(self, scenario: Scenario) -> "Pipeline":
+        """Same inputs (panel, products, elasticity checkpoints shared), other scenario parameters."""
+        other = Pipeline(self.spark, self.sf_dir, scenario, self.materialize)
+        for k in ("cells", "products_full", "products", "panel", "features", "split_features", "elasticity",
+                  "global_elasticity", "rec_rows"):
+            if k in self.__dict__:
+                other.__dict__[k] = self.__dict__[k]
+        return other
+
     def _mat(self, df: DataFrame) -> DataFrame:
         """Cut lineage at a stage boundary: reliable checkpoint into spark.checkpoint.dir.
 

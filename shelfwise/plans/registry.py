@@ -467,3 +467,306 @@ def q_what_if_price(spark, sf):
 def r2_(c):
     from shelfwise.functions.columns import r2
     return r2(c)
+
+
+# ------------------------------------------------------------ 2.8 inventory metrics
+SR = ["sku_id", "region"]
+
+
+def _inv(spark, sf):
+    return pipe(spark, sf).inventory_status
+
+
+@query("avg_weekly_demand")
+def q_avg_weekly_demand(spark, sf):
+    from shelfwise.operators.inventory import demand_history
+    d = demand_history(pipe(spark, sf).panel)
+    return rounded(d.select(*SR, "avg_demand", "demand_sd"), "avg_demand", "demand_sd")
+
+
+@query("demand_trend")
+def q_demand_trend(spark, sf):
+    from shelfwise.operators.inventory import demand_history
+    return rounded(demand_history(pipe(spark, sf).panel).select(*SR, "trend"), "trend")
+
+
+@query("tier_inventory_rollup")
+def q_tier_inventory_rollup(spark, sf):
+    from shelfwise.operators.inventory import tier_inventory_rollup
+    d = tier_inventory_rollup(pipe(spark, sf).panel)
+    cols = [c for c in d.columns if c not in SR]
+    return rounded(d, *cols)
+
+
+_INV_Q = {
+    "weeks_of_cover": ["on_hand_inventory", "available_inventory", "average_weekly_demand", "on_hand_weeks_of_cover",
+                       "available_weeks_of_cover"],
+    "safety_stock": ["demand_std", "lead_time_weeks", "safety_stock"],
+    "reorder_point": ["average_weekly_demand", "lead_time_weeks", "safety_stock", "reorder_point"],
+    "excess_units_value": ["available_inventory", "excess_units", "excess_inventory_value"],
+    "lost_sales": ["lost_sales_estimate"],
+    "sell_through": ["sell_through_rate"],
+    "stockout_probability": ["on_hand_inventory", "on_order_inventory", "stockout_probability"],
+    "obsolescence_score": ["lifecycle_stage", "product_age_weeks", "demand_trend", "obsolescence_risk_score"],
+    "inventory_turns": ["unit_cost", "on_hand_inventory", "inventory_turns"],
+}
+for _n, _cols in _INV_Q.items():
+    QUERIES[_n] = (lambda cols: (lambda spark, sf: _inv(spark, sf).select(*SR, *cols)))(_cols)
+
+
+@query("holding_cost")
+def q_holding_cost(spark, sf):
+    from shelfwise.operators.inventory import holding_cost
+    d = _inv(spark, sf)
+    return d.select(*SR, "excess_inventory_value", r6(holding_cost(F.col("excess_inventory_value"))).alias("holding_cost"))
+
+
+@query("case_pack_round")
+def q_case_pack_round(spark, sf):
+    from shelfwise.operators.inventory import case_pack_round
+    d = _inv(spark, sf)
+    q3 = F.col("average_weekly_demand") * 3 - F.col("on_hand_inventory")
+    return d.select(*SR, "case_pack", r6(q3).alias("quantity"), case_pack_round(q3, F.col("case_pack")).alias("rounded_quantity"))
+
+
+@query("sku_region_metrics")
+def q_sku_region_metrics(spark, sf):
+    return pipe(spark, sf).inventory_metrics
+
+
+# ------------------------------------------------------------ 2.9 policy, replenishment, transfers
+@query("inventory_status")
+def q_inventory_status(spark, sf):
+    return _inv(spark, sf).select(*SR, "on_hand_inventory", "available_weeks_of_cover", "stockout_probability",
+                                  "inventory_turns", "obsolescence_risk_score", "inventory_status")
+
+
+@query("markdown_economics")
+def q_markdown_economics(spark, sf):
+    from shelfwise.operators.policy import markdown_economics
+    j = pipe(spark, sf).joint
+    md = markdown_economics(F.col("current_gross_profit"), F.col("projected_gross_profit"),
+                            F.col("excess_inventory_value"), F.col("obsolescence_risk_score"))
+    return j.select(*SERIES, *[r6(v).alias(k) if k != "markdown_recommended" else v.alias(k) for k, v in md.items()])
+
+
+@query("action_matrix")
+def q_action_matrix(spark, sf):
+    from shelfwise.operators.policy import action_matrix
+    j = pipe(spark, sf).joint.select(*SERIES, "inventory_status", "elasticity")
+    return action_matrix(j)
+
+
+@query("inventory_action")
+def q_inventory_action(spark, sf):
+    return pipe(spark, sf).joint.select(*SERIES, "inventory_status", "transfer_candidate_flag", "inventory_action",
+                                        "inventory_reason_code")
+
+
+@query("legacy_action_label")
+def q_legacy_action_label(spark, sf):
+    from shelfwise.operators.policy import legacy_action_label
+    j = pipe(spark, sf).joint
+    return j.select(*SERIES, "inventory_action", legacy_action_label(F.col("inventory_action")).alias("legacy_action"))
+
+
+@query("conflict_resolution")
+def q_conflict_resolution(spark, sf):
+    j = pipe(spark, sf).joint
+    return j.select(*SERIES, "inventory_status", "inventory_action", "price_change_pct", "pricing_action",
+                    "manual_review_required")
+
+
+@query("replenishment")
+def q_replenishment(spark, sf):
+    d = pipe(spark, sf).replenishment
+    return rounded(d.select(*SR, "inventory_status", "reorder_point", "safety_stock", "net_requirement",
+                            "recommended_order_quantity", "expected_stockout_weeks", "replenishment_action",
+                            "replenishment_reason"), "net_requirement", "reorder_point", "safety_stock")
+
+
+@query("transfer_candidates")
+def q_transfer_candidates(spark, sf):
+    from shelfwise.operators.transfers import transfer_candidates
+    d = transfer_candidates(_inv(spark, sf))
+    return rounded(d.select("sku_id", "source_region", "destination_region", "source_excess", "destination_shortage"),
+                   "source_excess", "destination_shortage")
+
+
+@query("transfer_allocation")
+def q_transfer_allocation(spark, sf):
+    return pipe(spark, sf).transfers.select("sku_id", "source_region", "destination_region", "transfer_quantity")
+
+
+@query("transfer_value")
+def q_transfer_value(spark, sf):
+    return pipe(spark, sf).transfers.select("sku_id", "source_region", "destination_region", "transfer_cost",
+                                            "expected_revenue_recovered", "expected_gp_recovered", "net_transfer_value")
+
+
+@query("transfer_status_after")
+def q_transfer_status_after(spark, sf):
+    return pipe(spark, sf).transfers.select("sku_id", "source_region", "destination_region", "source_status_before",
+                                            "source_status_after", "destination_status_before",
+                                            "destination_status_after")
+
+
+# ------------------------------------------------------------ 2.10 joint
+_J_FLOATS = ["recommended_price", "predicted_current_units", "predicted_recommended_units", "current_revenue",
+             "projected_revenue", "current_gross_profit", "projected_gross_profit", "gross_profit_lift",
+             "gross_margin_pct", "expected_ending_inventory", "expected_weeks_of_cover", "modeled_gp_lift"]
+
+
+@query("transfer_flag")
+def q_transfer_flag(spark, sf):
+    from shelfwise.operators.joint import transfer_flag
+    return transfer_flag(pipe(spark, sf).transfers)
+
+
+@query("history_weeks")
+def q_history_weeks(spark, sf):
+    from shelfwise.operators.joint import history_weeks
+    return history_weeks(pipe(spark, sf).panel)
+
+
+@query("joint_confidence")
+def q_joint_confidence(spark, sf):
+    return pipe(spark, sf).joint.select(*SERIES, "elasticity_confidence", "inventory_status", "joint_confidence",
+                                        "joint_confidence_score")
+
+
+@query("low_confidence_override")
+def q_low_confidence_override(spark, sf):
+    return pipe(spark, sf).joint.filter(F.col("joint_confidence") == "LOW").select(
+        *SERIES, "price_change_pct", "pricing_action", "inventory_action", "manual_review_required")
+
+
+@query("joint_recommendations")
+def q_joint_recommendations(spark, sf):
+    return rounded(pipe(spark, sf).joint, *_J_FLOATS)
+
+
+def _scenario_joint(spark, sf, name):
+    from shelfwise.config import scenario
+    key = (id(spark), sf, name)
+    if key not in _PIPES:
+        base = pipe(spark, sf)
+        base.rec_rows  # noqa: B018 - build the shared inputs once
+        _PIPES[key] = base.with_scenario(scenario(name))
+    return _PIPES[key].joint
+
+
+@query("scenario_run")
+def q_scenario_run(spark, sf):
+    """Joint decision under the four presets, compared side by side (one union + one aggregate)."""
+    from shelfwise.config import SCENARIOS
+    out = None
+    for name in SCENARIOS:
+        d = _scenario_joint(spark, sf, name).withColumn("scenario", F.lit(name))
+        out = d if out is None else out.unionByName(d)
+    return out.groupBy("scenario").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(F.when(F.col("pricing_action") == "Increase", 1)).alias("increases"),
+        F.count(F.when(F.col("pricing_action") == "Decrease", 1)).alias("decreases"),
+        F.count(F.when(F.col("manual_review_required"), 1)).alias("manual_reviews"),
+        F.count(F.when(F.col("inventory_action") == "INTER_REGION_TRANSFER", 1)).alias("transfers"),
+        r6(F.sum(r6(F.col("gross_profit_lift")))).alias("total_lift"))
+
+
+@query("decision_pipeline")
+def q_decision_pipeline(spark, sf):
+    """End-to-end run: joint rows summarised by inventory status and pricing action."""
+    j = pipe(spark, sf).joint
+    return j.groupBy("inventory_status", "pricing_action", "inventory_action").agg(
+        F.count(F.lit(1)).alias("rows"), r6(F.sum(r6(F.col("gross_profit_lift")))).alias("total_lift"))
+
+
+# ------------------------------------------------------------ 2.11 backtest and rollback
+def _bt_round(d):
+    return d.withColumns({c: F.floor(F.col(c) * 1e4 + 0.5) / 1e4 for c in d.columns if c != "strategy"})
+
+
+def _strategy_compare(spark, sf, name):
+    from shelfwise.operators import backtest as bt
+    p = pipe(spark, sf)
+    fn = {"bt_current": lambda t: bt.bt_current(t), "bt_cost_plus": bt.bt_cost_plus,
+          "bt_competitor_match": bt.bt_competitor_match,
+          "bt_pricing_only": lambda t: bt.bt_pricing_only(t, p.joint),
+          "bt_inventory_only": lambda t: bt.bt_inventory_only(t, p.joint),
+          "bt_joint": lambda t: bt.bt_joint(t, p.joint, p.transfers)}[name]
+    d = fn(p.test_window).select(*bt.BT_COLS).withColumn("strategy", F.lit(name))
+    return _bt_round(bt.bt_compare(d))
+
+
+for _s in ("bt_current", "bt_cost_plus", "bt_competitor_match", "bt_pricing_only", "bt_inventory_only", "bt_joint"):
+    QUERIES[_s] = (lambda n: (lambda spark, sf: _strategy_compare(spark, sf, n)))(_s)
+
+
+@query("bt_compare")
+def q_bt_compare(spark, sf):
+    from shelfwise.operators import backtest as bt
+    return _bt_round(bt.bt_compare(pipe(spark, sf).strategies))
+
+
+@query("bt_lift")
+def q_bt_lift(spark, sf):
+    return rounded(pipe(spark, sf).comparison.select("strategy", "modeled_lift_vs_current"), "modeled_lift_vs_current")
+
+
+@query("bt_coverage_rates")
+def q_bt_coverage_rates(spark, sf):
+    from shelfwise.operators import backtest as bt
+    p = pipe(spark, sf)
+    d = bt.bt_coverage_rates(p.joint, p.test_window, p.transfers)
+    return rounded(d, "rec_coverage", "approval_rate", "guardrail_rate")
+
+
+ROLLBACK_R = 0.5
+
+
+@query("rollback_prices")
+def q_rollback_prices(spark, sf):
+    from shelfwise.operators import backtest as bt
+    d = bt.rollback_prices(pipe(spark, sf).joint, ROLLBACK_R)
+    return rounded(d.select(*SERIES, "current_price", "recommended_price", "approved_price", "rollback_price",
+                            "gp_retained", "revenue_retained"),
+                   "recommended_price", "approved_price", "rollback_price", "gp_retained", "revenue_retained")
+
+
+@query("rollback_transfers")
+def q_rollback_transfers(spark, sf):
+    from shelfwise.operators import backtest as bt
+    d = bt.rollback_transfers(pipe(spark, sf).transfers, 1.0)
+    return d.select("sku_id", "source_region", "destination_region", "transfer_quantity", "approved_quantity",
+                    "rollback_quantity", "cancelled")
+
+
+@query("rollback_replenishment")
+def q_rollback_replenishment(spark, sf):
+    from shelfwise.operators import backtest as bt
+    d = bt.rollback_replenishment(pipe(spark, sf).joint, ROLLBACK_R)
+    return d.select(*SERIES, "recommended_order_quantity", "approved_order_qty", "cancelled_replenishment")
+
+
+@query("rollback_audit")
+def q_rollback_audit(spark, sf):
+    from shelfwise.operators import backtest as bt
+    d = bt.rollback_audit(pipe(spark, sf).joint, ROLLBACK_R, 0.0, "2024-01-01")
+    return rounded(d.withColumn("customer_tier", F.lit(None).cast("string")).drop("customer_tier"),
+                   "recommended_price", "approved_price", "rollback_price")
+
+
+@query("rollback_summary")
+def q_rollback_summary(spark, sf):
+    from shelfwise.operators import backtest as bt
+    p = pipe(spark, sf)
+    d = bt.rollback_summary(p.joint, p.transfers, 1.0, 1.0, 1.0)
+    return d.withColumns({c: F.floor(F.col(c) * 1e4 + 0.5) / 1e4 for c in
+                          ("gross_profit_lift_retained", "revenue_retained", "inventory_value_impact_retained")})
+
+
+@query("rollback_verify")
+def q_rollback_verify(spark, sf):
+    from shelfwise.operators import backtest as bt
+    p = pipe(spark, sf)
+    return bt.rollback_verify(p.joint, p.transfers)
