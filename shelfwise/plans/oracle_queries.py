@@ -772,3 +772,126 @@ q("transfer_value", """SELECT sku_id, source_region, destination_region, transfe
   expected_gp_recovered, net_transfer_value FROM transfers""", "transfers")
 q("transfer_status_after", """SELECT sku_id, source_region, destination_region, source_status_before, source_status_after,
   destination_status_before, destination_status_after FROM transfers""", "transfers")
+
+# ------------------------------------------------------------ 2.10 joint
+cte("tr_flag", ("transfers",), """
+SELECT DISTINCT sku_id, region, true AS transfer_candidate_flag FROM (
+  SELECT sku_id, source_region AS region FROM transfers UNION ALL
+  SELECT sku_id, destination_region AS region FROM transfers)
+""")
+cte("hist_weeks", ("panel",), "SELECT sku_id, region, count(DISTINCT week_num) AS history_weeks FROM panel GROUP BY ALL")
+_INV = ["on_hand_inventory", "on_order_inventory", "average_weekly_demand", "demand_std", "inventory_turns",
+        "on_hand_weeks_of_cover", "available_weeks_of_cover", "sell_through_rate", "stockout_probability",
+        "safety_stock", "reorder_point", "excess_units", "excess_inventory_value", "lost_sales_estimate",
+        "obsolescence_risk_score"]
+INV_ACTION = """CASE
+  WHEN tflag AND st IN ('OVERSTOCKED', 'SLOW_MOVING', 'OBSOLETE_RISK') THEN ['INTER_REGION_TRANSFER', 'REGIONAL_IMBALANCE_TRANSFER']
+  WHEN st = 'STOCKOUT' THEN ['EXPEDITE_ORDER', 'STOCKOUT_EXPEDITE']
+  WHEN st IN ('STOCKOUT_RISK', 'UNDERSTOCKED') AND i_on_order_inventory >= i_reorder_point * 0.8 THEN ['NO_ACTION', 'ON_ORDER_SUFFICIENT']
+  WHEN st IN ('STOCKOUT_RISK', 'UNDERSTOCKED') AND i_stockout_probability >= 0.7 THEN ['EXPEDITE_ORDER', 'HIGH_STOCKOUT_RISK']
+  WHEN st IN ('STOCKOUT_RISK', 'UNDERSTOCKED') THEN ['REPLENISH', 'UNDERSTOCKED_REPLENISH']
+  WHEN aw > 16 AND i_on_order_inventory > 0 THEN ['STOP_OR_DELAY_ORDER', 'EXCESS_ON_ORDER']
+  WHEN st IN ('SLOW_MOVING', 'OBSOLETE_RISK') AND i_obsolescence_risk_score > 0.5 THEN ['STOP_OR_DELAY_ORDER', 'OBSOLESCENCE_STOP_ORDER']
+  WHEN st = 'OVERSTOCKED' AND abs(elasticity) < 0.5 THEN ['STOP_OR_DELAY_ORDER', 'INELASTIC_OVERSTOCK']
+  WHEN st IN ('OVERSTOCKED', 'SLOW_MOVING') AND abs(elasticity) >= 0.8 AND md_rec THEN ['PRICE_MARKDOWN', 'POSITIVE_MARKDOWN_ECONOMICS']
+  WHEN st = 'OVERSTOCKED' AND abs(elasticity) >= 1.0 THEN ['PRICE_MARKDOWN', 'EXCESS_HIGH_ELASTICITY']
+  WHEN st = 'OBSOLETE_RISK' AND i_obsolescence_risk_score >= 0.8 THEN ['LIQUIDATION_REVIEW', 'HIGH_OBSOLESCENCE']
+  WHEN st = 'OBSOLETE_RISK' THEN ['MANUAL_REVIEW', 'OBSOLETE_RISK_REVIEW']
+  WHEN st = 'HEALTHY' THEN ['NO_ACTION', 'HEALTHY_INVENTORY']
+  WHEN elasticity_confidence < 0.4 THEN ['MANUAL_REVIEW', 'LOW_CONFIDENCE_INVENTORY']
+  ELSE ['HOLD_PRICE', 'NO_INVENTORY_ACTION'] END"""
+cte("joint_base", ("recommendations", "replen", "tr_flag", "hist_weeks"), f"""
+SELECT *, act[1] AS inv_action, act[2] AS inv_reason FROM (
+SELECT *, {INV_ACTION} AS act FROM (
+SELECT r.*, {', '.join(f'coalesce(v.{c}, 0.0) AS i_{c}' for c in _INV)},
+       coalesce(v.inventory_status, 'HEALTHY') AS st, coalesce(v.available_weeks_of_cover, 99.0) AS aw,
+       coalesce(v.recommended_order_quantity, 0.0) AS i_order_qty,
+       coalesce(f.transfer_candidate_flag, false) AS tflag, coalesce(h.history_weeks, 8) AS hw,
+       r.projected_gross_profit - r.current_gross_profit
+         + coalesce(v.excess_inventory_value, 0.0) * 0.25 * 0.07692307692307693
+         + coalesce(v.excess_inventory_value, 0.0) * coalesce(v.obsolescence_risk_score, 0.0) * 0.1 AS md_net,
+       coalesce(v.excess_inventory_value, 0.0) * 0.25 * 0.07692307692307693 AS md_holding,
+       coalesce(v.excess_inventory_value, 0.0) * coalesce(v.obsolescence_risk_score, 0.0) * 0.1 AS md_avoided,
+       r.projected_gross_profit - r.current_gross_profit
+         + coalesce(v.excess_inventory_value, 0.0) * 0.25 * 0.07692307692307693
+         + coalesce(v.excess_inventory_value, 0.0) * coalesce(v.obsolescence_risk_score, 0.0) * 0.1 > 10.0 AS md_rec
+FROM recommendations r
+LEFT JOIN replen v USING (sku_id, region)
+LEFT JOIN tr_flag f USING (sku_id, region)
+LEFT JOIN hist_weeks h USING (sku_id, region)))
+""")
+cte("joint", ("joint_base",), f"""
+SELECT * EXCLUDE (pa1, pa2, man1, big, trl) FROM (
+SELECT *, CASE WHEN big THEN 'Manual Review' ELSE pa2 END AS pricing_action,
+          CASE WHEN trl THEN 'MANUAL_REVIEW' ELSE inv_action END AS inventory_action,
+          man1 OR inv_action = 'MANUAL_REVIEW' OR big OR trl AS manual_review_required
+FROM (
+SELECT *, joint_confidence = 'LOW' AND abs(price_change_pct) > 0.03 AS big,
+          joint_confidence = 'LOW' AND inv_action = 'INTER_REGION_TRANSFER' AS trl
+FROM (
+SELECT *, CASE WHEN inv_action IN ('STOP_OR_DELAY_ORDER', 'INTER_REGION_TRANSFER', 'LIQUIDATION_REVIEW') AND pa1 = 'Decrease'
+               THEN 'Hold' ELSE pa1 END AS pa2,
+          st IN ('STOCKOUT', 'STOCKOUT_RISK', 'UNDERSTOCKED') AND inv_action IN ('REPLENISH', 'EXPEDITE_ORDER')
+            AND pa1 = 'Decrease' AS man1,
+          CASE WHEN js >= 0.7 THEN 'HIGH' WHEN js >= 0.4 THEN 'MEDIUM' ELSE 'LOW' END AS joint_confidence,
+          {R('js', 3)} AS joint_confidence_score
+FROM (
+SELECT *, CASE WHEN st IN ('STOCKOUT', 'STOCKOUT_RISK', 'UNDERSTOCKED') AND (recommendation_action = 'Decrease' OR price_change_pct < -0.005)
+               THEN 'Hold' ELSE recommendation_action END AS pa1,
+          greatest(0.0, least(1.0, 0.35 * elasticity_confidence + 0.25 * least(1.0, hw / 13.0) + 0.13999999999999999
+                   + 0.2 * (1.0 - least(0.3, CASE WHEN st IN ('STOCKOUT', 'STOCKOUT_RISK') THEN 0.1 ELSE 0.02 END * 0.5)))) AS js
+FROM joint_base))))
+""")
+_JF = ["recommended_price", "predicted_current_units", "predicted_recommended_units", "current_revenue",
+       "projected_revenue", "current_gross_profit", "projected_gross_profit", "gross_profit_lift",
+       "gross_margin_pct", "expected_ending_inventory", "expected_weeks_of_cover", "modeled_gp_lift"]
+cte("joint_out", ("joint",), f"""
+SELECT sku_id, category, region, customer_tier, current_price, recommended_price, price_change_pct,
+       predicted_current_units, predicted_recommended_units, current_revenue, projected_revenue,
+       current_gross_profit, projected_gross_profit, gross_profit_lift, gross_margin_pct,
+       expected_ending_inventory, expected_weeks_of_cover, elasticity, elasticity_confidence,
+       guardrail_triggered, approval_status, policy_version,
+       pricing_action, reason_code AS pricing_reason_code, gross_profit_lift AS modeled_gp_lift,
+       {', '.join(f'i_{c} AS {c}' for c in _INV)},
+       st AS inventory_status, inventory_action, inv_reason AS inventory_reason_code,
+       i_order_qty AS recommended_order_quantity, tflag AS transfer_candidate_flag,
+       elasticity_confidence AS pricing_confidence, joint_confidence_score AS inventory_confidence,
+       joint_confidence, joint_confidence_score, manual_review_required,
+       pricing_action AS recommendation_action, reason_code, '1970-01-01T00:00:00' AS generated_at
+FROM joint
+""")
+q("transfer_flag", "SELECT * FROM tr_flag", "tr_flag")
+q("history_weeks", "SELECT sku_id, region, history_weeks FROM hist_weeks", "hist_weeks")
+q("joint_confidence", f"""SELECT {S3}, elasticity_confidence, inventory_status, joint_confidence, joint_confidence_score
+FROM joint_out""", "joint_out")
+q("low_confidence_override", f"""SELECT {S3}, price_change_pct, pricing_action, inventory_action, manual_review_required
+FROM joint_out WHERE joint_confidence = 'LOW'""", "joint_out")
+q("joint_recommendations", "SELECT * REPLACE (" + ", ".join(f"{R6(c)} AS {c}" for c in _JF) + ") FROM joint_out",
+  "joint_out")
+q("markdown_economics", f"""SELECT {S3}, {R6('md_net')} AS net_markdown_value, {R6('md_holding')} AS holding_cost_reduction,
+  {R6('md_avoided')} AS avoided_obsolescence_loss, md_rec AS markdown_recommended FROM joint_base""", "joint_base")
+q("inventory_action", f"""SELECT {S3}, inventory_status, transfer_candidate_flag, inventory_action, inventory_reason_code
+FROM joint_out""", "joint_out")
+q("legacy_action_label", f"""SELECT {S3}, inventory_action, CASE inventory_action WHEN 'REPLENISH' THEN 'Replenishment'
+  WHEN 'EXPEDITE_ORDER' THEN 'Replenishment' WHEN 'INTER_REGION_TRANSFER' THEN 'Inter-region transfer'
+  WHEN 'PRICE_MARKDOWN' THEN 'Price Markdown' ELSE 'Hold' END AS legacy_action FROM joint_out""", "joint_out")
+q("conflict_resolution", f"""SELECT {S3}, inventory_status, inventory_action, price_change_pct, pricing_action,
+  manual_review_required FROM joint_out""", "joint_out")
+q("action_matrix", f"""
+SELECT {S3}, inventory_status, elasticity,
+  coalesce(a.pricing, b.pricing, 'Hold') AS matrix_pricing_action, coalesce(a.stock, b.stock, 'NO_ACTION') AS matrix_inventory_action
+FROM (SELECT *, CASE WHEN abs(elasticity) >= 1.0 THEN 'high' WHEN abs(elasticity) >= 0.5 THEN 'low' ELSE 'any' END AS bucket
+      FROM joint_out) j
+LEFT JOIN (VALUES ('HEALTHY', 'high', 'Optimize margin', 'NO_ACTION'), ('HEALTHY', 'low', 'Optimize margin', 'NO_ACTION'),
+  ('HEALTHY', 'any', 'Optimize margin', 'NO_ACTION'), ('OVERSTOCKED', 'high', 'Markdown candidate', 'STOP_OR_DELAY_ORDER'),
+  ('OVERSTOCKED', 'low', 'Hold/Test', 'INTER_REGION_TRANSFER'), ('STOCKOUT_RISK', 'any', 'Hold or small increase', 'REPLENISH'),
+  ('STOCKOUT', 'any', 'Hold', 'EXPEDITE_ORDER'), ('UNDERSTOCKED', 'any', 'Hold or small increase', 'REPLENISH'),
+  ('SLOW_MOVING', 'high', 'Markdown candidate', 'STOP_OR_DELAY_ORDER'), ('SLOW_MOVING', 'low', 'Hold', 'INTER_REGION_TRANSFER'),
+  ('OBSOLETE_RISK', 'high', 'Clearance markdown', 'STOP_OR_DELAY_ORDER'), ('OBSOLETE_RISK', 'low', 'Manual review', 'LIQUIDATION_REVIEW'))
+  a(status, bucket, pricing, stock) ON a.status = j.inventory_status AND a.bucket = j.bucket
+LEFT JOIN (VALUES ('HEALTHY', 'Optimize margin', 'NO_ACTION'), ('STOCKOUT_RISK', 'Hold or small increase', 'REPLENISH'),
+  ('STOCKOUT', 'Hold', 'EXPEDITE_ORDER'), ('UNDERSTOCKED', 'Hold or small increase', 'REPLENISH'))
+  b(status, pricing, stock) ON b.status = j.inventory_status
+""", "joint_out")
+q("decision_pipeline", f"""SELECT inventory_status, pricing_action, inventory_action, count(*) AS rows,
+  {R6(f"sum({R6('gross_profit_lift')})")} AS total_lift FROM joint_out GROUP BY ALL""", "joint_out")
