@@ -1020,3 +1020,181 @@ SELECT (SELECT count(*) FROM joint_out WHERE abs(current_price * 0.0 + recommend
           > 0.001 * abs(current_price) + 1e-8) AS price_violations_at_1,
        (SELECT count(*) FROM transfers WHERE transfer_quantity * 0.0 <> 0) AS transfer_violations_at_1
 """, "joint_out", "transfers")
+
+# ------------------------------------------------------------ 2.12 reports
+def R4(x):
+    return R(x, 4)
+
+
+EXC = "('OVERSTOCKED', 'SLOW_MOVING', 'OBSOLETE_RISK')"
+SHORT = "('STOCKOUT', 'STOCKOUT_RISK', 'UNDERSTOCKED')"
+cte("inv_sum", ("inv_status",), f"""
+SELECT sum(on_hand_inventory * unit_cost) AS total_inventory_value,
+       sum(CASE WHEN inventory_status IN {EXC} THEN excess_inventory_value ELSE 0.0 END) AS excess_inventory_value,
+       count(*) FILTER (WHERE inventory_status IN {SHORT}) AS stockout_risk_skus,
+       count(*) FILTER (WHERE inventory_status = 'SLOW_MOVING') AS slow_moving_skus,
+       avg(available_weeks_of_cover) AS avg_weeks_of_cover, sum(lost_sales_estimate) AS estimated_lost_sales
+FROM inv_status""")
+q("inv_summary", f"""SELECT {R4('total_inventory_value')} AS total_inventory_value, {R4('excess_inventory_value')} AS excess_inventory_value,
+  stockout_risk_skus, slow_moving_skus, {R4('avg_weeks_of_cover')} AS avg_weeks_of_cover,
+  {R4('estimated_lost_sales')} AS estimated_lost_sales FROM inv_sum""", "inv_sum")
+cte("inv_turns", ("inv_status", "panel"), """
+SELECT *, CASE WHEN inventory_value > 0 THEN annual_cogs / inventory_value ELSE 0.0 END AS portfolio_turns FROM (
+  SELECT sum(c.annual_cogs) AS annual_cogs, sum(i.on_hand_inventory * i.unit_cost) AS inventory_value,
+         avg(i.inventory_turns) AS mean_turns
+  FROM inv_status i LEFT JOIN (SELECT sku_id, region, sum(unit_cost * units_sold) AS annual_cogs FROM panel GROUP BY ALL) c
+    USING (sku_id, region))""")
+q("inv_portfolio_turns", f"""SELECT {R('annual_cogs', 2)} AS annual_cogs, {R6('inventory_value')} AS inventory_value,
+  {R6('mean_turns')} AS mean_turns, {R6('portfolio_turns')} AS portfolio_turns FROM inv_turns""", "inv_turns")
+q("inv_status_distribution", "SELECT inventory_status, count(*) AS count FROM inv_status GROUP BY ALL", "inv_status")
+q("inv_excess_by_category", f"""SELECT category, {R4('sum(excess_inventory_value)')} AS excess_inventory_value
+FROM inv_status WHERE inventory_status IN {EXC} GROUP BY category""", "inv_status")
+q("policy_filter", f"""SELECT {S3}, {R6('elasticity_confidence')} AS elasticity_confidence, {R6('gross_margin_pct')} AS gross_margin_pct,
+  {R6('price_change_pct')} AS price_change_pct, {R6('gross_profit_lift')} AS gross_profit_lift
+FROM joint_out WHERE (elasticity_confidence IS NULL OR elasticity_confidence >= 0.4)
+  AND (gross_margin_pct IS NULL OR gross_margin_pct >= 0.15)
+  AND (price_change_pct IS NULL OR abs(price_change_pct) <= 0.10 + 1e-9)""", "joint_out")
+q("slice_filter", f"""SELECT {S3}, category, recommendation_action FROM joint_out
+WHERE region = 'EUROPE' AND category IN ('PROMO', 'LARGE')""", "joint_out")
+q("kpi_headline", f"""
+SELECT {R4('total_revenue')} AS total_revenue, {R4('gross_margin_value')} AS gross_margin_value,
+       {R4('margin_opportunity')} AS margin_opportunity, pricing_opportunities, high_risk_rows, awaiting_review,
+       {R4('s.total_inventory_value')} AS total_inventory_value, {R4('s.excess_inventory_value')} AS excess_inventory_value,
+       {R4('t.portfolio_turns')} AS inventory_turnover, {R4('so.stockout_rate')} AS stockout_rate,
+       {R4('CASE WHEN total_revenue <> 0 THEN gross_margin_value / total_revenue ELSE 0.0 END')} AS gross_margin_pct
+FROM (SELECT sum(current_revenue) AS total_revenue, sum(current_gross_profit) AS gross_margin_value,
+             sum(gross_profit_lift) AS margin_opportunity,
+             count(*) FILTER (WHERE recommendation_action IN ('Increase', 'Decrease')) AS pricing_opportunities,
+             count(*) FILTER (WHERE inventory_status IN ('STOCKOUT', 'STOCKOUT_RISK')) AS high_risk_rows,
+             count(*) FILTER (WHERE manual_review_required) AS awaiting_review FROM joint_out),
+     inv_sum s, inv_turns t,
+     (SELECT avg(CASE WHEN inventory_status IN ('STOCKOUT', 'STOCKOUT_RISK') THEN 1.0 ELSE 0.0 END) AS stockout_rate
+      FROM inv_status) so""", "joint_out", "inv_sum", "inv_turns", "inv_status")
+q("lift_by_category", f"SELECT category, {R4('sum(gross_profit_lift)')} AS gross_profit_lift FROM joint_out GROUP BY ALL",
+  "joint_out")
+q("lift_by_region", f"SELECT region, {R4('sum(gross_profit_lift)')} AS gross_profit_lift FROM joint_out GROUP BY ALL",
+  "joint_out")
+q("action_mix", """SELECT recommendation_action AS action, count(*) AS count, 'pricing' AS kind FROM joint_out GROUP BY 1
+UNION ALL SELECT inventory_action AS action, count(*) AS count, 'inventory' AS kind FROM joint_out GROUP BY 1""",
+  "joint_out")
+q("top_opportunities", f"""SELECT {S3}, category, {R6('gross_profit_lift')} AS gross_profit_lift, recommendation_action
+FROM joint_out ORDER BY gross_profit_lift DESC, sku_id, region, customer_tier LIMIT 10""", "joint_out")
+q("pricing_kpis", f"""SELECT count(*) FILTER (WHERE mv) AS pricing_opportunities,
+  {R6('coalesce(avg(CASE WHEN mv THEN price_change_pct END), 0.0)')} AS avg_recommended_move,
+  {R6('sum(gross_profit_lift)')} AS modeled_margin_lift,
+  {R6("avg(CASE WHEN joint_confidence = 'HIGH' THEN 1.0 ELSE 0.0 END)")} AS high_confidence_share
+FROM (SELECT *, recommendation_action IN ('Increase', 'Decrease') AS mv FROM joint_out)""", "joint_out")
+q("top_movers_long", f"""
+SELECT {S3}, type, {R6('price')} AS price FROM (
+  SELECT * FROM joint_out WHERE recommendation_action IN ('Increase', 'Decrease')
+  ORDER BY abs(gross_profit_lift) DESC, sku_id, region, customer_tier LIMIT 15)
+UNPIVOT (price FOR type IN (current_price, recommended_price))""", "joint_out")
+
+
+def hist_sql(src: str, col: str, bins: int) -> str:
+    return f"""
+SELECT bin, {R6(f'lo + bin * (hi - lo) / {bins}')} AS bin_start, count(*) AS count FROM (
+  SELECT CAST(CASE WHEN hi > lo THEN least(floor(({col} - lo) / ((hi - lo) / {bins})), {bins - 1}) ELSE 0 END AS INTEGER) AS bin,
+         lo, hi
+  FROM {src}, (SELECT min({col}) AS lo, max({col}) AS hi FROM {src}))
+GROUP BY bin, lo, hi"""
+
+
+q("price_change_histogram", hist_sql("joint_out", "price_change_pct", 40), "joint_out")
+q("woc_histogram", hist_sql("inv_status", "available_weeks_of_cover", 30), "inv_status")
+q("competitor_index_by_category", f"""SELECT category, {R6('avg(competitor_price_index)')} AS competitor_price_index
+FROM panel GROUP BY ALL""", "panel")
+q("unit_impact", f"""SELECT {S3}, recommendation_action,
+  {R6('predicted_recommended_units - predicted_current_units')} AS unit_impact, {R6('gross_profit_lift')} AS gross_profit_lift
+FROM joint_out""", "joint_out")
+q("high_confidence_top50", f"""SELECT {S3}, category, {R6('current_price')} AS current_price,
+  {R6('recommended_price')} AS recommended_price, {R6('price_change_pct')} AS price_change_pct,
+  {R6('gross_profit_lift')} AS gross_profit_lift, {R6('gross_margin_pct')} AS gross_margin_pct, reason_code
+FROM joint_out WHERE joint_confidence = 'HIGH' AND recommendation_action IN ('Increase', 'Decrease')
+ORDER BY gross_profit_lift DESC, sku_id, region, customer_tier LIMIT 50""", "joint_out")
+_REG = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+q("stockout_heatmap", "SELECT category, " + ", ".join(
+    f"{R6(f'avg(CASE WHEN region = {chr(39)}{r}{chr(39)} THEN at_risk END)')} AS \"{r}\"" for r in _REG) + """
+FROM (SELECT DISTINCT sku_id, region, category, CASE WHEN inventory_status IN ('STOCKOUT', 'STOCKOUT_RISK')
+      THEN 1.0 ELSE 0.0 END AS at_risk FROM joint_out) GROUP BY category""", "joint_out")
+q("top_transfers", """SELECT sku_id, category, source_region, destination_region, transfer_quantity, net_transfer_value,
+  transfer_reason FROM transfers ORDER BY net_transfer_value DESC, sku_id, source_region, destination_region LIMIT 50""",
+  "transfers")
+q("aged_inventory_top50", f"""SELECT {S3}, category, inventory_status, excess_inventory_value, available_weeks_of_cover,
+  obsolescence_risk_score FROM joint_out WHERE inventory_status IN ('SLOW_MOVING', 'OBSOLETE_RISK')
+ORDER BY excess_inventory_value DESC, sku_id, region, customer_tier LIMIT 50""", "joint_out")
+q("sku_profile", f"""SELECT {S3}, p.product_name, j.category, p.subcategory, p.brand_tier, p.lead_time_days,
+  p.lifecycle_stage, {R6('j.current_price')} AS current_price, {R6('j.recommended_price')} AS recommended_price,
+  j.recommendation_action, {R6('j.predicted_current_units')} AS predicted_current_units,
+  {R6('j.available_weeks_of_cover')} AS available_weeks_of_cover, {R6('j.stockout_probability')} AS stockout_probability,
+  j.pricing_reason_code, {R6('j.elasticity')} AS elasticity, {R6('j.elasticity_confidence')} AS elasticity_confidence,
+  coalesce(nullif(j.guardrail_triggered, ''), 'None') AS guardrail
+FROM joint_out j LEFT JOIN products p USING (sku_id) WHERE sku_id = 'Brand#1|PROMO'""", "joint_out", "products")
+cte("decision_log", ("joint_out",), """
+SELECT sku_id, 'Reject' AS decision, CAST(NULL AS DOUBLE) AS override_price,
+       concat_ws(' ', 'first pass', region, customer_tier) AS note, CAST(1 AS BIGINT) AS logged_at
+FROM joint_out WHERE manual_review_required OR recommendation_action IN ('Increase', 'Decrease')
+UNION ALL
+SELECT sku_id, CASE WHEN price_change_pct > 0.05 THEN 'Override' ELSE 'Approve' END,
+       CASE WHEN price_change_pct > 0.05 THEN current_price END, concat_ws(' ', 'review', region, customer_tier),
+       1 + row_number() OVER (PARTITION BY sku_id ORDER BY region, customer_tier)
+FROM joint_out WHERE (manual_review_required OR recommendation_action IN ('Increase', 'Decrease')) AND gross_profit_lift > 0
+""")
+cte("review_q", ("joint_out",), """
+SELECT * FROM joint_out
+WHERE recommendation_action IN ('Increase', 'Decrease', 'Test')
+   OR inventory_action IN ('EXPEDITE_ORDER', 'REPLENISH', 'INTER_REGION_TRANSFER', 'STOP_OR_DELAY_ORDER')
+ORDER BY gross_profit_lift DESC, sku_id, region, customer_tier LIMIT 200""")
+q("queue_kpis", f"""SELECT items_in_queue, {R4('modeled_gp_lift')} AS modeled_gp_lift, decisions_logged, awaiting_review
+FROM (SELECT count(*) AS items_in_queue, sum(gross_profit_lift) AS modeled_gp_lift FROM review_q),
+     (SELECT count(DISTINCT sku_id) AS decisions_logged FROM decision_log),
+     (SELECT count(*) FILTER (WHERE manual_review_required) AS awaiting_review FROM joint_out)""",
+  "review_q", "decision_log", "joint_out")
+q("margin_summary", f"""SELECT {R4('avg(gross_margin_pct)')} AS avg_gross_margin,
+  {R4('sum(projected_gross_profit)')} AS total_projected_gross_profit, count(*) AS recommendations FROM joint_out""",
+  "joint_out")
+q("replenish_summary", f"""SELECT count(*) AS replenish_skus, {R4('coalesce(sum(recommended_order_quantity), 0.0)')}
+  AS total_order_quantity FROM joint_out WHERE inventory_action IN ('REPLENISH', 'EXPEDITE_ORDER')""", "joint_out")
+q("action_counts", """SELECT count(*) FILTER (WHERE inventory_action = 'STOP_OR_DELAY_ORDER') AS stop_order_count,
+  count(*) FILTER (WHERE inventory_action = 'PRICE_MARKDOWN') AS markdown_count FROM joint_out""", "joint_out")
+q("conflict_count", """SELECT count(*) FILTER (WHERE pricing_action = 'Decrease' AND inventory_action IN
+  ('REPLENISH', 'EXPEDITE_ORDER', 'INTER_REGION_TRANSFER')) AS conflicts FROM joint_out""", "joint_out")
+q("woc_and_status_top5", f"""SELECT inventory_status, count, {R6('w')} AS avg_weeks_of_cover FROM (
+  SELECT inventory_status, count(*) AS count FROM inv_status GROUP BY ALL ORDER BY count DESC, inventory_status LIMIT 5),
+  (SELECT avg(available_weeks_of_cover) AS w FROM inv_status)""", "inv_status")
+q("lost_sales_total", f"SELECT {R4('sum(lost_sales_estimate)')} AS lost_sales_total FROM joint_out", "joint_out")
+q("obsolescence_high", "SELECT count(*) FILTER (WHERE obsolescence_risk_score > 0.65) AS high_obsolescence FROM joint_out",
+  "joint_out")
+cte("latest_sku", ("panel",), """
+SELECT * FROM panel QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY week_num DESC, region DESC, customer_tier DESC) = 1""")
+q("sku_excess_latest", """SELECT category, count(*) AS excess_skus FROM latest_sku,
+  (SELECT count(*) FILTER (WHERE excess_inventory_flag) AS n FROM latest_sku) c
+WHERE CASE WHEN c.n > 0 THEN excess_inventory_flag ELSE weeks_of_cover > 16 END GROUP BY category""", "latest_sku")
+q("sku_stockout_latest", """SELECT sku_id, category, region, customer_tier, week_num, weeks_of_cover FROM latest_sku,
+  (SELECT count(*) FILTER (WHERE stockout_flag) AS n FROM latest_sku) c
+WHERE CASE WHEN c.n > 0 THEN stockout_flag ELSE weeks_of_cover < 2 END""", "latest_sku")
+q("elasticity_low_conf", """SELECT elasticity_segment, estimated_elasticity, confidence_score, low_confidence_count, total_count
+FROM (SELECT * FROM elasticity WHERE elasticity_class = 'Low confidence' ORDER BY elasticity_segment LIMIT 5),
+     (SELECT count(*) FILTER (WHERE elasticity_class = 'Low confidence') AS low_confidence_count, count(*) AS total_count
+      FROM elasticity)""", "elasticity")
+q("guardrail_summary", """SELECT count(*) FILTER (WHERE recommendation_action = 'Manual Review') AS manual_review,
+  count(*) FILTER (WHERE length(guardrail_triggered) > 0) AS guarded FROM joint_out""", "joint_out")
+q("rollback_retained", f"""SELECT {R4('t * 0.5')} AS retained_transfers, t AS total_transfers, {R4('g')} AS retained_gp_lift
+FROM (SELECT count(*) AS t FROM transfers), (SELECT sum(modeled_gp_lift) * 0.5 AS g FROM joint_out)""",
+  "transfers", "joint_out")
+q("minmax_normalize", f"""SELECT {S3}, {R6('gross_profit_lift')} AS gross_profit_lift,
+  {R6('CASE WHEN mx = mn THEN 0.5 ELSE (gross_profit_lift - mn) / (mx - mn) END')} AS gross_profit_lift_normalized
+FROM joint_out, (SELECT min(gross_profit_lift) AS mn, max(gross_profit_lift) AS mx FROM joint_out)""", "joint_out")
+q("safe_divide", f"""SELECT {S3}, {R6('CASE WHEN projected_revenue = 0 OR projected_revenue IS NULL THEN 0.0 ELSE projected_gross_profit / projected_revenue END')}
+  AS projected_margin FROM joint_out""", "joint_out")
+q("format_labels", f"""SELECT {S3},
+  CASE WHEN gross_profit_lift IS NULL OR isnan(gross_profit_lift) THEN 'N/A'
+       ELSE '$' || format('{{:,}}', CAST(floor(gross_profit_lift + 0.5) AS BIGINT)) END AS lift_label,
+  CASE WHEN gross_margin_pct IS NULL OR isnan(gross_margin_pct) THEN 'N/A'
+       ELSE printf('%.1f', floor(gross_margin_pct * 1000 + 0.5) / 10.0) || '%' END AS margin_label
+FROM joint_out""", "joint_out")
+q("review_queue", f"""SELECT {S3}, category, {R6('current_price')} AS current_price,
+  {R6('recommended_price')} AS recommended_price, {R6('price_change_pct')} AS price_change_pct, recommendation_action,
+  inventory_action, joint_confidence, reason_code, coalesce(d.decision, '—') AS decision
+FROM review_q LEFT JOIN (SELECT sku_id, arg_max(decision, logged_at) AS decision FROM decision_log GROUP BY sku_id) d
+  USING (sku_id)""", "review_q", "decision_log")

@@ -770,3 +770,283 @@ def q_rollback_verify(spark, sf):
     from shelfwise.operators import backtest as bt
     p = pipe(spark, sf)
     return bt.rollback_verify(p.joint, p.transfers)
+
+
+# ------------------------------------------------------------ 2.12 reports
+from shelfwise.operators import reports as rp  # noqa: E402
+
+
+def _J(spark, sf):
+    return pipe(spark, sf).joint
+
+
+def _rnd(df, k=4, skip=()):
+    num = [f.name for f in df.schema.fields if f.dataType.typeName() == "double" and f.name not in skip]
+    scale = float(10 ** k)
+    return df.withColumns({c: F.floor(F.col(c) * scale + 0.5) / scale for c in num})
+
+
+@query("inv_summary")
+def q_inv_summary(spark, sf):
+    return _rnd(rp.inv_summary(_inv(spark, sf)))
+
+
+@query("inv_portfolio_turns")
+def q_inv_portfolio_turns(spark, sf):
+    p = pipe(spark, sf)
+    d = rp.inv_portfolio_turns(p.inventory_status, p.panel)
+    cents = F.floor(F.col("annual_cogs") * 100 + 0.5) / 100.0
+    return _rnd(d, 6, skip=("annual_cogs",)).withColumn("annual_cogs", cents)
+
+
+@query("inv_status_distribution")
+def q_inv_status_distribution(spark, sf):
+    return rp.inv_status_distribution(_inv(spark, sf))
+
+
+@query("inv_excess_by_category")
+def q_inv_excess_by_category(spark, sf):
+    return _rnd(rp.inv_excess_by_category(_inv(spark, sf)))
+
+
+@query("policy_filter")
+def q_policy_filter(spark, sf):
+    d = rp.policy_filter(_J(spark, sf), "balanced", 0.15, 0.10, 0.4)
+    return _rnd(d.select(*SERIES, "elasticity_confidence", "gross_margin_pct", "price_change_pct", "gross_profit_lift"), 6)
+
+
+@query("slice_filter")
+def q_slice_filter(spark, sf):
+    d = rp.slice_filter(_J(spark, sf), region="EUROPE", category=["PROMO", "LARGE"], customer_tier="All")
+    return d.select(*SERIES, "category", "recommendation_action")
+
+
+@query("kpi_headline")
+def q_kpi_headline(spark, sf):
+    p = pipe(spark, sf)
+    return _rnd(rp.kpi_headline(p.joint, p.inventory_status, p.panel))
+
+
+@query("lift_by_category")
+def q_lift_by_category(spark, sf):
+    return _rnd(rp.lift_by(_J(spark, sf), "category"))
+
+
+@query("lift_by_region")
+def q_lift_by_region(spark, sf):
+    return _rnd(rp.lift_by(_J(spark, sf), "region"))
+
+
+@query("action_mix")
+def q_action_mix(spark, sf):
+    return rp.action_mix(_J(spark, sf))
+
+
+@query("top_opportunities")
+def q_top_opportunities(spark, sf):
+    d = rp.top_by(_J(spark, sf), "gross_profit_lift", 10)
+    return _rnd(d.select(*SERIES, "category", "gross_profit_lift", "recommendation_action"), 6)
+
+
+@query("pricing_kpis")
+def q_pricing_kpis(spark, sf):
+    return _rnd(rp.pricing_kpis(_J(spark, sf)), 6)
+
+
+@query("top_movers_long")
+def q_top_movers_long(spark, sf):
+    return _rnd(rp.top_movers_long(_J(spark, sf)), 6)
+
+
+@query("price_change_histogram")
+def q_price_change_histogram(spark, sf):
+    return _rnd(rp.histogram(_J(spark, sf), "price_change_pct", 40), 6)
+
+
+@query("woc_histogram")
+def q_woc_histogram(spark, sf):
+    return _rnd(rp.histogram(_inv(spark, sf), "available_weeks_of_cover", 30), 6)
+
+
+@query("competitor_index_by_category")
+def q_competitor_index_by_category(spark, sf):
+    return _rnd(rp.competitor_index_by_category(pipe(spark, sf).panel), 6)
+
+
+@query("unit_impact")
+def q_unit_impact(spark, sf):
+    return _rnd(rp.unit_impact(_J(spark, sf)), 6)
+
+
+@query("high_confidence_top50")
+def q_high_confidence_top50(spark, sf):
+    d = _J(spark, sf).filter((F.col("joint_confidence") == "HIGH") & F.col("recommendation_action").isin(*rp.MOVES))
+    d = rp.top_by(d, "gross_profit_lift", 50)
+    return _rnd(d.select(*SERIES, "category", "current_price", "recommended_price", "price_change_pct",
+                         "gross_profit_lift", "gross_margin_pct", "reason_code"), 6)
+
+
+def _regions(spark, sf):
+    # the region dimension (5 rows) names the pivot columns, so the pivot needs no extra distinct job
+    return sorted(r[0] for r in spark.read.parquet(f"{sf}/region.parquet").select("r_name").collect())
+
+
+@query("stockout_heatmap")
+def q_stockout_heatmap(spark, sf):
+    return _rnd(rp.stockout_heatmap(_J(spark, sf), _regions(spark, sf)), 6)
+
+
+@query("top_transfers")
+def q_top_transfers(spark, sf):
+    d = rp.top_by(pipe(spark, sf).transfers, "net_transfer_value", 50, ["sku_id", "source_region", "destination_region"])
+    return d.select("sku_id", "category", "source_region", "destination_region", "transfer_quantity",
+                    "net_transfer_value", "transfer_reason")
+
+
+@query("aged_inventory_top50")
+def q_aged_inventory_top50(spark, sf):
+    d = _J(spark, sf).filter(F.col("inventory_status").isin("SLOW_MOVING", "OBSOLETE_RISK"))
+    d = rp.top_by(d, "excess_inventory_value", 50)
+    return d.select(*SERIES, "category", "inventory_status", "excess_inventory_value", "available_weeks_of_cover",
+                    "obsolescence_risk_score")
+
+
+PROFILE_SKU = "Brand#1|PROMO"
+
+
+@query("sku_profile")
+def q_sku_profile(spark, sf):
+    p = pipe(spark, sf)
+    prod = p.products.select("sku_id", "product_name", "subcategory", "brand_tier", "lead_time_days", "lifecycle_stage")
+    d = p.joint.filter(F.col("sku_id") == PROFILE_SKU).join(prod, "sku_id", "left")
+    return _rnd(d.select(*SERIES, "product_name", "category", "subcategory", "brand_tier", "lead_time_days",
+                         "lifecycle_stage", "current_price", "recommended_price", "recommendation_action",
+                         "predicted_current_units", "available_weeks_of_cover", "stockout_probability",
+                         "pricing_reason_code", "elasticity", "elasticity_confidence",
+                         F.coalesce(F.nullif(F.col("guardrail_triggered"), F.lit("")), F.lit("None")).alias("guardrail")), 6)
+
+
+@query("review_queue")
+def q_review_queue(spark, sf):
+    from shelfwise.sources.io import derive_decision_log
+    j = _J(spark, sf)
+    d = rp.review_queue(j, derive_decision_log(j))
+    return _rnd(d.select(*SERIES, "category", "current_price", "recommended_price", "price_change_pct",
+                         "recommendation_action", "inventory_action", "joint_confidence", "reason_code", "decision"), 6)
+
+
+@query("queue_kpis")
+def q_queue_kpis(spark, sf):
+    from shelfwise.sources.io import derive_decision_log
+    j = _J(spark, sf)
+    log = derive_decision_log(j)
+    q = rp.review_queue(j).agg(F.count(F.lit(1)).alias("items_in_queue"),
+                               F.sum("gross_profit_lift").alias("modeled_gp_lift"))
+    n = rp.latest_decisions(log).agg(F.count(F.lit(1)).alias("decisions_logged"))
+    a = j.agg(F.count(F.when(F.col("manual_review_required"), 1)).alias("awaiting_review"))
+    return _rnd(q.crossJoin(n).crossJoin(a))
+
+
+@query("margin_summary")
+def q_margin_summary(spark, sf):
+    j = _J(spark, sf)
+    return _rnd(j.agg(F.avg("gross_margin_pct").alias("avg_gross_margin"),
+                      F.sum("projected_gross_profit").alias("total_projected_gross_profit"),
+                      F.count(F.lit(1)).alias("recommendations")))
+
+
+@query("replenish_summary")
+def q_replenish_summary(spark, sf):
+    j = _J(spark, sf).filter(F.col("inventory_action").isin("REPLENISH", "EXPEDITE_ORDER"))
+    return _rnd(j.agg(F.count(F.lit(1)).alias("replenish_skus"),
+                      F.coalesce(F.sum("recommended_order_quantity"), F.lit(0.0)).alias("total_order_quantity")))
+
+
+@query("action_counts")
+def q_action_counts(spark, sf):
+    ia = F.col("inventory_action")
+    return _J(spark, sf).agg(F.count(F.when(ia == "STOP_OR_DELAY_ORDER", 1)).alias("stop_order_count"),
+                             F.count(F.when(ia == "PRICE_MARKDOWN", 1)).alias("markdown_count"))
+
+
+@query("conflict_count")
+def q_conflict_count(spark, sf):
+    c = (F.col("pricing_action") == "Decrease") & F.col("inventory_action").isin(
+        "REPLENISH", "EXPEDITE_ORDER", "INTER_REGION_TRANSFER")
+    return _J(spark, sf).agg(F.count(F.when(c, 1)).alias("conflicts"))
+
+
+@query("woc_and_status_top5")
+def q_woc_and_status_top5(spark, sf):
+    inv = _inv(spark, sf)
+    top = rp.inv_status_distribution(inv).orderBy(F.desc("count"), "inventory_status").limit(5)
+    return _rnd(top.crossJoin(inv.agg(F.avg("available_weeks_of_cover").alias("avg_weeks_of_cover"))), 6)
+
+
+@query("lost_sales_total")
+def q_lost_sales_total(spark, sf):
+    return _rnd(_J(spark, sf).agg(F.sum("lost_sales_estimate").alias("lost_sales_total")))
+
+
+@query("obsolescence_high")
+def q_obsolescence_high(spark, sf):
+    return _J(spark, sf).agg(F.count(F.when(F.col("obsolescence_risk_score") > 0.65, 1)).alias("high_obsolescence"))
+
+
+@query("sku_excess_latest")
+def q_sku_excess_latest(spark, sf):
+    return rp.sku_excess_latest(pipe(spark, sf).panel)
+
+
+@query("sku_stockout_latest")
+def q_sku_stockout_latest(spark, sf):
+    return rp.sku_stockout_latest(pipe(spark, sf).panel)
+
+
+@query("elasticity_low_conf")
+def q_elasticity_low_conf(spark, sf):
+    e = pipe(spark, sf).elasticity
+    low = e.filter(F.col("elasticity_class") == "Low confidence")
+    counts = e.agg(F.count(F.when(F.col("elasticity_class") == "Low confidence", 1)).alias("low_confidence_count"),
+                   F.count(F.lit(1)).alias("total_count"))
+    first5 = low.orderBy("elasticity_segment").limit(5).select("elasticity_segment", "estimated_elasticity",
+                                                              "confidence_score")
+    return first5.crossJoin(counts)
+
+
+@query("guardrail_summary")
+def q_guardrail_summary(spark, sf):
+    j = _J(spark, sf)
+    return j.agg(F.count(F.when(F.col("recommendation_action") == "Manual Review", 1)).alias("manual_review"),
+                 F.count(F.when(F.length("guardrail_triggered") > 0, 1)).alias("guarded"))
+
+
+@query("rollback_retained")
+def q_rollback_retained(spark, sf):
+    p = pipe(spark, sf)
+    pct = 0.5
+    t = p.transfers.agg((F.count(F.lit(1)) * (1 - pct)).alias("retained_transfers"),
+                        F.count(F.lit(1)).alias("total_transfers"))
+    g = p.joint.agg((F.sum("modeled_gp_lift") * (1 - pct)).alias("retained_gp_lift"))
+    return _rnd(t.crossJoin(g))
+
+
+@query("minmax_normalize")
+def q_minmax_normalize(spark, sf):
+    d = rp.minmax_normalize(_J(spark, sf).select(*SERIES, "gross_profit_lift"), "gross_profit_lift")
+    return _rnd(d, 6)
+
+
+@query("safe_divide")
+def q_safe_divide(spark, sf):
+    from shelfwise.functions.columns import safe_div
+    j = _J(spark, sf)
+    return _rnd(j.select(*SERIES, safe_div(F.col("projected_gross_profit"), F.col("projected_revenue"), 0.0)
+                         .alias("projected_margin")), 6)
+
+
+@query("format_labels")
+def q_format_labels(spark, sf):
+    j = _J(spark, sf)
+    return j.select(*SERIES, rp.format_currency(F.col("gross_profit_lift")).alias("lift_label"),
+                    rp.format_pct(F.col("gross_margin_pct")).alias("margin_label"))
