@@ -1198,3 +1198,21 @@ q("review_queue", f"""SELECT {S3}, category, {R6('current_price')} AS current_pr
   inventory_action, joint_confidence, reason_code, coalesce(d.decision, '—') AS decision
 FROM review_q LEFT JOIN (SELECT sku_id, arg_max(decision, logged_at) AS decision FROM decision_log GROUP BY sku_id) d
   USING (sku_id)""", "review_q", "decision_log")
+
+# ------------------------------------------------------------ 2.1 sources and sinks
+q("read_products", "SELECT * FROM products", "products")
+q("read_sales", "SELECT * REPLACE (CAST(week_start AS VARCHAR) AS week_start) FROM panel", "panel")
+q("read_first_available", "SELECT * REPLACE (CAST(week_start AS VARCHAR) AS week_start) FROM panel", "panel")
+q("write_decisions", """
+SELECT 'recommendations' AS "table", count(*) AS rows FROM joint_out
+UNION ALL SELECT 'transfers', count(*) FROM transfers HAVING count(*) > 0
+UNION ALL SELECT 'inventory_metrics', count(*) FROM replen
+UNION ALL SELECT 'elasticity_estimates', count(*) FROM elasticity
+UNION ALL SELECT 'backtest_results', count(*) FROM bt_cmp""", "joint_out", "transfers", "replen", "elasticity", "bt_cmp")
+q("read_decisions", "SELECT * REPLACE (" + ", ".join(f"{R6(c)} AS {c}" for c in _JF) + ") FROM joint_out", "joint_out")
+q("decision_log", f"""SELECT {S3}, recommendation_action, coalesce(d.decision, '—') AS decision,
+  {R6('d.override_price')} AS override_price, d.note
+FROM joint_out LEFT JOIN (SELECT sku_id, arg_max_null(decision, logged_at) AS decision,
+                                 arg_max_null(override_price, logged_at) AS override_price,
+                                 arg_max_null(note, logged_at) AS note
+                          FROM decision_log GROUP BY sku_id) d USING (sku_id)""", "joint_out", "decision_log")

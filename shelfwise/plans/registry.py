@@ -1050,3 +1050,69 @@ def q_format_labels(spark, sf):
     j = _J(spark, sf)
     return j.select(*SERIES, rp.format_currency(F.col("gross_profit_lift")).alias("lift_label"),
                     rp.format_pct(F.col("gross_margin_pct")).alias("margin_label"))
+
+
+# ------------------------------------------------------------ 2.1 sources and sinks
+from shelfwise.sources import io as sio  # noqa: E402
+
+
+@query("read_products")
+def q_read_products(spark, sf):
+    path = sio.write_table(pipe(spark, sf).products, sio.scratch_path(spark, "products"), "csv")
+    return sio.read_products(spark, path, "csv")
+
+
+@query("read_sales")
+def q_read_sales(spark, sf):
+    path = sio.write_table(pipe(spark, sf).panel, sio.scratch_path(spark, "sales"), "csv")
+    d = sio.read_sales(spark, path, "csv")
+    return d.withColumn("week_start", F.col("week_start").cast("string"))
+
+
+@query("read_first_available")
+def q_read_first_available(spark, sf):
+    base = sio.scratch_path(spark, "sales-candidates")
+    sio.write_table(pipe(spark, sf).panel, f"{base}/full", "parquet")
+    d = sio.read_first_available(spark, [f"{base}/latest", f"{base}/app", f"{base}/full"], "parquet")
+    return d.withColumn("week_start", F.col("week_start").cast("string"))
+
+
+def _decision_tables(spark, sf):
+    p = pipe(spark, sf)
+    return {"recommendations": p.joint, "transfers": p.transfers, "inventory_metrics": p.replenishment,
+            "elasticity_estimates": p.elasticity, "backtest_results": p.comparison}
+
+
+@query("write_decisions")
+def q_write_decisions(spark, sf):
+    """Write the five decision tables, read each back and report its row count."""
+    base = sio.scratch_path(spark, "decisions")
+    written = sio.write_decisions(base, _decision_tables(spark, sf))
+    out = None
+    for name, path in written.items():
+        d = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(name))
+        out = d if out is None else out.unionByName(d)
+    return out.select("table", "rows")
+
+
+@query("read_decisions")
+def q_read_decisions(spark, sf):
+    """Reload the written recommendations (optional tables missing -> empty frames with their schema)."""
+    tables = _decision_tables(spark, sf)
+    base = sio.scratch_path(spark, "decisions")
+    sio.write_decisions(base, {"recommendations": tables["recommendations"]})
+    schemas = {k: v.schema for k, v in tables.items()}
+    back = sio.read_decisions(spark, base, schemas)
+    assert back["transfers"].schema == schemas["transfers"]
+    return rounded(back["recommendations"].select(*tables["recommendations"].columns), *_J_FLOATS)
+
+
+@query("decision_log")
+def q_decision_log(spark, sf):
+    """Append-only reviewer log -> latest decision per SKU (last write wins) joined to the queue."""
+    j = _J(spark, sf)
+    log = sio.derive_decision_log(j)
+    q_ = j.select(*SERIES, "gross_profit_lift", "recommendation_action")
+    d = q_.join(rp.latest_decisions(log), "sku_id", "left").withColumn(
+        "decision", F.coalesce(F.col("decision"), F.lit("—")))
+    return rounded(d.select(*SERIES, "recommendation_action", "decision", "override_price", "note"), "override_price")
