@@ -80,20 +80,29 @@ def test_predictions(scored: DataFrame) -> DataFrame:
         F.col("predicted"))
 
 
+def feature_names(model) -> list[str]:
+    """Assembled feature names: numeric columns, then category=level for each kept one-hot slot."""
+    from shelfwise.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+    labels = {s.getOutputCol(): s.labels for s in model.stages if s.__class__.__name__ == "StringIndexerModel"}
+    names = list(NUMERIC_FEATURES)
+    for c in CATEGORICAL_FEATURES:
+        lv = labels.get(f"{c}_idx", [])
+        names += [f"{c}={v}" for v in lv[:-1]]  # dropLast removes the alphabetically first level
+    return names
+
+
 def feature_importance(model, top: int | None = None):
     """(feature, importance) from tree importances or absolute coefficients, descending."""
     spark_model = model.stages[-1]
-    assembler = [s for s in model.stages if s.__class__.__name__ == "VectorAssembler"][0]
-    names = assembler.getInputCols()
+    names = feature_names(model)
     if hasattr(spark_model, "featureImportances"):
         vals = spark_model.featureImportances.toArray().tolist()
     else:
         vals = [abs(v) for v in spark_model.coefficients.toArray().tolist()]
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
-    n = min(len(names), len(vals))
-    rows = [(names[i] if i < len(names) else f"f{i}", float(vals[i])) for i in range(n)]
-    df = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"))
+    rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
     return df.limit(top) if top else df
 
 

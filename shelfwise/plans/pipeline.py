@@ -128,6 +128,15 @@ class Pipeline:
     def strategies(self) -> DataFrame:
         return bt.strategies(self.test_window, self.joint, self.transfers)
 
+    # ---- demand models (Spark ML); fitted once per pipeline
+    def model(self, kind: str = "gbt"):
+        """(PipelineModel, metrics table, test predictions) for ``kind``; cached per pipeline."""
+        from shelfwise.operators.demand import train_evaluate
+        cache = self.__dict__.setdefault("_models", {})
+        if kind not in cache:
+            cache[kind] = train_evaluate(self.split_features, kind)
+        return cache[kind]
+
     @cached_property
     def comparison(self) -> DataFrame:
         return bt.bt_lift(bt.bt_compare(self.strategies))

@@ -1116,3 +1116,103 @@ def q_decision_log(spark, sf):
     d = q_.join(rp.latest_decisions(log), "sku_id", "left").withColumn(
         "decision", F.coalesce(F.col("decision"), F.lit("—")))
     return rounded(d.select(*SERIES, "recommendation_action", "decision", "override_price", "note"), "override_price")
+
+
+# ------------------------------------------------------------ 2.4 demand models (Spark ML; rows-only in the oracle)
+def _model(spark, sf, kind="gbt"):
+    return pipe(spark, sf).model(kind)
+
+
+@query("model_matrix")
+def q_model_matrix(spark, sf):
+    from shelfwise.operators.features import model_matrix
+    df, prep = model_matrix(pipe(spark, sf).split_features)
+    m = prep.fit(df.filter(F.col("split") == "train"))
+    from pyspark.ml.functions import vector_to_array
+    out = m.transform(df).withColumn("_v", vector_to_array("features"))
+    return out.select(*KEY, "split", F.size("_v").alias("n_features"), F.col("adjusted_units").alias("label"))
+
+
+@query("scale_features")
+def q_scale_features(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    model, _, _ = _model(spark, sf, "ridge")
+    from shelfwise.operators.features import model_matrix
+    df, _ = model_matrix(pipe(spark, sf).split_features)
+    scaled = model.transform(df).withColumn("_s", vector_to_array("scaled"))
+    return scaled.select(*KEY, "split", F.size("_s").alias("n_features"),
+                         r6(F.col("_s")[0]).alias("scaled_lag_1_units"))
+
+
+for _kind, _name in (("ridge", "demand_ridge"), ("elasticnet", "demand_elasticnet"),
+                     ("random_forest", "demand_random_forest"), ("gbt", "demand_gbt")):
+    QUERIES[_name] = (lambda k: (lambda spark, sf: _model(spark, sf, k)[1]))(_kind)
+
+
+@query("train_evaluate")
+def q_train_evaluate(spark, sf):
+    from shelfwise.operators import metrics as mt
+    _, metrics, _ = _model(spark, sf, "gbt")
+    base = _baseline(spark, sf).agg(mt.metric_wape(F.col("actual"), F.col("baseline_pred")).alias("baseline_WAPE"))
+    wape = metrics.filter(F.col("metric") == "wape").select("split", F.col("value").alias("WAPE"))
+    return wape.crossJoin(base).withColumn(
+        "WAPE_improvement", mt.baseline_improvement(F.col("baseline_WAPE"), F.col("WAPE")))
+
+
+@query("test_predictions")
+def q_test_predictions(spark, sf):
+    return _model(spark, sf, "gbt")[2]
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    from shelfwise.operators.demand import feature_importance
+    return feature_importance(_model(spark, sf, "gbt")[0])
+
+
+@query("compare_models")
+def q_compare_models(spark, sf):
+    return _model(spark, sf, "ridge")[1].unionByName(_model(spark, sf, "gbt")[1])
+
+
+@query("predict_at_price_model")
+def q_predict_at_price_model(spark, sf):
+    from shelfwise.operators.demand import predict_at_price_model
+    from shelfwise.operators.features import model_matrix
+    model = _model(spark, sf, "gbt")[0]
+    feats, _ = model_matrix(pipe(spark, sf).split_features)
+    latest = pr.latest_by_key(feats)
+    cands = latest.withColumn("candidate_price", F.explode(pr.candidate_prices(F.col("realized_price"))))
+    out = predict_at_price_model(model, cands)
+    return out.select(*SERIES, "candidate_price", "model_predicted_units")
+
+
+@query("save_load_model")
+def q_save_load_model(spark, sf):
+    from pyspark.ml import PipelineModel
+    model, _, preds = _model(spark, sf, "gbt")
+    path = sio.scratch_path(spark, "model")
+    model.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    from shelfwise.operators.features import model_matrix
+    df, _ = model_matrix(pipe(spark, sf).split_features)
+    re = loaded.transform(df.filter(F.col("split") == "test")).select(
+        "week_num", "sku_id", "region", "customer_tier", F.greatest(F.col("prediction"), F.lit(0.0)).alias("reloaded"))
+    return preds.join(re, ["week_num", "sku_id", "region", "customer_tier"]).withColumn(
+        "identical", F.abs(F.col("predicted") - F.col("reloaded")) < 1e-9)
+
+
+@query("save_load_model_metrics")
+def q_save_load_model_metrics(spark, sf):
+    metrics = _model(spark, sf, "gbt")[1].withColumn("n_features", F.lit(38))
+    path = sio.scratch_path(spark, "model-metrics")
+    metrics.coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema(metrics.schema).json(path)
+
+
+@query("model_report")
+def q_model_report(spark, sf):
+    t = q_train_evaluate(spark, sf).filter(F.col("split") == "test")
+    m = _model(spark, sf, "gbt")[1].filter(F.col("split") == "test").groupBy("model").pivot(
+        "metric", ["mae", "rmse", "wape", "rmsle", "bias"]).agg(F.first("value"))
+    return m.crossJoin(t.select("baseline_WAPE", "WAPE_improvement"))
