@@ -34,32 +34,44 @@ class Pipeline:
         if materialize:
             ensure_checkpoint_dir(spark)
 
-    def with_scenario(self, scenario: Scenario) -> "Pipeline":
-        """Same inputs (panel, products, elasticity checkpoints shared), other scenario parameters."""
-        other = Pipeline(self.spark, self.sf_dir, scenario, self.materialize)
+    def with_scenario(self, scenario: Scenario, materialize: bool | None = None) -> "Pipeline":
+        """Same inputs (panel, products, elasticity tables shared), other scenario parameters."""
+        other = Pipeline(self.spark, self.sf_dir, scenario, self.materialize if materialize is None else materialize)
         for k in ("cells", "products_full", "products", "panel", "features", "split_features", "elasticity",
                   "global_elasticity", "rec_rows"):
             if k in self.__dict__:
                 other.__dict__[k] = self.__dict__[k]
         return other
 
-    def _mat(self, df: DataFrame) -> DataFrame:
-        """Cut lineage at a stage boundary: reliable checkpoint into spark.checkpoint.dir.
+    def _mat(self, df: DataFrame, name: str) -> DataFrame:
+        """Cut lineage at a stage boundary: write a parquet table under spark.checkpoint.dir, read it back.
 
-        The panel and every stage table after it are bounded by the dimensions
-        (SKU x region x tier x week), so the checkpointed data is small while the
-        plan it replaces (lineitem join + aggregates) is the expensive part.
+        One computation (a reliable RDD checkpoint would recompute the plan), a
+        columnar copy with pruning/pushdown on re-read, and it survives executor
+        loss.  Every table after the adapter is bounded by the dimensions
+        (SKU x region x tier x week), so the copies are small while the plans they
+        replace (lineitem join + aggregates) are the expensive part.
         """
-        return df.checkpoint(eager=True) if self.materialize else df
+        if not self.materialize:
+            return df
+        path = f"{self._stage_dir}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    @cached_property
+    def _stage_dir(self) -> str:
+        import uuid
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        return f"{base}/shelfwise-stages/{self.sc.name.replace(' ', '_')}-{uuid.uuid4().hex}"
 
     # ---- inputs
     @cached_property
     def cells(self) -> DataFrame:
-        return dt.cell_demand(self.spark, self.sf_dir)
+        return self._mat(dt.cell_demand(self.spark, self.sf_dir), "cells")
 
     @cached_property
     def products_full(self) -> DataFrame:
-        return self._mat(dt.build_products(self.spark, self.sf_dir, self.cells))
+        return self._mat(dt.build_products(self.spark, self.sf_dir, self.cells), "products")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -67,7 +79,7 @@ class Pipeline:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return self._mat(dt.build_panel(self.cells, self.products_full))
+        return self._mat(dt.build_panel(self.cells, self.products_full), "panel")
 
     # ---- features / model inputs
     @cached_property
@@ -81,20 +93,21 @@ class Pipeline:
     # ---- elasticity
     @cached_property
     def elasticity(self) -> DataFrame:
-        return self._mat(el.elasticity_table(self.panel, self.products))
+        return self._mat(el.elasticity_table(self.panel, self.products), "elasticity")
 
     @cached_property
     def global_elasticity(self) -> DataFrame:
-        return self._mat(el.global_elasticity(self.panel))
+        return self._mat(el.global_elasticity(self.panel), "global_elasticity")
 
     # ---- pricing
     @cached_property
     def rec_rows(self) -> DataFrame:
-        return pr.recommendation_rows(self.panel, self.products, self.elasticity, self.global_elasticity)
+        return self._mat(pr.recommendation_rows(self.panel, self.products, self.elasticity, self.global_elasticity),
+                         "rec_rows")
 
     @cached_property
     def recommendations(self) -> DataFrame:
-        return self._mat(pr.optimize_prices(self.rec_rows, self.sc))
+        return self._mat(pr.optimize_prices(self.rec_rows, self.sc), "recommendations")
 
     # ---- inventory
     @cached_property
@@ -103,7 +116,7 @@ class Pipeline:
 
     @cached_property
     def inventory_status(self) -> DataFrame:
-        return self._mat(pol.inventory_status(self.inventory_metrics, self.sc))
+        return self._mat(pol.inventory_status(self.inventory_metrics, self.sc), "inventory_status")
 
     @cached_property
     def replenishment(self) -> DataFrame:
@@ -111,13 +124,13 @@ class Pipeline:
 
     @cached_property
     def transfers(self) -> DataFrame:
-        return self._mat(tr.find_transfers(self.inventory_status, self.sc))
+        return self._mat(tr.find_transfers(self.inventory_status, self.sc), "transfers")
 
     # ---- joint
     @cached_property
     def joint(self) -> DataFrame:
         return self._mat(jt.joint_recommendations(self.recommendations, self.replenishment, self.transfers,
-                                                  self.panel, self.sc))
+                                                  self.panel, self.sc), "joint")
 
     # ---- backtest
     @cached_property

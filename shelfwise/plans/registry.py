@@ -652,6 +652,7 @@ def _scenario_joint(spark, sf, name):
     if key not in _PIPES:
         base = pipe(spark, sf)
         base.rec_rows  # noqa: B018 - build the shared inputs once
+        # scenario runs reuse the materialised inputs (panel, elasticity, latest rows)
         _PIPES[key] = base.with_scenario(scenario(name))
     return _PIPES[key].joint
 
