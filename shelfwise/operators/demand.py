@@ -83,7 +83,10 @@ def test_predictions(scored: DataFrame) -> DataFrame:
 def feature_names(model) -> list[str]:
     """Assembled feature names: numeric columns, then category=level for each kept one-hot slot."""
     from shelfwise.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-    labels = {s.getOutputCol(): s.labels for s in model.stages if s.__class__.__name__ == "StringIndexerModel"}
+    labels = {}
+    for s in model.stages:
+        if s.__class__.__name__ == "StringIndexerModel":
+            labels.update(dict(zip(s.getOutputCols(), s.labelsArray)))
     names = list(NUMERIC_FEATURES)
     for c in CATEGORICAL_FEATURES:
         lv = labels.get(f"{c}_idx", [])

@@ -146,10 +146,15 @@ def _fit_segments(moments: DataFrame, products: DataFrame) -> DataFrame:
     return seg
 
 
-def elasticity_table(panel: DataFrame, products: DataFrame, shrink: bool = True) -> DataFrame:
+def panel_moments(panel: DataFrame) -> DataFrame:
+    """Sample -> log transform -> grouping-sets moments (one pass over the panel)."""
+    return segment_moments(elasticity_log_transform(elasticity_sample(panel)))
+
+
+def elasticity_table(panel: DataFrame, products: DataFrame, shrink: bool = True,
+                     moments: DataFrame | None = None) -> DataFrame:
     """Full estimate table: category x tier (every cell) + category x region x tier (n >= 30)."""
-    est = elasticity_log_transform(elasticity_sample(panel))
-    seg = _fit_segments(segment_moments(est), products)
+    seg = _fit_segments(moments if moments is not None else panel_moments(panel), products)
     seg = seg.withColumn("elasticity_class", elasticity_class_col(F.col("estimated_elasticity"), F.col("confidence_score")))
     if shrink:
         seg = elasticity_shrink(seg)
@@ -167,9 +172,8 @@ def elasticity_shrink(seg: DataFrame) -> DataFrame:
     })
 
 
-def global_elasticity(panel: DataFrame) -> DataFrame:
-    est = elasticity_log_transform(elasticity_sample(panel))
-    return elasticity_fit_global(segment_moments(est))
+def global_elasticity(panel: DataFrame, moments: DataFrame | None = None) -> DataFrame:
+    return elasticity_fit_global(moments if moments is not None else panel_moments(panel))
 
 
 def elasticity_lookup(rows: DataFrame, table: DataFrame, glob: DataFrame) -> DataFrame:

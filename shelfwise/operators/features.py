@@ -148,8 +148,9 @@ def model_matrix(features: DataFrame, label_col: str = TARGET_COL):
     """Spark ML stages: one-hot of the 4 categoricals dropping the alphabetically first level."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", stringOrderType="alphabetDesc")
-           for c in CATEGORICAL_FEATURES]
+    # one multi-column indexer: a single pass over the data for all four categoricals
+    idx = [StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=[f"{c}_idx" for c in CATEGORICAL_FEATURES],
+                         stringOrderType="alphabetDesc")]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL_FEATURES],
                         outputCols=[f"{c}_ohe" for c in CATEGORICAL_FEATURES], dropLast=True)
     df = features.withColumn("promotion_flag", F.col("promotion_flag").cast("double"))

@@ -37,8 +37,8 @@ class Pipeline:
     def with_scenario(self, scenario: Scenario, materialize: bool | None = None) -> "Pipeline":
         """Same inputs (panel, products, elasticity tables shared), other scenario parameters."""
         other = Pipeline(self.spark, self.sf_dir, scenario, self.materialize if materialize is None else materialize)
-        for k in ("cells", "products_full", "products", "panel", "features", "split_features", "elasticity",
-                  "global_elasticity", "rec_rows"):
+        for k in ("cells", "products_full", "products", "panel", "features", "split_features", "elasticity_moments",
+                  "elasticity", "global_elasticity", "rec_rows"):
             if k in self.__dict__:
                 other.__dict__[k] = self.__dict__[k]
         return other
@@ -91,13 +91,19 @@ class Pipeline:
         return ft.time_split(self.features)
 
     # ---- elasticity
+    @cached_property
+    def elasticity_moments(self) -> DataFrame:
+        """Segment moments (<= global + category x tier + category x region x tier rows), computed once."""
+        return self._mat(el.panel_moments(self.panel), "elasticity_moments")
+
     @cached_property
     def elasticity(self) -> DataFrame:
-        return self._mat(el.elasticity_table(self.panel, self.products), "elasticity")
+        return self._mat(el.elasticity_table(self.panel, self.products, moments=self.elasticity_moments),
+                         "elasticity")
 
     @cached_property
     def global_elasticity(self) -> DataFrame:
-        return self._mat(el.global_elasticity(self.panel), "global_elasticity")
+        return self._mat(el.global_elasticity(self.panel, self.elasticity_moments), "global_elasticity")
 
     # ---- pricing
     @cached_property
