@@ -1216,3 +1216,61 @@ FROM joint_out LEFT JOIN (SELECT sku_id, arg_max_null(decision, logged_at) AS de
                                  arg_max_null(override_price, logged_at) AS override_price,
                                  arg_max_null(note, logged_at) AS note
                           FROM decision_log GROUP BY sku_id) d USING (sku_id)""", "joint_out", "decision_log")
+
+# ------------------------------------------------------------ 2.10 scenario_run: one renamed CTE chain per preset
+import re  # noqa: E402
+
+from shelfwise.plans.oracle_sql import CTES  # noqa: E402
+
+SCEN_CHAIN = ["best", "g1", "g2", "g3", "g4", "g5", "g6", "g7", "recs_raw", "recommendations", "inventory_metrics",
+              "inv_status", "replen", "tr_pairs", "tr_walk", "transfers", "tr_flag", "joint_base", "joint", "joint_out"]
+# fixed values: scenario presets (max move, objective, service z, minimum transfer value, target cover)
+SCENARIO_PARAMS = {
+    "Conservative": (0.05, "balanced", 1.96, 100.0, 10),
+    "Recommended": (0.10, "balanced", 1.65, 50.0, 8),
+    "Margin Push": (0.10, "maximize_gross_profit", 1.65, 75.0, 8),
+    "Inventory Clearance": (0.15, "reduce_excess_inventory", 1.28, 30.0, 6),
+}
+
+
+def _sub(body: str, old: str, new: str) -> str:
+    assert old in body, old
+    return body.replace(old, new)
+
+
+def register_scenario(suffix: str, mm: float, obj: str, z: float, minv: float, target: float) -> str:
+    rename = {n: f"{n}_{suffix}" for n in SCEN_CHAIN}
+    pat = re.compile(r"\b(" + "|".join(SCEN_CHAIN) + r")\b")
+    for n in SCEN_CHAIN:
+        body, deps = CTES[n]
+        if n == "g1":
+            body = _sub(body, "ELSE 0.1 END AS mm0", f"ELSE {mm} END AS mm0")
+        elif n == "best":
+            body = _sub(body, "FROM sims_balanced WHERE", f"FROM sims_{obj} WHERE")
+            deps = tuple(f"sims_{obj}" if d == "sims_balanced" else d for d in deps)
+        elif n == "inventory_metrics":
+            body = inventory_metrics_sql(z, target)
+        elif n == "inv_status":
+            body = f"SELECT *, {status_sql(target)} AS inventory_status FROM inventory_metrics"
+        elif n == "replen":
+            body = _sub(body, "1.65 * coalesce(demand_std", f"{z} * coalesce(demand_std")
+        elif n == "tr_walk":
+            body = walk_sql(minv)
+        elif n == "transfers":
+            body = _sub(body, "> 8.0 THEN 'SLOW_MOVING'", f"> {float(target)} THEN 'SLOW_MOVING'")
+        body = pat.sub(lambda m: rename[m.group(1)], body)
+        cte(rename[n], tuple(rename.get(d, d) for d in deps), body)
+        if n == "tr_walk":
+            RECURSIVE.add(rename[n])
+    return rename["joint_out"]
+
+
+_SCEN_OUT = {name: register_scenario(f"sc{i}", *prm) for i, (name, prm) in enumerate(SCENARIO_PARAMS.items())}
+q("scenario_run", " UNION ALL ".join(f"""
+SELECT '{name}' AS scenario, count(*) AS rows,
+       count(*) FILTER (WHERE pricing_action = 'Increase') AS increases,
+       count(*) FILTER (WHERE pricing_action = 'Decrease') AS decreases,
+       count(*) FILTER (WHERE manual_review_required) AS manual_reviews,
+       count(*) FILTER (WHERE inventory_action = 'INTER_REGION_TRANSFER') AS transfers,
+       {R6(f"sum({R6('gross_profit_lift')})")} AS total_lift
+FROM {out}""" for name, out in _SCEN_OUT.items()), *_SCEN_OUT.values())

@@ -106,7 +106,7 @@ def test_every_query_has_oracle_or_is_ml():
     missing = set(q) - set(s)
     ml = {"model_matrix", "scale_features", "demand_ridge", "demand_elasticnet", "demand_random_forest", "demand_gbt",
           "train_evaluate", "test_predictions", "feature_importance", "compare_models", "predict_at_price_model",
-          "save_load_model", "save_load_model_metrics", "model_report", "scenario_run"}
+          "save_load_model", "save_load_model_metrics", "model_report"}
     assert missing <= ml, missing - ml
 
 
