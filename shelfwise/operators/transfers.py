@@ -1,11 +1,13 @@
 """Inter-region transfer proposals.
 
-Sources (excess statuses) and destinations (shortage statuses) meet in an
-equi-join on sku_id.  A destination's shortage is not reduced by earlier
-transfers, so every source is independent: its greedy allocation is a fold over
-its destinations in region order (``aggregate``), then ``explode``.  The list
-folded per source has at most (regions - 1) elements — a bound fixed by the
-region dimension, not by the data volume.
+Destinations (shortage statuses) are collected per SKU into one array sorted by
+region; each source (excess status) row meets that array in an equi-join on
+sku_id.  A destination's shortage is not reduced by earlier transfers, so every
+source is independent: its greedy allocation is a fold over the array
+(``aggregate``), then ``explode`` of the kept transfers.  The array has at most
+(regions - 1) elements — a bound fixed by the region dimension, not by the data
+volume — and no source x destination pair rows are materialised.
+``transfer_candidates`` (the candidate listing report) is the only pair output.
 """
 
 from __future__ import annotations
@@ -58,22 +60,38 @@ def _status_after(prefix: str, on_hand, avg, sc: Scenario):
                                 c("lifecycle_stage"), c("demand_trend"), sc)
 
 
-def transfer_allocation(pairs: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
-    """Greedy per-source allocation; keeps transfers whose net value beats the scenario minimum."""
+def destination_lists(metrics: DataFrame) -> DataFrame:
+    """Per SKU: its shortage-status regions as one array sorted by region (<= regions - 1 elements)."""
+    short = F.greatest(F.lit(0.0), F.col("reorder_point") - F.col("on_hand_inventory") - F.col("on_order_inventory"))
+    dest = F.struct(
+        F.col("region").alias("destination_region"),
+        F.when(short <= 0, F.col("average_weekly_demand") * 2).otherwise(short).alias("shortage"),
+        F.col("on_hand_inventory").alias("d_on_hand"), F.col("average_weekly_demand").alias("d_avg"),
+        F.col("inventory_status").alias("d_status"), F.col("on_hand_weeks_of_cover").alias("d_ohw"),
+        F.col("stockout_probability").alias("d_sp"), F.col("lead_time_weeks").alias("d_lt"),
+        F.col("inventory_turns").alias("d_turns"), F.col("obsolescence_risk_score").alias("d_obs"),
+        F.col("lifecycle_stage").alias("d_stage"), F.col("demand_trend").alias("d_trend"))
+    return metrics.filter(F.col("inventory_status").isin(*SHORTAGE_STATUSES)).groupBy("sku_id").agg(
+        F.array_sort(F.collect_list(dest)).alias("dests"))
+
+
+def transfer_allocation(metrics: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
+    """Greedy per-source allocation; keeps transfers whose net value beats the scenario minimum.
+
+    Each source row is equi-joined (on sku_id) to its SKU's destination array and
+    folds over it; no source x destination pair rows are materialised.
+    """
     cap = float(INVENTORY_POLICY["maximum_transfer_units"])
     cost_per = INVENTORY_POLICY["transfer_cost_per_unit"]
     min_value = sc.minimum_transfer_value
-    src_keys = ["sku_id", "category", "source_region", "source_excess"] + [
-        "s_" + c for c in _STATUS_INPUTS + ["case_pack", "unit_cost", "inventory_status", "average_weekly_demand"]]
-    dest = F.struct(
-        F.col("destination_region"), F.col("destination_shortage").alias("shortage"),
-        F.col("d_on_hand_inventory").alias("d_on_hand"), F.col("d_average_weekly_demand").alias("d_avg"),
-        F.col("d_inventory_status").alias("d_status"), F.col("d_on_hand_weeks_of_cover").alias("d_ohw"),
-        F.col("d_stockout_probability").alias("d_sp"), F.col("d_lead_time_weeks").alias("d_lt"),
-        F.col("d_inventory_turns").alias("d_turns"), F.col("d_obsolescence_risk_score").alias("d_obs"),
-        F.col("d_lifecycle_stage").alias("d_stage"), F.col("d_demand_trend").alias("d_trend"))
-    per_src = pairs.filter(F.col("source_excess") > 0).groupBy(*src_keys).agg(
-        F.array_sort(F.collect_list(dest)).alias("dests"))  # sorted by destination_region (first field)
+    src = metrics.filter(F.col("inventory_status").isin(*EXCESS_STATUSES)).select(
+        "sku_id", "category", F.col("region").alias("source_region"),
+        F.greatest(F.lit(0.0), F.col("on_hand_inventory") - F.col("safety_stock")
+                   - F.col("average_weekly_demand") * 2).alias("source_excess"),
+        *[F.col(c).alias("s_" + c) for c in _STATUS_INPUTS + ["case_pack", "unit_cost", "inventory_status",
+                                                              "average_weekly_demand"]])
+    src_keys = [c for c in src.columns]
+    per_src = src.filter(F.col("source_excess") > 0).join(destination_lists(metrics), "sku_id")
     pack, ucost = F.col("s_case_pack"), F.col("s_unit_cost")
 
     def step(acc, d):
@@ -81,7 +99,8 @@ def transfer_allocation(pairs: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> Da
         qty = case_pack_round(F.least(avail, d["shortage"], F.lit(cap)), pack)
         gp = qty * (ucost * 1.5 - ucost) * 0.7
         net = gp - qty * cost_per
-        keep = (avail > 0) & (qty > 0) & (net > min_value) & (gp > qty * cost_per)
+        keep = ((d["destination_region"] != F.col("source_region")) & (avail > 0) & (qty > 0)
+                & (net > min_value) & (gp > qty * cost_per))
         rec = F.struct(d["destination_region"].alias("destination_region"), qty.alias("qty"),
                        d["d_on_hand"].alias("d_on_hand"), d["d_avg"].alias("d_avg"), d["d_status"].alias("d_status"),
                        d["d_ohw"].alias("d_ohw"), d["d_sp"].alias("d_sp"), d["d_lt"].alias("d_lt"),
@@ -116,7 +135,7 @@ def transfer_allocation(pairs: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> Da
 
 
 def find_transfers(metrics_with_status: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
-    return transfer_allocation(transfer_candidates(metrics_with_status), sc)
+    return transfer_allocation(metrics_with_status, sc)
 
 
 def transfer_value(qty, unit_cost):
