@@ -179,7 +179,7 @@ FROM (
   SELECT *, p4 / 100.0 AS realized_price, cost_row / 100.0 AS unit_cost,
          """ + R("(p4 / 100.0) * units_sold", 2) + """ AS revenue,
          """ + R("(cost_row / 100.0) * units_sold", 2) + """ AS cogs,
-         CASE WHEN receipts > 0 THEN receipts * 0.5
+         CASE WHEN receipts > 0 THEN """ + R("receipts * 0.5", 2) + """
               WHEN g >= 1 AND g <= 2 THEN """ + R("base_demand * ((sku_no * 3 + week_num) % 30) / 2.0", 2) + """
               WHEN ending_inventory < base_demand THEN """ + R("base_demand * ((sku_no * 3 + week_num) % 30) / 10.0", 2) + """
               ELSE 0.0 END AS on_order

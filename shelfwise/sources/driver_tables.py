@@ -287,7 +287,7 @@ def finish_panel(df: DataFrame) -> DataFrame:
     """Money, cover and flag derivations, then the F2 column list."""
     s, w = F.col("sku_no"), F.col("week_num")
     on_order = (
-        F.when(F.col("receipts") > 0, F.col("receipts") * 0.5)
+        F.when(F.col("receipts") > 0, r2(F.col("receipts") * 0.5))
         .when((F.col("_g") >= 1) & (F.col("_g") <= 2), r2(F.col("base_demand") * ((s * 3 + w) % 30) / 2.0))
         .when(F.col("ending_inventory") < F.col("base_demand"), r2(F.col("base_demand") * ((s * 3 + w) % 30) / 10.0))
         .otherwise(0.0)
