@@ -84,7 +84,8 @@ class Pipeline:
     # ---- features / model inputs
     @cached_property
     def features(self) -> DataFrame:
-        return ft.build_features(self.panel, self.products)
+        """Panel + lag/rolling features (one window stage), materialised: many queries and every model fit read it."""
+        return self._mat(ft.build_features(self.panel, self.products), "features")
 
     @cached_property
     def split_features(self) -> DataFrame:

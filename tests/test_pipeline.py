@@ -66,7 +66,8 @@ def test_rollback_verify_has_no_violations(small_pipe):
 
 def test_single_exchange_on_series_windows(small_pipe):
     """All feature windows share one hash partitioning on the series key."""
-    plan = small_pipe.features._jdf.queryExecution().executedPlan().toString()
+    from shelfwise.operators.features import build_features
+    plan = build_features(small_pipe.panel, small_pipe.products)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(sku_id") == 1
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
