@@ -169,7 +169,10 @@ FROM (
   SELECT *, beginning_inventory + receipts AS avail FROM (
     SELECT *, CASE WHEN beginning_inventory < base_demand * 1.5 AND (sku_no + week_num) % 3 = 0 AND g <> 0
                    THEN """ + R("base_demand * (2 + (sku_no * week_num) % 4)", 2) + """ ELSE 0.0 END AS receipts
-    FROM o_p3))
+    FROM (SELECT * REPLACE (""" + R("""latent_demand * pow(CASE WHEN price_cents / 100.0 > 0
+            THEN (p4 / 100.0) / (price_cents / 100.0) ELSE 1.0 END,
+            -(30 + sku_no % 120) / 100.0 * CASE tier_no WHEN 0 THEN 0.85 WHEN 1 THEN 1.0 ELSE 1.15 END)""", 2) + """
+          AS latent_demand) FROM o_p3)))
 """)
 
 cte("o_p5", ("o_p4",), """

@@ -270,6 +270,11 @@ def build_panel(cells: DataFrame, products: DataFrame) -> DataFrame:
         regime.alias("_g"),
         r2(F.col("base_demand") * region_factor * stock_weeks).alias("beginning_inventory"),
     )
+    # price response of demand: (realized / list price) ^ (true elasticity x tier sensitivity)
+    tier_sens = F.when(t == 0, 0.85).when(t == 1, 1.0).otherwise(1.15)
+    true_el = -(F.lit(30) + s % 120) / 100.0
+    ratio = F.when(F.col("regular_price") > 0, F.col("realized_price") / F.col("regular_price")).otherwise(1.0)
+    df = df.withColumn("latent_demand", r2(F.col("latent_demand") * F.pow(ratio, true_el * tier_sens)))
     receipts = F.when(
         (F.col("beginning_inventory") < F.col("base_demand") * 1.5) & ((s + w) % 3 == 0) & (F.col("_g") != 0),
         r2(F.col("base_demand") * (F.lit(2) + (s * w) % 4)),
