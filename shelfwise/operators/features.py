@@ -126,22 +126,23 @@ def time_split(df: DataFrame) -> DataFrame:
 
 
 def leakage_check(features: DataFrame, lags=LAGS, tol: float = 0.01) -> DataFrame:
-    """Re-derive every lag by a self-join on row position and count violations per lag."""
+    """Re-derive every lag independently and count violations per lag.
+
+    Each row is paired with its k-rows-back row by ONE self-join on
+    (series key, row position - k) after exploding the lag list, so all lags
+    share a single shuffle join instead of one join per lag.
+    """
     w = series_window()
-    base = features.select(*GROUP_COLS, "week_num", "units_sold",
-                           *[f"lag_{k}_units" for k in lags], F.row_number().over(w).alias("_rn"))
-    prev = base.select(*GROUP_COLS, F.col("_rn").alias("_prn"), F.col("units_sold").alias("_prev_units"))
-    out = None
-    for k in lags:
-        j = base.join(prev, [*(base[c] == prev[c] for c in GROUP_COLS), base["_rn"] - k == prev["_prn"]], "inner")
-        bad = F.when(
-            F.col(f"lag_{k}_units").isNotNull() & (F.abs(F.col(f"lag_{k}_units") - F.col("_prev_units")) >= tol), 1
-        ).otherwise(0)
-        agg = j.agg(F.count(F.lit(1)).alias("checked_rows"), F.sum(bad).alias("violations")) \
-            .select(F.lit(k).alias("lag"), F.col("checked_rows").cast("long"),
-                    F.coalesce(F.col("violations"), F.lit(0)).cast("long").alias("violations"))
-        out = agg if out is None else out.unionByName(agg)
-    return out
+    lag_val = F.coalesce(*[F.when(F.col("lag") == k, F.col(f"lag_{k}_units")) for k in lags])
+    base = features.select(*GROUP_COLS, *[f"lag_{k}_units" for k in lags],
+                           F.row_number().over(w).alias("_rn"), F.col("units_sold").alias("_units"))
+    cur = base.withColumn("lag", F.explode(F.array(*[F.lit(k) for k in lags]))).select(
+        *GROUP_COLS, "lag", (F.col("_rn") - F.col("lag")).alias("_prn"), lag_val.alias("_lag_value"))
+    prev = base.select(*GROUP_COLS, F.col("_rn").alias("_prn"), F.col("_units").alias("_prev_units"))
+    j = cur.join(prev, [*GROUP_COLS, "_prn"], "inner")
+    bad = F.when(F.col("_lag_value").isNotNull() & (F.abs(F.col("_lag_value") - F.col("_prev_units")) >= tol), 1)
+    return j.groupBy("lag").agg(F.count(F.lit(1)).cast("long").alias("checked_rows"),
+                                F.count(bad).cast("long").alias("violations"))
 
 
 def model_matrix(features: DataFrame, label_col: str = TARGET_COL):

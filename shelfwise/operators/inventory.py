@@ -129,8 +129,10 @@ def tier_inventory_rollup(panel: DataFrame) -> DataFrame:
     cols = ["ending_inventory", "on_order", "latent_demand", "units_sold", "beginning_inventory", "receipts",
             "lost_sales_estimate"]
     last = panel.groupBy(*SR, "customer_tier").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("week_num"))).alias(c) for c in cols])
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("week_num"))).alias(c) for c in cols],
+        F.sum("units_sold").alias("_units_all"))
     return last.groupBy(*SR).agg(
+        r2(F.sum("_units_all")).alias("units_total"),
         r2(F.sum("ending_inventory")).alias("on_hand"), r2(F.sum("on_order")).alias("on_order_sum"),
         r2(F.sum("latent_demand")).alias("latent_sum"), r2(F.sum("units_sold")).alias("sold_sum"),
         r2(F.sum("beginning_inventory")).alias("begin_sum"), r2(F.sum("receipts")).alias("receipts_sum"),
@@ -140,12 +142,11 @@ def tier_inventory_rollup(panel: DataFrame) -> DataFrame:
 def sku_region_metrics(panel: DataFrame, products: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
     """The 26-column SKU x region snapshot (SKUs absent from products are dropped)."""
     hist = demand_history(panel, INVENTORY_POLICY["demand_window_weeks"])
-    roll = tier_inventory_rollup(panel)
-    units_total = panel.groupBy(*SR).agg(r2(F.sum("units_sold")).alias("units_total"))
+    roll = tier_inventory_rollup(panel)  # also carries the whole-history units total (same aggregate pass)
     p = products.select("sku_id", F.col("category").alias("p_category"), F.col("unit_cost").alias("p_cost"),
                         "lead_time_days", "case_pack", "product_age_weeks", "lifecycle_stage",
                         "obsolescence_risk", "minimum_order_quantity")
-    df = roll.join(hist, SR).join(units_total, SR).join(p, "sku_id", "inner")
+    df = roll.join(hist, SR).join(p, "sku_id", "inner")
     avg, sd, cost = F.col("avg_demand"), F.col("demand_sd"), F.col("p_cost")
     lt = F.coalesce(F.col("lead_time_days"), F.lit(14)) / 7.0
     on_hand, on_order = F.col("on_hand"), F.col("on_order_sum")

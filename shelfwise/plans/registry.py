@@ -493,7 +493,7 @@ def q_demand_trend(spark, sf):
 @query("tier_inventory_rollup")
 def q_tier_inventory_rollup(spark, sf):
     from shelfwise.operators.inventory import tier_inventory_rollup
-    d = tier_inventory_rollup(pipe(spark, sf).panel)
+    d = tier_inventory_rollup(pipe(spark, sf).panel).drop("units_total")
     cols = [c for c in d.columns if c not in SR]
     return rounded(d, *cols)
 
