@@ -217,5 +217,3 @@ def rollback_verify(recs: DataFrame, transfers: DataFrame) -> DataFrame:
                                                  .alias("transfer_violations_at_1"))
     return p0.crossJoin(p1).crossJoin(t1)
 
-
-__all__ = [n for n in dir() if n.startswith(("bt_", "rollback_", "strategies", "test_window", "first_"))] + ["clip"]

@@ -154,5 +154,3 @@ def price_inversion_check(df: DataFrame) -> DataFrame:
         & ((F.col("realized_price") > F.col("trade_price")) | (F.col("realized_price") > F.col("retail_price")))
     ).withColumn("reason_code", F.lit("CUSTOMER_TIER_LEAKAGE"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["safe_div", "r4"]

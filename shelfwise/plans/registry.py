@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import r6
+from shelfwise.functions.columns import r2, r6
 from shelfwise.operators import elasticity as el
 from shelfwise.operators import features as ft
 from shelfwise.operators import panel_ops as po
@@ -317,9 +317,6 @@ def q_elasticity_reload(spark, sf):
 
 
 # ------------------------------------------------------------ 2.7 pricing
-_LATEST_DROP = ["week_start"]
-
-
 @query("latest_by_key")
 def q_latest_by_key(spark, sf):
     d = pr.latest_by_key(pipe(spark, sf).panel)
@@ -453,7 +450,7 @@ def q_price_recommendations(spark, sf):
 @query("what_if_price")
 def q_what_if_price(spark, sf):
     rows = pipe(spark, sf).rec_rows
-    params = rows.select(*SERIES, r2_(F.col("realized_price") * 0.95).alias("price"),
+    params = rows.select(*SERIES, r2(F.col("realized_price") * 0.95).alias("price"),
                          F.lit(False).alias("promotion"), F.lit(None).cast("double").alias("inventory"))
     d = pr.what_if_price(rows, params)
     best = F.array_max(F.transform("price_curve", lambda c: F.struct(r6(c["gross_profit"]).alias("g"),
@@ -464,10 +461,6 @@ def q_what_if_price(spark, sf):
     return rounded(d, *cols)
 
 
-def r2_(c):
-    from shelfwise.functions.columns import r2
-    return r2(c)
-
 
 # ------------------------------------------------------------ 2.8 inventory metrics
 SR = ["sku_id", "region"]
@@ -759,8 +752,7 @@ def q_rollback_replenishment(spark, sf):
 def q_rollback_audit(spark, sf):
     from shelfwise.operators import backtest as bt
     d = bt.rollback_audit(pipe(spark, sf).joint, ROLLBACK_R, 0.0, "2024-01-01")
-    return rounded(d.withColumn("customer_tier", F.lit(None).cast("string")).drop("customer_tier"),
-                   "recommended_price", "approved_price", "rollback_price")
+    return rounded(d, "recommended_price", "approved_price", "rollback_price")
 
 
 @query("rollback_summary")
