@@ -47,6 +47,16 @@ def safe_div(a, b, default=0.0) -> Column:
     return F.coalesce(F.try_divide(_c(a), _c(b)), F.lit(default))
 
 
+def exact_avg(x, decimals: int, cond: Column | None = None) -> Column:
+    """Average of values carrying ``decimals`` decimals, independent of summation order.
+
+    The sum is rounded back to the values' own precision before dividing, so the
+    result does not depend on how partial aggregates were merged.
+    """
+    v = _c(x) if cond is None else F.when(cond, _c(x))
+    return rnd(F.sum(v), decimals) / F.count(v)
+
+
 def clip(x, lo, hi) -> Column:
     return F.least(F.greatest(_c(x), _c(lo)), _c(hi))
 

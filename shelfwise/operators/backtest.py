@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.config import BACKTEST_START_WEEK
-from shelfwise.functions.columns import clip
+from shelfwise.functions.columns import clip, exact_avg
 
 SERIES = ["sku_id", "region", "customer_tier"]
 BT_COLS = ["sku_id", "region", "customer_tier", "week_num", "realized_price", "unit_cost", "units_sold", "revenue",
@@ -116,8 +116,8 @@ def bt_compare(tagged: DataFrame) -> DataFrame:
     excess = F.when(F.col("excess_inventory_flag"), F.col("ending_inventory") * F.col("unit_cost")).otherwise(0.0)
     return tagged.groupBy("strategy").agg(
         F.sum("revenue").alias("total_revenue"), F.sum("gross_profit").alias("total_gross_profit"),
-        F.avg("gross_margin_pct").alias("avg_gross_margin"), F.sum("units_sold").alias("total_units"),
-        F.avg("weeks_of_cover").alias("avg_weeks_of_cover"),
+        exact_avg(F.col("gross_margin_pct"), 4).alias("avg_gross_margin"), F.sum("units_sold").alias("total_units"),
+        exact_avg(F.col("weeks_of_cover"), 2).alias("avg_weeks_of_cover"),
         F.avg(F.col("stockout_flag").cast("double")).alias("stockout_rate"),
         F.sum(excess).alias("excess_inventory_value"), F.sum("lost_sales_estimate").alias("lost_sales_estimate"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.config import EXCESS_STATUSES, SHORTAGE_STATUSES
+from shelfwise.functions.columns import exact_avg
 
 S3 = ["sku_id", "region", "customer_tier"]
 MOVES = ["Increase", "Decrease"]
@@ -27,7 +28,7 @@ def inv_summary(inv: DataFrame) -> DataFrame:
         F.sum(F.when(st.isin(*EXCESS_STATUSES), F.col("excess_inventory_value")).otherwise(0.0)).alias("excess_inventory_value"),
         F.count(F.when(st.isin(*SHORTAGE_STATUSES), 1)).alias("stockout_risk_skus"),
         F.count(F.when(st == "SLOW_MOVING", 1)).alias("slow_moving_skus"),
-        F.avg("available_weeks_of_cover").alias("avg_weeks_of_cover"),
+        exact_avg(F.col("available_weeks_of_cover"), 2).alias("avg_weeks_of_cover"),
         F.sum("lost_sales_estimate").alias("estimated_lost_sales"))
 
 
@@ -36,7 +37,7 @@ def inv_portfolio_turns(inv: DataFrame, panel: DataFrame) -> DataFrame:
     j = inv.join(cogs, ["sku_id", "region"], "left")
     a = j.agg(F.sum("annual_cogs").alias("annual_cogs"),
               F.sum(F.col("on_hand_inventory") * F.col("unit_cost")).alias("inventory_value"),
-              F.avg("inventory_turns").alias("mean_turns"))
+              exact_avg(F.col("inventory_turns"), 3).alias("mean_turns"))
     return a.withColumn("portfolio_turns", F.when(F.col("inventory_value") > 0,
                                                   F.col("annual_cogs") / F.col("inventory_value")).otherwise(0.0))
 
@@ -100,7 +101,7 @@ def top_by(df: DataFrame, col: str, k: int, keys=S3, absolute: bool = False) ->
 def pricing_kpis(j: DataFrame) -> DataFrame:
     mv = F.col("recommendation_action").isin(*MOVES)
     return j.agg(F.count(F.when(mv, 1)).alias("pricing_opportunities"),
-                 F.coalesce(F.avg(F.when(mv, F.col("price_change_pct"))), F.lit(0.0)).alias("avg_recommended_move"),
+                 F.coalesce(exact_avg(F.col("price_change_pct"), 4, mv), F.lit(0.0)).alias("avg_recommended_move"),
                  F.sum("gross_profit_lift").alias("modeled_margin_lift"),
                  F.avg((F.col("joint_confidence") == "HIGH").cast("double")).alias("high_confidence_share"))
 
@@ -124,7 +125,7 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
 
 
 def competitor_index_by_category(panel: DataFrame) -> DataFrame:
-    return panel.groupBy("category").agg(F.avg("competitor_price_index").alias("competitor_price_index"))
+    return panel.groupBy("category").agg(exact_avg(F.col("competitor_price_index"), 4).alias("competitor_price_index"))
 
 
 def unit_impact(j: DataFrame) -> DataFrame:

@@ -953,8 +953,8 @@ SELECT t.*, d.o, d.i FROM (""" + INVENTORY_ONLY.format(src="bt_s_pricing_only")
     SELECT sku_id, destination_region AS region, 0.0 AS o, transfer_quantity * 0.05 AS i FROM transfers)
   GROUP BY sku_id, region) d USING (sku_id, region))
 """)
-CMP = """sum(revenue) AS total_revenue, sum(gross_profit) AS total_gross_profit, avg(gross_margin_pct) AS avg_gross_margin,
-  sum(units_sold) AS total_units, avg(weeks_of_cover) AS avg_weeks_of_cover,
+CMP = """sum(revenue) AS total_revenue, sum(gross_profit) AS total_gross_profit, """ + R("sum(gross_margin_pct)", 4) + """ / count(gross_margin_pct) AS avg_gross_margin,
+  sum(units_sold) AS total_units, """ + R("sum(weeks_of_cover)", 2) + """ / count(weeks_of_cover) AS avg_weeks_of_cover,
   avg(CASE WHEN stockout_flag THEN 1.0 ELSE 0.0 END) AS stockout_rate,
   sum(CASE WHEN excess_inventory_flag THEN ending_inventory * unit_cost ELSE 0.0 END) AS excess_inventory_value,
   sum(lost_sales_estimate) AS lost_sales_estimate"""
@@ -1033,7 +1033,7 @@ SELECT sum(on_hand_inventory * unit_cost) AS total_inventory_value,
        sum(CASE WHEN inventory_status IN {EXC} THEN excess_inventory_value ELSE 0.0 END) AS excess_inventory_value,
        count(*) FILTER (WHERE inventory_status IN {SHORT}) AS stockout_risk_skus,
        count(*) FILTER (WHERE inventory_status = 'SLOW_MOVING') AS slow_moving_skus,
-       avg(available_weeks_of_cover) AS avg_weeks_of_cover, sum(lost_sales_estimate) AS estimated_lost_sales
+       """ + R("sum(available_weeks_of_cover)", 2) + """ / count(available_weeks_of_cover) AS avg_weeks_of_cover, sum(lost_sales_estimate) AS estimated_lost_sales
 FROM inv_status""")
 q("inv_summary", f"""SELECT {R4('total_inventory_value')} AS total_inventory_value, {R4('excess_inventory_value')} AS excess_inventory_value,
   stockout_risk_skus, slow_moving_skus, {R4('avg_weeks_of_cover')} AS avg_weeks_of_cover,
@@ -1041,7 +1041,7 @@ q("inv_summary", f"""SELECT {R4('total_inventory_value')} AS total_inventory_val
 cte("inv_turns", ("inv_status", "panel"), """
 SELECT *, CASE WHEN inventory_value > 0 THEN annual_cogs / inventory_value ELSE 0.0 END AS portfolio_turns FROM (
   SELECT sum(c.annual_cogs) AS annual_cogs, sum(i.on_hand_inventory * i.unit_cost) AS inventory_value,
-         avg(i.inventory_turns) AS mean_turns
+         """ + R("sum(i.inventory_turns)", 3) + """ / count(i.inventory_turns) AS mean_turns
   FROM inv_status i LEFT JOIN (SELECT sku_id, region, sum(unit_cost * units_sold) AS annual_cogs FROM panel GROUP BY ALL) c
     USING (sku_id, region))""")
 q("inv_portfolio_turns", f"""SELECT {R('annual_cogs', 2)} AS annual_cogs, {R6('inventory_value')} AS inventory_value,
@@ -1080,7 +1080,7 @@ UNION ALL SELECT inventory_action AS action, count(*) AS count, 'inventory' AS k
 q("top_opportunities", f"""SELECT {S3}, category, {R6('gross_profit_lift')} AS gross_profit_lift, recommendation_action
 FROM joint_out ORDER BY gross_profit_lift DESC, sku_id, region, customer_tier LIMIT 10""", "joint_out")
 q("pricing_kpis", f"""SELECT count(*) FILTER (WHERE mv) AS pricing_opportunities,
-  {R6('coalesce(avg(CASE WHEN mv THEN price_change_pct END), 0.0)')} AS avg_recommended_move,
+  {R6('coalesce(' + R('sum(CASE WHEN mv THEN price_change_pct END)', 4) + ' / count(CASE WHEN mv THEN price_change_pct END), 0.0)')} AS avg_recommended_move,
   {R6('sum(gross_profit_lift)')} AS modeled_margin_lift,
   {R6("avg(CASE WHEN joint_confidence = 'HIGH' THEN 1.0 ELSE 0.0 END)")} AS high_confidence_share
 FROM (SELECT *, recommendation_action IN ('Increase', 'Decrease') AS mv FROM joint_out)""", "joint_out")
@@ -1102,7 +1102,7 @@ GROUP BY bin, lo, hi"""
 
 q("price_change_histogram", hist_sql("joint_out", "price_change_pct", 40), "joint_out")
 q("woc_histogram", hist_sql("inv_status", "available_weeks_of_cover", 30), "inv_status")
-q("competitor_index_by_category", f"""SELECT category, {R6('avg(competitor_price_index)')} AS competitor_price_index
+q("competitor_index_by_category", f"""SELECT category, {R6(R('sum(competitor_price_index)', 4) + ' / count(competitor_price_index)')} AS competitor_price_index
 FROM panel GROUP BY ALL""", "panel")
 q("unit_impact", f"""SELECT {S3}, recommendation_action,
   {R6('predicted_recommended_units - predicted_current_units')} AS unit_impact, {R6('gross_profit_lift')} AS gross_profit_lift
@@ -1161,7 +1161,7 @@ q("conflict_count", """SELECT count(*) FILTER (WHERE pricing_action = 'Decrease'
   ('REPLENISH', 'EXPEDITE_ORDER', 'INTER_REGION_TRANSFER')) AS conflicts FROM joint_out""", "joint_out")
 q("woc_and_status_top5", f"""SELECT inventory_status, count, {R6('w')} AS avg_weeks_of_cover FROM (
   SELECT inventory_status, count(*) AS count FROM inv_status GROUP BY ALL ORDER BY count DESC, inventory_status LIMIT 5),
-  (SELECT avg(available_weeks_of_cover) AS w FROM inv_status)""", "inv_status")
+  (SELECT {R('sum(available_weeks_of_cover)', 2)} / count(available_weeks_of_cover) AS w FROM inv_status)""", "inv_status")
 q("lost_sales_total", f"SELECT {R4('sum(lost_sales_estimate)')} AS lost_sales_total FROM joint_out", "joint_out")
 q("obsolescence_high", "SELECT count(*) FILTER (WHERE obsolescence_risk_score > 0.65) AS high_obsolescence FROM joint_out",
   "joint_out")

@@ -979,7 +979,9 @@ def q_conflict_count(spark, sf):
 def q_woc_and_status_top5(spark, sf):
     inv = _inv(spark, sf)
     top = rp.inv_status_distribution(inv).orderBy(F.desc("count"), "inventory_status").limit(5)
-    return _rnd(top.crossJoin(inv.agg(F.avg("available_weeks_of_cover").alias("avg_weeks_of_cover"))), 6)
+    from shelfwise.functions.columns import exact_avg
+    woc = inv.agg(exact_avg(F.col("available_weeks_of_cover"), 2).alias("avg_weeks_of_cover"))
+    return _rnd(top.crossJoin(woc), 6)
 
 
 @query("lost_sales_total")
