@@ -179,12 +179,13 @@ WHERE t.split = 'test'
 q("baseline_seasonal_naive", f"SELECT {K}, actual, baseline_pred FROM bl", "bl")
 
 MET = {
-    "mae": "avg(abs({y} - {p}))",
-    "rmse": "sqrt(avg(({y} - {p}) * ({y} - {p})))",
-    "wape": "CASE WHEN sum(abs({y})) = 0 THEN 0.0 ELSE sum(abs({y} - {p})) / sum(abs({y})) END",
+    "mae": R("sum(abs({y} - {p}))", 2) + " / count(abs({y} - {p}))",
+    "rmse": "sqrt(" + R("sum(({y} - {p}) * ({y} - {p}))", 4) + " / count({y} - {p}))",
+    "wape": ("CASE WHEN " + R("sum(abs({y}))", 2) + " = 0 THEN 0.0 ELSE " + R("sum(abs({y} - {p}))", 2)
+             + " / " + R("sum(abs({y}))", 2) + " END"),
     "rmsle": "sqrt(avg((ln(1 + greatest({y}, 0.0)) - ln(1 + greatest({p}, 0.0))) * "
              "(ln(1 + greatest({y}, 0.0)) - ln(1 + greatest({p}, 0.0)))))",
-    "bias": "avg({p} - {y})",
+    "bias": R("sum({p} - {y})", 2) + " / count({p} - {y})",
 }
 for _m, _e in MET.items():
     q("metric_" + _m, f"SELECT {R6(_e.format(y='actual', p='baseline_pred'))} AS {_m} FROM bl", "bl")

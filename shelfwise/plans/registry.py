@@ -215,7 +215,8 @@ def q_predict_batch(spark, sf):
 def _metric(spark, sf, which):
     from shelfwise.operators import metrics as mt
     d = _baseline(spark, sf)
-    return d.agg(r6(mt.METRICS[which](F.col("actual"), F.col("baseline_pred"))).alias(which.lower()))
+    # actual and baseline are cent values: 2-decimal exact sums make the aggregate order-independent
+    return d.agg(r6(mt.METRICS[which](F.col("actual"), F.col("baseline_pred"), 2)).alias(which.lower()))
 
 
 for _m in ("MAE", "RMSE", "WAPE", "RMSLE", "Bias"):
@@ -226,7 +227,7 @@ for _m in ("MAE", "RMSE", "WAPE", "RMSLE", "Bias"):
 def q_metrics_all(spark, sf):
     from shelfwise.operators import metrics as mt
     d = _baseline(spark, sf)
-    out = mt.metrics_all(d, "actual", "baseline_pred", ["category"])
+    out = mt.metrics_all(d, "actual", "baseline_pred", ["category"], decimals=2)
     return out.withColumns({c: r6(F.col(c)) for c in ("mae", "rmse", "wape", "rmsle", "bias")})
 
 
@@ -234,8 +235,8 @@ def q_metrics_all(spark, sf):
 def q_baseline_improvement(spark, sf):
     from shelfwise.operators import metrics as mt
     d = _baseline(spark, sf)
-    w_base = mt.METRICS["WAPE"](F.col("actual"), F.col("baseline_pred"))
-    w_lag = mt.METRICS["WAPE"](F.col("actual"), F.col("lag_1_units"))
+    w_base = mt.METRICS["WAPE"](F.col("actual"), F.col("baseline_pred"), 2)
+    w_lag = mt.METRICS["WAPE"](F.col("actual"), F.col("lag_1_units"), 2)
     a = d.agg(w_base.alias("baseline_wape"), w_lag.alias("model_wape"))
     return a.select(r6(F.col("baseline_wape")).alias("baseline_wape"), r6(F.col("model_wape")).alias("model_wape"),
                     r6(mt.baseline_improvement(F.col("baseline_wape"), F.col("model_wape"))).alias("wape_improvement"))
