@@ -3,13 +3,13 @@
 #: The whole ledger, with windows compared as strings of words.
 QUALITY_RULES = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
-w AS (SELECT rid, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM d),
+w AS (SELECT rid, doc_id, t, [x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM d),
 pos AS (SELECT rid, w, unnest(generate_series(1, len(w) - 7)) AS i FROM w WHERE len(w) >= 8),
 win AS (SELECT rid, i, array_to_string(list_slice(w, i, i + 7), ' ') AS k FROM pos),
 rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS c FROM win) WHERE c > 1),
 cov AS (SELECT rid, count(*) AS n FROM (SELECT DISTINCT rid, i + j AS p FROM rep, (SELECT unnest(generate_series(0, 7)) AS j)) GROUP BY rid),
 stu AS (SELECT rid, count(*) AS n FROM (SELECT rid, unnest(list_slice(w, 1, len(w) - 1)) AS a, unnest(list_slice(w, 2, len(w))) AS b FROM w WHERE len(w) > 1) WHERE a = b GROUP BY rid),
-l AS (SELECT rid, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+l AS (SELECT rid, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l FROM d),
 m AS (SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
   CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
   CAST(length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS BIGINT) AS n_upper,
