@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import oracle, quality_rules
+from shelfwise.llm import byte_bpe, oracle, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +24,22 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        base.alias("base_failed"), "kept", "fail_bits")
 
 
+def tokenizer() -> tuple[str, str]:
+    """(rank file, splitting pattern) of the installed public tokenizer."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded and decoded; digests of the ids and of the decoded bytes."""
+    rows = byte_bpe.round_trip(_read(spark, sf_dir, "documents"), *tokenizer())
+    return rows.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op7_byte_bpe": op7_byte_bpe,
 }
 
 SQL: dict[str, str] = {
