@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import byte_bpe, oracle, quality_rules
+from shelfwise.llm import byte_bpe, oracle, quality_rules, substring_dedup, warc
+from shelfwise.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,9 +38,26 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, read back, indexed, and fetched through the index."""
+    pages = _read(spark, sf_dir, "pages")
+    captures = stored(warc.read_archives(spark, warc.write_archives(pages)), "captures")
+    found = warc.lookup(warc.build_index(captures), captures)
+    return warc.fetch(found).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key",
+                                    "record_offset", "record_length")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that repeat an earlier document, removed from every document."""
+    rows = substring_dedup.dedup(_read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_warc": op8_warc,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {
