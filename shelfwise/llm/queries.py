@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import byte_bpe, oracle, quality_rules, substring_dedup, warc
+from shelfwise.llm import brown_lm, byte_bpe, oracle, quality_rules, substring_dedup, warc
 from shelfwise.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,14 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram model of four fifths of the documents; every document scored."""
+    docs = _read(spark, sf_dir, "documents")
+    rows = brown_lm.score(docs, brown_lm.fit(docs.where(brown_lm.in_training(F.col("doc_id")))))
+    return rows.select("doc_id", (~brown_lm.in_training(F.col("doc_id"))).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                       "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC records, read back, indexed, and fetched through the index."""
     pages = _read(spark, sf_dir, "pages")
@@ -55,6 +63,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_brown_lm": op4_brown_lm,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
     "op10_substring_dedup": op10_substring_dedup,
