@@ -23,3 +23,26 @@ b AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_wo
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
   (fail_bits & 3) <> 0 AS base_failed, (fail_bits & 255) = 0 AS kept, fail_bits FROM b
 """
+
+#: List events replayed per entry; a capture takes the last event on or before its fetch date.
+URL_FILTERS = r"""
+WITH p AS (SELECT row_number() OVER () AS c, page_id, url, DATE '2023-01-01' + CAST(((page_id % 730) + 730) % 730 AS INTEGER) AS fetched_on,
+  lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+  regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+s AS (SELECT *, string_split(host, '.') AS l, [x FOR x IN string_split(path, '/') IF x <> ''] AS g FROM p WHERE host <> ''),
+k AS (SELECT DISTINCT c, key FROM (
+  SELECT c, 'host:' || array_to_string(list_slice(l, i, len(l)), '.') AS key FROM s, LATERAL (SELECT unnest(generate_series(1, len(l))) AS i)
+  UNION ALL SELECT c, 'path:' || host || '/' || array_to_string(list_slice(g, 1, i), '/') FROM s, LATERAL (SELECT unnest(generate_series(1, least(len(g), 3))) AS i)
+  UNION ALL SELECT c, 'url:' || host || '/' || array_to_string(g, '/') FROM s)),
+n AS (SELECT key, CAST('0x' || substr(md5(key), 1, 8) AS BIGINT) AS n FROM (SELECT DISTINCT key FROM k)),
+a AS (SELECT key, n, DATE '2022-10-01' + CAST(n // 4 % 700 AS INTEGER) AS added, CASE WHEN n // 16 % 3 = 0 THEN 'allow' ELSE 'block' END AS effect FROM n WHERE n % 4 = 0),
+e AS (SELECT key, effect, added AS day, true AS on_ FROM a
+  UNION ALL SELECT key, effect, added + CAST(20 + n // 64 % 90 AS INTEGER), false FROM a
+  UNION ALL SELECT key, effect, added + CAST(150 + n // 256 % 90 AS INTEGER), true FROM a),
+m AS (SELECT c, key, effect FROM (
+  SELECT k.c, k.key, e.effect, e.on_, row_number() OVER (PARTITION BY k.c, k.key ORDER BY e.day DESC, e.on_ DESC) AS r
+  FROM k JOIN p USING (c) JOIN e ON e.key = k.key AND e.day <= p.fetched_on) WHERE r = 1 AND on_),
+f AS (SELECT c, count(*) FILTER (effect = 'block') AS b, count(*) FILTER (effect = 'allow') AS w, min(key) FILTER (effect = 'block') AS first_entry FROM m GROUP BY c)
+SELECT page_id, CAST(fetched_on AS VARCHAR) AS fetched_on, coalesce(b, 0) AS n_block, coalesce(w, 0) AS n_allow, first_entry, coalesce(b, 0) > 0 AND coalesce(w, 0) = 0 AS blocked
+FROM p LEFT JOIN f USING (c)
+"""

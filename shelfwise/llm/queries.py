@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import brown_lm, byte_bpe, oracle, quality_rules, substring_dedup, warc
+from shelfwise.llm import brown_lm, byte_bpe, co_training, oracle, quality_rules, substring_dedup, url_filters, warc
 from shelfwise.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op6_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both views fitted on the labels; every document scored."""
+    return co_training.train_and_score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded; digests of the ids and of the decoded bytes."""
     rows = byte_bpe.round_trip(_read(spark, sf_dir, "documents"), *tokenizer())
@@ -38,6 +43,32 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def fetch_dates(pages: DataFrame) -> DataFrame:
+    """Captures of the pages: the tables hold no fetch dates, so ids are dealt over two years."""
+    return pages.select("page_id", "url", F.date_add(F.lit("2023-01-01").cast("date"), F.pmod("page_id", F.lit(730)).cast("int")).alias("fetched_on"),
+                        F.monotonically_increasing_id().alias("capture"))
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated lists over the hosts, paths and URLs of the pages: a digest of a key says whether it is
+    listed, by which list, and when it is added, removed and added again."""
+    keys = pages.select(F.explode(url_filters.url_keys(F.col("url"))).alias("key")).distinct()
+    n = F.conv(F.substring(F.md5("key"), 1, 8), 16, 10).cast("long")
+    listed = keys.withColumn("n", n).where("n % 4 = 0").withColumn("added", F.expr("date_add(date'2022-10-01', cast(n div 4 % 700 as int))"))
+    effect = F.when(F.expr("n div 16 % 3 = 0"), "allow").otherwise("block")
+    events = F.array(F.struct(F.lit("add").alias("action"), F.col("added").alias("day")),
+                     F.struct(F.lit("remove").alias("action"), F.expr("date_add(added, cast(20 + n div 64 % 90 as int))").alias("day")),
+                     F.struct(F.lit("add").alias("action"), F.expr("date_add(added, cast(150 + n div 256 % 90 as int))").alias("day")))
+    return listed.select(F.expr("split_part(key, ':', 1)").alias("list"), effect.alias("effect"), "key", F.explode(events).alias("e")).select("list", "effect", "key", "e.*")
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every capture under the list entries valid when it was fetched."""
+    pages = _read(spark, sf_dir, "pages")
+    rows = url_filters.verdicts(fetch_dates(pages), url_filters.intervals(list_events(pages)))
+    return rows.select("page_id", F.col("fetched_on").cast("string").alias("fetched_on"), "n_block", "n_allow", "first_entry", "blocked")
+
+
 def op4_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class bigram model of four fifths of the documents; every document scored."""
     docs = _read(spark, sf_dir, "documents")
@@ -63,7 +94,9 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_url_filters": op2_url_filters,
     "op4_brown_lm": op4_brown_lm,
+    "op6_co_training": op6_co_training,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
     "op10_substring_dedup": op10_substring_dedup,
@@ -71,4 +104,5 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op1_quality_rules": oracle.QUALITY_RULES,
+    "op2_url_filters": oracle.URL_FILTERS,
 }
