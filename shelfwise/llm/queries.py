@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import brown_lm, byte_bpe, co_training, oracle, quality_rules, substring_dedup, url_filters, warc
+from shelfwise.llm import brown_lm, byte_bpe, co_training, line_dedup, oracle, quality_rules, substring_dedup, url_filters, warc
 from shelfwise.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "record_offset", "record_length")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat, exactly or nearly, an earlier line of the corpus."""
+    return line_dedup.report(_read(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that repeat an earlier document, removed from every document."""
     rows = substring_dedup.dedup(_read(spark, sf_dir, "documents"))
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op6_co_training": op6_co_training,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
+    "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
