@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import brown_lm, byte_bpe, co_training, line_dedup, oracle, quality_rules, substring_dedup, url_filters, warc
+from shelfwise.llm import brown_lm, byte_bpe, co_training, decontaminate, line_dedup, oracle, quality_rules, substring_dedup, url_filters, warc
 from shelfwise.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, copied or edited, with the aligned words."""
+    return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def fetch_dates(pages: DataFrame) -> DataFrame:
     """Captures of the pages: the tables hold no fetch dates, so ids are dealt over two years."""
     return pages.select("page_id", "url", F.date_add(F.lit("2023-01-01").cast("date"), F.pmod("page_id", F.lit(730)).cast("int")).alias("fetched_on"),
@@ -100,6 +105,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
+    "op3_decontaminate": op3_decontaminate,
     "op4_brown_lm": op4_brown_lm,
     "op6_co_training": op6_co_training,
     "op7_byte_bpe": op7_byte_bpe,
