@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import brown_lm, byte_bpe, co_training, decontaminate, line_dedup, oracle, quality_rules, substring_dedup, url_filters, warc
+from shelfwise.llm import brown_lm, byte_bpe, co_training, decontaminate, jaccard_join, line_dedup, oracle, quality_rules, substring_dedup, url_filters, warc
 from shelfwise.llm.common import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by the Jaccard similarity of their 4-word shingles."""
+    return jaccard_join.join_groups(_read(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op6_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both views fitted on the labels; every document scored."""
     return co_training.train_and_score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
@@ -107,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filters": op2_url_filters,
     "op3_decontaminate": op3_decontaminate,
     "op4_brown_lm": op4_brown_lm,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_co_training": op6_co_training,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_warc": op8_warc,
