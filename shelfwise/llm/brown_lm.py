@@ -262,7 +262,8 @@ def best_class(m: np.ndarray, a: int, right: np.ndarray, left: np.ndarray, own:
     rows = _xlogx(rest + right[None, :]) - base
     cols = _xlogx(rest + left[:, None]) - base
     diag = _xlogx(rest[d, d] + right + left + own) - base[d, d]
-    n = rest.sum(axis=1)
+    n = m.sum(axis=1)  # tokens by class
+    n[a] -= size
     gain = rows.sum(axis=1) - rows[d, d] + cols.sum(axis=0) - cols[d, d] + diag - 2 * (_xlogx(n + size) - _xlogx(n))
     gain = gain[:-1]  # the last class is the end's own
     best = int(gain.argmax())
