@@ -5,30 +5,13 @@ All are narrow transformations: no shuffle, whole-stage codegen only.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions.columns import r2, r4, safe_div
-from shelfwise.sources.driver_tables import SEASONAL_PEAK
+from shelfwise.functions.columns import exact_avg, r2, r4, safe_div
 
 KEY = ["sku_id", "region", "customer_tier", "week_num"]
 
-# fixed values: demand factor per driver region (in region-key order), tier
-# price sensitivity, and base tier discounts
-REGION_DEMAND_FACTORS = {"AFRICA": 0.75, "AMERICA": 0.90, "ASIA": 1.05, "EUROPE": 1.20, "MIDDLE EAST": 1.35}
-TIER_SENSITIVITY = {"Retail": 0.85, "Trade": 1.0, "Fleet": 1.15}
-TIER_BASE_DISCOUNT = {"Retail": 0.0, "Trade": 0.08, "Fleet": 0.15}
-
-
-def _map(col: Column, mapping: dict, default) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = F.when(col == k, F.lit(v)) if expr is None else expr.when(col == k, F.lit(v))
-    return expr.otherwise(F.lit(default))
-
-
 def sales_financials(df: DataFrame) -> DataFrame:
     """revenue, cogs, gross profit and margin from price, cost and units."""
     rev = r2(F.col("realized_price") * F.col("units_sold"))
@@ -56,9 +39,8 @@ def competitor_index(df: DataFrame) -> DataFrame:
         F.when(F.col("competitor_price") > 0, F.col("realized_price") / F.col("competitor_price")).otherwise(1.0))
 
 
-def panel_stock_flags(df: DataFrame, products: DataFrame) -> DataFrame:
+def stock_flags(df: DataFrame) -> DataFrame:
     """stockout = ending<5 and lost>0; excess = woc>16; slow = woc>20 and units < .3 base demand."""
-    df = df.join(products.select("sku_id", "base_demand"), "sku_id", "left")
     return df.withColumns({
         "stockout_flag": (F.col("ending_inventory") < 5) & (F.col("lost_sales_estimate") > 0),
         "excess_inventory_flag": F.col("weeks_of_cover") > 16,
@@ -66,79 +48,70 @@ def panel_stock_flags(df: DataFrame, products: DataFrame) -> DataFrame:
     })
 
 
-def seasonality_index_col(week: Column, strength: Column, category: Column) -> Column:
-    peak = F.lit(1)
-    for cat, wk in SEASONAL_PEAK.items():
-        peak = F.when(category == cat, F.lit(wk)).otherwise(peak)
-    phase = F.lit(2 * math.pi) * (week - peak) / 52.0
-    return F.when(strength <= 0, F.lit(1.0)).otherwise(F.lit(1.0) + strength * 0.5 * F.cos(phase))
+def panel_stock_flags(df: DataFrame, products: DataFrame) -> DataFrame:
+    return stock_flags(df.join(products.select("sku_id", "base_demand"), "sku_id", "left"))
 
 
-def seasonality_index(df: DataFrame, products: DataFrame) -> DataFrame:
-    df = df.join(products.select("sku_id", "seasonality_strength"), "sku_id", "left")
-    return df.withColumn(
-        "seasonality_index",
-        seasonality_index_col(F.col("week_num"), F.col("seasonality_strength"), F.col("category")))
+# Demand drivers are measured from the panel's own demand: each is the mean demand of a slice over
+# the mean demand of what the slice is part of. Every aggregate is bounded by the dimensions.
+
+def _relative(df: DataFrame, part: list[str], whole: list[str], name: str) -> DataFrame:
+    a = df.groupBy(*part).agg(F.avg("latent_demand").alias("_part"))
+    b = df.groupBy(*whole).agg(F.avg("latent_demand").alias("_whole"))
+    both = a.join(b, whole) if whole else a.join(F.broadcast(b))  # b is one row
+    return both.select(*part, safe_div(F.col("_part"), F.col("_whole"), 1.0).alias(name))
 
 
-def lifecycle_factor_col(stage: Column, age: Column) -> Column:
-    return (
-        F.when(stage == "New", F.least(F.lit(1.0), F.lit(0.3) + age * 0.05))
-        .when(stage == "Growth", F.lit(1.0) + F.least(F.lit(0.3), age * 0.003))
-        .when(stage == "Decline", F.greatest(F.lit(0.4), F.lit(1.0) - (age - 130) * 0.005))
-        .otherwise(1.0)
-    )
+def seasonality_index(df: DataFrame) -> DataFrame:
+    """Category demand in the calendar month of the period over the category's demand."""
+    df = df.withColumn("_month", F.month("week_start"))
+    index = _relative(df, ["category", "_month"], ["category"], "seasonality_index")
+    return df.join(index.withColumn("seasonality_index", r4(F.col("seasonality_index"))), ["category", "_month"]).drop("_month")
 
 
-def lifecycle_factor(df: DataFrame, products: DataFrame) -> DataFrame:
-    """Demand factor by stage, with the product's age advanced by the week index."""
-    p = products.select("sku_id", "lifecycle_stage", "product_age_weeks")
-    df = df.join(p, "sku_id", "left")
-    age = F.col("product_age_weeks") + F.col("week_num") - 1
-    return df.withColumn("lifecycle_factor", lifecycle_factor_col(F.col("lifecycle_stage"), age))
+def economic_index(df: DataFrame) -> DataFrame:
+    """Total demand of the period over the mean period's."""
+    weeks = df.groupBy("week_num").agg(F.sum("latent_demand").alias("_units"))
+    mean = weeks.agg((F.sum("_units") / F.count(F.lit(1))).alias("_mean"))
+    index = weeks.join(F.broadcast(mean)).select("week_num", r4(safe_div(F.col("_units"), F.col("_mean"), 1.0)).alias("economic_demand_index"))
+    return df.join(index, "week_num")
 
 
-def lifecycle_stage_col(age: Column, growth: Column) -> Column:
-    """age <26 New; <78 Growth when ``growth`` else Mature; <130 Mature; else Decline."""
-    return (
-        F.when(age < 26, "New")
-        .when(age < 78, F.when(growth, "Growth").otherwise("Mature"))
-        .when(age < 130, "Mature")
-        .otherwise("Decline")
-    )
+def lifecycle_stage(df: DataFrame) -> DataFrame:
+    """Per SKU: first period, demand in the earlier and later half of the time, and the stage.
 
+    New: first sold in the later half; Growth / Decline: the later half sold over 1.1 / under 0.9
+    times the earlier; else Mature.
+    """
+    half = F.broadcast(df.agg(F.floor(F.max("week_num") / 2).alias("_half")))  # one row
+    early = F.col("week_num") <= F.col("_half")
+    sums = df.join(half).groupBy("sku_id").agg(
+        F.min("week_num").alias("first_week"), F.max("_half").alias("_half"),
+        F.sum(F.when(early, F.col("latent_demand")).otherwise(0.0)).alias("early_units"),
+        F.sum(F.when(early, 0.0).otherwise(F.col("latent_demand"))).alias("late_units"))
+    stage = (F.when(F.col("first_week") > F.col("_half"), "New").when(10 * F.col("late_units") > 11 * F.col("early_units"), "Growth")
+             .when(10 * F.col("late_units") < 9 * F.col("early_units"), "Decline").otherwise("Mature"))
+    return sums.select("sku_id", "first_week", "early_units", "late_units", stage.alias("lifecycle_stage"))
 
-def lifecycle_stage(products: DataFrame, growth_col: str = "growth_flag") -> DataFrame:
-    return products.withColumn("lifecycle_stage", lifecycle_stage_col(F.col("product_age_weeks"), F.col(growth_col)))
+
+def lifecycle_factor(df: DataFrame) -> DataFrame:
+    """The SKU's demand in each year of 16 periods over its demand in all."""
+    df = df.withColumn("_year", F.floor((F.col("week_num") - 1) / 16))
+    return df.join(_relative(df, ["sku_id", "_year"], ["sku_id"], "lifecycle_factor"), ["sku_id", "_year"]).drop("_year")
 
 
 def tier_price(df: DataFrame, list_price_col: str = "regular_price") -> DataFrame:
-    disc = _map(F.col("customer_tier"), TIER_BASE_DISCOUNT, 0.0)
-    return df.withColumn("tier_price", r2(F.col(list_price_col) * (F.lit(1.0) - disc)))
-
-
-def economic_index(df: DataFrame, noise_col: str | None = None) -> DataFrame:
-    base = F.lit(1.0) + F.lit(0.05) * F.sin(F.lit(2 * math.pi) * F.col("week_num") / 52.0)
-    if noise_col:
-        base = base + F.col(noise_col)
-    return df.withColumn("economic_demand_index", base)
-
-
-def latent_demand_model(df: DataFrame, products: DataFrame, noise_col: str | None = None) -> DataFrame:
-    """Structural demand: base x region x price response x season x lifecycle x promo x competitor x economy."""
-    p = products.select("sku_id", "base_demand", "true_price_elasticity", "lifecycle_stage", "product_age_weeks")
-    df = df.join(p, "sku_id", "left")
-    region_f = _map(F.col("region"), REGION_DEMAND_FACTORS, 1.0)
-    tier_s = _map(F.col("customer_tier"), TIER_SENSITIVITY, 1.0)
-    ratio = F.when(F.col("regular_price") > 0, F.col("realized_price") / F.col("regular_price")).otherwise(1.0)
-    response = F.pow(ratio, F.col("true_price_elasticity") * tier_s)
-    promo = F.when(F.col("promotion_flag"), F.lit(1.0) + F.col("promotion_depth") * 1.5).otherwise(1.0)
-    comp = F.greatest(F.lit(0.5), F.lit(1.0) - F.greatest(F.lit(0.0), F.col("competitor_price_index") - 1.0) * 0.5)
-    life = lifecycle_factor_col(F.col("lifecycle_stage"), F.col("product_age_weeks") + F.col("week_num") - 1)
-    demand = (F.col("base_demand") * region_f * response * F.col("seasonality_index") * life * promo * comp
-              * F.col("economic_demand_index"))
-    if noise_col:
-        demand = demand * F.col(noise_col)
+    """List price less the mean discount of the tier."""
+    disc = df.groupBy("customer_tier").agg(exact_avg(F.col("customer_tier_discount_pct"), 4).alias("_disc"))
+    return df.join(disc, "customer_tier").withColumn("tier_price", r2(F.col(list_price_col) * (F.lit(1.0) - F.col("_disc")))).drop("_disc")
+
+
+def latent_demand_model(df: DataFrame, products: DataFrame) -> DataFrame:
+    """Expected demand: base demand x region, season, economy and lifecycle as measured."""
+    region = _relative(df, ["region"], [], "_region")
+    df = lifecycle_factor(df.join(products.select("sku_id", "base_demand"), "sku_id", "left").join(region, "region"))
+    demand = (F.col("base_demand") * F.col("_region") * F.col("seasonality_index") * F.col("economic_demand_index")
+              * F.col("lifecycle_factor"))
     return df.withColumn("modeled_latent_demand", F.greatest(F.lit(0.0), demand))
 
 

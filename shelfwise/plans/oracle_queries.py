@@ -44,50 +44,34 @@ FROM panel LEFT JOIN products p USING (sku_id)
 """, "panel", "products")
 
 q("seasonality_index", f"""
-SELECT {K}, {R6('''CASE WHEN p.seasonality_strength <= 0 THEN 1.0 ELSE 1.0 + p.seasonality_strength * 0.5 *
-   cos(2 * pi() * (week_num - CASE panel.category WHEN 'PROMO' THEN 48 WHEN 'LARGE' THEN 26 ELSE 1 END) / 52.0) END''')}
-   AS seasonality_index
-FROM panel LEFT JOIN products p USING (sku_id)
-""", "panel", "products")
-
-LIFE = """CASE WHEN {st} = 'New' THEN least(1.0, 0.3 + ({a}) * 0.05)
-     WHEN {st} = 'Growth' THEN 1.0 + least(0.3, ({a}) * 0.003)
-     WHEN {st} = 'Decline' THEN greatest(0.4, 1.0 - (({a}) - 130) * 0.005) ELSE 1.0 END"""
+SELECT {K}, {R('avg(latent_demand) OVER (PARTITION BY category, month(week_start)) / avg(latent_demand) OVER (PARTITION BY category)', 4)}
+   AS seasonality_index FROM panel
+""", "panel")
 
 q("lifecycle_factor", f"""
-SELECT {K}, {R6(LIFE.format(st='p.lifecycle_stage', a='p.product_age_weeks + week_num - 1'))} AS lifecycle_factor
-FROM panel LEFT JOIN products p USING (sku_id)
-""", "panel", "products")
+SELECT {K}, {R6('avg(latent_demand) OVER (PARTITION BY sku_id, floor((week_num - 1) / 16)) / avg(latent_demand) OVER (PARTITION BY sku_id)')}
+   AS lifecycle_factor FROM panel
+""", "panel")
 
 q("lifecycle_stage", """
-SELECT sku_id, product_age_weeks, growth_flag,
-       CASE WHEN product_age_weeks < 26 THEN 'New'
-            WHEN product_age_weeks < 78 THEN CASE WHEN growth_flag THEN 'Growth' ELSE 'Mature' END
-            WHEN product_age_weeks < 130 THEN 'Mature' ELSE 'Decline' END AS lifecycle_stage
-FROM (SELECT *, length(sku_id) % 2 = 0 AS growth_flag FROM products)
-""", "products")
-
-TIER_DISC = "CASE customer_tier WHEN 'Trade' THEN 0.08 WHEN 'Fleet' THEN 0.15 ELSE 0.0 END"
+SELECT sku_id, first_week, early_units, late_units, lifecycle_stage FROM o_stage
+""", "o_stage")
+
 q("tier_price", f"""
-SELECT {K}, regular_price, {R(f'regular_price * (1.0 - {TIER_DISC})', 2)} AS tier_price
-FROM panel
+SELECT {K}, regular_price, {R(f"regular_price * (1.0 - {R('sum(customer_tier_discount_pct) OVER t', 4)} / count(*) OVER t)", 2)} AS tier_price
+FROM panel WINDOW t AS (PARTITION BY customer_tier)
 """, "panel")
 
 q("economic_index", f"""
-SELECT {K}, {R6('1.0 + 0.05 * sin(2 * pi() * week_num / 52.0)')} AS economic_demand_index FROM panel
+SELECT {K}, {R('sum(latent_demand) OVER (PARTITION BY week_num) / (sum(latent_demand) OVER () / (SELECT count(DISTINCT week_num) FROM panel))', 4)}
+   AS economic_demand_index FROM panel
 """, "panel")
 
 q("latent_demand_model", f"""
-SELECT {K}, {R6('''greatest(0.0, p.base_demand
-   * CASE region WHEN 'AFRICA' THEN 0.75 WHEN 'AMERICA' THEN 0.90 WHEN 'ASIA' THEN 1.05 WHEN 'EUROPE' THEN 1.20
-                 WHEN 'MIDDLE EAST' THEN 1.35 ELSE 1.0 END
-   * pow(CASE WHEN regular_price > 0 THEN realized_price / regular_price ELSE 1.0 END,
-         p.true_price_elasticity * CASE customer_tier WHEN 'Retail' THEN 0.85 WHEN 'Trade' THEN 1.0
-                                                     WHEN 'Fleet' THEN 1.15 ELSE 1.0 END)
-   * seasonality_index * (''' + LIFE.format(st='p.lifecycle_stage', a='p.product_age_weeks + week_num - 1') + ''')
-   * CASE WHEN promotion_flag THEN 1.0 + promotion_depth * 1.5 ELSE 1.0 END
-   * greatest(0.5, 1.0 - greatest(0.0, competitor_price_index - 1.0) * 0.5)
-   * economic_demand_index)''')} AS modeled_latent_demand
+SELECT {K}, {R6('''greatest(0.0, p.base_demand * (avg(latent_demand) OVER (PARTITION BY region) / avg(latent_demand) OVER ())
+   * seasonality_index * economic_demand_index
+   * (avg(latent_demand) OVER (PARTITION BY sku_id, floor((week_num - 1) / 16)) / avg(latent_demand) OVER (PARTITION BY sku_id)))''')}
+   AS modeled_latent_demand
 FROM panel LEFT JOIN products p USING (sku_id)
 """, "panel", "products")
 

@@ -48,165 +48,128 @@ def R(x: str, k: int) -> str:
 
 # ---------------------------------------------------------------- panel adapter
 cte("o_attr", (), """
-SELECT o.o_orderkey, r.r_regionkey AS region_no, r.r_name AS region,
+SELECT o.o_orderkey, CAST(o.o_orderdate AS DATE) AS order_day, r.r_regionkey AS region_no, r.r_name AS region,
        CASE WHEN c.c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN 'Retail'
-            WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 'Fleet' ELSE 'Trade' END AS customer_tier,
-       CAST(floor(date_diff('day', DATE '1995-01-01', CAST(o.o_orderdate AS DATE)) / 23) AS INTEGER) + 1 AS week_num
+            WHEN c.c_mktsegment = 'AUTOMOBILE' THEN 'Fleet' ELSE 'Trade' END AS customer_tier
 FROM orders o
-JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey
-JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN (nation n JOIN region r ON n.n_regionkey = r.r_regionkey) ON c.c_nationkey = n.n_nationkey
 """)
 
-cte("o_sku", (), """
-SELECT p_partkey, p_brand || '|' || p_type AS sku_id, p_type AS category, p_brand AS brand,
-       CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) AS brand_no,
-       CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INTEGER) * 6 +
-       CASE p_type WHEN 'ECONOMY' THEN 0 WHEN 'LARGE' THEN 1 WHEN 'MEDIUM' THEN 2
-                   WHEN 'PROMO' THEN 3 WHEN 'SMALL' THEN 4 WHEN 'STANDARD' THEN 5 ELSE 6 END AS sku_no,
-       p_retailprice
-FROM part
+cte("o_cells", ("o_attr",), """
+SELECT sku_id, region_no, region, customer_tier, week_num, epoch + CAST((week_num - 1) * 23 AS INTEGER) AS week_start,
+       sum(l_quantity) AS latent_demand, count(*) AS n_lines, CAST(sum(disc) AS BIGINT) AS disc_pct_sum,
+       CAST(sum(cents) AS BIGINT) AS value_cents, CAST(sum(cents * (100 - disc)) AS BIGINT) AS net_value,
+       sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS returned,
+       sum(CASE WHEN l_linestatus = 'O' THEN l_quantity ELSE 0.0 END) AS open_units, min(l_suppkey) AS supplier_no
+FROM (
+  SELECT l.*, e.epoch, coalesce(p.p_brand || '|' || p.p_type, 'UNKNOWN|UNKNOWN') AS sku_id, coalesce(a.region_no, -1) AS region_no,
+         coalesce(a.region, 'UNKNOWN') AS region, coalesce(a.customer_tier, 'Trade') AS customer_tier,
+         CAST(floor(date_diff('day', e.epoch, coalesce(a.order_day, CAST(l.l_shipdate AS DATE))) / 23.0) AS INTEGER) + 1 AS week_num,
+         CAST(round(l.l_discount * 100) AS BIGINT) AS disc, CAST(round(l.l_extendedprice * 100) AS BIGINT) AS cents
+  FROM lineitem l
+  LEFT JOIN o_attr a ON l.l_orderkey = a.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  CROSS JOIN (SELECT CAST(min(o_orderdate) AS DATE) AS epoch FROM orders) e
+)
+GROUP BY ALL
 """)
 
-cte("o_cells", ("o_attr", "o_sku"), """
-SELECT k.sku_id, k.category, k.sku_no, a.region_no, a.region, a.customer_tier, a.week_num,
-       sum(l.l_quantity) AS latent_demand, count(*) AS n_lines,
-       sum(CAST(round(l.l_discount * 100) AS BIGINT)) AS disc_pct_sum
-FROM lineitem l
-JOIN o_attr a ON l.l_orderkey = a.o_orderkey
-JOIN o_sku k ON l.l_partkey = k.p_partkey
-WHERE a.week_num BETWEEN 1 AND 104
-GROUP BY ALL
+cte("o_stage", ("o_cells",), """
+SELECT *, CASE WHEN first_week > half THEN 'New' WHEN 10 * late_units > 11 * early_units THEN 'Growth'
+               WHEN 10 * late_units < 9 * early_units THEN 'Decline' ELSE 'Mature' END AS lifecycle_stage
+FROM (SELECT sku_id, min(week_num) AS first_week, max(half) AS half,
+             sum(CASE WHEN week_num <= half THEN latent_demand ELSE 0.0 END) AS early_units,
+             sum(CASE WHEN week_num <= half THEN 0.0 ELSE latent_demand END) AS late_units
+      FROM o_cells CROSS JOIN (SELECT floor(max(week_num) / 2) AS half FROM o_cells) GROUP BY sku_id)
 """)
 
-cte("o_prod", ("o_sku", "o_cells"), """
-SELECT p.*, CAST(price_cents * (55 + sku_no % 20) // 100 AS BIGINT) AS cost_cents,
-       coalesce(d.base_demand, 0.0) AS base_demand,
-       CASE WHEN product_age_weeks < 26 THEN 'New'
-            WHEN product_age_weeks < 78 THEN CASE WHEN sku_no % 5 < 3 THEN 'Growth' ELSE 'Mature' END
-            WHEN product_age_weeks < 130 THEN 'Mature' ELSE 'Decline' END AS lifecycle_stage
-FROM (
-  SELECT sku_id, category, brand, brand_no, sku_no,
-         sum(CAST(round(p_retailprice * 100) AS BIGINT)) // count(*) AS price_cents,
-         4 + (sku_no * 37) % 196 AS product_age_weeks
-  FROM o_sku GROUP BY sku_id, category, brand, brand_no, sku_no
-) p
-LEFT JOIN (SELECT sku_id, """ + R("avg(latent_demand)", 2) + """ AS base_demand FROM o_cells GROUP BY sku_id) d
-  USING (sku_id)
+cte("o_prod", ("o_cells", "o_stage"), """
+SELECT sku_id, coalesce(category, 'UNKNOWN') AS category, coalesce(brand, 'UNKNOWN') AS brand, coalesce(size_sum, 0) AS size_sum,
+       coalesce(n_parts, 1) AS n_parts, coalesce(base_demand, 0.0) AS base_demand, coalesce(lifecycle_stage, 'New') AS lifecycle_stage,
+       coalesce(CAST(floor(value_cents / units) AS BIGINT), retail_sum // n_parts, 0) AS price_cents, first_week, last_week, supplier_no,
+       ['Premium', 'Mid-Tier', 'Economy', 'Private Label'][coalesce(TRY_CAST(regexp_extract(brand, '(\\d+)$', 1) AS INTEGER), 0) % 4 + 1] AS brand_tier
+FROM (SELECT p_brand || '|' || p_type AS sku_id, any_value(p_type) AS category, any_value(p_brand) AS brand,
+             CAST(sum(p_size) AS BIGINT) AS size_sum, CAST(sum(CAST(round(p_retailprice * 100) AS BIGINT)) AS BIGINT) AS retail_sum, count(*) AS n_parts
+      FROM part GROUP BY 1)
+FULL JOIN (SELECT sku_id, """ + R("avg(latent_demand)", 2) + """ AS base_demand, sum(latent_demand) AS units,
+                  CAST(sum(value_cents) AS BIGINT) AS value_cents, min(supplier_no) AS supplier_no FROM o_cells GROUP BY sku_id) USING (sku_id)
+LEFT JOIN (SELECT sku_id, first_week, lifecycle_stage FROM o_stage) USING (sku_id)
+CROSS JOIN (SELECT max(week_num) AS last_week FROM o_cells)
 """)
 
 cte("products", ("o_prod",), """
 SELECT sku_id, category || ' - ' || brand AS product_name, category,
-       category || '-' || CAST(sku_no % 4 AS VARCHAR) AS subcategory,
-       ['Premium', 'Mid-Tier', 'Economy', 'Private Label'][brand_no % 4 + 1] AS brand_tier,
-       brand_no % 4 = 3 AS private_label_flag,
-       cost_cents / 100.0 AS unit_cost,
+       category || CASE WHEN size_sum // n_parts < 24 THEN '-S' WHEN size_sum // n_parts < 28 THEN '-M' ELSE '-L' END AS subcategory,
+       brand_tier, brand_tier = 'Private Label' AS private_label_flag,
+       (price_cents * 60 // 100) / 100.0 AS unit_cost,
        price_cents / 100.0 AS regular_retail_price,
-       (10 + sku_no % 11) / 100.0 AS minimum_margin_pct,
-       (price_cents * (85 + sku_no % 14) // 100) / 100.0 AS minimum_advertised_price,
-       'Supplier-' || CAST(sku_no % 4 AS VARCHAR) AS supplier,
-       CAST(3 + (sku_no * 7) % 42 AS INTEGER) AS lead_time_days,
-       CAST([1, 1, 1, 6, 12, 24][brand_no % 6 + 1] AS INTEGER) AS case_pack,
-       CAST(product_age_weeks AS INTEGER) AS product_age_weeks,
+       CASE brand_tier WHEN 'Premium' THEN 0.20 WHEN 'Mid-Tier' THEN 0.15 WHEN 'Economy' THEN 0.10 ELSE 0.12 END::DOUBLE AS minimum_margin_pct,
+       (price_cents * 85 // 100) / 100.0 AS minimum_advertised_price,
+       'Supplier-' || CAST(coalesce(supplier_no, 0) AS VARCHAR) AS supplier,
+       CAST(CASE brand_tier WHEN 'Premium' THEN 28 WHEN 'Mid-Tier' THEN 14 WHEN 'Economy' THEN 7 ELSE 42 END AS INTEGER) AS lead_time_days,
+       CAST([1, 6, 12, 24][size_sum % 4 + 1] AS INTEGER) AS case_pack,
+       CAST(coalesce((last_week - first_week + 1) * 23 // 7, 0) AS INTEGER) AS product_age_weeks,
        lifecycle_stage, base_demand,
-       -(30 + sku_no % 120) / 100.0 AS true_price_elasticity,
-       CASE WHEN category IN ('PROMO', 'LARGE') THEN (20 + sku_no % 41) / 100.0 ELSE 0.0 END AS seasonality_strength,
-       """ + R("(cost_cents / 100.0) * (2 + sku_no % 7) / 100.0", 4) + """ AS inventory_holding_cost,
-       (1 + (sku_no * 11) % 30) / 100.0 AS obsolescence_risk,
-       CAST([1, 1, 6, 12, 24][(sku_no * 3) % 5 + 1] AS INTEGER) AS minimum_order_quantity
+       CAST(NULL AS DOUBLE) AS true_price_elasticity, CAST(NULL AS DOUBLE) AS seasonality_strength,
+       """ + R("((price_cents * 60 // 100) / 100.0) * 0.04", 4) + """ AS inventory_holding_cost,
+       CASE lifecycle_stage WHEN 'New' THEN 0.02 WHEN 'Growth' THEN 0.05 WHEN 'Mature' THEN 0.10 ELSE 0.25 END::DOUBLE AS obsolescence_risk,
+       CAST([1, 6, 12, 24][size_sum % 4 + 1] AS INTEGER) AS minimum_order_quantity
 FROM o_prod
 """)
 
-cte("o_p1", ("o_cells", "o_prod"), """
-SELECT c.*, p.price_cents, p.cost_cents, p.base_demand,
-       CASE WHEN c.category IN ('PROMO', 'LARGE') THEN (20 + p.sku_no % 41) / 100.0 ELSE 0.0 END AS strength,
-       t.tier_no,
-       (c.sku_no * 13 + c.region_no * 7 + t.tier_no * 3 + c.week_num * 11) % 100 AS m,
-       (c.sku_no + c.week_num * 3 + c.region_no + t.tier_no) % 12 = 0 AS promotion_flag
-FROM o_cells c
-JOIN o_prod p USING (sku_id)
-JOIN (VALUES ('Retail', 0), ('Trade', 1), ('Fleet', 2)) t(customer_tier, tier_no) USING (customer_tier)
+cte("o_p1", ("o_cells", "o_prod", "products"), """
+SELECT c.*, o.category, o.size_sum, o.price_cents, o.base_demand, p.unit_cost,
+       floor(sum(c.value_cents) OVER m / sum(c.latent_demand) OVER m) / 100.0 AS competitor_price,
+       CAST(floor(c.net_value / (c.latent_demand * 100)) AS BIGINT) AS sold_cents,
+       c.disc_pct_sum >= 8 * c.n_lines AS promotion_flag,
+       """ + R("c.disc_pct_sum / (c.n_lines * 100.0)", 4) + """ AS discount,
+       """ + R("""o.base_demand * [0.0, 0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 12.0, 20.0, 30.0][
+            ((o.size_sum + c.region_no) % 10 + 10) % 10 + 1]::DOUBLE""", 2) + """ AS beginning_inventory
+FROM o_cells c JOIN o_prod o USING (sku_id) JOIN products p USING (sku_id)
+WINDOW m AS (PARTITION BY o.category, c.region, c.week_num)
 """)
 
 cte("o_p2", ("o_p1",), """
-SELECT *,
-  CASE WHEN promotion_flag THEN 'promotion' WHEN m < 4 THEN 'scheduled_review'
-       WHEN m < 7 THEN 'supplier_cost_change' WHEN m < 9 THEN 'random_regional_test'
-       WHEN m < 11 THEN 'tier_discount_policy' WHEN m < 12 THEN 'competitor_response'
-       WHEN m < 13 THEN 'regional_price_test' ELSE 'no_change' END AS price_change_reason,
-  (CASE tier_no WHEN 0 THEN 0 WHEN 1 THEN 800 ELSE 1500 END)
-    + ((disc_pct_sum * 100) // n_lines) // 5 - 100
-    + CASE WHEN m >= 9 AND m < 11 THEN ((sku_no + week_num) % 5 - 2) * 50 ELSE 0 END AS tier_bp,
-  CASE WHEN m < 4 THEN (sku_no * week_num) % 17 - 8
-       WHEN m < 7 THEN (sku_no + week_num) % 16 - 5
-       WHEN m < 9 THEN (region_no * week_num + sku_no) % 21 - 10 ELSE 0 END AS adj,
-  CASE WHEN promotion_flag THEN 5 + (sku_no + week_num) % 16 ELSE 0 END AS depth,
-  tier_no = 2 AND (sku_no + week_num + region_no) % 50 = 0 AS inv,
-  (75 + region_no * 15) / 100.0 AS rf,
-  (sku_no * 7 + region_no * 13 + tier_no * 5 + week_num * 3) % 97 AS k,
-  (sku_no * 3 + region_no * 7) % 10 AS g
+SELECT *, sold_cents / 100.0 AS realized_price, beginning_inventory + returned AS avail,
+       """ + R("least(latent_demand, beginning_inventory + returned)", 2) + """ AS units_sold
 FROM o_p1
 """)
 
 cte("o_p3", ("o_p2",), """
-SELECT *,
-  CASE WHEN inv THEN (p3 * 110) // 100 ELSE p3 END AS p4,
-  CASE WHEN m >= 4 AND m < 7 AND NOT promotion_flag THEN (cost_cents * (95 + m % 13)) // 100 ELSE cost_cents END AS cost_row,
-  CASE WHEN tier_no = 0 THEN price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17) // 100
-       ELSE ((price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17) // 100) * 95) // 100 END AS comp,
-  """ + R("""base_demand * rf * CASE WHEN g = 0 THEN 0.0 WHEN g <= 2 THEN (k % 3) / 4.0
-                                   WHEN g <= 5 THEN k / 16.0 ELSE k / 4.0 END""", 2) + """ AS beginning_inventory
-FROM (
-  SELECT *, ((p1 * (100 + adj)) // 100 * (100 - depth)) // 100 AS p3
-  FROM (SELECT *, (price_cents * (10000 - tier_bp)) // 10000 AS p1 FROM o_p2)
-)
+SELECT *, """ + R("greatest(0.0, latent_demand - avail)", 2) + """ AS lost_sales_estimate,
+       """ + R("greatest(0.0, avail - units_sold)", 2) + """ AS ending_inventory,
+       """ + R("realized_price * units_sold", 2) + """ AS revenue,
+       """ + R("unit_cost * units_sold", 2) + """ AS cogs
+FROM o_p2
 """)
 
 cte("o_p4", ("o_p3",), """
-SELECT *, """ + R("least(latent_demand, avail)", 2) + """ AS units_sold,
-       """ + R("greatest(0.0, latent_demand - avail)", 2) + """ AS lost_sales_estimate
-FROM (
-  SELECT *, beginning_inventory + receipts AS avail FROM (
-    SELECT *, CASE WHEN beginning_inventory < base_demand * 1.5 AND (sku_no + week_num) % 3 = 0 AND g <> 0
-                   THEN """ + R("base_demand * (2 + (sku_no * week_num) % 4)", 2) + """ ELSE 0.0 END AS receipts
-    FROM (SELECT * REPLACE (""" + R("""latent_demand * pow(CASE WHEN price_cents / 100.0 > 0
-            THEN (p4 / 100.0) / (price_cents / 100.0) ELSE 1.0 END,
-            -(30 + sku_no % 120) / 100.0 * CASE tier_no WHEN 0 THEN 0.85 WHEN 1 THEN 1.0 ELSE 1.15 END)""", 2) + """
-          AS latent_demand) FROM o_p3)))
-""")
-
-cte("o_p5", ("o_p4",), """
 SELECT *, """ + R("revenue - cogs", 2) + """ AS gross_profit,
-       CASE WHEN base_demand * rf > 0 THEN """ + R("ending_inventory / (base_demand * rf)", 2) + """ ELSE 999.0 END AS weeks_of_cover
-FROM (
-  SELECT *, p4 / 100.0 AS realized_price, cost_row / 100.0 AS unit_cost,
-         """ + R("(p4 / 100.0) * units_sold", 2) + """ AS revenue,
-         """ + R("(cost_row / 100.0) * units_sold", 2) + """ AS cogs,
-         CASE WHEN receipts > 0 THEN """ + R("receipts * 0.5", 2) + """
-              WHEN g >= 1 AND g <= 2 THEN """ + R("base_demand * ((sku_no * 3 + week_num) % 30) / 2.0", 2) + """
-              WHEN ending_inventory < base_demand THEN """ + R("base_demand * ((sku_no * 3 + week_num) % 30) / 10.0", 2) + """
-              ELSE 0.0 END AS on_order
-  FROM (SELECT *, """ + R("greatest(0.0, avail - units_sold)", 2) + """ AS ending_inventory FROM o_p4))
+       CASE WHEN base_demand > 0 THEN """ + R("ending_inventory / base_demand", 2) + """ ELSE 999.0 END AS weeks_of_cover,
+       CASE WHEN ending_inventory < base_demand THEN open_units ELSE 0.0 END AS on_order
+FROM o_p3
 """)
 
-cte("panel", ("o_p5",), """
-SELECT DATE '2022-01-03' + CAST((week_num - 1) * 7 AS INTEGER) AS week_start,
-       week_num, sku_id, category, region, customer_tier,
-       unit_cost, price_cents / 100.0 AS regular_price, realized_price, comp / 100.0 AS competitor_price,
-       (tier_bp + depth * 100) / 10000.0 AS customer_tier_discount_pct,
-       CASE WHEN comp > 0 THEN """ + R("realized_price / (comp / 100.0)", 4) + """ ELSE 1.0 END AS competitor_price_index,
-       promotion_flag, depth / 100.0 AS promotion_depth,
-       """ + R("""CASE WHEN strength <= 0 THEN 1.0 ELSE 1.0 + strength * 0.5 * cos(2 * pi() * (week_num -
-            CASE category WHEN 'PROMO' THEN 48 WHEN 'LARGE' THEN 26 ELSE 1 END) / 52.0) END""", 4) + """ AS seasonality_index,
-       """ + R("1.0 + 0.05 * sin(2 * pi() * week_num / 52.0)", 4) + """ AS economic_demand_index,
-       beginning_inventory, receipts, units_sold, CAST(latent_demand AS DOUBLE) AS latent_demand,
+cte("panel", ("o_p4",), """
+SELECT week_start, week_num, sku_id, category, region, customer_tier,
+       unit_cost, price_cents / 100.0 AS regular_price, realized_price, competitor_price,
+       discount AS customer_tier_discount_pct,
+       CASE WHEN competitor_price > 0 THEN """ + R("realized_price / competitor_price", 4) + """ ELSE 1.0 END AS competitor_price_index,
+       promotion_flag, CASE WHEN promotion_flag THEN discount ELSE 0.0 END AS promotion_depth,
+       """ + R("avg(latent_demand) OVER (PARTITION BY category, month(week_start)) / avg(latent_demand) OVER (PARTITION BY category)", 4) + """ AS seasonality_index,
+       """ + R("sum(latent_demand) OVER (PARTITION BY week_num) / (sum(latent_demand) OVER () / (SELECT count(DISTINCT week_num) FROM o_p4))", 4) + """ AS economic_demand_index,
+       beginning_inventory, returned AS receipts, units_sold, CAST(latent_demand AS DOUBLE) AS latent_demand,
        lost_sales_estimate, ending_inventory, on_order, revenue, cogs, gross_profit,
        CASE WHEN revenue > 0 THEN """ + R("gross_profit / revenue", 4) + """ ELSE 0.0 END AS gross_margin_pct,
        weeks_of_cover,
        ending_inventory < 5 AND lost_sales_estimate > 0 AS stockout_flag,
        weeks_of_cover > 16 AS excess_inventory_flag,
        weeks_of_cover > 20 AND units_sold < base_demand * 0.3 AS slow_moving_flag,
-       price_change_reason, m >= 7 AND m < 9 AS price_test_flag,
+       CASE WHEN promotion_flag THEN 'promotion' WHEN 10 * sold_cents < 9 * price_cents THEN 'competitor_response'
+            WHEN 2 * sold_cents > 3 * price_cents THEN 'supplier_cost_change' WHEN n_lines > 1 THEN 'scheduled_review'
+            WHEN customer_tier = 'Fleet' THEN 'tier_discount_policy' ELSE 'no_change' END AS price_change_reason,
+       n_lines > 1 AS price_test_flag,
        'v2.0.0-inventory-engine' AS policy_version
-FROM o_p5
+FROM o_p4
 """)

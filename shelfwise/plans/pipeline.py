@@ -75,7 +75,7 @@ class Pipeline:
 
     @cached_property
     def products(self) -> DataFrame:
-        return self.products_full.drop("sku_no", "price_cents", "cost_cents")
+        return self.products_full.drop("size_sum", "price_cents")
 
     @cached_property
     def panel(self) -> DataFrame:
@@ -161,12 +161,3 @@ class Pipeline:
     def comparison(self) -> DataFrame:
         return bt.bt_lift(bt.bt_compare(self.strategies))
 
-
-def minimum_slice(spark: SparkSession, sf_dir: str, elasticity: float = -1.2) -> DataFrame:
-    """latest_by_key -> candidates -> balanced score -> argmax with a constant elasticity."""
-    p = Pipeline(spark, sf_dir)
-    latest = pr.latest_with_product(pr.latest_by_key(p.panel), p.products).withColumns({
-        "el_estimated_elasticity": F.lit(elasticity), "el_confidence_score": F.lit(0.5)})
-    best = pr.argmax_candidate(pr.simulate_candidates(latest, "balanced"))
-    return best.select("sku_id", "region", "customer_tier", F.col("realized_price").alias("current_price"),
-                       "best_price", "best_score")

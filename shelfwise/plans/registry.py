@@ -71,21 +71,17 @@ def q_panel_stock_flags(spark, sf):
 
 @query("seasonality_index")
 def q_seasonality_index(spark, sf):
-    p = pipe(spark, sf)
-    d = po.seasonality_index(p.panel.drop("seasonality_index"), p.products)
-    return rounded(d.select(*KEY, "seasonality_index"), "seasonality_index")
+    return po.seasonality_index(pipe(spark, sf).panel.drop("seasonality_index")).select(*KEY, "seasonality_index")
 
 
 @query("lifecycle_factor")
 def q_lifecycle_factor(spark, sf):
-    p = pipe(spark, sf)
-    return rounded(po.lifecycle_factor(p.panel, p.products).select(*KEY, "lifecycle_factor"), "lifecycle_factor")
+    return rounded(po.lifecycle_factor(pipe(spark, sf).panel).select(*KEY, "lifecycle_factor"), "lifecycle_factor")
 
 
 @query("lifecycle_stage")
 def q_lifecycle_stage(spark, sf):
-    prods = pipe(spark, sf).products.withColumn("growth_flag", F.length("sku_id") % 2 == 0)
-    return po.lifecycle_stage(prods).select("sku_id", "product_age_weeks", "growth_flag", "lifecycle_stage")
+    return po.lifecycle_stage(pipe(spark, sf).panel)
 
 
 @query("tier_price")
@@ -95,15 +91,13 @@ def q_tier_price(spark, sf):
 
 @query("economic_index")
 def q_economic_index(spark, sf):
-    d = po.economic_index(pipe(spark, sf).panel)
-    return rounded(d.select(*KEY, "economic_demand_index"), "economic_demand_index")
+    return po.economic_index(pipe(spark, sf).panel.drop("economic_demand_index")).select(*KEY, "economic_demand_index")
 
 
 @query("latent_demand_model")
 def q_latent_demand_model(spark, sf):
     p = pipe(spark, sf)
-    d = po.latent_demand_model(p.panel, p.products)
-    return rounded(d.select(*KEY, "modeled_latent_demand"), "modeled_latent_demand")
+    return rounded(po.latent_demand_model(p.panel, p.products).select(*KEY, "modeled_latent_demand"), "modeled_latent_demand")
 
 
 @query("price_inversion_check")

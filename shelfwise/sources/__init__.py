@@ -1,3 +1,3 @@
 from shelfwise.sources.driver_tables import (  # noqa: F401
-    read_table, cell_demand, build_products, build_panel, load_panel_and_products,
+    read_table, cell_demand, build_products, build_panel,
 )

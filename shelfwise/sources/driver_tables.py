@@ -2,47 +2,48 @@
 
 Grain of the panel: (sku_id, region, customer_tier, week_num).
 
-* sku_id = p_brand '|' p_type, category = p_type, region = r_name
+* sku_id = p_brand '|' p_type (``grain="brand_type"``) or p_brand '|' p_type '|' p_partkey
+  (``grain="part"``); category = p_type, region = r_name
 * customer_tier from c_mktsegment (HOUSEHOLD, FURNITURE -> Retail; AUTOMOBILE -> Fleet;
   others -> Trade)
-* week_num = floor(days since 1995-01-01 / 23) + 1, kept for 1..104
-* latent_demand = sum(l_quantity); the tier discount is taken from l_discount
-
-Attributes without a source column (cost, stock, promotions, price-change reasons
-...) are integer-modulus functions of the dense SKU / region / tier numbers and
-the week, followed by the panel derivations (censoring, money, flags).  Money is
-handled in integer cents until the last step so that summation order can never
+* week_num counts periods of 23 days from the first order date; it has no upper bound.
+  week_start is the period's first day. Lines without an order use their ship date.
+* demand, sold price and discount are the lines' own: sum(l_quantity), discounted
+  l_extendedprice per unit, mean l_discount; returned units are receipts, units of open
+  lines are on order, the market price of category x region x period stands for the
+  competitor's. Indexes of season and economy are measured from the demand.
+* Lines, orders or customers without a match are kept under the member UNKNOWN.
+
+The few attributes without a source column are plain rules with the constants below.
+Money is handled in integer cents until the last step so that summation order can never
 change a result.
 
-Scale notes: lineitem is the only large input.  It is joined to the per-order
-attributes (orders x customer x nation x region) on the order key and immediately
-pre-aggregated to (part, region, tier, week) before the part join, so the part
-join and the final aggregate see a bounded number of rows.  Partial aggregation
-runs map-side, so a hot key collapses before the shuffle.
+Scale notes: lineitem is the only large input. It is joined to the per-order attributes on
+the order key and to the SKU of its part, then aggregated once, straight to the panel's
+grain: partial sums collapse hot SKUs before the shuffle. The part side is broadcast by
+measured size; beyond that the shuffle join of a hot part is split by adaptive execution.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.config import POLICY_VERSION
-from shelfwise.functions.columns import r2, r4, safe_div
+from shelfwise.functions.columns import r2, r4
+from shelfwise.operators import panel_ops as po
 
-EPOCH = "1995-01-01"
 PERIOD_DAYS = 23
-MAX_WEEK = 104
-WEEK0 = "2022-01-03"
+UNKNOWN = "UNKNOWN"
 
-# fixed values: category order used for the dense SKU number
-TYPE_ORDER = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-# fixed values: seasonal categories and their peak week
-SEASONAL_PEAK = {"PROMO": 48, "LARGE": 26}
+# attributes without a source: constants chosen so that every policy branch is reachable
 BRAND_TIERS = ["Premium", "Mid-Tier", "Economy", "Private Label"]
-CASE_PACKS = [1, 1, 1, 6, 12, 24]
-MOQS = [1, 1, 6, 12, 24]
+MIN_MARGIN = {"Premium": 0.20, "Mid-Tier": 0.15, "Economy": 0.10, "Private Label": 0.12}
+LEAD_DAYS = {"Premium": 28, "Mid-Tier": 14, "Economy": 7, "Private Label": 42}
+RISK = {"New": 0.02, "Growth": 0.05, "Mature": 0.10, "Decline": 0.25}
+PACKS = [1, 6, 12, 24]
+STOCK_PERIODS = [0.0, 0.25, 0.5, 1.0, 2.0, 4.0, 8.0, 12.0, 20.0, 30.0]
+COST_PCT, MAP_PCT, PROMO_PCT = 60, 85, 8
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,10 +51,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _pick(index: Column, values: list) -> Column:
-    """values[index] for a small fixed list (CASE chain, stays in codegen)."""
+    return F.element_at(F.array(*(F.lit(v) for v in values)), (index + 1).cast("int"))
+
+
+def _by(key: Column, values: dict) -> Column:
     expr = None
-    for i, v in enumerate(values):
-        expr = F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v))
+    for k, v in values.items():
+        expr = F.when(key == k, F.lit(v)) if expr is None else expr.when(key == k, F.lit(v))
     return expr
 
 
@@ -65,274 +69,163 @@ def _tier_of_segment(seg: Column) -> Column:
     )
 
 
-def _tier_index(tier: Column) -> Column:
-    return F.when(tier == "Retail", 0).when(tier == "Trade", 1).otherwise(2)
-
-
-def _sku_number(brand: Column, ptype: Column) -> Column:
-    brand_no = F.regexp_extract(brand, r"(\d+)$", 1).cast("int")
-    type_idx = None
-    for i, t in enumerate(TYPE_ORDER):
-        type_idx = F.when(ptype == t, F.lit(i)) if type_idx is None else type_idx.when(ptype == t, F.lit(i))
-    type_idx = type_idx.otherwise(F.lit(len(TYPE_ORDER)))
-    return brand_no * 6 + type_idx
-
-
 def order_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: region, tier and week (orders x customer x nation x region)."""
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    # pushed into the parquet scan: week_num in 1..104 <=> 0 <= days < 104*23
-    start = F.lit(EPOCH).cast("timestamp")
-    orders = orders.filter(
-        (F.col("o_orderdate") >= start)
-        & (F.col("o_orderdate") < F.lit(EPOCH).cast("date") + F.expr(f"INTERVAL {MAX_WEEK * PERIOD_DAYS} DAYS"))
-    )
+    """Per order: region, tier and order day (orders x customer x nation x region)."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_day"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", F.col("r_regionkey").alias("region_no"), F.col("r_name").alias("region"))
-    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select(
-        "c_custkey", "region_no", "region", _tier_of_segment(F.col("c_mktsegment")).alias("customer_tier"))
-    days = F.datediff(F.to_date("o_orderdate"), F.lit(EPOCH).cast("date"))
-    return orders.join(cust, orders.o_custkey == cust.c_custkey).select(
-        "o_orderkey", "region_no", "region", "customer_tier",
-        (F.floor(days / PERIOD_DAYS) + 1).cast("int").alias("week_num"),
-    )
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey, "left").select(
+        "c_custkey", "region_no", "region", "c_mktsegment")
+    return orders.join(cust, orders.o_custkey == cust.c_custkey, "left").select(
+        "o_orderkey", "order_day", "region_no", "region", _tier_of_segment(F.col("c_mktsegment")).alias("customer_tier"))
 
 
-def sku_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """part -> (p_partkey, sku_id, category, sku_no)."""
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
+def sku_dimension(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> DataFrame:
+    """part -> (p_partkey, sku_id, category, brand, p_size, price_cents)."""
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
+    key = ["p_brand", "p_type"] + (["p_partkey"] if grain == "part" else [])
     return part.select(
         "p_partkey",
-        F.concat_ws("|", "p_brand", "p_type").alias("sku_id"),
+        F.concat_ws("|", *key).alias("sku_id"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
-        _sku_number(F.col("p_brand"), F.col("p_type")).alias("sku_no"),
+        "p_size",
+        F.round(F.col("p_retailprice") * 100).cast("long").alias("retail_cents"),
     )
 
 
-def cell_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Demand per panel cell: latent units, line count and summed discount percent."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
+def cell_demand(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> DataFrame:
+    """Sums of the line items per panel cell: units, value, discount, returned and open units."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
+        F.to_date("l_shipdate").alias("ship_day"))
     attrs = order_attributes(spark, sf_dir)
-    by_part = (
-        li.join(attrs, li.l_orderkey == attrs.o_orderkey)
-        .groupBy("l_partkey", "region_no", "region", "customer_tier", "week_num")
-        .agg(
-            F.sum("l_quantity").alias("qty"),
-            F.count(F.lit(1)).alias("n_lines"),
-            F.sum(F.round(F.col("l_discount") * 100).cast("long")).alias("disc_pct_sum"),
-        )
-    )
-    skus = sku_dimension(spark, sf_dir)
-    return (
-        by_part.join(skus, by_part.l_partkey == skus.p_partkey)
-        .groupBy("sku_id", "category", "brand", "sku_no", "region_no", "region", "customer_tier", "week_num")
-        .agg(
-            F.sum("qty").alias("latent_demand"),
-            F.sum("n_lines").alias("n_lines"),
-            F.sum("disc_pct_sum").alias("disc_pct_sum"),
-        )
+    skus = sku_dimension(spark, sf_dir, grain).select("p_partkey", "sku_id")
+    first = F.broadcast(read_table(spark, sf_dir, "orders").agg(F.to_date(F.min("o_orderdate")).alias("epoch")))  # one row
+    disc = F.round(F.col("l_discount") * 100).cast("long")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    day = F.coalesce("order_day", "ship_day")
+    lines = (li.join(attrs, li.l_orderkey == attrs.o_orderkey, "left").join(skus, li.l_partkey == skus.p_partkey, "left")
+             .join(first))
+    return lines.groupBy(
+        F.coalesce("sku_id", F.lit(f"{UNKNOWN}|{UNKNOWN}")).alias("sku_id"),
+        F.coalesce("region_no", F.lit(-1)).cast("int").alias("region_no"),
+        F.coalesce("region", F.lit(UNKNOWN)).alias("region"),
+        F.coalesce("customer_tier", F.lit("Trade")).alias("customer_tier"),
+        (F.floor(F.datediff(day, "epoch") / PERIOD_DAYS) + 1).cast("int").alias("week_num"),
+        F.date_add("epoch", (F.floor(F.datediff(day, "epoch") / PERIOD_DAYS) * PERIOD_DAYS).cast("int")).alias("week_start"),
+    ).agg(
+        F.sum("l_quantity").alias("latent_demand"),
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(disc).alias("disc_pct_sum"),
+        F.sum(cents).alias("value_cents"),
+        F.sum(cents * (100 - disc)).alias("net_value"),
+        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)).alias("returned"),
+        F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)).alias("open_units"),
+        F.min("l_suppkey").alias("supplier_no"),
     )
 
 
-def build_products(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+def build_products(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None, grain: str = "brand_type") -> DataFrame:
     """Product master, one row per SKU (schema F1)."""
-    skus = sku_dimension(spark, sf_dir)
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    prices = (
-        skus.join(part, "p_partkey")
-        .groupBy("sku_id", "category", "brand", "sku_no")
-        .agg(
-            F.sum(F.round(F.col("p_retailprice") * 100).cast("long")).alias("price_sum"),
-            F.count(F.lit(1)).alias("n_parts"),
-        )
-        .select("sku_id", "category", "brand", "sku_no", F.expr("price_sum div n_parts").alias("price_cents"))
-    )
-    cells = cells if cells is not None else cell_demand(spark, sf_dir)
-    demand = cells.groupBy("sku_id").agg(r2(F.avg("latent_demand")).alias("base_demand"))
-    s = F.col("sku_no")
-    brand_no = F.regexp_extract("brand", r"(\d+)$", 1).cast("int")
-    age = (F.lit(4) + (s * 37) % 196).cast("int")
-    cost_cents = F.expr("(price_cents * (55 + sku_no % 20)) div 100")
-    brand_tier = _pick(brand_no % 4, BRAND_TIERS)
-    lifecycle = (
-        F.when(age < 26, "New")
-        .when(age < 78, F.when(s % 5 < 3, "Growth").otherwise("Mature"))
-        .when(age < 130, "Mature")
-        .otherwise("Decline")
-    )
-    strength = F.when(F.col("category").isin(*SEASONAL_PEAK), (F.lit(20) + s % 41) / 100.0).otherwise(0.0)
-    unit_cost = cost_cents / 100.0
-    return prices.join(demand, "sku_id", "left").select(
+    cells = cells if cells is not None else cell_demand(spark, sf_dir, grain)
+    parts = sku_dimension(spark, sf_dir, grain).groupBy("sku_id").agg(
+        F.first("category").alias("category"), F.first("brand").alias("brand"), F.sum("p_size").alias("size_sum"),
+        F.sum("retail_cents").alias("retail_sum"), F.count(F.lit(1)).alias("n_parts"))
+    last = cells.agg(F.max("week_num").alias("last_week"))
+    stage = po.lifecycle_stage(cells).select("sku_id", "first_week", "lifecycle_stage")
+    sold = cells.groupBy("sku_id").agg(
+        r2(F.avg("latent_demand")).alias("base_demand"), F.sum("latent_demand").alias("units"),
+        F.sum("value_cents").alias("value_cents"), F.min("supplier_no").alias("supplier_no")).join(stage, "sku_id")
+    brand_no = F.coalesce(F.expr(r"try_cast(regexp_extract(brand, '(\\d+)$', 1) as int)"), F.lit(0))
+    d = parts.join(sold, "sku_id", "full").join(F.broadcast(last)).select(
+        "sku_id", "first_week", "last_week", "supplier_no",
+        F.coalesce("category", F.lit(UNKNOWN)).alias("category"), F.coalesce("brand", F.lit(UNKNOWN)).alias("brand"),
+        F.coalesce("size_sum", F.lit(0)).cast("long").alias("size_sum"), F.coalesce("n_parts", F.lit(1)).alias("n_parts"),
+        F.coalesce("base_demand", F.lit(0.0)).alias("base_demand"), F.coalesce("lifecycle_stage", F.lit("New")).alias("lifecycle_stage"),
+        F.coalesce(F.floor(F.try_divide("value_cents", "units")), F.expr("retail_sum div n_parts"), F.lit(0)).cast("long").alias("price_cents"),
+    ).withColumn("brand_tier", _pick(brand_no % 4, BRAND_TIERS))
+    size = F.expr("size_sum div n_parts")
+    unit_cost = F.expr(f"price_cents * {COST_PCT} div 100") / 100.0
+    pack = _pick(F.col("size_sum") % 4, PACKS).cast("int")
+    return d.select(
         "sku_id",
         F.concat(F.col("category"), F.lit(" - "), F.col("brand")).alias("product_name"),
         "category",
-        F.concat(F.col("category"), F.lit("-"), (s % 4).cast("string")).alias("subcategory"),
-        brand_tier.alias("brand_tier"),
-        (brand_tier == "Private Label").alias("private_label_flag"),
+        F.concat(F.col("category"), F.when(size < 24, F.lit("-S")).when(size < 28, F.lit("-M")).otherwise(F.lit("-L"))).alias("subcategory"),
+        "brand_tier",
+        (F.col("brand_tier") == "Private Label").alias("private_label_flag"),
         unit_cost.alias("unit_cost"),
         (F.col("price_cents") / 100.0).alias("regular_retail_price"),
-        ((F.lit(10) + s % 11) / 100.0).alias("minimum_margin_pct"),
-        (F.expr("(price_cents * (85 + sku_no % 14)) div 100") / 100.0).alias("minimum_advertised_price"),
-        F.concat(F.lit("Supplier-"), (s % 4).cast("string")).alias("supplier"),
-        (F.lit(3) + (s * 7) % 42).cast("int").alias("lead_time_days"),
-        _pick(brand_no % 6, CASE_PACKS).cast("int").alias("case_pack"),
-        age.alias("product_age_weeks"),
-        lifecycle.alias("lifecycle_stage"),
-        F.coalesce(F.col("base_demand"), F.lit(0.0)).alias("base_demand"),
-        (-(F.lit(30) + s % 120) / 100.0).alias("true_price_elasticity"),
-        strength.alias("seasonality_strength"),
-        r4(unit_cost * (F.lit(2) + s % 7) / 100.0).alias("inventory_holding_cost"),
-        ((F.lit(1) + (s * 11) % 30) / 100.0).alias("obsolescence_risk"),
-        _pick((s * 3) % 5, MOQS).cast("int").alias("minimum_order_quantity"),
-        s.alias("sku_no"),
-        F.col("price_cents"),
-        cost_cents.alias("cost_cents"),
+        _by(F.col("brand_tier"), MIN_MARGIN).alias("minimum_margin_pct"),
+        (F.expr(f"price_cents * {MAP_PCT} div 100") / 100.0).alias("minimum_advertised_price"),
+        F.concat(F.lit("Supplier-"), F.coalesce("supplier_no", F.lit(0)).cast("string")).alias("supplier"),
+        _by(F.col("brand_tier"), LEAD_DAYS).cast("int").alias("lead_time_days"),
+        pack.alias("case_pack"),
+        F.coalesce(F.expr(f"(last_week - first_week + 1) * {PERIOD_DAYS} div 7"), F.lit(0)).cast("int").alias("product_age_weeks"),
+        "lifecycle_stage",
+        "base_demand",
+        F.lit(None).cast("double").alias("true_price_elasticity"),
+        F.lit(None).cast("double").alias("seasonality_strength"),
+        r4(unit_cost * 0.04).alias("inventory_holding_cost"),
+        _by(F.col("lifecycle_stage"), RISK).alias("obsolescence_risk"),
+        pack.alias("minimum_order_quantity"),
+        "size_sum", "price_cents",
     )
 
 
-def seasonality_index(week: Column, strength: Column, category: Column) -> Column:
-    """1 + .5 * strength * cos(2 pi (week - peak) / 52); 1.0 when strength <= 0."""
-    peak = F.lit(1)
-    for cat, wk in SEASONAL_PEAK.items():
-        peak = F.when(category == cat, F.lit(wk)).otherwise(peak)
-    phase = F.lit(2 * math.pi) * (week - peak) / 52.0
-    return F.when(strength <= 0, F.lit(1.0)).otherwise(F.lit(1.0) + strength * 0.5 * F.cos(phase))
-
-
-def economic_index(week: Column) -> Column:
-    return F.lit(1.0) + F.lit(0.05) * F.sin(F.lit(2 * math.pi) * week / 52.0)
-
-
 def build_panel(cells: DataFrame, products: DataFrame) -> DataFrame:
-    """Weekly sales panel (schema F2) from cell demand and the product master."""
-    p = products.select(
-        "sku_id", "sku_no", "price_cents", "cost_cents", "base_demand", "seasonality_strength")
-    df = cells.drop("sku_no").join(p, "sku_id")
-    s, r, w = F.col("sku_no"), F.col("region_no"), F.col("week_num")
-    t = _tier_index(F.col("customer_tier"))
-    m = (s * 13 + r * 7 + t * 3 + w * 11) % 100
-    promo = (s + w * 3 + r + t) % 12 == 0
+    """Weekly sales panel (schema F2) from the cells' sums and the product master."""
+    p = products.select("sku_id", "category", "size_sum", "price_cents", "base_demand", "unit_cost")
+    df = cells.join(p, "sku_id")
+    market = df.groupBy("category", "region", "week_num").agg(
+        F.floor(F.try_divide(F.sum("value_cents"), F.sum("latent_demand"))).alias("market_cents"))
+    df = df.join(market, ["category", "region", "week_num"])
+    sold = F.coalesce(F.floor(F.try_divide(F.col("net_value"), F.col("latent_demand") * 100)), F.lit(0)).cast("long")
+    df = df.withColumn("sold_cents", sold).withColumn("promotion_flag", F.col("disc_pct_sum") >= PROMO_PCT * F.col("n_lines"))
+    discount = r4(F.col("disc_pct_sum") / (F.col("n_lines") * 100.0))
+    several = F.col("n_lines") > 1
     reason = (
-        F.when(promo, "promotion")
-        .when(m < 4, "scheduled_review")
-        .when(m < 7, "supplier_cost_change")
-        .when(m < 9, "random_regional_test")
-        .when(m < 11, "tier_discount_policy")
-        .when(m < 12, "competitor_response")
-        .when(m < 13, "regional_price_test")
+        F.when(F.col("promotion_flag"), "promotion")
+        .when(10 * F.col("sold_cents") < 9 * F.col("price_cents"), "competitor_response")
+        .when(2 * F.col("sold_cents") > 3 * F.col("price_cents"), "supplier_cost_change")
+        .when(several, "scheduled_review")
+        .when(F.col("customer_tier") == "Fleet", "tier_discount_policy")
         .otherwise("no_change")
     )
-    base_bp = F.when(t == 0, 0).when(t == 1, 800).otherwise(1500)
-    policy_adj = F.when((m >= 9) & (m < 11), ((s + w) % 5 - 2) * 50).otherwise(0)
-    tier_bp = base_bp + F.expr("((disc_pct_sum * 100) div n_lines) div 5") - 100 + policy_adj
-    adj_pct = (
-        F.when(m < 4, (s * w) % 17 - 8)
-        .when(m < 7, (s + w) % 16 - 5)
-        .when(m < 9, (r * w + s) % 21 - 10)
-        .otherwise(0)
-    )
-    depth = F.when(promo, F.lit(5) + (s + w) % 16).otherwise(0)
-    inversion = (t == 2) & ((s + w + r) % 50 == 0)
-    df = df.select(
-        "*",
-        t.alias("tier_no"), m.alias("_m"), promo.alias("promotion_flag"), reason.alias("price_change_reason"),
-        tier_bp.alias("_tier_bp"), adj_pct.alias("_adj"), depth.alias("_depth"), inversion.alias("_inv"),
-    )
-    p1 = F.expr("(price_cents * (10000 - _tier_bp)) div 10000")
-    df = df.withColumn("_p1", p1)
-    df = df.withColumn("_p2", F.expr("(_p1 * (100 + _adj)) div 100"))
-    df = df.withColumn("_p3", F.expr("(_p2 * (100 - _depth)) div 100"))
-    df = df.withColumn("_p4", F.when(F.col("_inv"), F.expr("(_p3 * 110) div 100")).otherwise(F.col("_p3")))
-    cost_row = F.when(
-        (F.col("_m") >= 4) & (F.col("_m") < 7) & ~F.col("promotion_flag"),
-        F.expr("(cost_cents * (95 + _m % 13)) div 100"),
-    ).otherwise(F.col("cost_cents"))
-    comp = F.expr("(price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17)) div 100")
-    comp = F.when(t == 0, comp).otherwise(F.expr(
-        "(((price_cents * (92 + (sku_no * 3 + region_no * 5 + week_num) % 17)) div 100) * 95) div 100"))
-    region_factor = (F.lit(75) + r * 15) / 100.0
-    k = (s * 7 + r * 13 + t * 5 + w * 3) % 97
-    # stock regime per SKU x region: none / thin with large orders / medium / deep
-    regime = (s * 3 + r * 7) % 10
-    stock_weeks = (F.when(regime == 0, F.lit(0.0)).when(regime <= 2, (k % 3) / 4.0)
-                   .when(regime <= 5, k / 16.0).otherwise(k / 4.0))
-    df = df.select(
-        "*",
-        (F.col("_p4") / 100.0).alias("realized_price"),
-        (cost_row / 100.0).alias("unit_cost"),
-        (F.col("price_cents") / 100.0).alias("regular_price"),
-        (comp / 100.0).alias("competitor_price"),
-        region_factor.alias("_rf"),
-        regime.alias("_g"),
-        r2(F.col("base_demand") * region_factor * stock_weeks).alias("beginning_inventory"),
-    )
-    # price response of demand: (realized / list price) ^ (true elasticity x tier sensitivity)
-    tier_sens = F.when(t == 0, 0.85).when(t == 1, 1.0).otherwise(1.15)
-    true_el = -(F.lit(30) + s % 120) / 100.0
-    ratio = F.when(F.col("regular_price") > 0, F.col("realized_price") / F.col("regular_price")).otherwise(1.0)
-    df = df.withColumn("latent_demand", r2(F.col("latent_demand") * F.pow(ratio, true_el * tier_sens)))
-    receipts = F.when(
-        (F.col("beginning_inventory") < F.col("base_demand") * 1.5) & ((s + w) % 3 == 0) & (F.col("_g") != 0),
-        r2(F.col("base_demand") * (F.lit(2) + (s * w) % 4)),
-    ).otherwise(0.0)
-    df = df.withColumn("receipts", receipts)
-    available = F.col("beginning_inventory") + F.col("receipts")
-    df = df.withColumn("_avail", available)
-    df = df.withColumn("units_sold", r2(F.least(F.col("latent_demand"), F.col("_avail"))))
-    df = df.withColumn("lost_sales_estimate", r2(F.greatest(F.lit(0.0), F.col("latent_demand") - F.col("_avail"))))
-    df = df.withColumn("ending_inventory", r2(F.greatest(F.lit(0.0), F.col("_avail") - F.col("units_sold"))))
-    return finish_panel(df)
-
-
-def finish_panel(df: DataFrame) -> DataFrame:
-    """Money, cover and flag derivations, then the F2 column list."""
-    s, w = F.col("sku_no"), F.col("week_num")
-    on_order = (
-        F.when(F.col("receipts") > 0, r2(F.col("receipts") * 0.5))
-        .when((F.col("_g") >= 1) & (F.col("_g") <= 2), r2(F.col("base_demand") * ((s * 3 + w) % 30) / 2.0))
-        .when(F.col("ending_inventory") < F.col("base_demand"), r2(F.col("base_demand") * ((s * 3 + w) % 30) / 10.0))
-        .otherwise(0.0)
-    )
-    revenue = r2(F.col("realized_price") * F.col("units_sold"))
-    cogs = r2(F.col("unit_cost") * F.col("units_sold"))
-    df = df.withColumns({"revenue": revenue, "cogs": cogs, "on_order": on_order})
-    df = df.withColumn("gross_profit", r2(F.col("revenue") - F.col("cogs")))
-    weekly = F.col("base_demand") * F.col("_rf")
-    woc = F.when(weekly > 0, r2(F.col("ending_inventory") / weekly)).otherwise(999.0)
+    cover = _pick(F.pmod(F.col("size_sum") + F.col("region_no"), F.lit(10)), STOCK_PERIODS)
+    df = df.withColumns({
+        "realized_price": F.col("sold_cents") / 100.0,
+        "regular_price": F.col("price_cents") / 100.0,
+        "competitor_price": F.coalesce(F.col("market_cents") / 100.0, F.lit(0.0)),
+        "customer_tier_discount_pct": discount,
+        "promotion_depth": F.when(F.col("promotion_flag"), discount).otherwise(0.0),
+        "price_change_reason": reason,
+        "price_test_flag": several,
+        "beginning_inventory": r2(F.col("base_demand") * cover),
+        "receipts": F.col("returned"),
+    })
+    df = po.sales_financials(po.competitor_index(po.demand_censoring(df)))
     df = df.withColumns({
-        "gross_margin_pct": F.when(F.col("revenue") > 0, r4(F.col("gross_profit") / F.col("revenue"))).otherwise(0.0),
-        "weeks_of_cover": woc,
+        "lost_sales_estimate": r2(F.col("lost_sales_estimate")), "ending_inventory": r2(F.col("ending_inventory")),
+        "gross_margin_pct": r4(F.col("gross_margin_pct")), "competitor_price_index": r4(F.col("competitor_price_index")),
     })
-    ci = F.when(F.col("competitor_price") > 0, r4(F.col("realized_price") / F.col("competitor_price"))).otherwise(1.0)
+    df = df.withColumns({
+        "weeks_of_cover": F.when(F.col("base_demand") > 0, r2(F.col("ending_inventory") / F.col("base_demand"))).otherwise(999.0),
+        "on_order": F.when(F.col("ending_inventory") < F.col("base_demand"), F.col("open_units")).otherwise(0.0),
+    })
+    df = po.economic_index(po.seasonality_index(po.stock_flags(df)))
     return df.select(
-        F.date_add(F.lit(WEEK0).cast("date"), (w - 1) * 7).alias("week_start"),
-        "week_num", "sku_id", "category", "region", "customer_tier",
-        "unit_cost", "regular_price", "realized_price", "competitor_price",
-        ((F.col("_tier_bp") + F.col("_depth") * 100) / 10000.0).alias("customer_tier_discount_pct"),
-        ci.alias("competitor_price_index"),
-        "promotion_flag",
-        (F.col("_depth") / 100.0).alias("promotion_depth"),
-        r4(seasonality_index(w, F.col("seasonality_strength"), F.col("category"))).alias("seasonality_index"),
-        r4(economic_index(w)).alias("economic_demand_index"),
-        "beginning_inventory", "receipts", "units_sold",
-        F.col("latent_demand").cast("double").alias("latent_demand"),
+        "week_start", "week_num", "sku_id", "category", "region", "customer_tier",
+        "unit_cost", "regular_price", "realized_price", "competitor_price", "customer_tier_discount_pct",
+        "competitor_price_index", "promotion_flag", "promotion_depth", "seasonality_index", "economic_demand_index",
+        "beginning_inventory", "receipts", "units_sold", F.col("latent_demand").cast("double").alias("latent_demand"),
         "lost_sales_estimate", "ending_inventory", "on_order",
         "revenue", "cogs", "gross_profit", "gross_margin_pct", "weeks_of_cover",
-        ((F.col("ending_inventory") < 5) & (F.col("lost_sales_estimate") > 0)).alias("stockout_flag"),
-        (F.col("weeks_of_cover") > 16).alias("excess_inventory_flag"),
-        ((F.col("weeks_of_cover") > 20) & (F.col("units_sold") < F.col("base_demand") * 0.3)).alias("slow_moving_flag"),
-        "price_change_reason",
-        ((F.col("_m") >= 7) & (F.col("_m") < 9)).alias("price_test_flag"),
+        "stockout_flag", "excess_inventory_flag", "slow_moving_flag",
+        "price_change_reason", "price_test_flag",
         F.lit(POLICY_VERSION).alias("policy_version"),
     )
-
-
-def load_panel_and_products(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    cells = cell_demand(spark, sf_dir)
-    products = build_products(spark, sf_dir, cells)
-    panel = build_panel(cells, products)
-    return panel, products.drop("sku_no", "price_cents", "cost_cents")
