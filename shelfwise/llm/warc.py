@@ -112,16 +112,27 @@ def write_archives(pages: DataFrame, path: str | None = None, min_bytes: int = 0
     best = heads.where(F.col("size") >= min_bytes).groupBy("sha1", "size").agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("k"))
     marked = (heads.join(best.where("k > 1").drop("k"), ["sha1", "size"], "left")
               .where("response_id is not null and not (page_id <=> response_id)").select("page_id", "sha1", "response_id"))
-    full = rows.alias("r").join(marked.alias("m"), F.expr("r.page_id <=> m.page_id and r.sha1 = m.sha1"), "left").select("r.*", "response_id")
     files = max(1, -(-total // ARCHIVE_BYTES))
+    # revisits are sorted in front of their pages, so that pages are shuffled only once
+    key = F.xxhash64("page_id", "sha1").alias("key")
+    both = (marked.select(key, F.lit(0).alias("kind"), "page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "sha1", "response_id")
+            .unionByName(rows.select(key, F.lit(1).alias("kind"), "page_id", "url", "html", "sha1", F.lit(None).cast("long").alias("response_id"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, revisits = None, {}
         for b in batches:
-            out = [_record(*(x.as_py() for x in row)) for row in zip(*(b.column(i) for i in range(5)), strict=True)]
+            out = []
+            for key, kind, page_id, url, html, sha1, response_id in zip(*b.columns, strict=True):
+                if (k := key.as_py()) != now:
+                    now, revisits = k, {}
+                page = page_id.as_py(), sha1.as_py()
+                if kind.as_py() == 0:
+                    revisits[page] = response_id.as_py()
+                else:
+                    out.append(_record(page[0], url.as_py(), html.as_py(), bytes.fromhex(page[1]), revisits.get(page)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    records = map_arrow(full.repartition(files, F.xxhash64("page_id", "sha1")).select(
-        "page_id", "url", "html", F.unhex("sha1").alias("sha1"), "response_id"), run, "record binary")
+    records = map_arrow(both.repartition(files, "key").sortWithinPartitions("key", "kind"), run, "record binary")
     (records.select(F.col("record").cast("string").alias("value")).write
      .option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).text(path))
     return path
