@@ -201,9 +201,9 @@ def test_jaccard_chains_and_dense_groups(spark):
         rows.append((i, " ".join(w)))
         w[7 * i + 3] = f"c{i}"
     for i in range(40):
-        w = [f"v{k}" for k in range(100)]
+        w = [f"v{k}" for k in range(250)]
         for _ in range(rng.choice([1, 2, 3])):
-            w[rng.randrange(100)] = f"e{rng.randrange(10 ** 6)}"
+            w[rng.randrange(250)] = f"e{rng.randrange(10 ** 6)}"
         rows.append((100 + i, " ".join(w)))
     df = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id long, text string")
     want = jaccard_groups(rows, 4, 85)
