@@ -58,7 +58,9 @@ def exact_avg(x, decimals: int, cond: Column | None = None) -> Column:
 
 
 def clip(x, lo, hi) -> Column:
-    return F.least(F.greatest(_c(x), _c(lo)), _c(hi))
+    """x held within [lo, hi]; null stays null (greatest / least alone would skip it)."""
+    x = _c(x)
+    return F.when(x.isNotNull(), F.least(F.greatest(x, _c(lo)), _c(hi)))
 
 
 # fixed values: Abramowitz-Stegun 7.1.26 coefficients (|error| <= 1.5e-7)
@@ -81,10 +83,3 @@ def normal_cdf(z) -> Column:
     """P(Z <= z) for a standard normal."""
     return F.lit(0.5) * (F.lit(1.0) + erf(_c(z) / math.sqrt(2.0)))
 
-
-def ordered_first(conditions, default) -> Column:
-    """First value whose condition holds (an ordered CASE WHEN chain)."""
-    expr = None
-    for cond, value in conditions:
-        expr = F.when(cond, _c(value)) if expr is None else expr.when(cond, _c(value))
-    return expr.otherwise(_c(default)) if expr is not None else _c(default)

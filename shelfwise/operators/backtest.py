@@ -125,7 +125,7 @@ def bt_compare(tagged: DataFrame) -> DataFrame:
 def bt_lift(comparison: DataFrame) -> DataFrame:
     base = comparison.filter(F.col("strategy") == "Current Pricing").select(F.col("total_gross_profit").alias("_base"))
     lift = F.coalesce(F.try_divide(F.col("total_gross_profit") - F.col("_base"), F.abs(F.col("_base"))), F.lit(0.0))
-    return comparison.crossJoin(base).withColumn(
+    return comparison.crossJoin(F.broadcast(base)).withColumn(
         "modeled_lift_vs_current",
         F.when(F.col("strategy").isin("Joint Pricing + Inventory", "Pricing-Only Optimization"), lift).otherwise(0.0)
     ).drop("_base")
@@ -143,7 +143,7 @@ def bt_coverage_rates(joint: DataFrame, test: DataFrame, transfers: DataFrame) -
         F.count(F.when(ia.isin("REPLENISH", "EXPEDITE_ORDER"), 1)).alias("replenish_count"),
         F.count(F.when(ia == "STOP_OR_DELAY_ORDER", 1)).alias("stop_order_count"),
         F.count(F.when(F.col("manual_review_required"), 1)).alias("manual_review_count"))
-    return r.crossJoin(groups).crossJoin(ntr).select(
+    return r.crossJoin(F.broadcast(groups)).crossJoin(F.broadcast(ntr)).select(
         (F.col("_recs") / F.greatest(F.col("_groups"), F.lit(1))).alias("rec_coverage"), "approval_rate",
         "guardrail_rate", "markdown_count", "replenish_count", "stop_order_count", "manual_review_count",
         "transfer_count")
@@ -202,7 +202,7 @@ def rollback_summary(recs: DataFrame, transfers: DataFrame, r: float, t: float,
               F.count(F.lit(1)).alias("total_skus"),
               (F.sum("excess_inventory_value") * (1 - r) * 0.01).alias("inventory_value_impact_retained"))
     tr = rollback_transfers(transfers, t).agg(F.count(F.when(F.col("cancelled"), 1)).alias("cancelled_transfers"))
-    return s.crossJoin(tr).withColumn("unit_recovery_pct", F.lit(1 - r))
+    return s.crossJoin(F.broadcast(tr)).withColumn("unit_recovery_pct", F.lit(1 - r))
 
 
 def rollback_verify(recs: DataFrame, transfers: DataFrame) -> DataFrame:
@@ -215,5 +215,5 @@ def rollback_verify(recs: DataFrame, transfers: DataFrame) -> DataFrame:
         1)).alias("price_violations_at_1"))
     t1 = rollback_transfers(transfers, 1.0).agg(F.count(F.when(F.col("rollback_quantity") != 0, 1))
                                                  .alias("transfer_violations_at_1"))
-    return p0.crossJoin(p1).crossJoin(t1)
+    return p0.crossJoin(F.broadcast(p1)).crossJoin(F.broadcast(t1))
 

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.config import CUSTOMER_TIERS, ELASTICITY_BANDS, QUALITY_REASONS
+from shelfwise.config import (CUSTOMER_TIERS, ELASTICITY_BANDS, ELASTICITY_CLIP, MIN_FIT_ROWS, MIN_QUALITY_ROWS,
+                              MIN_SEGMENT_ROWS, QUALITY_REASONS)
 from shelfwise.functions.columns import clip, r6
 
 PREDICTORS = ["log_price", "competitor_price_index", "promotion_depth", "seasonality_index"]
@@ -25,12 +26,12 @@ SEG_COLS = ["elasticity_segment", "category", "region", "customer_tier", "estima
             "estimation_level", "elasticity_class"]
 
 
-def elasticity_sample(panel: DataFrame, min_rows: int = 100) -> DataFrame:
+def elasticity_sample(panel: DataFrame, min_rows: int = MIN_QUALITY_ROWS) -> DataFrame:
     """Quality rows (price tests / reviewed prices, no stockout, cover > 2); all non-stockout rows if < min_rows."""
     quality = ((F.col("price_test_flag") | F.col("price_change_reason").isin(*QUALITY_REASONS))
                & ~F.col("stockout_flag") & (F.col("weeks_of_cover") > 2))
     n = panel.agg(F.count(F.when(quality, 1)).alias("_n_quality"))
-    out = panel.crossJoin(n)  # 1-row side
+    out = panel.crossJoin(F.broadcast(n))  # 1-row side
     keep = F.when(F.col("_n_quality") >= min_rows, quality).otherwise(~F.col("stockout_flag"))
     return out.filter(keep).drop("_n_quality")
 
@@ -102,9 +103,9 @@ def ridge_slope(df: DataFrame, alpha: float = ALPHA) -> DataFrame:
 def _fit_columns(prior: Column) -> dict:
     """elasticity, price variation, se, confidence with the n<10 and flat-price fallbacks."""
     n = F.col("n")
-    small = n < 10
+    small = n < MIN_FIT_ROWS
     flat = F.col("price_sd") < 0.01
-    el = F.when(small | flat, prior).otherwise(clip(F.col("beta_0"), -3.0, -0.1))
+    el = F.when(small | flat, prior).otherwise(clip(F.col("beta_0"), *ELASTICITY_CLIP))
     var = F.when(small, 0.0).otherwise(F.col("price_sd"))
     se = F.when(small, 1.0).when(flat, 0.5).otherwise(F.sqrt(F.col("rss") / n) / F.sqrt(n.cast("double")))
     conf = F.when(small, 0.2).when(flat, 0.3).otherwise(
@@ -121,7 +122,10 @@ def elasticity_class_col(el: Column, conf: Column) -> Column:
 
 
 def elasticity_fit_global(moments: DataFrame) -> DataFrame:
-    g = ridge_slope(moments.filter(F.col("level") == "global"))
+    """One row always: without a sample the initial value stands."""
+    one = moments.sparkSession.range(1).select(F.lit("global").alias("_at"))
+    fitted = moments.filter(F.col("level") == "global")
+    g = ridge_slope(one.join(fitted, one["_at"] == fitted["level"], "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0))))
     return g.select(F.lit("global").alias("estimation_level"), F.col("n").alias("sample_size"),
                     *[v.alias(k) for k, v in _fit_columns(F.lit(INITIAL_GLOBAL)).items()])
 
@@ -135,8 +139,8 @@ def _fit_segments(moments: DataFrame, products: DataFrame) -> DataFrame:
     ct = ct_cells.join(fitted.filter(F.col("level") == "category_tier").drop("region"),
                        ["category", "customer_tier", "level"], "left") \
         .withColumn("region", F.lit("All")).withColumn("n", F.coalesce(F.col("n"), F.lit(0)))
-    crt = fitted.filter((F.col("level") == "category_region_tier") & (F.col("n") >= 30))
-    seg = ct.unionByName(crt).crossJoin(glob)
+    crt = fitted.filter((F.col("level") == "category_region_tier") & (F.col("n") >= MIN_SEGMENT_ROWS))
+    seg = ct.unionByName(crt).crossJoin(F.broadcast(glob))  # 1-row side
     fit = _fit_columns(F.col("_global"))
     seg = seg.select(
         F.when(F.col("level") == "category_tier", F.concat_ws(" × ", "category", "customer_tier"))
@@ -153,7 +157,7 @@ def panel_moments(panel: DataFrame) -> DataFrame:
 
 def elasticity_table(panel: DataFrame, products: DataFrame, shrink: bool = True,
                      moments: DataFrame | None = None) -> DataFrame:
-    """Full estimate table: category x tier (every cell) + category x region x tier (n >= 30)."""
+    """Full estimate table: category x tier (every cell) + category x region x tier (n >= MIN_SEGMENT_ROWS)."""
     seg = _fit_segments(moments if moments is not None else panel_moments(panel), products)
     seg = seg.withColumn("elasticity_class", elasticity_class_col(F.col("estimated_elasticity"), F.col("confidence_score")))
     if shrink:
@@ -165,7 +169,7 @@ def elasticity_shrink(seg: DataFrame) -> DataFrame:
     """conf < .4: conf*beta + (1-conf)*global, clipped; class Low confidence."""
     low = F.col("confidence_score") < 0.4
     shrunk = r6(clip(F.col("confidence_score") * F.col("estimated_elasticity")
-                     + (F.lit(1.0) - F.col("confidence_score")) * F.col("_global"), -3.0, -0.1))
+                     + (F.lit(1.0) - F.col("confidence_score")) * F.col("_global"), *ELASTICITY_CLIP))
     return seg.withColumns({
         "estimated_elasticity": F.when(low, shrunk).otherwise(F.col("estimated_elasticity")),
         "elasticity_class": F.when(low, "Low confidence").otherwise(F.col("elasticity_class")),
@@ -193,7 +197,7 @@ def elasticity_lookup(rows: DataFrame, table: DataFrame, glob: DataFrame) -> Dat
         F.lit(0.0).alias("price_variation"), F.lit("Low confidence").alias("elasticity_class"),
         F.lit("global_prior").alias("estimation_level")).alias("_g"))
     out = rows.join(crt, ["category", "region", "customer_tier"], "left") \
-        .join(ct, ["category", "customer_tier"], "left").crossJoin(g)
+        .join(ct, ["category", "customer_tier"], "left").crossJoin(F.broadcast(g))
     pick = F.coalesce("_crt", "_ct", "_g")
     return out.withColumn("_el", pick).select(
         *[c for c in out.columns if c not in ("_crt", "_ct", "_g")],
@@ -208,4 +212,4 @@ def elasticity_reload(table: DataFrame) -> DataFrame:
     g = table.agg(
         F.coalesce(F.max(F.when(F.col("estimation_level") == "global", F.col("estimated_elasticity"))),
                    F.median("estimated_elasticity")).alias("global_elasticity"))
-    return table.crossJoin(g)
+    return table.crossJoin(F.broadcast(g))

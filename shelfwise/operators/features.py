@@ -119,7 +119,7 @@ def time_split(df: DataFrame) -> DataFrame:
         F.when(small, F.floor(F.col("_max_week") * 0.75)).otherwise(TRAIN_WEEKS).cast("int").alias("_train_end"),
         F.when(small, F.floor(F.col("_max_week") * 0.875)).otherwise(TRAIN_WEEKS + VAL_WEEKS).cast("int").alias("_val_end"),
     )
-    out = df.crossJoin(cuts)  # 1-row side: a broadcast nested-loop join with no fan-out
+    out = df.crossJoin(F.broadcast(cuts))  # 1-row side: a broadcast nested-loop join with no fan-out
     split = (F.when(F.col("week_num") <= F.col("_train_end"), "train")
              .when(F.col("week_num") <= F.col("_val_end"), "val").otherwise("test"))
     return out.withColumn("split", split).drop("_train_end", "_val_end")

@@ -15,13 +15,6 @@ from shelfwise.config import DEFAULT_SCENARIO, INVENTORY_POLICY, Scenario
 from shelfwise.functions.columns import clip, normal_cdf, r2, r3, r4
 
 SR = ["sku_id", "region"]
-METRIC_COLS = [
-    "sku_id", "category", "region", "unit_cost", "on_hand_inventory", "on_order_inventory", "available_inventory",
-    "average_weekly_demand", "demand_std", "demand_trend", "on_hand_weeks_of_cover", "available_weeks_of_cover",
-    "inventory_turns", "sell_through_rate", "stockout_probability", "safety_stock", "reorder_point",
-    "excess_units", "excess_inventory_value", "lost_sales_estimate", "obsolescence_risk_score",
-    "lead_time_weeks", "case_pack", "minimum_order_quantity", "lifecycle_stage", "product_age_weeks",
-]
 EPS = INVENTORY_POLICY["demand_epsilon"]
 
 
@@ -103,9 +96,8 @@ def demand_history(panel: DataFrame, window: int = 8, demand_col: str | None = N
     tcol = "adjusted_units" if "adjusted_units" in panel.columns else "units_sold"
     w = W.partitionBy(*SR).orderBy(F.col("week_num").desc(), F.col("customer_tier").desc())
     ranked = panel.select(*SR, F.col(dcol).alias("_d"), F.col(tcol).alias("_t"),
-                          F.row_number().over(w).alias("_rn"),
-                          F.count(F.lit(1)).over(W.partitionBy(*SR)).alias("_all"))
-    ranked = ranked.filter(F.col("_rn") <= window).withColumn("_n", F.least(F.col("_all"), F.lit(window)))
+                          F.row_number().over(w).alias("_rn")).filter(F.col("_rn") <= window)
+    ranked = ranked.withColumn("_n", F.count(F.lit(1)).over(W.partitionBy(*SR)))  # of the rows that are left
     half = (F.col("_n") / 2).cast("int")
     g = ranked.groupBy(*SR).agg(
         F.first("_n").alias("_n"),

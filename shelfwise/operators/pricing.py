@@ -19,13 +19,6 @@ from shelfwise.config import (
 from shelfwise.functions.columns import r2, r4, r6, safe_div
 
 SERIES = ["sku_id", "region", "customer_tier"]
-REC_COLS = [
-    "sku_id", "category", "region", "customer_tier", "current_price", "recommended_price", "price_change_pct",
-    "predicted_current_units", "predicted_recommended_units", "current_revenue", "projected_revenue",
-    "current_gross_profit", "projected_gross_profit", "gross_profit_lift", "gross_margin_pct",
-    "expected_ending_inventory", "expected_weeks_of_cover", "elasticity", "elasticity_confidence",
-    "recommendation_action", "reason_code", "guardrail_triggered", "approval_status", "policy_version",
-]
 
 
 # ------------------------------------------------------------------ latest rows
@@ -285,7 +278,7 @@ def apply_guardrails(df: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFram
     return reason_code(df)
 
 
-def optimize_prices(rows: DataFrame, sc: Scenario = DEFAULT_SCENARIO, keep_sims: bool = False) -> DataFrame:
+def optimize_prices(rows: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
     """Full per-row chain -> the 24-column recommendation (rows need elasticity + tier prices)."""
     df = argmax_candidate(simulate_candidates(rows, sc.objective))
     df = apply_guardrails(df, sc)
@@ -309,7 +302,6 @@ def optimize_prices(rows: DataFrame, sc: Scenario = DEFAULT_SCENARIO, keep_sims:
         pricing_action(change, conf, F.col("guardrails")).alias("recommendation_action"),
         "reason_code", "guardrail_triggered",
         F.lit("Pending").alias("approval_status"), F.lit(POLICY_VERSION).alias("policy_version"),
-        *(["candidate_sims", "guardrails"] if keep_sims else []),
     )
     return out
 
@@ -321,10 +313,6 @@ def recommendation_rows(panel: DataFrame, products: DataFrame, el_table: DataFra
     return tier_price_map(elasticity_lookup(latest, el_table, glob))
 
 
-def price_recommendations(panel, products, el_table, glob, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
-    return optimize_prices(recommendation_rows(panel, products, el_table, glob), sc)
-
-
 def what_if_price(rows: DataFrame, params: DataFrame) -> DataFrame:
     """User-given price / promotion / inventory per series key -> simulated outcome plus the price curve.
 

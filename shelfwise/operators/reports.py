@@ -12,9 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.config import EXCESS_STATUSES, SHORTAGE_STATUSES
+from shelfwise.config import EXCESS_STATUSES, INVENTORY_POLICY, SHORTAGE_STATUSES
 from shelfwise.functions.columns import exact_avg
 
+def _sum(x) -> Column:
+    """Sum that is 0 on an empty slice."""
+    return F.coalesce(F.sum(x), F.lit(0.0))
+
+
 S3 = ["sku_id", "region", "customer_tier"]
 MOVES = ["Increase", "Decrease"]
 OBJECTIVE_SORT = {"maximize_gross_profit": "gross_profit_lift", "maximize_revenue": "projected_revenue",
@@ -24,19 +29,19 @@ OBJECTIVE_SORT = {"maximize_gross_profit": "gross_profit_lift", "maximize_revenu
 def inv_summary(inv: DataFrame) -> DataFrame:
     st = F.col("inventory_status")
     return inv.agg(
-        F.sum(F.col("on_hand_inventory") * F.col("unit_cost")).alias("total_inventory_value"),
-        F.sum(F.when(st.isin(*EXCESS_STATUSES), F.col("excess_inventory_value")).otherwise(0.0)).alias("excess_inventory_value"),
+        _sum(F.col("on_hand_inventory") * F.col("unit_cost")).alias("total_inventory_value"),
+        _sum(F.when(st.isin(*EXCESS_STATUSES), F.col("excess_inventory_value")).otherwise(0.0)).alias("excess_inventory_value"),
         F.count(F.when(st.isin(*SHORTAGE_STATUSES), 1)).alias("stockout_risk_skus"),
         F.count(F.when(st == "SLOW_MOVING", 1)).alias("slow_moving_skus"),
         exact_avg(F.col("available_weeks_of_cover"), 2).alias("avg_weeks_of_cover"),
-        F.sum("lost_sales_estimate").alias("estimated_lost_sales"))
+        _sum("lost_sales_estimate").alias("estimated_lost_sales"))
 
 
 def inv_portfolio_turns(inv: DataFrame, panel: DataFrame) -> DataFrame:
-    cogs = panel.groupBy("sku_id", "region").agg(F.sum(F.col("unit_cost") * F.col("units_sold")).alias("annual_cogs"))
+    cogs = panel.groupBy("sku_id", "region").agg(_sum(F.col("unit_cost") * F.col("units_sold")).alias("annual_cogs"))
     j = inv.join(cogs, ["sku_id", "region"], "left")
-    a = j.agg(F.sum("annual_cogs").alias("annual_cogs"),
-              F.sum(F.col("on_hand_inventory") * F.col("unit_cost")).alias("inventory_value"),
+    a = j.agg(_sum("annual_cogs").alias("annual_cogs"),
+              _sum(F.col("on_hand_inventory") * F.col("unit_cost")).alias("inventory_value"),
               exact_avg(F.col("inventory_turns"), 3).alias("mean_turns"))
     return a.withColumn("portfolio_turns", F.when(F.col("inventory_value") > 0,
                                                   F.col("annual_cogs") / F.col("inventory_value")).otherwise(0.0))
@@ -70,15 +75,15 @@ def slice_filter(df: DataFrame, **filters) -> DataFrame:
 
 
 def kpi_headline(j: DataFrame, inv: DataFrame, panel: DataFrame) -> DataFrame:
-    r = j.agg(F.sum("current_revenue").alias("total_revenue"), F.sum("current_gross_profit").alias("gross_margin_value"),
-              F.sum("gross_profit_lift").alias("margin_opportunity"),
+    r = j.agg(_sum("current_revenue").alias("total_revenue"), _sum("current_gross_profit").alias("gross_margin_value"),
+              _sum("gross_profit_lift").alias("margin_opportunity"),
               F.count(F.when(F.col("recommendation_action").isin(*MOVES), 1)).alias("pricing_opportunities"),
               F.count(F.when(F.col("inventory_status").isin("STOCKOUT", "STOCKOUT_RISK"), 1)).alias("high_risk_rows"),
               F.count(F.when(F.col("manual_review_required"), 1)).alias("awaiting_review"))
     s = inv_summary(inv).select("total_inventory_value", "excess_inventory_value")
     t = inv_portfolio_turns(inv, panel).select(F.col("portfolio_turns").alias("inventory_turnover"))
     so = inv.agg(F.avg(F.col("inventory_status").isin("STOCKOUT", "STOCKOUT_RISK").cast("double")).alias("stockout_rate"))
-    out = r.crossJoin(s).crossJoin(t).crossJoin(so)  # four 1-row frames
+    out = r.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(t)).crossJoin(F.broadcast(so))  # four 1-row frames
     return out.withColumn("gross_margin_pct", F.when(F.col("total_revenue") != 0,
                                                      F.col("gross_margin_value") / F.col("total_revenue")).otherwise(0.0))
 
@@ -116,7 +121,7 @@ def top_movers_long(j: DataFrame, k: int = 15) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width bins over [min, max]; the maximum goes to the last bin (1-row bounds cross-joined)."""
     b = df.agg(F.min(col).alias("_lo"), F.max(col).alias("_hi"))
-    d = df.select(col).crossJoin(b)
+    d = df.select(col).where(F.col(col).isNotNull()).crossJoin(F.broadcast(b))
     width = (F.col("_hi") - F.col("_lo")) / bins
     idx = F.when(F.col("_hi") > F.col("_lo"),
                  F.least(F.floor((F.col(col) - F.col("_lo")) / width), F.lit(bins - 1))).otherwise(0).cast("int")
@@ -176,7 +181,7 @@ def latest_per_sku(panel: DataFrame) -> DataFrame:
 def sku_excess_latest(panel: DataFrame) -> DataFrame:
     latest = latest_per_sku(panel)
     n = latest.agg(F.count(F.when(F.col("excess_inventory_flag"), 1)).alias("_n"))
-    d = latest.crossJoin(n).filter(F.when(F.col("_n") > 0, F.col("excess_inventory_flag"))
+    d = latest.crossJoin(F.broadcast(n)).filter(F.when(F.col("_n") > 0, F.col("excess_inventory_flag"))
                                    .otherwise(F.col("weeks_of_cover") > 16))
     return d.groupBy("category").agg(F.count(F.lit(1)).alias("excess_skus"))
 
@@ -184,13 +189,13 @@ def sku_excess_latest(panel: DataFrame) -> DataFrame:
 def sku_stockout_latest(panel: DataFrame) -> DataFrame:
     latest = latest_per_sku(panel)
     n = latest.agg(F.count(F.when(F.col("stockout_flag"), 1)).alias("_n"))
-    d = latest.crossJoin(n).filter(F.when(F.col("_n") > 0, F.col("stockout_flag")).otherwise(F.col("weeks_of_cover") < 2))
+    d = latest.crossJoin(F.broadcast(n)).filter(F.when(F.col("_n") > 0, F.col("stockout_flag")).otherwise(F.col("weeks_of_cover") < 2))
     return d.select("sku_id", "category", "region", "customer_tier", "week_num", "weeks_of_cover")
 
 
 def minmax_normalize(df: DataFrame, col: str) -> DataFrame:
     b = df.agg(F.min(col).alias("_mn"), F.max(col).alias("_mx"))
-    return df.crossJoin(b).withColumn(
+    return df.crossJoin(F.broadcast(b)).withColumn(
         f"{col}_normalized", F.when(F.col("_mx") == F.col("_mn"), F.lit(0.5))
         .otherwise((F.col(col) - F.col("_mn")) / (F.col("_mx") - F.col("_mn")))).drop("_mn", "_mx")
 
@@ -204,3 +209,80 @@ def format_currency(x: Column) -> Column:
 def format_pct(x: Column) -> Column:
     v = F.floor(x * 1000 + 0.5) / 10.0
     return F.when(x.isNull() | F.isnan(x), F.lit("N/A")).otherwise(F.concat(F.format_string("%.1f", v), F.lit("%")))
+
+
+# ---- analyst answers: each works on any slice of its input ---------------------------------
+def margin_summary(j: DataFrame) -> DataFrame:
+    return j.agg(F.avg("gross_margin_pct").alias("avg_gross_margin"), _sum("projected_gross_profit").alias("total_projected_gross_profit"),
+                 F.count(F.lit(1)).alias("recommendations"))
+
+
+def replenish_summary(j: DataFrame) -> DataFrame:
+    d = j.filter(F.col("inventory_action").isin("REPLENISH", "EXPEDITE_ORDER"))
+    return d.agg(F.count(F.lit(1)).alias("replenish_skus"), _sum("recommended_order_quantity").alias("total_order_quantity"))
+
+
+def action_counts(j: DataFrame) -> DataFrame:
+    ia = F.col("inventory_action")
+    return j.agg(F.count(F.when(ia == "STOP_OR_DELAY_ORDER", 1)).alias("stop_order_count"),
+                 F.count(F.when(ia == "PRICE_MARKDOWN", 1)).alias("markdown_count"))
+
+
+def conflict_count(j: DataFrame) -> DataFrame:
+    c = (F.col("pricing_action") == "Decrease") & F.col("inventory_action").isin("REPLENISH", "EXPEDITE_ORDER", "INTER_REGION_TRANSFER")
+    return j.agg(F.count(F.when(c, 1)).alias("conflicts"))
+
+
+def woc_and_status_top(inv: DataFrame, k: int = 5) -> DataFrame:
+    """Mean cover beside the k most frequent statuses; the mean stands alone when there is none."""
+    top = inv_status_distribution(inv).orderBy(F.desc("count"), "inventory_status").limit(k)
+    woc = inv.agg(exact_avg(F.col("available_weeks_of_cover"), 2).alias("avg_weeks_of_cover"))
+    return woc.join(top, F.lit(True), "left").select("inventory_status", "count", "avg_weeks_of_cover")
+
+
+def lost_sales_total(j: DataFrame) -> DataFrame:
+    return j.agg(_sum("lost_sales_estimate").alias("lost_sales_total"))
+
+
+def obsolescence_high(j: DataFrame, threshold: float = INVENTORY_POLICY["obsolescence_threshold"]) -> DataFrame:
+    return j.agg(F.count(F.when(F.col("obsolescence_risk_score") > threshold, 1)).alias("high_obsolescence"))
+
+
+def elasticity_low_conf(table: DataFrame, k: int = 5) -> DataFrame:
+    """Counts beside the first k low-confidence segments; the counts stand alone when there is none."""
+    low = F.col("elasticity_class") == "Low confidence"
+    counts = table.agg(F.count(F.when(low, 1)).alias("low_confidence_count"), F.count(F.lit(1)).alias("total_count"))
+    first = table.filter(low).orderBy("elasticity_segment").limit(k).select("elasticity_segment", "estimated_elasticity", "confidence_score")
+    return counts.join(first, F.lit(True), "left").select(*first.columns, *counts.columns)
+
+
+def guardrail_summary(j: DataFrame) -> DataFrame:
+    return j.agg(F.count(F.when(F.col("recommendation_action") == "Manual Review", 1)).alias("manual_review"),
+                 F.count(F.when(F.length("guardrail_triggered") > 0, 1)).alias("guarded"))
+
+
+def rollback_retained(j: DataFrame, transfers: DataFrame, pct: float = 0.5) -> DataFrame:
+    t = transfers.agg((F.count(F.lit(1)) * (1 - pct)).alias("retained_transfers"), F.count(F.lit(1)).alias("total_transfers"))
+    g = j.agg((_sum("modeled_gp_lift") * (1 - pct)).alias("retained_gp_lift"))
+    return t.crossJoin(F.broadcast(g))
+
+
+def queue_kpis(j: DataFrame, log: DataFrame) -> DataFrame:
+    q = review_queue(j).agg(F.count(F.lit(1)).alias("items_in_queue"), _sum("gross_profit_lift").alias("modeled_gp_lift"))
+    n = latest_decisions(log).agg(F.count(F.lit(1)).alias("decisions_logged"))
+    a = j.agg(F.count(F.when(F.col("manual_review_required"), 1)).alias("awaiting_review"))
+    return q.crossJoin(F.broadcast(n)).crossJoin(F.broadcast(a))
+
+
+def excess_by_category(j: DataFrame) -> DataFrame:
+    """Excess value by category over all recommendation rows."""
+    return j.groupBy("category").agg(_sum("excess_inventory_value").alias("excess_inventory_value"))
+
+
+def sku_profile(j: DataFrame, products: DataFrame, sku: str) -> DataFrame:
+    prod = products.select("sku_id", "product_name", "subcategory", "brand_tier", "lead_time_days", "lifecycle_stage")
+    d = j.filter(F.col("sku_id") == sku).join(prod, "sku_id", "left")
+    return d.select(*S3, "product_name", "category", "subcategory", "brand_tier", "lead_time_days", "lifecycle_stage", "current_price",
+                    "recommended_price", "recommendation_action", "predicted_current_units", "available_weeks_of_cover",
+                    "stockout_probability", "pricing_reason_code", "elasticity", "elasticity_confidence",
+                    F.coalesce(F.nullif(F.col("guardrail_triggered"), F.lit("")), F.lit("None")).alias("guardrail"))

@@ -20,12 +20,6 @@ from shelfwise.functions.columns import r2
 from shelfwise.operators.inventory import case_pack_round
 from shelfwise.operators.policy import inventory_status_col
 
-TRANSFER_COLS = [
-    "sku_id", "category", "source_region", "destination_region", "transfer_quantity", "transfer_cost",
-    "transfer_cost_per_unit", "expected_revenue_recovered", "expected_gp_recovered", "net_transfer_value",
-    "source_status_before", "source_status_after", "destination_status_before", "destination_status_after",
-    "transfer_reason",
-]
 _STATUS_INPUTS = ["on_hand_inventory", "available_weeks_of_cover", "on_hand_weeks_of_cover", "stockout_probability",
                   "lead_time_weeks", "inventory_turns", "obsolescence_risk_score", "lifecycle_stage", "demand_trend"]
 _OUT_TYPE = ("array<struct<destination_region:string,qty:double,d_on_hand:double,d_avg:double,"
@@ -132,15 +126,3 @@ def transfer_allocation(metrics: DataFrame, sc: Scenario = DEFAULT_SCENARIO) ->
         _status_after("d_", F.col("d_on_hand") + qty, F.col("d_avg"), sc).alias("destination_status_after"),
         F.lit("REGIONAL_IMBALANCE").alias("transfer_reason"),
     )
-
-
-def find_transfers(metrics_with_status: DataFrame, sc: Scenario = DEFAULT_SCENARIO) -> DataFrame:
-    return transfer_allocation(metrics_with_status, sc)
-
-
-def transfer_value(qty, unit_cost):
-    """cost 2.5/unit; price ~1.5x cost; 70% sold -> gp, revenue, net."""
-    cost = qty * INVENTORY_POLICY["transfer_cost_per_unit"]
-    gp = qty * (unit_cost * 1.5 - unit_cost) * 0.7
-    return {"transfer_cost": cost, "expected_gp_recovered": gp,
-            "expected_revenue_recovered": qty * unit_cost * 1.5 * 0.7, "net_transfer_value": gp - cost}

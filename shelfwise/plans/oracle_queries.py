@@ -1148,6 +1148,8 @@ q("woc_and_status_top5", f"""SELECT inventory_status, count, {R6('w')} AS avg_we
   SELECT inventory_status, count(*) AS count FROM inv_status GROUP BY ALL ORDER BY count DESC, inventory_status LIMIT 5),
   (SELECT {R('sum(available_weeks_of_cover)', 2)} / count(available_weeks_of_cover) AS w FROM inv_status)""", "inv_status")
 q("lost_sales_total", f"SELECT {R4('sum(lost_sales_estimate)')} AS lost_sales_total FROM joint_out", "joint_out")
+q("excess_by_category_all", f"""SELECT category, {R4('sum(excess_inventory_value)')} AS excess_inventory_value FROM joint_out GROUP BY category""",
+  "joint_out")
 q("obsolescence_high", "SELECT count(*) FILTER (WHERE obsolescence_risk_score > 0.65) AS high_obsolescence FROM joint_out",
   "joint_out")
 cte("latest_sku", ("panel",), """
@@ -1159,9 +1161,8 @@ q("sku_stockout_latest", """SELECT sku_id, category, region, customer_tier, week
   (SELECT count(*) FILTER (WHERE stockout_flag) AS n FROM latest_sku) c
 WHERE CASE WHEN c.n > 0 THEN stockout_flag ELSE weeks_of_cover < 2 END""", "latest_sku")
 q("elasticity_low_conf", """SELECT elasticity_segment, estimated_elasticity, confidence_score, low_confidence_count, total_count
-FROM (SELECT * FROM elasticity WHERE elasticity_class = 'Low confidence' ORDER BY elasticity_segment LIMIT 5),
-     (SELECT count(*) FILTER (WHERE elasticity_class = 'Low confidence') AS low_confidence_count, count(*) AS total_count
-      FROM elasticity)""", "elasticity")
+FROM (SELECT count(*) FILTER (WHERE elasticity_class = 'Low confidence') AS low_confidence_count, count(*) AS total_count FROM elasticity)
+LEFT JOIN (SELECT * FROM elasticity WHERE elasticity_class = 'Low confidence' ORDER BY elasticity_segment LIMIT 5) ON true""", "elasticity")
 q("guardrail_summary", """SELECT count(*) FILTER (WHERE recommendation_action = 'Manual Review') AS manual_review,
   count(*) FILTER (WHERE length(guardrail_triggered) > 0) AS guarded FROM joint_out""", "joint_out")
 q("rollback_retained", f"""SELECT {R4('t * 0.5')} AS retained_transfers, t AS total_transfers, {R4('g')} AS retained_gp_lift

@@ -8,6 +8,7 @@ the panel never plans the rest.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from shelfwise.operators import joint as jt
 from shelfwise.operators import policy as pol
 from shelfwise.operators import pricing as pr
 from shelfwise.operators import transfers as tr
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.session import table_dir
 from shelfwise.sources import driver_tables as dt
 
 
@@ -31,8 +32,6 @@ class Pipeline:
                  materialize: bool = True):
         self.spark, self.sf_dir, self.sc = spark, sf_dir, scenario
         self.materialize = materialize
-        if materialize:
-            ensure_checkpoint_dir(spark)
 
     def with_scenario(self, scenario: Scenario, materialize: bool | None = None) -> "Pipeline":
         """Same inputs (panel, products, elasticity tables shared), other scenario parameters."""
@@ -44,13 +43,11 @@ class Pipeline:
         return other
 
     def _mat(self, df: DataFrame, name: str) -> DataFrame:
-        """Cut lineage at a stage boundary: write a parquet table under spark.checkpoint.dir, read it back.
+        """Cut lineage at a stage boundary: write a table to the shared folder, read it back.
 
-        One computation (a reliable RDD checkpoint would recompute the plan), a
-        columnar copy with pruning/pushdown on re-read, and it survives executor
-        loss.  Every table after the adapter is bounded by the dimensions
-        (SKU x region x tier x week), so the copies are small while the plans they
-        replace (lineitem join + aggregates) are the expensive part.
+        The folder is the one ``spark.checkpoint.dir`` names (else the session's warehouse), which all
+        executors share. Every table after the adapter is bounded by the dimensions. Caching instead
+        keeps the whole lineage: nested cached plans grow exponentially in the joint decision.
         """
         if not self.materialize:
             return df
@@ -60,9 +57,7 @@ class Pipeline:
 
     @cached_property
     def _stage_dir(self) -> str:
-        import uuid
-        base = ensure_checkpoint_dir(self.spark).rstrip("/")
-        return f"{base}/shelfwise-stages/{self.sc.name.replace(' ', '_')}-{uuid.uuid4().hex}"
+        return f"{table_dir(self.spark)}/shelfwise-stages/{self.sc.name.replace(' ', '_')}-{uuid.uuid4().hex}"
 
     # ---- inputs
     @cached_property
@@ -131,7 +126,7 @@ class Pipeline:
 
     @cached_property
     def transfers(self) -> DataFrame:
-        return self._mat(tr.find_transfers(self.inventory_status, self.sc), "transfers")
+        return self._mat(tr.transfer_allocation(self.inventory_status, self.sc), "transfers")
 
     # ---- joint
     @cached_property

@@ -20,7 +20,6 @@ from shelfwise.plans.pipeline import Pipeline
 KEY = ["sku_id", "region", "customer_tier", "week_num"]
 SERIES = ["sku_id", "region", "customer_tier"]
 QUERIES: dict = {}
-_PIPES: dict = {}
 
 
 def query(name):
@@ -31,11 +30,15 @@ def query(name):
 
 
 def pipe(spark, sf) -> Pipeline:
-    """One pipeline per (session, data dir, scenario) so stage checkpoints are shared by queries."""
-    key = (id(spark), sf)
-    if key not in _PIPES:
-        _PIPES[key] = Pipeline(spark, sf)
-    return _PIPES[key]
+    """One pipeline per (session, data dir, scenario) so cached stages are shared by queries."""
+    return _pipes(spark).setdefault((sf, None), Pipeline(spark, sf))
+
+
+def _pipes(spark) -> dict:
+    """The session's pipelines, held by the session itself."""
+    if not hasattr(spark, "_shelfwise_pipelines"):
+        spark._shelfwise_pipelines = {}
+    return spark._shelfwise_pipelines
 
 
 def rounded(df: DataFrame, *cols) -> DataFrame:
@@ -636,13 +639,12 @@ def q_joint_recommendations(spark, sf):
 
 def _scenario_joint(spark, sf, name):
     from shelfwise.config import scenario
-    key = (id(spark), sf, name)
-    if key not in _PIPES:
+    pipes = _pipes(spark)
+    if (sf, name) not in pipes:
         base = pipe(spark, sf)
         base.rec_rows  # noqa: B018 - build the shared inputs once
-        # scenario runs reuse the materialised inputs (panel, elasticity, latest rows)
-        _PIPES[key] = base.with_scenario(scenario(name))
-    return _PIPES[key].joint
+        pipes[sf, name] = base.with_scenario(scenario(name))
+    return pipes[sf, name].joint
 
 
 @query("scenario_run")
@@ -911,13 +913,7 @@ PROFILE_SKU = "Brand#1|PROMO"
 @query("sku_profile")
 def q_sku_profile(spark, sf):
     p = pipe(spark, sf)
-    prod = p.products.select("sku_id", "product_name", "subcategory", "brand_tier", "lead_time_days", "lifecycle_stage")
-    d = p.joint.filter(F.col("sku_id") == PROFILE_SKU).join(prod, "sku_id", "left")
-    return _rnd(d.select(*SERIES, "product_name", "category", "subcategory", "brand_tier", "lead_time_days",
-                         "lifecycle_stage", "current_price", "recommended_price", "recommendation_action",
-                         "predicted_current_units", "available_weeks_of_cover", "stockout_probability",
-                         "pricing_reason_code", "elasticity", "elasticity_confidence",
-                         F.coalesce(F.nullif(F.col("guardrail_triggered"), F.lit("")), F.lit("None")).alias("guardrail")), 6)
+    return _rnd(rp.sku_profile(p.joint, p.products, PROFILE_SKU), 6)
 
 
 @query("review_queue")
@@ -931,62 +927,48 @@ def q_review_queue(spark, sf):
 
 @query("queue_kpis")
 def q_queue_kpis(spark, sf):
-    from shelfwise.sources.io import derive_decision_log
     j = _J(spark, sf)
-    log = derive_decision_log(j)
-    q = rp.review_queue(j).agg(F.count(F.lit(1)).alias("items_in_queue"),
-                               F.sum("gross_profit_lift").alias("modeled_gp_lift"))
-    n = rp.latest_decisions(log).agg(F.count(F.lit(1)).alias("decisions_logged"))
-    a = j.agg(F.count(F.when(F.col("manual_review_required"), 1)).alias("awaiting_review"))
-    return _rnd(q.crossJoin(n).crossJoin(a))
+    return _rnd(rp.queue_kpis(j, sio.derive_decision_log(j)))
 
 
 @query("margin_summary")
 def q_margin_summary(spark, sf):
-    j = _J(spark, sf)
-    return _rnd(j.agg(F.avg("gross_margin_pct").alias("avg_gross_margin"),
-                      F.sum("projected_gross_profit").alias("total_projected_gross_profit"),
-                      F.count(F.lit(1)).alias("recommendations")))
+    return _rnd(rp.margin_summary(_J(spark, sf)))
 
 
 @query("replenish_summary")
 def q_replenish_summary(spark, sf):
-    j = _J(spark, sf).filter(F.col("inventory_action").isin("REPLENISH", "EXPEDITE_ORDER"))
-    return _rnd(j.agg(F.count(F.lit(1)).alias("replenish_skus"),
-                      F.coalesce(F.sum("recommended_order_quantity"), F.lit(0.0)).alias("total_order_quantity")))
+    return _rnd(rp.replenish_summary(_J(spark, sf)))
 
 
 @query("action_counts")
 def q_action_counts(spark, sf):
-    ia = F.col("inventory_action")
-    return _J(spark, sf).agg(F.count(F.when(ia == "STOP_OR_DELAY_ORDER", 1)).alias("stop_order_count"),
-                             F.count(F.when(ia == "PRICE_MARKDOWN", 1)).alias("markdown_count"))
+    return rp.action_counts(_J(spark, sf))
 
 
 @query("conflict_count")
 def q_conflict_count(spark, sf):
-    c = (F.col("pricing_action") == "Decrease") & F.col("inventory_action").isin(
-        "REPLENISH", "EXPEDITE_ORDER", "INTER_REGION_TRANSFER")
-    return _J(spark, sf).agg(F.count(F.when(c, 1)).alias("conflicts"))
+    return rp.conflict_count(_J(spark, sf))
 
 
 @query("woc_and_status_top5")
 def q_woc_and_status_top5(spark, sf):
-    inv = _inv(spark, sf)
-    top = rp.inv_status_distribution(inv).orderBy(F.desc("count"), "inventory_status").limit(5)
-    from shelfwise.functions.columns import exact_avg
-    woc = inv.agg(exact_avg(F.col("available_weeks_of_cover"), 2).alias("avg_weeks_of_cover"))
-    return _rnd(top.crossJoin(woc), 6)
+    return _rnd(rp.woc_and_status_top(_inv(spark, sf)), 6)
 
 
 @query("lost_sales_total")
 def q_lost_sales_total(spark, sf):
-    return _rnd(_J(spark, sf).agg(F.sum("lost_sales_estimate").alias("lost_sales_total")))
+    return _rnd(rp.lost_sales_total(_J(spark, sf)))
 
 
 @query("obsolescence_high")
 def q_obsolescence_high(spark, sf):
-    return _J(spark, sf).agg(F.count(F.when(F.col("obsolescence_risk_score") > 0.65, 1)).alias("high_obsolescence"))
+    return rp.obsolescence_high(_J(spark, sf))
+
+
+@query("excess_by_category_all")
+def q_excess_by_category_all(spark, sf):
+    return _rnd(rp.excess_by_category(_J(spark, sf)))
 
 
 @query("sku_excess_latest")
@@ -1001,30 +983,18 @@ def q_sku_stockout_latest(spark, sf):
 
 @query("elasticity_low_conf")
 def q_elasticity_low_conf(spark, sf):
-    e = pipe(spark, sf).elasticity
-    low = e.filter(F.col("elasticity_class") == "Low confidence")
-    counts = e.agg(F.count(F.when(F.col("elasticity_class") == "Low confidence", 1)).alias("low_confidence_count"),
-                   F.count(F.lit(1)).alias("total_count"))
-    first5 = low.orderBy("elasticity_segment").limit(5).select("elasticity_segment", "estimated_elasticity",
-                                                              "confidence_score")
-    return first5.crossJoin(counts)
+    return rp.elasticity_low_conf(pipe(spark, sf).elasticity)
 
 
 @query("guardrail_summary")
 def q_guardrail_summary(spark, sf):
-    j = _J(spark, sf)
-    return j.agg(F.count(F.when(F.col("recommendation_action") == "Manual Review", 1)).alias("manual_review"),
-                 F.count(F.when(F.length("guardrail_triggered") > 0, 1)).alias("guarded"))
+    return rp.guardrail_summary(_J(spark, sf))
 
 
 @query("rollback_retained")
 def q_rollback_retained(spark, sf):
     p = pipe(spark, sf)
-    pct = 0.5
-    t = p.transfers.agg((F.count(F.lit(1)) * (1 - pct)).alias("retained_transfers"),
-                        F.count(F.lit(1)).alias("total_transfers"))
-    g = p.joint.agg((F.sum("modeled_gp_lift") * (1 - pct)).alias("retained_gp_lift"))
-    return _rnd(t.crossJoin(g))
+    return _rnd(rp.rollback_retained(p.joint, p.transfers))
 
 
 @query("minmax_normalize")
@@ -1200,9 +1170,10 @@ def q_save_load_model(spark, sf):
 
 @query("save_load_model_metrics")
 def q_save_load_model_metrics(spark, sf):
-    metrics = _model(spark, sf, "gbt")[1].withColumn("n_features", F.lit(38))
+    model, metrics, _ = _model(spark, sf, "gbt")
+    metrics = metrics.withColumn("n_features", F.lit(model.stages[-1].numFeatures))
     path = sio.scratch_path(spark, "model-metrics")
-    metrics.coalesce(1).write.mode("overwrite").json(path)
+    metrics.write.mode("overwrite").json(path)
     return spark.read.schema(metrics.schema).json(path)
 
 

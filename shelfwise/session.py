@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -25,15 +24,13 @@ def get_spark(master: str | None = None, app: str = "shelfwise", shuffle_partiti
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+def table_dir(spark: SparkSession) -> str:
+    """Folder for tables that a sink is asked to write without a path: what the session's
+    ``spark.checkpoint.dir`` names, else its warehouse."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not path:
+        raise ValueError("set spark.checkpoint.dir or spark.sql.warehouse.dir, or give a path")
+    return path.rstrip("/")

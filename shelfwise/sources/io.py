@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.session import table_dir
 
 PRODUCTS_SCHEMA = T.StructType([
     T.StructField("sku_id", T.StringType()), T.StructField("product_name", T.StringType()),
@@ -54,8 +54,8 @@ DECISION_LOG_SCHEMA = T.StructType([
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/shelfwise-io/{name}-{uuid.uuid4().hex}"
+    """A fresh folder among the session's tables."""
+    return f"{table_dir(spark)}/shelfwise-io/{name}-{uuid.uuid4().hex}"
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -98,13 +98,11 @@ DECISION_TABLES = ("recommendations", "transfers", "inventory_metrics", "elastic
 
 
 def write_decisions(base: str, tables: dict[str, DataFrame], fmt: str = "parquet") -> dict[str, str]:
-    """Write each decision table; transfers only when non-empty; recommendations partitioned by category."""
+    """Write each decision table; an empty one replaces the last run's; recommendations partitioned by category."""
     out = {}
     for name, df in tables.items():
         if df is None:
             continue
-        if name == "transfers" and df.isEmpty():
-            continue
         out[name] = write_table(df, f"{base}/{name}", fmt, ["category"] if name == "recommendations" else None)
     return out
 

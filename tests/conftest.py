@@ -10,15 +10,15 @@ SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
-    from shelfwise.session import ensure_checkpoint_dir
     s = (SparkSession.builder.master("local[*]").appName("shelfwise-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s)
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('tables')}")
     yield s
 
 
