@@ -99,7 +99,7 @@ class Words:
         if len(index) + len(words) > REMEMBERED:
             index.clear()
             if len(words) > REMEMBERED // 2:  # a very long text: room for its own words
-                n = len(words) + 1
+                n = max(REMEMBERED, len(words)) + 1
                 self.hash, self.item, self.count = np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, np.int64)
         out = [index.get(w, -1) for w in words]
         if -1 in out:

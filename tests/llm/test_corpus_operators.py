@@ -132,6 +132,16 @@ def test_brown_model(spark, docs, rows, empty):
     assert brown_lm.score(empty, model).count() == 0
 
 
+def test_words_after_a_long_text(monkeypatch):
+    """A text of more than half of REMEMBERED words leaves room for the words of the texts after it."""
+    monkeypatch.setattr(brown_lm, "REMEMBERED", 20)
+    table = brown_lm.Words(brown_lm.Shape(core=4, endings=8), np.empty(0, np.int64), np.empty(0, np.int64))
+    texts = [[b"a%d" % i for i in range(15)], [b"b%d" % i for i in range(12)], [b"c%d" % i for i in range(8)], [b"d%d" % i for i in range(50)], [b"e%d" % i for i in range(18)]]
+    for words in texts:
+        at = table.places(words)
+        assert table.hash[at].tolist() == [brown_lm._hash(w) for w in words]
+
+
 def test_exchange_raises_the_likelihood():
     """The gain of a move is the difference of the two likelihoods."""
     rng = np.random.default_rng(0)
