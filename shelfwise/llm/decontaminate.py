@@ -1,16 +1,20 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
 
-Words are lower-cased and cut at white space and ASCII punctuation. Every run of ``spread``
-consecutive n-grams of a test item gives as seed the one that the fewest training documents hold,
-so any ``gram + spread - 1`` words copied in a row contain a seed, and a frequent phrase is a seed
-only where the item has nothing rarer. Training passages that hold a seed are aligned with the item
-(match 2, mismatch -1, gap -1); the similarity is the score over the item's best possible one.
-Pairs of at least ``similar`` are reported with the aligned stretch of the document.
+Words are lower-cased and cut at white space and ASCII punctuation. Training passages are aligned
+with the item (match 2, mismatch -1, gap -1); the similarity is the score over the item's best
+possible one. Pairs of at least ``similar`` are reported with the aligned stretch of the document.
 
-Scale: training n-grams are first looked up in a bitmap of fixed size of the benchmark's n-grams,
-so only occurrences of test phrases are shuffled; documents without a candidate are not shuffled
-at all. Candidates of one document are streamed past its text; nothing is gathered per item or
-document. An item that a third of all documents hold costs one alignment a document and stretch.
+Seeds lose no pair. An alignment of M matches and E errors with an item of m words is reported if
+2M - E >= 2 * similar * m. Two matches in a row that lie more than two words apart, in the item or
+in the document, cost two errors at least, so at least M - 1 - E / 2 >= similar * m - 1 matches have
+their next one or two words on, on both sides. And the alignment takes up at most
+M + E <= (3 - 2 * similar) * m words (a *span*). So of an item's words, that many must start such a
+pair found inside two neighbouring spans of a document; only these are aligned.
+
+Scale: the benchmark is sent to the tasks in parts of about ``PART_CHARS`` characters, one pass over
+the documents each (a single one for any usual benchmark). A pass reads every text where it lies and
+shuffles only the reported pairs. An item that a third of all documents hold costs its alignments
+in each of them.
 
 Nulls: null texts have no words; null ids are reported as null. Items shorter than ``gram`` words
 are not searched for (nothing tells them from chance). Repeated rows with equal id and text count
@@ -22,17 +26,21 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import as_long, gram_hashes, hash_bitmap, hash_words, in_bitmap, map_arrow, stored
+from shelfwise.llm.common import _MUL, hash_words, in_bitmap, map_arrow, mix64, stored
 
 MATCH, MISMATCH, GAP = 2, -1, 1
-BAND = 32
 BATCH = 256
+#: Cells of a row of a batch's alignment tables, hits looked at at once, benchmark characters a pass: memory bounds only.
+CELLS = 1 << 18
+HITS = 1 << 20
+PART_CHARS = 1 << 24
 #: ASCII punctuation becomes white space.
 _PLAIN = bytes(32 if chr(i) in string.punctuation else i for i in range(256))
 
@@ -40,7 +48,6 @@ _PLAIN = bytes(32 if chr(i) in string.punctuation else i for i in range(256))
 @dataclass(frozen=True)
 class Search:
     gram: int = 3
-    spread: int = 4
     similar: float = 0.5
     log2_bits: int = 23
 
@@ -93,48 +100,54 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> list[tuple[int
 
 # ---- candidates -----------------------------------------------------------------------------
 
-def _grams(rows: DataFrame, search: Search, bits=None) -> DataFrame:
-    """(key, gram, pos, first) of the n-grams of (key, text) rows, only those in the bitmap if given."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        for b in batches:
-            keys, grams, places, firsts = [], [], [], []
-            for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                g = gram_hashes(hash_words(plain_words(text.as_py()), seen), search.gram)
-                at = np.arange(len(g)) if bits is None else np.flatnonzero(in_bitmap(bits.value, g))
-                if not len(at):
-                    continue
-                own = g[at]
-                first = np.zeros(len(at), bool)
-                first[np.unique(own, return_index=True)[1]] = True
-                keys.append(np.full(len(at), key, np.int64))
-                grams.append(own)
-                places.append(at)
-                firsts.append(first)
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(as_long(np.concatenate(grams))),
-                                                  pa.array(np.concatenate(places).astype(np.int64)), pa.array(np.concatenate(firsts))],
-                                                 names=["key", "gram", "pos", "first"])
-    return map_arrow(rows, run, "key long, gram long, pos long, first boolean")
-
-
-def candidates(docs: DataFrame, items: DataFrame, search: Search) -> DataFrame:
-    """(key, item, low, high): stretches of documents where seeds of an item lie near one diagonal
-    (document position less item position), from (key, text) rows of both sides."""
-    sc = docs.sparkSession.sparkContext
-    tests = stored(_grams(items, search), "test-grams")
-    bits = sc.broadcast(hash_bitmap(tests.select("gram"), "gram", search.log2_bits))  # 2**log2_bits bits
-    found = stored(_grams(docs, search, bits), "test-phrases")
-    spread = found.where("first").groupBy("gram").agg(F.count(F.lit(1)).alias("docs"))
-    near = Window.partitionBy("key").orderBy("pos").rowsBetween(0, search.spread - 1)  # one item: bounded by its length
-    rated = tests.join(spread, "gram", "left").select("key", "gram", "pos", F.coalesce("docs", F.lit(0)).alias("docs"))
-    seeds = (rated.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key")))
-             .withColumn("seed", F.min(F.struct("docs", "gram", "pos")).over(near))
-             .where((F.col("pos") <= F.col("size") - search.spread) | (F.col("pos") == 0))
-             .select(F.col("key").alias("item"), "seed.gram", F.col("seed.pos").alias("item_pos"), "seed.docs").where("docs > 0").distinct())
-    met = found.join(seeds.drop("docs"), "gram").withColumn("diagonal", F.col("pos") - F.col("item_pos"))
-    return (met.groupBy("key", "item", F.floor(F.col("diagonal") / BAND).alias("band"))
-            .agg(F.min("diagonal").alias("low"), F.max("diagonal").alias("high")).select("key", "item", "low", "high"))
+def word_pairs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, place of the first word) of all pairs of words that are one or two words apart."""
+    x = mix64(h) * _MUL
+    near, far = mix64(x[:-1] + h[1:]), mix64(x[:-2] + h[2:])
+    return np.concatenate([near, far]), np.r_[np.arange(len(near)), np.arange(len(far))]
+
+
+class Seeds:
+    """The items of one part of the benchmark and where their word pairs are."""
+
+    def __init__(self, items: list[np.ndarray], search: Search):
+        self.items = items
+        sizes = np.array([len(x) for x in items], np.int64)
+        self.need = np.maximum(np.ceil(search.similar * sizes - 1 - 1e-9), 1).astype(np.int64)
+        self.span = np.maximum(np.ceil((3 - 2 * search.similar) * sizes - 1e-9), 1).astype(np.int64)
+        self.item = np.repeat(np.arange(len(items)), sizes)  # of every word of the part
+        start = np.r_[0, np.cumsum(sizes)]
+        found = [word_pairs(x) for x in items]
+        pair = np.concatenate([f[0] for f in found])
+        word = np.concatenate([f[1] + start[k] for k, f in enumerate(found)])
+        order = np.argsort(pair, kind="stable")
+        self.word = word[order]
+        self.pair, self.first, self.count = np.unique(pair[order], return_index=True, return_counts=True)
+        self.bits = np.zeros(1 << search.log2_bits - 3, np.uint8)
+        top = self.pair >> np.uint64(64 - search.log2_bits)
+        np.bitwise_or.at(self.bits, (top >> np.uint64(3)).astype(np.int64), (1 << (top & np.uint64(7)).astype(np.int64)).astype(np.uint8))
+
+    def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
+        """(item, first word): the item may be aligned within two spans of the document from there."""
+        pair, at = word_pairs(h)
+        hit = np.flatnonzero(in_bitmap(self.bits, pair))
+        pair, at = pair[hit], at[hit]
+        k = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
+        real = self.pair[k] == pair
+        k, at = k[real], at[real]
+        if not len(k):
+            return []
+        n, words, codes = self.count[k], len(self.item), []
+        for part in np.split(np.arange(len(k)), np.flatnonzero(np.diff(np.cumsum(n) // HITS)) + 1):
+            c = n[part]
+            word = self.word[np.repeat(self.first[k[part]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)]
+            tile = np.repeat(at[part], c) // self.span[self.item[word]]
+            codes.append(np.unique(np.concatenate([tile * words + word, (tile[tile > 0] - 1) * words + word[tile > 0]])))
+        tile, word = np.divmod(np.unique(np.concatenate(codes)), words)
+        held, n = np.unique(tile * len(self.items) + self.item[word], return_counts=True)
+        tile, item = np.divmod(held, len(self.items))
+        live = n >= self.need[item]
+        return list(zip(item[live].tolist(), (tile * self.span[item])[live].tolist(), strict=True))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), id_col: str = "doc_id", text_col: str = "text",
@@ -145,48 +158,42 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, search: Search = Search(
                                        F.col(f"`{t}`").alias("text")).where("text is not null")
     rows, tests = keyed(docs, id_col, text_col), keyed(benchmark, item_col, item_text_col)
     tests = stored(tests.dropDuplicates(["key"]), "tests")
-    asked = stored(candidates(rows.select("key", "text"), tests.select("key", "text"), search), "candidates")
-    bits = rows.sparkSession.sparkContext.broadcast(hash_bitmap(asked.select("key"), "key", search.log2_bits))  # 2**log2_bits bits
-
-    def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = in_bitmap(bits.value, b.column(0).to_numpy().view(np.uint64))
-            if keep.any():
-                yield b.filter(pa.array(keep))
-
-    texts = map_arrow(rows.select("key", "id", "text"), only, "key long, id long, text string")
-    asked = asked.join(tests.select(F.col("key").alias("item"), F.col("id").alias("item_id"), F.col("text").alias("item_text")), "item")
-    both = texts.select("key", "id", "text", *(F.lit(None).cast(t).alias(c) for c, t in (("item_id", "long"), ("item", "long"), ("low", "long"), ("high", "long")))).unionByName(
-        asked.select("key", F.lit(None).cast("long").alias("id"), F.col("item_text").alias("text"), "item_id", "item", "low", "high"))
-    dealt = both.repartition("key").sortWithinPartitions("key", F.col("item").asc_nulls_first(), "low")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        now, doc, words, held = None, None, np.empty(0, np.uint64), []
-        names = ["key", "doc_id", "item", "item_id", "score", "best", "first_word", "past_word"]
-
-        def out():
-            done = align([h[4] for h in held], [h[5] for h in held])
-            rows = [(h[0], h[1], h[2], h[3], s, MATCH * len(h[4]), h[6] + a, h[6] + z) for h, (s, a, z) in zip(held, done, strict=True)
-                    if s >= search.similar * MATCH * len(h[4])]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*rows, strict=True) if rows else [[]] * 8)], names=names)
-        for b in batches:
-            for key, i, text, item_id, item, low, high in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if item is None:
-                    if key != now:  # equal rows are one document
-                        now, doc, words = key, i, hash_words(plain_words(text), seen)
-                elif key == now:
-                    test = hash_words(plain_words(text), seen)
-                    around = len(test) // 4 + 8
-                    start = max(0, low - around)
-                    held.append((key, doc, item, item_id, test, words[start:high + len(test) + around], start))
-                    if len(held) == BATCH:
-                        yield out()
-        if held:
-            yield out()
-
-    pairs = map_arrow(dealt, run, "key long, doc_id long, item long, item_id long, score long, best long, first_word long, past_word long")
+    parts = 1 + (tests.agg(F.sum(F.length("text"))).first()[0] or 0) // PART_CHARS
+    names = ["key", "doc_id", "item", "item_id", "score", "best", "first_word", "past_word"]
+
+    def aligned(part: int) -> DataFrame:
+        asked = tests.where(F.pmod("key", F.lit(parts)) == part).collect()  # about PART_CHARS characters
+        items = [(r["key"], r["id"], hash_words(plain_words(r["text"]), {})) for r in asked]
+        shared = rows.sparkSession.sparkContext.broadcast([x for x in items if len(x[2]) >= search.gram])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            if not shared.value:
+                return
+            seen: dict[bytes, int] = {}
+            seeds, held, wide = Seeds([x[2] for x in shared.value], search), [], 0
+
+            def out():
+                done = align([seeds.items[h[2]] for h in held], [h[4] for h in held])
+                found = [(h[0], h[1], *shared.value[h[2]][:2], s, MATCH * len(seeds.items[h[2]]), h[3] + a, h[3] + z) for h, (s, a, z) in zip(held, done, strict=True)
+                         if s >= search.similar * MATCH * len(seeds.items[h[2]])]
+                held.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*found, strict=True) if found else [[]] * 8)], names=names)
+            for b in batches:
+                for key, i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                    words = hash_words(plain_words(text.as_py()), seen)
+                    for item, start in seeds.candidates(words):
+                        passage = words[start:start + 2 * int(seeds.span[item])].copy()
+                        wide = max(wide, len(passage))
+                        held.append((key, i, item, start, passage))
+                        if len(held) >= BATCH or len(held) * wide > CELLS:
+                            yield out()
+                            wide = 0
+            if held:
+                yield out()
+
+        return map_arrow(rows, run, "key long, doc_id long, item long, item_id long, score long, best long, first_word long, past_word long")
+
+    pairs = reduce(DataFrame.union, map(aligned, range(parts)))
     top = pairs.groupBy("key", "item").agg(F.max(F.struct("score", (-F.col("first_word")).alias("minus_first"), "past_word", "best", "doc_id", "item_id")).alias("t"))
     return top.select(F.col("t.doc_id").alias(id_col), F.col("t.item_id").alias(item_col), "t.score", (F.col("t.score") / F.col("t.best")).alias("similarity"),
                       (-F.col("t.minus_first")).alias("first_word"), "t.past_word")

@@ -97,6 +97,40 @@ def test_decontaminate(spark, docs, rows):
     assert decontaminate.contaminated(more.limit(0), bench).count() == 0 and decontaminate.contaminated(more, bench.limit(0)).count() == 0
 
 
+def test_decontaminate_finds_every_edit(spark, monkeypatch):
+    """Random replacements, insertions and deletions up to the threshold, held to full alignment alone;
+    every item also has a whole copy, so that all its phrases occur."""
+    rng = random.Random(12)
+    items = [(k, sentence(rng, n)) for k, n in enumerate((30, 31, 12, 7, 3, 60))]
+    texts = [sentence(rng, 15) + " " + t + " " + sentence(rng, 15) for _, t in items]
+
+    def put(words):
+        texts.append(" ".join([f"x{rng.randrange(999)}" for _ in range(rng.randint(0, 90))] + words + [f"y{rng.randrange(999)}" for _ in range(9)]))
+    for _, t in items:
+        w = t.split(" ")
+        for step in (3, 4, 5, 6):
+            put([f"z{i}" if i % step == step - 1 else x for i, x in enumerate(w)])
+        put([x for i, y in enumerate(w) for x in (y, f"z{i}")][:-1])
+        for _ in range(12):
+            share = rng.uniform(0.05, 0.4)
+            put([x for i, y in enumerate(w) for x in ([y], [f"z{i}"], [y, f"z{i}"], [])[rng.randint(1, 3) if rng.random() < share else 0]])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {}
+    for i, t in enumerate(texts):
+        w = decontaminate.hash_words(decontaminate.plain_words(t), {})
+        for k, x in items:
+            q = decontaminate.hash_words(decontaminate.plain_words(x), {})
+            if (s := int(decontaminate.smith_waterman([q], [w])[0][0])) >= len(q):
+                want[i, k] = s
+    assert len(want) > 70
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(df, bench).collect()} == want
+    for name in ("PART_CHARS", "CELLS", "HITS"):
+        if hasattr(decontaminate, name):
+            monkeypatch.setattr(decontaminate, name, 300)
+    assert {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(df, bench).collect()} == want
+
+
 # ---- 4 ----
 
 def test_brown_model(spark, docs, rows, empty):
