@@ -9,15 +9,19 @@ removed from all but the first document.
 
 Hot passages: a map task passes on each distinct window once (for the smallest id it has seen) and
 settles the others itself, so a passage in a third of all documents reaches a reducer once a task.
+Hot anchors: a phrase shorter than a window, but with an anchor, gives as many different windows as
+documents. The windows of an anchor that over ``HOT`` documents hold (looked up in a bitmap of fixed
+size) are dealt singly by their own hash; equal windows share anchor and hash, so they still meet.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged; null and empty texts have none. Documents are judged
 on the input. Rows sharing an id do not count as smaller than each other, and each keeps its own
 text; rows with a null id are returned as they are and are no source for others. Extra columns are
-ignored. Windows are equal when their anchors' and their own 64-bit hashes are.
+ignored. Windows are equal when their 64-bit hashes are (below ``HOT``, their anchors' as well).
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,8 @@ from shelfwise.llm.common import as_long, hash_bitmap, hash_words, in_bitmap, lo
 #: Windows a map task remembers to settle repeats itself; a memory bound only (emptied when full).
 REMEMBERED = 1_000_000
 ROWS = 20_000
+#: Documents an anchor's windows may come from before they are dealt by their own hashes.
+HOT = 128
 
 
 def anchors(h: np.ndarray, seed: int, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,10 +56,10 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts[np.r_[0, cut + 1]].tolist(), (starts[np.r_[cut, len(starts) - 1]] + 1).tolist(), strict=True))
 
 
-def repeats(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "doc_id", text_col: str = "text",
-            log2_bits: int = 25) -> DataFrame:
-    """(doc_id, tag, first, past): runs of window starts that repeat a document with a smaller id.
-    ``tag`` tells apart rows that share an id."""
+def windows_met(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "doc_id", text_col: str = "text",
+                log2_bits: int = 25) -> DataFrame:
+    """(doc_id, tag, first, past, meet, hashes): runs of windows with a shared anchor. Without ``meet``
+    they repeat a smaller id; else windows of equal ``meet`` are to be compared by their hashes."""
     if not 0 < seed <= length:
         raise ValueError("0 < seed <= length")
     rows = _keyed(docs, id_col, text_col).where("doc_id is not null and text is not null")
@@ -70,9 +76,11 @@ def repeats(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "do
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(as_long(np.concatenate(found)))], names=["doc_id", "anchor"])
 
-    shared = (map_arrow(rows, seeds, "doc_id long, anchor long").groupBy("anchor")
-              .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("anchor"))
-    bits = rows.sparkSession.sparkContext.broadcast(hash_bitmap(shared, "anchor", log2_bits))  # 2**log2_bits bits, whatever the corpus
+    shared = stored(map_arrow(rows, seeds, "doc_id long, anchor long").groupBy("anchor")
+                    .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count(F.lit(1)).alias("n")).where("a < z").select("anchor", (F.col("n") > HOT).alias("hot")), "anchors")
+    sc = rows.sparkSession.sparkContext
+    bits = sc.broadcast(hash_bitmap(shared, "anchor", log2_bits))  # 2**log2_bits bits, whatever the corpus
+    hot_bits = sc.broadcast(hash_bitmap(shared.where("hot"), "anchor", log2_bits))  # as large
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[bytes, int] = {}
@@ -94,6 +102,9 @@ def repeats(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "do
                 known = np.fromiter((_known(first, x, d) for x in whole.tolist()), bool, len(whole))
                 out += [(d, tag, a, z, None, None) for a, z in _runs(starts[known])]
                 open_, own = starts[~known], whole[~known]
+                hot = in_bitmap(hot_bits.value, key[open_])
+                out += [(d, tag, k, k + 1, x, x.to_bytes(8, sys.byteorder, signed=True)) for k, x in zip(open_[hot].tolist(), own[hot].tolist(), strict=True)]
+                open_, own = open_[~hot], own[~hot]
                 cut = np.flatnonzero((np.diff(open_) != 1) | (np.diff(at[open_]) != 0)) + 1
                 out += [(d, tag, int(s[0]), int(s[-1]) + 1, int(as_long(key[s[:1]])[0]), x.tobytes())
                         for s, x in zip(np.split(open_, cut), np.split(own, cut), strict=True) if len(s)]
@@ -103,23 +114,30 @@ def repeats(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "do
             if out:
                 yield _window_batch(out)
 
-    found = stored(map_arrow(rows, windows, "doc_id long, tag long, first long, past long, anchor long, hashes binary"), "windows")
+    return map_arrow(rows, windows, "doc_id long, tag long, first long, past long, meet long, hashes binary")
+
+
+def repeats(docs: DataFrame, length: int = 50, seed: int = 16, id_col: str = "doc_id", text_col: str = "text",
+            log2_bits: int = 25) -> DataFrame:
+    """(doc_id, tag, first, past): runs of window starts that repeat a document with a smaller id.
+    ``tag`` tells apart rows that share an id."""
+    found = stored(windows_met(docs, length, seed, id_col, text_col, log2_bits), "windows")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, first = None, {}
+        meet, first = None, {}
         for b in batches:
             out = []
-            for d, tag, start, a, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if a != anchor:
-                    anchor, first = a, {}
+            for d, tag, start, m, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if m != meet:
+                    meet, first = m, {}
                 known = [start + i for i, x in enumerate(np.frombuffer(packed, np.int64).tolist()) if _known(first, x, d)]
                 out += [(d, tag, p, q) for p, q in _runs(np.array(known, np.int64))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["doc_id", "tag", "first", "past"])
 
-    open_ = found.where("anchor is not null").select("doc_id", "tag", "first", "anchor", "hashes")
-    met = open_.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "tag", "first")
-    return found.where("anchor is null").select("doc_id", "tag", "first", "past").union(
+    open_ = found.where("meet is not null").select("doc_id", "tag", "first", "meet", "hashes")
+    met = open_.repartition("meet").sortWithinPartitions("meet", "doc_id", "tag", "first")
+    return found.where("meet is null").select("doc_id", "tag", "first", "past").union(
         map_arrow(met, settle, "doc_id long, tag long, first long, past long"))
 
 
@@ -135,7 +153,7 @@ def _known(first: dict[int, int], window: int, doc: int) -> bool:
 def _window_batch(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int64()] * 5 + [pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                                      names=["doc_id", "tag", "first", "past", "anchor", "hashes"])
+                                      names=["doc_id", "tag", "first", "past", "meet", "hashes"])
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

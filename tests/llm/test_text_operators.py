@@ -125,6 +125,26 @@ def test_substring_dedup_edges(spark, empty):
     assert got == [(-1, 0), (5, 0), (5, 0), (9, 0), (9, 80)]
 
 
+def test_substring_dedup_hot_anchor(spark, monkeypatch):
+    """A footer shorter than a window, in every document, between words of their own: its different
+    windows do not meet in one group, and the windows that do repeat are found."""
+    import random
+    rng = random.Random(3)
+    own = lambda n: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n))
+    footer = " ".join(f"f{i}" for i in range(20))
+    rows = [(i, f"{own(60)} {footer} {own(60)}") for i in range(60)]
+    rows += [(100 + i, own(5) + " " + rows[i][1]) for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = removed_words(rows, 50)
+    assert sum(n > 0 for _, n, _ in want.values()) == 10
+    for hot in (8, 1000):
+        monkeypatch.setattr(substring_dedup, "HOT", hot, raising=False)
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept.encode()) for r in substring_dedup.dedup(df).collect()} == want
+    monkeypatch.setattr(substring_dedup, "HOT", 8)
+    met = substring_dedup.windows_met(df).where("meet is not null").groupBy("meet").count()
+    assert met.agg(F.max("count")).first()[0] <= 8
+
+
 def edit_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
