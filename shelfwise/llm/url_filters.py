@@ -5,8 +5,8 @@ a day. ``intervals`` turns the log into validity intervals [from, to); ``match``
 that were valid when a capture was fetched; ``verdicts`` folds them: a capture is blocked if a
 ``block`` entry matches and no ``allow`` entry does.
 
-Entries are keys: ``host:example.org`` (also all hosts below), ``path:example.org/a/b`` (up to three
-segments, also everything below) and ``url:example.org/a/b/c/d`` (that path, any query).
+Entries are keys: ``host:example.org`` (also all hosts below), ``path:example.org/a/b`` (any number of
+segments, also everything below; a URL is asked for at the depths that occur in the lists) and ``url:example.org/a/b/c/d`` (that path, any query).
 
 The join is on (key, month): an interval is written once for each month it covers within the
 captures' time, so a host with a third of all captures is split by month, and what is left of the
@@ -23,24 +23,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import stored
+
+#: Depths of the path keys of a URL when no list says which ones occur.
 PATH_SEGMENTS = 3
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)"
 FOREVER = "9999-12-31"
 
 
-def url_keys(url: Column) -> Column:
+def url_keys(url: Column, depths: Column | None = None) -> Column:
     """All keys under which a list may hold the URL: its host and those above, its leading path
-    segments, its whole path."""
+    segments (as many as each of ``depths`` says, by default up to PATH_SEGMENTS), its whole path."""
     host = F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
     path = F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1)
     labels = F.split(host, r"\.")
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     hosts = F.transform(F.sequence(F.lit(1), F.size(labels)),
                         lambda i: F.concat(F.lit("host:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    count = F.least(F.size(segments), F.lit(PATH_SEGMENTS))
-    paths = F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.concat(
-        F.lit("path:"), host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")))).otherwise(F.array().cast("array<string>"))
+    depths = F.sequence(F.lit(1), F.lit(PATH_SEGMENTS)) if depths is None else depths
+    paths = F.transform(F.filter(depths, lambda i: i <= F.size(segments)), lambda i: F.concat(
+        F.lit("path:"), host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")))
     whole = F.array(F.concat(F.lit("url:"), host, F.lit("/"), F.array_join(segments, "/")))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(hosts, paths, whole)))
 
@@ -63,7 +66,10 @@ def match(captures: DataFrame, valid: DataFrame, url_col: str = "url", day_col:
     which needs a unique ``capture`` column."""
     seen = captures.select("capture", F.col(f"`{url_col}`").alias("url"), F.col(f"`{day_col}`").cast("date").alias("on")).where("url is not null and on is not null")
     span = seen.agg(F.min("on").alias("low"), F.max("on").alias("high"))
-    asked = seen.select("capture", "on", _month(F.col("on")).alias("month"), F.explode(url_keys(F.col("url"))).alias("key"))
+    valid = stored(valid.select("list", "effect", "key", "valid_from", "valid_to"), "intervals")
+    # one row, with as many numbers as the deepest entry has segments at most
+    depths = valid.where(F.col("key").startswith("path:")).agg(F.collect_set(F.length("key") - F.length(F.translate("key", "/", ""))).alias("depths"))
+    asked = seen.join(F.broadcast(depths)).select("capture", "on", _month(F.col("on")).alias("month"), F.explode(url_keys(F.col("url"), F.col("depths"))).alias("key"))
     by_month = (valid.join(F.broadcast(span)).where("valid_from <= high and valid_to > low")  # one row
                 .select("list", "effect", "key", "valid_from", "valid_to", F.explode(F.sequence(
                     _month(F.greatest("valid_from", "low")), _month(F.least("valid_to", "high")))).alias("month")))

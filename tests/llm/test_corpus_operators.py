@@ -58,6 +58,16 @@ def test_url_filters(spark):
     assert url_filters.verdicts(df.limit(0), url_filters.intervals(log)).count() == 0
 
 
+def test_url_filters_deep_paths(spark):
+    """Path entries of any depth match, everything below them too."""
+    urls = ["http://a.org/1/2/3/4", "http://a.org/1/2/3/4/5/6?q", "http://a.org/1/2/3/x", "http://a.org/1/2", "http://a.org", "http://b.org/1/2/3/4/5/6/7"]
+    df = spark.createDataFrame([(i, u, DAY) for i, u in enumerate(urls)], "capture long, url string, fetched_on date")
+    log = spark.createDataFrame([("l", "block", k, "add", DAY) for k in ("path:a.org/1/2/3/4", "path:b.org/1/2/3/4/5/6", "path:a.org/1/2/3/4/5/6/7")],
+                                "list string, effect string, key string, action string, day date")
+    got = {r.capture: r.first_entry for r in url_filters.verdicts(df, url_filters.intervals(log)).collect()}
+    assert got == {0: "path:a.org/1/2/3/4", 1: "path:a.org/1/2/3/4", 2: None, 3: None, 4: None, 5: "path:b.org/1/2/3/4/5/6"}
+
+
 # ---- 3 ----
 
 def test_alignment_matches_the_plain_table():
