@@ -15,10 +15,9 @@ def spark(tmp_path_factory):
     s = (SparkSession.builder.master("local[*]").appName("shelfwise-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('tables')}")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('tables')}")
     yield s
 
 
