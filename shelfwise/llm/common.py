@@ -3,7 +3,6 @@ fixed-size membership bitmaps and connected components."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -123,12 +122,10 @@ def as_long(x: np.ndarray) -> np.ndarray:
 # ---- tables in the shared folder ------------------------------------------------------------
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``. Only a session without that setting (local
-    tests) gets a temporary one of its own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named in ``spark.checkpoint.dir``, else the session's warehouse."""
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        raise ValueError("set spark.checkpoint.dir or spark.sql.warehouse.dir")
     return path.rstrip("/")
 
 
@@ -144,9 +141,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def without_clashes(df: DataFrame, *needed: str) -> DataFrame:
-    """Only the named columns (extra ones, whatever their names, play no part)."""
-    return df.select(*(F.col(f"`{c}`") for c in needed))
+def forget(spark: SparkSession, *paths: str) -> None:
+    """Delete tables of the shared folder that nothing reads any more."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 # ---- fixed-size bitmaps ---------------------------------------------------------------------
@@ -176,7 +175,7 @@ def id_hash(ids: np.ndarray) -> np.ndarray:
         return (ids.astype(np.int64).view(np.uint64) * _MUL)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
@@ -223,5 +222,3 @@ def components(edges: DataFrame, u: str = "u", v: str = "v", most_rounds: int =
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
-
-LONG = T.LongType()

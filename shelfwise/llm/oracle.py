@@ -46,3 +46,20 @@ f AS (SELECT c, count(*) FILTER (effect = 'block') AS b, count(*) FILTER (effect
 SELECT page_id, CAST(fetched_on AS VARCHAR) AS fetched_on, coalesce(b, 0) AS n_block, coalesce(w, 0) AS n_allow, first_entry, coalesce(b, 0) > 0 AND coalesce(w, 0) = 0 AS blocked
 FROM p LEFT JOIN f USING (c)
 """
+
+#: Units as a list; cuts, form and output by list slices; the restored text is the text itself.
+FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u,
+  CAST('0x' || substr(x, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(x, 9, 8) AS BIGINT) AS h2,
+  CAST('0x' || substr(x, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(x, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+    WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, t, n, form, coalesce(array_to_string(list_slice(u, 1, a), ''), '') AS p, coalesce(array_to_string(list_slice(u, a + 1, b), ''), '') AS m,
+  coalesce(array_to_string(list_slice(u, b + 1, n), ''), '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import brown_lm, byte_bpe, co_training, decontaminate, jaccard_join, line_dedup, oracle, quality_rules, substring_dedup, url_filters, warc
-from shelfwise.llm.common import stored
+from shelfwise.llm import (brown_lm, byte_bpe, co_training, decontaminate, fill_in_middle, jaccard_join, line_dedup, oracle, quality_rules, substring_dedup,
+                           token_files, url_filters, warc, whitening)
+from shelfwise.llm.common import new_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,30 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+#: The id that ends a document in the token files.
+END_ID = 2
+
+
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document written to entropy-coded files, and read back."""
+    import public_tokenizers
+    path = token_files.write(_read(spark, sf_dir, "documents"), new_path(spark, "token-files"), public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut and rearranged, and put together again."""
+    rows = fill_in_middle.transform(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = fill_in_middle.restored(F.col("form"), F.col("output"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the four leading components of the distinct vectors, scaled to unit variance."""
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_url_filters": op2_url_filters,
@@ -118,9 +143,13 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_files": op11_token_files,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
     "op1_quality_rules": oracle.QUALITY_RULES,
     "op2_url_filters": oracle.URL_FILTERS,
+    "op12_fill_in_middle": oracle.FILL_IN_MIDDLE,
 }
