@@ -35,6 +35,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,9 +46,11 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.common import forget, map_arrow, new_path
 
-BLOCK, LANES = 1 << 17, 512
+BLOCK, LANES = 1 << 18, 1024
+#: Ids below this are looked up in an array.
+DIRECT = 1 << 20
 #: Blocks of a file at most (some 50 MB), so that a file fits in a task's memory.
-FILE_BLOCKS = 256
+FILE_BLOCKS = 128
 #: Least state of a coder and bits of a scaled table (raised for vocabularies that need more).
 LOW, SCALE_BITS = np.uint64(1 << 31), 18
 MAGIC, SEPARATOR = b"RNS1", b"\n"
@@ -55,53 +58,88 @@ MAGIC, SEPARATOR = b"RNS1", b"\n"
 HEADER = struct.Struct("<4sIIQIIIII")
 DOCUMENT = np.dtype([("has_id", "<u4"), ("n", "<u4"), ("id", "<i8")])
 #: Remembered pieces of a worker (twice so many at most) and the longest one: memory bounds only.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST, SHORT_TAILS = 700_000, 64, 1000
 
 
 # ---- tokenising -----------------------------------------------------------------------------
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _PAIR = re.compile(r"\s\s")
-_PLAIN = re.compile(r"[A-Za-z]+")
+#: Letters, then ASCII punctuation (an apostrophe may begin a word of its own, "<" a special token).
+_WORD = re.compile(r"([^\W\d_]+)([!-&(-/:;=-@\[-`{-~]*)")
+
+
+def _alphabet() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others, in order, for the
+    code points from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+class _Memory(dict):
+    """Ids by piece; a piece that isn't there is made by ``new``."""
+
+    def __init__(self, new):
+        super().__init__()
+        self.new = new
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.new(piece)
 
 
 class Pieces:
-    """The tokenizers library behind a memory of pieces: the ids of a text are those of its pieces."""
+    """The tokenizers library behind a memory of pieces: the ids of a text are those of its pieces,
+    and those of a piece are those of its words (letters behind a space, punctuation behind them)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.model, self.split = self.whole.model, self.whole.pre_tokenizer
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-        probe = "a b, c 12 it's\n\n d  e \t é f <x> 'll   g h\n i  "
-        self.by_piece = self.whole.normalizer is None and self.split is not None and not any(map(str.isspace, "".join(self.special))) \
-            and b"".join(self._encode(p) for p in self._pieces(probe)) == self._encode(probe)
-        self.space = self.split.pre_tokenize_str(" a")[0][0][:-1] if self.by_piece else ""
+        self.alphabet = _alphabet()
+        self.now, self.before = _Memory(self._new), {}
+        self.tails: dict[str, bytes] = {"": b""}
+        probe = "a b, c 12 it's\n\n d  e \t é?! f <x> 'll   g h\n i ñandú — ²x x² 漢字。 "
+        self.by_piece = self.whole.normalizer is None and self.split is not None and not any(map(str.isspace, "".join(self.special)))
+        self.by_piece = self.by_piece and all(self.encode(t) == self._encode(t) for t in (probe, probe.strip(), probe))
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        first, *rest = _CUT.split(text)
-        return [first, *(" " + p for p in rest)]
+    def _word(self, word: str) -> bytes:
+        """Ids of one word of the pre-tokenizer."""
+        shown = word if word.isascii() else word.encode().decode("latin-1")
+        return array("I", [t.id for t in self.model.tokenize(shown.translate(self.alphabet))]).tobytes()
 
     def _new(self, piece: str) -> bytes:
         """Ids of a piece (without its leading space), remembered."""
         ids = self.before.get(piece)
         if ids is None:
-            if _PLAIN.fullmatch(piece):  # letters behind a space are one word
-                words = [self.space + piece]
-            elif any(s in piece for s in self.special):
-                return self._encode(" " + piece)
+            m = _WORD.fullmatch(piece)
+            if m and m[1].isalpha():
+                word, tail = m.groups()
+                ids = (self.now.get(word) or self.before.get(word)) if tail else None
+                if ids is None:
+                    ids = self._word(" " + word)
+                    if tail:
+                        self._remember(word, ids)
+                end = self.tails.get(tail)
+                if end is None:
+                    end = self._word(tail)
+                    if len(self.tails) < SHORT_TAILS and len(tail) < 4:
+                        self.tails[tail] = end
+                ids += end
+            elif any(t in piece for t in self.special):
+                ids = self._encode(" " + piece)
             else:
-                words = [w for w, _ in self.split.pre_tokenize_str(" " + piece)]
-            ids = np.array([t.id for w in words for t in self.model.tokenize(w)], "<u4").tobytes()
+                ids = array("I", [t.id for w, _ in self.split.pre_tokenize_str(" " + piece) for t in self.model.tokenize(w)]).tobytes()
+        return self._remember(piece, ids)
+
+    def _remember(self, piece: str, ids: bytes) -> bytes:
         if len(piece) <= LONGEST:
             if len(self.now) >= REMEMBERED:
-                self.before, self.now = self.now, {}
+                self.before, self.now = self.now, _Memory(self._new)
             self.now[piece] = ids
         return ids
 
@@ -110,11 +148,8 @@ class Pieces:
         if not text or not self.by_piece:
             return self._encode(text) if text else b""
         parts = text.split(" ") if _PAIR.search(text) is None and not text[0].isspace() and not text[-1].isspace() else _CUT.split(text)
-        found = list(map(self.now.get, parts))
-        found[0] = self._encode(parts[0]) if parts[0] else b""
-        if None in found:
-            found = [self._new(p) if x is None else x for p, x in zip(parts, found, strict=True)]
-        return b"".join(found)
+        first = self._encode(parts[0]) if parts[0] else b""
+        return first + b"".join(map(self.now.__getitem__, parts[1:]))
 
 
 _LOADED: dict[str, Pieces] = {}
@@ -138,6 +173,7 @@ class Table:
         self.freq = freqs.astype(np.uint64)
         self.start = np.cumsum(self.freq) - self.freq
         self.slots: np.ndarray | None = None
+        self.place: np.ndarray | None = None
 
     @staticmethod
     def scaled(ids: np.ndarray, counts: np.ndarray) -> Table:
@@ -153,6 +189,19 @@ class Table:
             freq[counts.argmax()] += size - freq.sum()
         return Table(ids, freq, bits)
 
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of the ids; by an array where ids are small numbers, as those of a vocabulary are."""
+        if len(self.ids) and self.ids[-1] < DIRECT:
+            if self.place is None:
+                self.place = np.full(DIRECT, len(self.ids), np.int32)
+                self.place[self.ids] = np.arange(len(self.ids))
+            k = self.place[np.minimum(ids.astype(np.uint32), np.uint32(DIRECT - 1))]
+        else:
+            k = np.searchsorted(self.ids, ids)
+        if len(ids) and (k.max() >= len(self.ids) or (self.ids[k] != ids).any()):
+            raise ValueError("an id without a slot in the table")
+        return k
+
     def symbols(self) -> np.ndarray:
         if self.slots is None:
             self.slots = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.freq.astype(np.int64))
@@ -161,9 +210,7 @@ class Table:
 
 def rans_encode(ids: np.ndarray, table: Table) -> tuple[np.ndarray, np.ndarray]:
     """(states, words) of the ids."""
-    k = np.searchsorted(table.ids, ids)
-    if len(ids) and (k.max() >= len(table.ids) or (table.ids[k] != ids).any()):
-        raise ValueError("an id without a slot in the table")
+    k = table.places(ids)
     freq, start, bits = table.freq[k], table.start[k], np.uint64(table.bits)
     full = freq << np.uint64(63 - table.bits)
     state, words = np.full(LANES, LOW, np.uint64), []
