@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -129,8 +130,12 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("folder", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """An unused path in the shared folder, or in that of the operator call that is going on."""
+    return f"{_FOLDER.get() or shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -148,8 +153,50 @@ def forget(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` written and read back. All tables that it stores on the way lie in one folder, which
+    is deleted when the result is written (or the call fails)."""
+    path, folder = new_path(spark, name), new_path(spark, f"{name}-tables")
+    before = _FOLDER.set(folder)
+    try:
+        df = build()
+        df.write.parquet(path)
+    finally:
+        _FOLDER.reset(before)
+        forget(spark, folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def without(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id is not among ``ids`` (a stored one-column table of longs), in the columns of
+    ``df``. Only rows that a bitmap of fixed size holds are shuffled for the exact join; null ids stay."""
+    whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"))
+    ids = ids.toDF("id")
+    bitmap = place_bitmap(ids, F.xxhash64("id"))
+    some = maybe_in(whole, F.xxhash64("id"), bitmap).join(ids, "id", "left_anti")
+    return maybe_in(whole, F.xxhash64("id"), bitmap, inside=False).select("row.*").union(some.select("row.*"))
+
+
 # ---- fixed-size bitmaps ---------------------------------------------------------------------
 
+def place_bitmap(df: DataFrame, key: Column, log2_bits: int = 23) -> DataFrame:
+    """One row with a bitmap of 2**log2_bits bits (an array of longs) in which the top bits of every
+    64-bit ``key`` are set: native twin of :func:`hash_bitmap`, of the same fixed size."""
+    top = F.shiftrightunsigned(key, 64 - log2_bits)
+    words = df.select(F.shiftright(top, 6).alias("id"), top.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("id").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    every = df.sparkSession.range(1 << log2_bits - 6).join(words, "id", "left").agg(
+        F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("a"))
+    return every.select(F.col("a.bits").alias("_bitmap"))
+
+
+def maybe_in(df: DataFrame, key: Column, bitmap: DataFrame, inside: bool = True, log2_bits: int = 23) -> DataFrame:
+    """The rows of ``df`` whose key the bitmap holds, or takes for one that it holds; or the others."""
+    top = F.shiftrightunsigned(key, 64 - log2_bits)
+    marked = df.withColumn("_word", F.shiftright(top, 6).cast("int")).withColumn("_bit", top.bitwiseAND(F.lit(63)).cast("int"))
+    hit = F.expr(f"shiftright(element_at(_bitmap, _word + 1), _bit) & 1 = {1 if inside else 0}")
+    return marked.join(F.broadcast(bitmap), hit).drop("_word", "_bit", "_bitmap")
+
+
 def hash_bitmap(df: DataFrame, hash_col: str, log2_bits: int = 23) -> np.ndarray:
     """A bitmap of 2**log2_bits bits with the top bits of each 64-bit hash set (one-hash Bloom
     filter). Its size does not depend on the data, so collecting and broadcasting it is bounded
