@@ -87,8 +87,7 @@ class Words:
 
     def __init__(self, shape: Shape, head_hash: np.ndarray, head_count: np.ndarray):
         self.shape, self.index = shape, {}
-        order = np.argsort(head_hash)
-        self.sorted, self.order, self.counts = head_hash[order], order, head_count
+        self.rank, self.counts = {h: k for k, h in enumerate(head_hash.tolist())}, head_count
         self.hash = np.zeros(REMEMBERED + 1, np.int64)
         self.item = np.zeros(REMEMBERED + 1, np.int32)
         self.count = np.zeros(REMEMBERED + 1, np.int64)
@@ -101,23 +100,22 @@ class Words:
             if len(words) > REMEMBERED // 2:  # a very long text: room for its own words
                 n = max(REMEMBERED, len(words)) + 1
                 self.hash, self.item, self.count = np.zeros(n, np.int64), np.zeros(n, np.int32), np.zeros(n, np.int64)
-        out = [index.get(w, -1) for w in words]
-        if -1 in out:
-            for i, k in enumerate(out):
-                if k < 0:
-                    out[i] = self._add(words[i])
+        out = list(map(index.get, words))
+        if None in out:
+            self._add(list(dict.fromkeys(w for w, k in zip(words, out, strict=True) if k is None)))
+            out = list(map(index.__getitem__, words))
         return np.array(out, np.int64)
 
-    def _add(self, w: bytes) -> int:
-        k = self.index.get(w)
-        if k is None:
-            k = self.index[w] = len(self.index)
-            h = self.hash[k] = _hash(w)
-            at = int(np.searchsorted(self.sorted, h))
-            rank = int(self.order[at]) if at < len(self.sorted) and self.sorted[at] == h else -1
-            self.count[k] = self.counts[rank] if rank >= 0 else 0
-            self.item[k] = rank if 0 <= rank < self.shape.core else self.shape.core + _ending(w, self.shape)
-        return k
+    def _add(self, new: list[bytes]) -> None:
+        """Properties of words not seen before, all at once."""
+        from xxhash import xxh3_64_intdigest
+        at = slice(len(self.index), len(self.index) + len(new))
+        self.index.update(zip(new, range(at.start, at.stop), strict=True))
+        self.hash[at] = np.array([xxh3_64_intdigest(w) for w in new], np.uint64).view(np.int64)
+        rank = np.array([self.rank.get(h, -1) for h in self.hash[at].tolist()], np.int64)
+        self.count[at] = np.where(rank >= 0, self.counts[rank], 0) if len(self.counts) else 0
+        core, endings = self.shape.core, self.shape.endings
+        self.item[at] = [r if 0 <= r < core else core + zlib.crc32(w[-3:]) % endings for r, w in zip(rank.tolist(), new, strict=True)]
 
 
 def _ending(w: bytes, shape: Shape) -> int:
@@ -306,13 +304,25 @@ def in_training(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)) % 5 != 1
 
 
+def _frequent(words: DataFrame, k: int) -> DataFrame:
+    """Words that hold the ``k`` most frequent: those of counts at least as large as the k-th needs, by
+    counts of words by the size of their count (a few hundred classes)."""
+    size = F.floor(8 * F.log2("n"))
+    at, cut = 0, 0
+    for r in sorted(words.groupBy(size.alias("size")).agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        at, cut = at + r["k"], r["size"]
+        if at >= k:
+            break
+    return words.where(size >= cut)
+
+
 def fit(texts: DataFrame, text_col: str = "text", shape: Shape = Shape()) -> Model:
     """Learns from every row of ``texts``."""
     texts = texts.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     words = stored(vocabulary(texts, shape), "vocabulary")
     n_words, types = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     ends = texts.count()
-    top = stored(words.orderBy(F.desc("n"), "h").limit(shape.head), "head-words").collect()  # a fixed number of words
+    top = stored(_frequent(words, shape.head).orderBy(F.desc("n"), "h").limit(shape.head), "head-words").collect()  # a fixed number of words
     top.sort(key=lambda r: (-r["n"], r["h"]))
     head_hash = np.array([r["h"] for r in top], np.int64)
     head_count = np.array([r["n"] for r in top], np.int64)

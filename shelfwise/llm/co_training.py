@@ -1,9 +1,10 @@
 """Quality classifier by co-training on two views of a document.
 
-The text view sees measurements of the text (those of the quality ledger), the page view only
-metadata: source, language and length. Each view has its own logistic regression. In each round
-every document is scored by both; the unlabelled documents that one view is surest of become
-pseudo-labels for the *other* view, and both are fitted again. At the end both views are
+The text view sees the text: which of ``WORDS`` hash classes its lower-case words fall in, and the
+measurements of the quality ledger. The page view sees only metadata: source, language and length.
+Each view has its own logistic regression. In each round every document is scored by both; the
+distinct unlabelled texts that one view is surest of become pseudo-labels for the *other* view (a
+text with thousands of copies is one example), and both are fitted again. At the end both views are
 calibrated and combined by a logistic regression on labelled rows that neither was fitted on, and
 all documents are scored.
 
@@ -26,9 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm import quality_rules
-from shelfwise.llm.common import stored
+from shelfwise.llm.common import lowest, stored, words_col
 
-SOURCES, LANGS = 32, 8
+SOURCES, LANGS, WORDS = 32, 8, 512
 
 
 @dataclass(frozen=True)
@@ -45,18 +46,20 @@ def _share(a: str, b: str) -> Column:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
-    """(row, id, text_view array, page_view array)."""
+    """(row, id, text, text_view array, words array, page_view array): ``text`` is the text's hash, ``words`` the
+    sorted distinct classes of its words."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"),
                        F.col(f"`{source_col}`").alias("source"), F.col(f"`{lang_col}`").alias("lang"))
     rows = rows.select(F.struct(F.monotonically_increasing_id().alias("row"), "id", "source", "lang",
-                                F.length(F.coalesce("text", F.lit(""))).alias("size")).alias("doc"), "text")
+                                F.length(F.coalesce("text", F.lit(""))).alias("size"),
+                                F.xxhash64("text").alias("text"), F.array_distinct(F.transform(words_col(F.lower("text")), lambda w: F.pmod(F.xxhash64(w), F.lit(WORDS)).cast("int"))).alias("words")).alias("doc"), "text")
     m = quality_rules.ledger(rows, "doc", "text")
     one_hot = lambda c, n: [F.when(F.pmod(F.xxhash64(F.coalesce(c, F.lit("?"))), F.lit(n)) == i, 1.0).otherwise(0.0) for i in range(n)]
     text_view = [_share("n_symbols", "n_words"), _share("word_chars", "n_words") / 10, _share("n_upper", "word_chars"),
                  _share("n_exclamations", "n_words"), _share("n_dup_lines", "n_lines"), _share("n_stutter_words", "n_words"),
                  _share("n_repeat_words", "n_words"), F.log1p("n_words") / 10, (_share("word_chars", "n_words") / 10 - 0.5) ** 2]
     page_view = [*one_hot(F.col("doc.source"), SOURCES), *one_hot(F.col("doc.lang"), LANGS), F.log1p("doc.size") / 10]
-    return m.select("doc.row", "doc.id", F.array(*(F.least(x.cast("double"), F.lit(3.0)) for x in text_view)).alias("text_view"),
+    return m.select("doc.row", "doc.id", "doc.text", F.sort_array("doc.words").alias("words"), F.array(*(F.least(x.cast("double"), F.lit(3.0)) for x in text_view)).alias("text_view"),
                     F.array(*(x.cast("double") for x in page_view)).alias("page_view"))
 
 
@@ -76,9 +79,25 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float) -> np.ndarray:
 
 
 def _logit(view: str, w: np.ndarray) -> Column:
-    """A view's linear score as a column over its feature array."""
-    terms = F.zip_with(F.col(view), F.array(*(F.lit(float(v)) for v in w[1:])), lambda a, b: a * b)
-    return F.lit(float(w[0])) + F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
+    """A view's linear score as a column over its feature array, and over the text's word classes."""
+    n = len(w) - 1 - (WORDS if view == "text_view" else 0)
+    terms = F.zip_with(F.col(view), F.array(*(F.lit(float(v)) for v in w[1:n + 1])), lambda a, b: a * b)
+    score = F.lit(float(w[0])) + F.aggregate(terms, F.lit(0.0), lambda s, v: s + v)
+    if view == "text_view":
+        by_class = F.array(*(F.lit(float(v)) for v in w[n + 1:]))
+        score = score + F.aggregate("words", F.lit(0.0), lambda s, k: s + F.element_at(by_class, k + 1))
+    return score
+
+
+def _rows(view: str, rows: list) -> np.ndarray:
+    """Feature matrix of collected rows."""
+    x = np.array([r[view] for r in rows])
+    if view != "text_view":
+        return x
+    words = np.zeros((len(rows), WORDS))
+    for i, r in enumerate(rows):
+        words[i, r["words"]] = 1.0
+    return np.hstack([x, words])
 
 
 def _probability(logit: Column) -> Column:
@@ -92,13 +111,13 @@ def train_and_score(docs: DataFrame, labels: DataFrame, plan: Plan = Plan(), lab
              .dropna().groupBy("id").agg(F.min("y").alias("y")))
     marked = stored(rows.join(given, "id", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(4))), "marked")
     labelled = marked.where("y is not null")
-    known = labelled.orderBy(F.xxhash64("id"), "row").limit(plan.most_labels).collect()  # bounded by the plan
+    known = lowest(labelled, F.xxhash64("id"), plan.most_labels).orderBy(F.xxhash64("id"), "row").limit(plan.most_labels).collect()  # bounded by the plan
     y = np.array([r["y"] for r in known], float)
     views = ("text_view", "page_view")
     if len(set(y)) < 2:
         p = (y.sum() + 1) / (len(y) + 2)
         return rows.select(F.col("id").alias(id_col), *(F.lit(float(p)).alias(c) for c in ("p_text", "p_page", "quality_score")), F.lit(bool(p >= 0.5)).alias("kept"))
-    x = {v: np.array([r[v] for r in known]) for v in views}
+    x = {v: _rows(v, known) for v in views}
     held = np.array([r["part"] == 0 for r in known])
     if not 0 < y[held].mean() < 1 if held.any() else True:  # too few rows to keep some back
         held = np.zeros(len(y), bool)
@@ -111,11 +130,14 @@ def train_and_score(docs: DataFrame, labels: DataFrame, plan: Plan = Plan(), lab
             p = _probability(_logit(teacher, weights[teacher]))
             for good in (True, False):
                 sure = marked.where("y is null").withColumn("p", p).where(F.col("p") >= plan.sure if good else F.col("p") <= 1 - plan.sure)
-                picked = sure.orderBy(F.desc("p") if good else F.asc("p"), F.xxhash64("row")).limit(plan.per_round + len(taken)).select("row", pupil).collect()
-                new = [r for r in picked if r["row"] not in taken][:plan.per_round]
-                taken.update(r["row"] for r in new)
+                # one row a distinct text; the texts' features are fetched for the picked ones only
+                one = sure.groupBy("text").agg(F.max("p").alias("p") if good else F.min("p").alias("p"), F.min("row").alias("row"))
+                picked = one.orderBy(F.desc("p") if good else F.asc("p"), F.xxhash64("row")).limit(plan.per_round + len(taken)).select("row", "text")
+                new = [r for r in picked.collect() if r["text"] not in taken][:plan.per_round]
+                taken.update(r["text"] for r in new)
                 if new:
-                    own[pupil].append((np.array([r[pupil] for r in new]), np.full(len(new), float(good))))
+                    found = marked.where(F.col("row").isin([r["row"] for r in new])).select(pupil, "words").collect()
+                    own[pupil].append((_rows(pupil, found), np.full(len(found), float(good))))
         weights = {v: fit(v) for v in views}
     back = held if held.any() else np.ones(len(y), bool)
     logits = np.column_stack([np.hstack([np.ones((back.sum(), 1)), x[v][back]]) @ weights[v] for v in views])

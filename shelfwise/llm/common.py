@@ -222,6 +222,19 @@ def id_hash(ids: np.ndarray) -> np.ndarray:
         return (ids.astype(np.int64).view(np.uint64) * _MUL)
 
 
+def lowest(df: DataFrame, key: Column, k: int) -> DataFrame:
+    """Rows that hold the ``k`` of lowest 64-bit ``key`` (an evenly spread hash) and few others: the cut-off
+    is read off counts by the key's top 16 bits, so that a later ``orderBy(key).limit(k)`` sends some
+    ``k`` rows in all, not ``k`` from every partition."""
+    top = F.shiftright(key, 48)
+    at, cut = 0, None
+    for r in sorted(df.groupBy(top.alias("top")).agg(F.count(F.lit(1)).alias("n")).collect()):  # 65,536 rows at most
+        at, cut = at + r["n"], r["top"]
+        if at >= k:
+            break
+    return df if cut is None else df.where(top <= cut)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     return df.mapInArrow(fn, schema)
 

@@ -291,6 +291,21 @@ def test_co_training(spark):
     assert co_training.train_and_score(df.limit(0), marks).count() == 0
 
 
+def test_co_training_reads_words(spark):
+    """Metadata and shape say nothing: only the words tell the classes apart. A text with very many
+    copies is one pseudo-label."""
+    rng = random.Random(9)
+    good, bad = [f"g{k:03d}" for k in range(30)], [f"b{k:03d}" for k in range(30)]
+    text = lambda y: " ".join(rng.choice(good if y else bad) if rng.random() < 0.4 else f"n{rng.randrange(100):03d}" for _ in range(40))
+    data = [(i, text(i % 2), "s", "en") for i in range(300)]
+    data += [(1000 + i, data[1][1], "s", "en") for i in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string, lang string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in co_training.train_and_score(df, marks, co_training.Plan(per_round=20)).collect()}
+    assert np.mean([got[i].kept == (i % 2 == 1) for i in range(120, 300)]) > 0.9
+    assert len({got[i].quality_score for i in range(1000, 1200)}) == 1
+
+
 # ---- 8 ----
 
 def pages(spark):
