@@ -1,17 +1,21 @@
-"""Demand models on Spark ML and the seasonal-naive baseline.
+"""Demand models and the seasonal-naive baseline.
 
 The baseline is two equi-joins on a shifted week key against the train rows.
-Models are Spark ML estimators fitted on the train split; predictions are
-clipped at 0 and scored with the aggregate metrics of ``metrics``.
+Ridge and elastic net come from one Gram matrix (``linear``), boosting from
+distributed histograms (``boosting``); the random forest is Spark ML's. Predictions
+are clipped at 0 and scored with the aggregate metrics of ``metrics``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators import metrics as mt
-from shelfwise.operators.features import GROUP_COLS, TARGET_COL, model_matrix
+from shelfwise.operators.boosting import BoostedTrees, Rules, fit_boosted_trees
+from shelfwise.operators.encoding import Encoding
+from shelfwise.operators.features import GROUP_COLS, TARGET_COL
+from shelfwise.operators.linear import LinearModel, fit_linear
 
 
 def baseline_seasonal_naive(split_features: DataFrame) -> DataFrame:
@@ -29,42 +33,50 @@ def baseline_seasonal_naive(split_features: DataFrame) -> DataFrame:
 ESTIMATORS = ("ridge", "elasticnet", "random_forest", "gbt")
 
 
-def make_estimator(kind: str, label_sd: float | None = None, n_train: int | None = None):
-    """Spark ML estimator matching the reference's model family and settings."""
-    from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-    if kind == "ridge":
-        # least squares + alpha*||w||^2 with alpha = 1  <=>  regParam = alpha * sd(y) / n (measured parity)
-        reg = (label_sd or 1.0) / max(n_train or 1, 1)
-        return LinearRegression(featuresCol="scaled", labelCol=TARGET_COL, regParam=reg, elasticNetParam=0.0,
-                                standardization=False, solver="l-bfgs")
-    if kind == "elasticnet":
-        a, rho, sd = 0.1, 0.5, (label_sd or 1.0)
-        reg = a * (rho + (1 - rho) * sd)
-        return LinearRegression(featuresCol="scaled", labelCol=TARGET_COL, regParam=reg, elasticNetParam=a * rho / reg,
-                                standardization=False, solver="l-bfgs", maxIter=2000)
+class ForestModel:
+    """Spark ML random forest behind the interface of the other models."""
+    kind = "random_forest"
+
+    def __init__(self, encoding, fitted):
+        self.encoding, self.fitted = encoding, fitted
+
+    @staticmethod
+    def fit(train: DataFrame, label: str, trees: int = 100):
+        from pyspark.ml.functions import array_to_vector
+        from pyspark.ml.regression import RandomForestRegressor
+        encoding = Encoding.fit(train)
+        rows = encoding.matrix(train).select(label, array_to_vector("x").alias("features"))
+        return ForestModel(encoding, RandomForestRegressor(labelCol=label, numTrees=trees, maxDepth=10, seed=42).fit(rows))
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        return self.fitted.transform(self.encoding.matrix(df).withColumn("features", array_to_vector("x"))).drop("x", "features")
+
+    def importance(self) -> list[tuple[str, float]]:
+        return list(zip(self.encoding.names, self.fitted.featureImportances.toArray().tolist(), strict=True))
+
+
+def fit_model(train: DataFrame, kind: str, max_iter: int | None = None):
+    """A model of the reference's family and settings; ``max_iter`` overrides the number of trees."""
+    if kind in ("ridge", "elasticnet"):
+        return fit_linear(train, TARGET_COL, kind)
     if kind == "random_forest":
-        return RandomForestRegressor(featuresCol="scaled", labelCol=TARGET_COL, numTrees=100, maxDepth=10, seed=42)
-    return GBTRegressor(featuresCol="scaled", labelCol=TARGET_COL, maxIter=100, maxDepth=6, stepSize=0.1, seed=42)
+        return ForestModel.fit(train, TARGET_COL, max_iter or 100)
+    return fit_boosted_trees(train, TARGET_COL, Rules(trees=max_iter or 100))
+
+
+def load_model(spark, path: str):
+    """A saved linear or boosted model."""
+    kind = spark.read.parquet(f"{path}/model").first()["kind"]
+    return (BoostedTrees if kind == "gbt" else LinearModel).load(spark, path)
 
 
 def train_evaluate(split_features: DataFrame, kind: str = "gbt", max_iter: int | None = None):
-    """Fit on train (scaler + model), score val/test; returns (PipelineModel, metrics DataFrame, test predictions)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler
-    df, prep = model_matrix(split_features)
-    train = df.filter(F.col("split") == "train")
-    stats = train.agg(F.stddev_pop(TARGET_COL).alias("sd"), F.count(F.lit(1)).alias("n")).first()
-    est = make_estimator(kind, stats["sd"], stats["n"])
-    if max_iter is not None and kind in ("gbt", "ridge", "elasticnet"):
-        est = est.setMaxIter(max_iter)
-    if kind == "random_forest" and max_iter is not None:
-        est = est.setNumTrees(max_iter)
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    model = Pipeline(stages=[*prep.getStages(), scaler, est]).fit(train)
-    scored = model.transform(df.filter(F.col("split").isin("val", "test"))) \
+    """Fit on train, score val/test; returns (model, metrics DataFrame, test predictions)."""
+    model = fit_model(split_features.filter(F.col("split") == "train"), kind, max_iter)
+    scored = model.predict(split_features.filter(F.col("split").isin("val", "test"))) \
         .withColumn("predicted", F.greatest(F.col("prediction"), F.lit(0.0)))
-    metrics = evaluation_table(scored, kind)
-    return model, metrics, test_predictions(scored)
+    return model, evaluation_table(scored, kind), test_predictions(scored)
 
 
 def evaluation_table(scored: DataFrame, model_name: str) -> DataFrame:
@@ -80,39 +92,17 @@ def test_predictions(scored: DataFrame) -> DataFrame:
         F.col("predicted"))
 
 
-def feature_names(model) -> list[str]:
-    """Assembled feature names: numeric columns, then category=level for each kept one-hot slot."""
-    from shelfwise.operators.features import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-    labels = {}
-    for s in model.stages:
-        if s.__class__.__name__ == "StringIndexerModel":
-            labels.update(dict(zip(s.getOutputCols(), s.labelsArray)))
-    names = list(NUMERIC_FEATURES)
-    for c in CATEGORICAL_FEATURES:
-        lv = labels.get(f"{c}_idx", [])
-        names += [f"{c}={v}" for v in lv[:-1]]  # dropLast removes the alphabetically first level
-    return names
-
-
-def feature_importance(model, top: int | None = None):
-    """(feature, importance) from tree importances or absolute coefficients, descending."""
-    spark_model = model.stages[-1]
-    names = feature_names(model)
-    if hasattr(spark_model, "featureImportances"):
-        vals = spark_model.featureImportances.toArray().tolist()
-    else:
-        vals = [abs(v) for v in spark_model.coefficients.toArray().tolist()]
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    rows = [(names[i] if i < len(names) else f"f{i}", float(v)) for i, v in enumerate(vals)]
-    df = spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+def feature_importance(spark, model, top: int | None = None) -> DataFrame:
+    """(feature, importance) from gains or absolute coefficients, descending."""
+    df = spark.createDataFrame(model.importance(), "feature string, importance double").orderBy(F.desc("importance"), "feature")
     return df.limit(top) if top else df
 
 
-def predict_at_price_model(model, rows: DataFrame, prices_col: str = "candidate_price") -> DataFrame:
-    """Model path: set price and price change, re-score every candidate in one bulk transform."""
-    d = rows.withColumn("realized_price", F.col(prices_col)).withColumn(
-        "price_change_pct", F.when(F.col("regular_price") > 0, F.col(prices_col) / F.col("regular_price") - 1)
-        .otherwise(F.col("price_change_pct")))
-    d = d.withColumn("promotion_flag", F.col("promotion_flag").cast("double"))
-    return model.transform(d).withColumn("model_predicted_units", F.greatest(F.col("prediction"), F.lit(0.0)))
+def predict_at_price_model(model, rows: DataFrame, prices: Column) -> DataFrame:
+    """Every price of the array ``prices`` scored by a fitted linear or boosted model: the model is an
+    expression over the row's features in which the price and the price change are replaced, so the
+    rows are neither exploded nor encoded again. Adds ``model_sims``, (candidate_price, predicted_units)."""
+    change = "if(regular_price > 0, p / regular_price - 1, price_change_pct)"
+    units = f"greatest({model.expression({'realized_price': 'p', 'price_change_pct': change})}, 0D)"
+    return rows.withColumn("_prices", prices).withColumn(
+        "model_sims", F.expr(f"transform(_prices, p -> named_struct('candidate_price', p, 'predicted_units', {units}))")).drop("_prices")

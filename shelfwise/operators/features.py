@@ -144,17 +144,3 @@ def leakage_check(features: DataFrame, lags=LAGS, tol: float = 0.01) -> DataFram
     return j.groupBy("lag").agg(F.count(F.lit(1)).cast("long").alias("checked_rows"),
                                 F.count(bad).cast("long").alias("violations"))
 
-
-def model_matrix(features: DataFrame, label_col: str = TARGET_COL):
-    """Spark ML stages: one-hot of the 4 categoricals dropping the alphabetically first level."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-    # one multi-column indexer: a single pass over the data for all four categoricals
-    idx = [StringIndexer(inputCols=CATEGORICAL_FEATURES, outputCols=[f"{c}_idx" for c in CATEGORICAL_FEATURES],
-                         stringOrderType="alphabetDesc")]
-    ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in CATEGORICAL_FEATURES],
-                        outputCols=[f"{c}_ohe" for c in CATEGORICAL_FEATURES], dropLast=True)
-    df = features.withColumn("promotion_flag", F.col("promotion_flag").cast("double"))
-    asm = VectorAssembler(inputCols=NUMERIC_FEATURES + [f"{c}_ohe" for c in CATEGORICAL_FEATURES],
-                          outputCol="features", handleInvalid="keep")
-    return df, Pipeline(stages=[*idx, ohe, asm])

@@ -1260,3 +1260,55 @@ SELECT '{name}' AS scenario, count(*) AS rows,
        count(*) FILTER (WHERE inventory_action = 'INTER_REGION_TRANSFER') AS transfers,
        {R6(f"sum({R6('gross_profit_lift')})")} AS total_lift
 FROM {out}""" for name, out in _SCEN_OUT.items()), *_SCEN_OUT.values())
+
+
+# ------------------------------------------------------------ 2.3 / 2.4 model matrix, scaling, ridge
+NUMERIC = ["lag_1_units", "lag_2_units", "lag_4_units", "lag_13_units", "rolling_4_units", "rolling_8_units", "rolling_13_units",
+           "rolling_4_revenue", "rolling_13_margin", "prior_week_inventory", "price_change_pct", "price_index_vs_competitor",
+           "tier_discount_pct", "promotion_flag", "seasonality_index", "week_of_year", "month", "lead_time_days", "weeks_of_cover",
+           "realized_price", "unit_cost", "competitor_price_index", "economic_demand_index"]
+CATEGORICAL = ["category", "region", "customer_tier", "lifecycle_stage"]
+cte("levels", ("split_features",), "SELECT " + ", ".join(f"list_sort(list(DISTINCT {c}))[2:] AS l_{c}" for c in CATEGORICAL)
+    + " FROM split_features WHERE split = 'train'")
+cte("matrix", ("split_features", "levels"), f"""
+SELECT {K}, split, adjusted_units AS label, [{', '.join(f'coalesce(CAST({c} AS DOUBLE), 0.0)' for c in NUMERIC)}] AS numbers,
+       {', '.join(f'[CASE WHEN l = {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR l IN l_{c}] AS s_{c}' for c in CATEGORICAL)}
+FROM split_features, levels""")
+SLOTS = " || ".join(f"s_{c}" for c in CATEGORICAL)
+q("model_matrix", f"""
+SELECT {K}, split, label, CAST(len(numbers) + len({SLOTS}) AS INTEGER) AS n_features,
+       {', '.join(f'{R6(f"numbers[{i + 1}]")} AS x_{c}' for i, c in enumerate(NUMERIC))},
+       array_to_string([CAST(CAST(v AS INTEGER) AS VARCHAR) FOR v IN {SLOTS}], '') AS onehot
+FROM matrix""", "matrix")
+
+cte("matrix_rows", ("matrix",), f"SELECT {K}, split, label, numbers || {SLOTS} AS x, [len(s_category), len(s_region), len(s_customer_tier), len(s_lifecycle_stage)] AS sizes FROM matrix")
+cte("spread", ("matrix_rows",), """
+SELECT list(m ORDER BY i) AS m, list(CASE WHEN s > 1e-12 * greatest(1.0, abs(m)) THEN s ELSE 0.0 END ORDER BY i) AS s FROM (
+  SELECT i, avg(v) AS m, stddev_pop(v) AS s FROM (SELECT unnest(x) AS v, generate_subscripts(x, 1) AS i FROM matrix_rows WHERE split = 'train') GROUP BY i)""")
+cte("scaled", ("matrix_rows", "spread"), f"""
+SELECT {K}, split, label, sizes, [CASE WHEN s[i] > 0 THEN (x[i] - m[i]) / s[i] ELSE 0.0 END FOR i IN range(1, len(x) + 1)] AS z FROM matrix_rows, spread""")
+_AFTER = [f"{len(NUMERIC)} + " + " + ".join(["0", *(f"sizes[{j + 1}]" for j in range(k))]) for k in range(len(CATEGORICAL))]
+q("scale_features", f"""
+SELECT {K}, split, {', '.join(f'{R6(f"z[{i + 1}]")} AS z_{c}' for i, c in enumerate(NUMERIC))},
+       {', '.join(f'{R6(f"coalesce(list_sum(z[{_AFTER[k]} + 1:{_AFTER[k]} + sizes[{k + 1}]]), 0.0)")} AS z_{c}_slots' for k, c in enumerate(CATEGORICAL))}
+FROM scaled""", "scaled")
+
+cte("gram", ("scaled",), """
+SELECT a.i, b.i AS j, sum(t.z[a.i] * t.z[b.i]) AS g FROM (SELECT z || [label - avg(label) OVER ()] AS z FROM scaled WHERE split = 'train') t,
+  (SELECT unnest(range(1, (SELECT max(len(z)) + 1 FROM scaled))) AS i) a, (SELECT unnest(range(1, (SELECT max(len(z)) + 2 FROM scaled))) AS i) b GROUP BY a.i, b.i""")
+cte("gauss", ("gram",), """
+SELECT 1 AS k, list(r ORDER BY i) AS a FROM (SELECT i, list(CASE WHEN i = j THEN g + 1.0 ELSE g END ORDER BY j) AS r FROM gram GROUP BY i)
+UNION ALL
+SELECT k + 1, [CASE WHEN i = k THEN [v / a[k][k] FOR v IN a[k]] ELSE [a[i][j] - a[i][k] * a[k][j] / a[k][k] FOR j IN range(1, len(a[k]) + 1)] END FOR i IN range(1, len(a) + 1)]
+FROM gauss WHERE k <= len(a)""")
+RECURSIVE.add("gauss")
+cte("ridge_rows", ("gauss", "scaled"), """
+SELECT split, label AS y, greatest(mean + list_sum([z[i] * w[i] FOR i IN range(1, len(z) + 1)]), 0.0) AS p
+FROM scaled, (SELECT [r[len(r)] FOR r IN a] AS w FROM gauss ORDER BY k DESC LIMIT 1), (SELECT avg(label) AS mean FROM scaled WHERE split = 'train')
+WHERE split IN ('val', 'test')""")
+cte("ridge_metrics", ("ridge_rows",), """
+SELECT split, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse, CASE WHEN sum(abs(y)) = 0 THEN 0.0 ELSE sum(abs(y - p)) / sum(abs(y)) END AS wape,
+       sqrt(avg(power(ln(1 + greatest(y, 0.0)) - ln(1 + greatest(p, 0.0)), 2))) AS rmsle, avg(p - y) AS bias
+FROM ridge_rows GROUP BY split""")
+q("demand_ridge", " UNION ALL ".join(f"SELECT split, '{m}' AS metric, {R6(m)} AS value, 'ridge' AS model FROM ridge_metrics" for m in ("mae", "rmse", "wape", "rmsle", "bias")),
+  "ridge_metrics")

@@ -143,9 +143,21 @@ class Pipeline:
     def strategies(self) -> DataFrame:
         return bt.strategies(self.test_window, self.joint, self.transfers)
 
-    # ---- demand models (Spark ML); fitted once per pipeline
+    # ---- demand models; fitted once per pipeline
+    @cached_property
+    def encoding(self):
+        """The train rows' category dictionary."""
+        from shelfwise.operators.encoding import Encoding
+        return Encoding.fit(self.split_features.filter(F.col("split") == "train"))
+
+    @cached_property
+    def moments(self):
+        """Sums of products of the train rows' matrix columns."""
+        from shelfwise.operators.linear import moments
+        return moments(self.split_features.filter(F.col("split") == "train"), ft.TARGET_COL, self.encoding)
+
     def model(self, kind: str = "gbt"):
-        """(PipelineModel, metrics table, test predictions) for ``kind``; cached per pipeline."""
+        """(model, metrics table, test predictions) for ``kind``; cached per pipeline."""
         from shelfwise.operators.demand import train_evaluate
         cache = self.__dict__.setdefault("_models", {})
         if kind not in cache:

@@ -1084,35 +1084,36 @@ def q_decision_log(spark, sf):
     return rounded(d.select(*SERIES, "recommendation_action", "decision", "override_price", "note"), "override_price")
 
 
-# ------------------------------------------------------------ 2.4 demand models (Spark ML; rows-only in the oracle)
+# ------------------------------------------------------------ 2.4 demand models
 def _model(spark, sf, kind="gbt"):
     return pipe(spark, sf).model(kind)
 
 
+def _onehot(enc) -> str:
+    """All one-hot slots of a row as a string of digits, in the order of the dictionary."""
+    return "concat(" + ", ".join(["''", *(f"cast(cast({enc.sql(i)} as int) as string)" for i in range(len(enc.numeric), len(enc.names)))]) + ")"
+
+
 @query("model_matrix")
 def q_model_matrix(spark, sf):
-    from shelfwise.operators.features import model_matrix
-    df, prep = model_matrix(pipe(spark, sf).split_features)
-    m = prep.fit(df.filter(F.col("split") == "train"))
-    from pyspark.ml.functions import vector_to_array
-    out = m.transform(df).withColumn("_v", vector_to_array("features"))
-    return out.select(*KEY, "split", F.size("_v").alias("n_features"), F.col("adjusted_units").alias("label"))
+    df, enc = pipe(spark, sf).split_features, pipe(spark, sf).encoding
+    return df.select(*KEY, "split", F.col("adjusted_units").alias("label"), F.lit(len(enc.names)).alias("n_features"),
+                     *(r6(F.expr(enc.sql(i))).alias(f"x_{c}") for i, c in enumerate(enc.numeric)), F.expr(_onehot(enc)).alias("onehot"))
 
 
 @query("scale_features")
 def q_scale_features(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-    model, _, _ = _model(spark, sf, "ridge")
-    from shelfwise.operators.features import model_matrix
-    df, _ = model_matrix(pipe(spark, sf).split_features)
-    scaled = model.transform(df).withColumn("_s", vector_to_array("scaled"))
-    return scaled.select(*KEY, "split", F.size("_s").alias("n_features"),
-                         r6(F.col("_s")[0]).alias("scaled_lag_1_units"))
+    from shelfwise.operators.linear import scaled_columns
+    df, enc, m = pipe(spark, sf).split_features, pipe(spark, sf).encoding, pipe(spark, sf).moments
+    scaled = scaled_columns(df, m, enc)
+    of = lambda c: " + ".join([f"({scaled[len(enc.numeric) + k]})" for k, (f, _) in enumerate(enc.slots) if f == c] or ["0D"])
+    return df.select(*KEY, "split", *(r6(F.expr(scaled[i])).alias(f"z_{c}") for i, c in enumerate(enc.numeric)),
+                     *(r6(F.expr(of(c))).alias(f"z_{c}_slots") for c in ("category", "region", "customer_tier", "lifecycle_stage")))
 
 
 for _kind, _name in (("ridge", "demand_ridge"), ("elasticnet", "demand_elasticnet"),
                      ("random_forest", "demand_random_forest"), ("gbt", "demand_gbt")):
-    QUERIES[_name] = (lambda k: (lambda spark, sf: _model(spark, sf, k)[1]))(_kind)
+    QUERIES[_name] = (lambda k: (lambda spark, sf: _model(spark, sf, k)[1].withColumn("value", r6(F.col("value")))))(_kind)
 
 
 @query("train_evaluate")
@@ -1133,7 +1134,7 @@ def q_test_predictions(spark, sf):
 @query("feature_importance")
 def q_feature_importance(spark, sf):
     from shelfwise.operators.demand import feature_importance
-    return feature_importance(_model(spark, sf, "gbt")[0])
+    return feature_importance(spark, _model(spark, sf, "gbt")[0])
 
 
 @query("compare_models")
@@ -1144,25 +1145,20 @@ def q_compare_models(spark, sf):
 @query("predict_at_price_model")
 def q_predict_at_price_model(spark, sf):
     from shelfwise.operators.demand import predict_at_price_model
-    from shelfwise.operators.features import model_matrix
-    model = _model(spark, sf, "gbt")[0]
-    feats, _ = model_matrix(pipe(spark, sf).split_features)
-    latest = pr.latest_by_key(feats)
-    cands = latest.withColumn("candidate_price", F.explode(pr.candidate_prices(F.col("realized_price"))))
-    out = predict_at_price_model(model, cands)
-    return out.select(*SERIES, "candidate_price", "model_predicted_units")
+    latest = pr.latest_by_key(pipe(spark, sf).split_features)
+    out = predict_at_price_model(_model(spark, sf, "gbt")[0], latest, pr.candidate_prices(F.col("realized_price")))
+    best = F.array_max(F.transform("model_sims", lambda s: F.struct((s["candidate_price"] * s["predicted_units"]).alias("revenue"), s["candidate_price"].alias("price"))))
+    return out.select(*SERIES, F.col("model_sims.candidate_price").alias("candidate_prices"), F.col("model_sims.predicted_units").alias("predicted_units"),
+                      best["price"].alias("best_revenue_price"))
 
 
 @query("save_load_model")
 def q_save_load_model(spark, sf):
-    from pyspark.ml import PipelineModel
+    from shelfwise.operators.demand import load_model
     model, _, preds = _model(spark, sf, "gbt")
     path = sio.scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    from shelfwise.operators.features import model_matrix
-    df, _ = model_matrix(pipe(spark, sf).split_features)
-    re = loaded.transform(df.filter(F.col("split") == "test")).select(
+    model.save(spark, path)
+    re = load_model(spark, path).predict(pipe(spark, sf).split_features.filter(F.col("split") == "test")).select(
         "week_num", "sku_id", "region", "customer_tier", F.greatest(F.col("prediction"), F.lit(0.0)).alias("reloaded"))
     return preds.join(re, ["week_num", "sku_id", "region", "customer_tier"]).withColumn(
         "identical", F.abs(F.col("predicted") - F.col("reloaded")) < 1e-9)
@@ -1171,7 +1167,7 @@ def q_save_load_model(spark, sf):
 @query("save_load_model_metrics")
 def q_save_load_model_metrics(spark, sf):
     model, metrics, _ = _model(spark, sf, "gbt")
-    metrics = metrics.withColumn("n_features", F.lit(model.stages[-1].numFeatures))
+    metrics = metrics.withColumn("n_features", F.lit(len(model.encoding.names)))
     path = sio.scratch_path(spark, "model-metrics")
     metrics.write.mode("overwrite").json(path)
     return spark.read.schema(metrics.schema).json(path)

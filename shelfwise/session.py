@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "shelfwise", shuffle_partitions: int = 8) -> SparkSession:
@@ -34,3 +35,10 @@ def table_dir(spark: SparkSession) -> str:
     if not path:
         raise ValueError("set spark.checkpoint.dir or spark.sql.warehouse.dir, or give a path")
     return path.rstrip("/")
+
+
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to :func:`table_dir` and read it back: the lineage is cut there."""
+    path = f"{table_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
