@@ -878,9 +878,6 @@ LEFT JOIN (VALUES ('HEALTHY', 'Optimize margin', 'NO_ACTION'), ('STOCKOUT_RISK',
   ('STOCKOUT', 'Hold', 'EXPEDITE_ORDER'), ('UNDERSTOCKED', 'Hold or small increase', 'REPLENISH'))
   b(status, pricing, stock) ON b.status = j.inventory_status
 """, "joint_out")
-q("decision_pipeline", f"""SELECT inventory_status, pricing_action, inventory_action, count(*) AS rows,
-  {R6(f"sum({R6('gross_profit_lift')})")} AS total_lift FROM joint_out GROUP BY ALL""", "joint_out")
-
 # ------------------------------------------------------------ 2.11 backtest
 _BT = ("sku_id, region, customer_tier, week_num, realized_price, unit_cost, units_sold, revenue, cogs, gross_profit, "
        "gross_margin_pct, weeks_of_cover, stockout_flag, excess_inventory_flag, ending_inventory, lost_sales_estimate, "
@@ -977,9 +974,9 @@ q("rollback_prices", f"""SELECT {S3}, current_price, {R6('recommended_price')} A
   {R6('recommended_price')} AS approved_price, {R6('current_price * 0.5 + recommended_price * 0.5')} AS rollback_price,
   {R6('gross_profit_lift * 0.5')} AS gp_retained, {R6('(projected_revenue - current_revenue) * 0.5')} AS revenue_retained
 FROM joint_out""", "joint_out")
-q("rollback_transfers", """SELECT sku_id, source_region, destination_region, transfer_quantity,
-  transfer_quantity * 0.0 AS approved_quantity, transfer_quantity * 0.0 AS rollback_quantity,
-  transfer_quantity * 0.0 = 0 AS cancelled FROM transfers""", "transfers")
+q("rollback_transfers", f"""SELECT share, sku_id, source_region, destination_region, transfer_quantity,
+  {R6('transfer_quantity * (1 - share)')} AS approved_quantity, {R6('transfer_quantity * (1 - share)')} AS rollback_quantity,
+  share = 1 AS cancelled FROM transfers, (SELECT unnest([0.0::DOUBLE, 0.5::DOUBLE, 1.0::DOUBLE]) AS share)""", "transfers")
 q("rollback_replenishment", f"""SELECT {S3}, recommended_order_quantity,
   coalesce(recommended_order_quantity, 0.0) * 0.5 AS approved_order_qty, false AS cancelled_replenishment
 FROM joint_out""", "joint_out")
@@ -991,13 +988,13 @@ q("rollback_audit", f"""SELECT sku_id, current_price, {R6('recommended_price')}
   '2024-01-01' AS effective_date, '2024-01-01' AS rollback_date
 FROM joint_out""", "joint_out")
 q("rollback_summary", f"""
-SELECT {R('sum(gross_profit_lift * 0.0)', 4)} AS gross_profit_lift_retained,
-       {R('sum((projected_revenue - current_revenue) * 0.0)', 4)} AS revenue_retained,
-       count(*) FILTER (WHERE abs(current_price * 1.0 + recommended_price * 0.0 - current_price) < 0.02) AS reverted_sku_count,
-       count(*) FILTER (WHERE coalesce(recommended_order_quantity, 0.0) > 0) AS cancelled_replenishments,
-       count(*) AS total_skus, {R('sum(excess_inventory_value) * 0.0 * 0.01', 4)} AS inventory_value_impact_retained,
-       (SELECT count(*) FROM transfers) AS cancelled_transfers, 0.0 AS unit_recovery_pct
-FROM joint_out""", "joint_out", "transfers")
+SELECT {R('sum(gross_profit_lift) * (1 - share)', 2)} AS gross_profit_lift_retained,
+       {R('sum(projected_revenue - current_revenue) * (1 - share)', 2)} AS revenue_retained,
+       count(*) FILTER (WHERE share = 1) AS reverted_sku_count,
+       count(*) FILTER (WHERE share = 1 AND coalesce(recommended_order_quantity, 0.0) > 0) AS cancelled_replenishments,
+       count(*) AS total_skus, {R('sum(excess_inventory_value) * (1 - share) * 0.01', 2)} AS inventory_value_impact_retained,
+       CASE WHEN share = 1 THEN (SELECT count(*) FROM transfers) ELSE 0 END AS cancelled_transfers, 1 - share AS unit_recovery_pct, share
+FROM joint_out, (SELECT unnest([0.0::DOUBLE, 0.5::DOUBLE, 1.0::DOUBLE]) AS share) GROUP BY share""", "joint_out", "transfers")
 q("rollback_verify", """
 SELECT (SELECT count(*) FROM joint_out WHERE abs(current_price * 0.0 + recommended_price * 1.0 - recommended_price)
           > 0.001 * abs(recommended_price) + 1e-8) AS price_violations_at_0,
@@ -1253,12 +1250,8 @@ def register_scenario(suffix: str, mm: float, obj: str, z: float, minv: float, t
 
 _SCEN_OUT = {name: register_scenario(f"sc{i}", *prm) for i, (name, prm) in enumerate(SCENARIO_PARAMS.items())}
 q("scenario_run", " UNION ALL ".join(f"""
-SELECT '{name}' AS scenario, count(*) AS rows,
-       count(*) FILTER (WHERE pricing_action = 'Increase') AS increases,
-       count(*) FILTER (WHERE pricing_action = 'Decrease') AS decreases,
-       count(*) FILTER (WHERE manual_review_required) AS manual_reviews,
-       count(*) FILTER (WHERE inventory_action = 'INTER_REGION_TRANSFER') AS transfers,
-       {R6(f"sum({R6('gross_profit_lift')})")} AS total_lift
+SELECT '{name}' AS scenario, {S3}, pricing_action, inventory_action, inventory_status, manual_review_required,
+       {R6('current_price')} AS current_price, {R6('recommended_price')} AS recommended_price, {R6('gross_profit_lift')} AS gross_profit_lift
 FROM {out}""" for name, out in _SCEN_OUT.items()), *_SCEN_OUT.values())
 
 
@@ -1312,3 +1305,10 @@ SELECT split, avg(abs(y - p)) AS mae, sqrt(avg((y - p) * (y - p))) AS rmse, CASE
 FROM ridge_rows GROUP BY split""")
 q("demand_ridge", " UNION ALL ".join(f"SELECT split, '{m}' AS metric, {R6(m)} AS value, 'ridge' AS model FROM ridge_metrics" for m in ("mae", "rmse", "wape", "rmsle", "bias")),
   "ridge_metrics")
+
+_RUN = (("features", "features", "units_sold"), ("elasticity", "elasticity", "sample_size"), ("recommendations", "recommendations", "recommended_price"),
+        ("inventory", "inv_status", "on_hand_inventory"), ("replenishment", "replen", "recommended_order_quantity"),
+        ("transfers", "transfers", "transfer_quantity"), ("joint", "joint_out", "gross_profit_lift"), ("backtest", "bt_cmp", "total_gross_profit"))
+q("decision_pipeline", " UNION ALL ".join([*(f"SELECT '{s}' AS stage, count(*) AS rows, {R(f'coalesce(sum(CAST({c} AS DOUBLE)), 0.0)', 2)} AS total FROM {t}" for s, t, c in _RUN),
+  f"SELECT 'model_metrics' AS stage, 5 * count(*) AS rows, {R('sum(mae + rmse + wape + rmsle + bias)', 2)} AS total FROM ridge_metrics"]),
+  *(t for _, t, _ in _RUN), "ridge_metrics")

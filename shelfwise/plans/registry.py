@@ -649,7 +649,7 @@ def _scenario_joint(spark, sf, name):
 
 @query("scenario_run")
 def q_scenario_run(spark, sf):
-    """Joint decision under the four presets, compared side by side (one union + one aggregate)."""
+    """Joint decision rows under the four presets."""
     from concurrent.futures import ThreadPoolExecutor
 
     from shelfwise.config import SCENARIOS
@@ -661,21 +661,17 @@ def q_scenario_run(spark, sf):
     for name in SCENARIOS:
         d = joints[name].withColumn("scenario", F.lit(name))
         out = d if out is None else out.unionByName(d)
-    return out.groupBy("scenario").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(F.col("pricing_action") == "Increase", 1)).alias("increases"),
-        F.count(F.when(F.col("pricing_action") == "Decrease", 1)).alias("decreases"),
-        F.count(F.when(F.col("manual_review_required"), 1)).alias("manual_reviews"),
-        F.count(F.when(F.col("inventory_action") == "INTER_REGION_TRANSFER", 1)).alias("transfers"),
-        r6(F.sum(r6(F.col("gross_profit_lift")))).alias("total_lift"))
+    return out.select("scenario", *SERIES, "pricing_action", "inventory_action", "inventory_status", "manual_review_required",
+                      r6(F.col("current_price")).alias("current_price"), r6(F.col("recommended_price")).alias("recommended_price"),
+                      r6(F.col("gross_profit_lift")).alias("gross_profit_lift"))
 
 
 @query("decision_pipeline")
 def q_decision_pipeline(spark, sf):
-    """End-to-end run: joint rows summarised by inventory status and pricing action."""
-    j = pipe(spark, sf).joint
-    return j.groupBy("inventory_status", "pricing_action", "inventory_action").agg(
-        F.count(F.lit(1)).alias("rows"), r6(F.sum(r6(F.col("gross_profit_lift")))).alias("total_lift"))
+    """End-to-end run: rows and totals of every stage, from the run's manifest."""
+    from shelfwise.plans.run import run
+    manifest, _ = run(spark, sf, sio.scratch_path(spark, "run"))
+    return manifest.select("stage", "rows", (F.floor(F.col("total") * 100 + 0.5) / 100).alias("total"))
 
 
 # ------------------------------------------------------------ 2.11 backtest and rollback
@@ -733,9 +729,12 @@ def q_rollback_prices(spark, sf):
 @query("rollback_transfers")
 def q_rollback_transfers(spark, sf):
     from shelfwise.operators import backtest as bt
-    d = bt.rollback_transfers(pipe(spark, sf).transfers, 1.0)
-    return d.select("sku_id", "source_region", "destination_region", "transfer_quantity", "approved_quantity",
-                    "rollback_quantity", "cancelled")
+    transfers, out = pipe(spark, sf).transfers, None
+    for share in (0.0, 0.5, 1.0):
+        d = bt.rollback_transfers(transfers, share).select(F.lit(share).alias("share"), "sku_id", "source_region", "destination_region", "transfer_quantity",
+                                                           r6(F.col("approved_quantity")).alias("approved_quantity"), r6(F.col("rollback_quantity")).alias("rollback_quantity"), "cancelled")
+        out = d if out is None else out.union(d)
+    return out
 
 
 @query("rollback_replenishment")
@@ -756,9 +755,12 @@ def q_rollback_audit(spark, sf):
 def q_rollback_summary(spark, sf):
     from shelfwise.operators import backtest as bt
     p = pipe(spark, sf)
-    d = bt.rollback_summary(p.joint, p.transfers, 1.0, 1.0, 1.0)
-    return d.withColumns({c: F.floor(F.col(c) * 1e4 + 0.5) / 1e4 for c in
-                          ("gross_profit_lift_retained", "revenue_retained", "inventory_value_impact_retained")})
+    out = None
+    for share in (0.0, 0.5, 1.0):
+        d = bt.rollback_summary(p.joint, p.transfers, share, share, share).withColumn("share", F.lit(share))
+        out = d if out is None else out.union(d)
+    return out.withColumns({c: F.floor(F.col(c) * 100 + 0.5) / 100 for c in
+                            ("gross_profit_lift_retained", "revenue_retained", "inventory_value_impact_retained")})
 
 
 @query("rollback_verify")
