@@ -165,10 +165,10 @@ def review_queue(j: DataFrame, decisions: DataFrame | None = None, only_action:
 
 
 def latest_decisions(log: DataFrame) -> DataFrame:
-    """Last write wins per SKU (max_by over the logged time)."""
-    return log.groupBy("sku_id").agg(F.max_by("decision", "logged_at").alias("decision"),
-                                     F.max_by("override_price", "logged_at").alias("override_price"),
-                                     F.max_by("note", "logged_at").alias("note"))
+    """Last write wins per SKU: all fields of the one row with the latest (logged_at, note), so that entries
+    logged at the same time cannot be mixed."""
+    last = F.max_by(F.struct("decision", "override_price", "note"), F.struct("logged_at", "note"))
+    return log.groupBy("sku_id").agg(last.alias("_last")).select("sku_id", "_last.*")
 
 
 def latest_per_sku(panel: DataFrame) -> DataFrame:

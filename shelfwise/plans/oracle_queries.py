@@ -1179,7 +1179,7 @@ FROM joint_out""", "joint_out")
 q("review_queue", f"""SELECT {S3}, category, {R6('current_price')} AS current_price,
   {R6('recommended_price')} AS recommended_price, {R6('price_change_pct')} AS price_change_pct, recommendation_action,
   inventory_action, joint_confidence, reason_code, coalesce(d.decision, '—') AS decision
-FROM review_q LEFT JOIN (SELECT sku_id, arg_max(decision, logged_at) AS decision FROM decision_log GROUP BY sku_id) d
+FROM review_q LEFT JOIN (SELECT sku_id, arg_max_null(decision, struct_pack(t := logged_at, n := note)) AS decision FROM decision_log GROUP BY sku_id) d
   USING (sku_id)""", "review_q", "decision_log")
 
 # ------------------------------------------------------------ 2.1 sources and sinks
@@ -1195,9 +1195,9 @@ UNION ALL SELECT 'backtest_results', count(*) FROM bt_cmp""", "joint_out", "tran
 q("read_decisions", "SELECT * REPLACE (" + ", ".join(f"{R6(c)} AS {c}" for c in _JF) + ") FROM joint_out", "joint_out")
 q("decision_log", f"""SELECT {S3}, recommendation_action, coalesce(d.decision, '—') AS decision,
   {R6('d.override_price')} AS override_price, d.note
-FROM joint_out LEFT JOIN (SELECT sku_id, arg_max_null(decision, logged_at) AS decision,
-                                 arg_max_null(override_price, logged_at) AS override_price,
-                                 arg_max_null(note, logged_at) AS note
+FROM joint_out LEFT JOIN (SELECT sku_id, arg_max_null(decision, struct_pack(t := logged_at, n := note)) AS decision,
+                                 arg_max_null(override_price, struct_pack(t := logged_at, n := note)) AS override_price,
+                                 arg_max_null(note, struct_pack(t := logged_at, n := note)) AS note
                           FROM decision_log GROUP BY sku_id) d USING (sku_id)""", "joint_out", "decision_log")
 
 # ------------------------------------------------------------ 2.10 scenario_run: one renamed CTE chain per preset
