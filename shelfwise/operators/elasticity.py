@@ -26,10 +26,15 @@ SEG_COLS = ["elasticity_segment", "category", "region", "customer_tier", "estima
             "estimation_level", "elasticity_class"]
 
 
+def quality_rows() -> Column:
+    """Price tests and reviewed prices, without stockout, with more than two weeks of cover."""
+    return ((F.col("price_test_flag") | F.col("price_change_reason").isin(*QUALITY_REASONS))
+            & ~F.col("stockout_flag") & (F.col("weeks_of_cover") > 2))
+
+
 def elasticity_sample(panel: DataFrame, min_rows: int = MIN_QUALITY_ROWS) -> DataFrame:
     """Quality rows (price tests / reviewed prices, no stockout, cover > 2); all non-stockout rows if < min_rows."""
-    quality = ((F.col("price_test_flag") | F.col("price_change_reason").isin(*QUALITY_REASONS))
-               & ~F.col("stockout_flag") & (F.col("weeks_of_cover") > 2))
+    quality = quality_rows()
     n = panel.agg(F.count(F.when(quality, 1)).alias("_n_quality"))
     out = panel.crossJoin(F.broadcast(n))  # 1-row side
     keep = F.when(F.col("_n_quality") >= min_rows, quality).otherwise(~F.col("stockout_flag"))

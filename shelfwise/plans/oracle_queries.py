@@ -1312,3 +1312,35 @@ _RUN = (("features", "features", "units_sold"), ("elasticity", "elasticity", "sa
 q("decision_pipeline", " UNION ALL ".join([*(f"SELECT '{s}' AS stage, count(*) AS rows, {R(f'coalesce(sum(CAST({c} AS DOUBLE)), 0.0)', 2)} AS total FROM {t}" for s, t, c in _RUN),
   f"SELECT 'model_metrics' AS stage, 5 * count(*) AS rows, {R('sum(mae + rmse + wape + rmsle + bias)', 2)} AS total FROM ridge_metrics"]),
   *(t for _, t, _ in _RUN), "ridge_metrics")
+
+# ------------------------------------------------------------ kept states: the same results from whole tables
+q("elasticity_states", "SELECT * FROM elasticity", "elasticity")
+q("feat_from_tail", f"SELECT {K}, " + ", ".join(f"{R6(c)} AS {c}" for c in FILL)
+  + " FROM features WHERE week_num = (SELECT max(week_num) FROM features)", "features")
+cte("kpi_cube_joint", ("joint_out",), """
+  SELECT CASE WHEN grouping(region) = 1 THEN 'All' ELSE region END AS r, CASE WHEN grouping(category) = 1 THEN 'All' ELSE category END AS c,
+         CASE WHEN grouping(customer_tier) = 1 THEN 'All' ELSE customer_tier END AS t,
+         coalesce(sum(current_revenue), 0) AS rev, coalesce(sum(current_gross_profit), 0) AS gp, coalesce(sum(gross_profit_lift), 0) AS lift,
+         count(*) FILTER (WHERE recommendation_action IN ('Increase', 'Decrease')) AS moves,
+         count(*) FILTER (WHERE inventory_status IN ('STOCKOUT', 'STOCKOUT_RISK')) AS risk,
+         count(*) FILTER (WHERE manual_review_required) AS review
+  FROM joint_out GROUP BY CUBE (region, category, customer_tier)""")
+cte("kpi_cube_stock", ("inv_status", "panel"), f"""
+  SELECT CASE WHEN grouping(i.region) = 1 THEN 'All' ELSE i.region END AS r, CASE WHEN grouping(i.category) = 1 THEN 'All' ELSE i.category END AS c,
+         sum(i.on_hand_inventory * i.unit_cost) AS value, sum(g.cogs) AS cogs, count(*) AS n,
+         sum(CASE WHEN i.inventory_status IN {EXC} THEN i.excess_inventory_value ELSE 0.0 END) AS excess,
+         count(*) FILTER (WHERE i.inventory_status IN ('STOCKOUT', 'STOCKOUT_RISK')) AS out
+  FROM inv_status i LEFT JOIN (SELECT sku_id, region, sum(unit_cost * units_sold) AS cogs FROM panel GROUP BY ALL) g
+    ON i.sku_id = g.sku_id AND i.region = g.region GROUP BY CUBE (i.region, i.category)""")
+q("kpi_cube", f"""
+SELECT j.r AS region, j.c AS category, j.t AS customer_tier, {R4('rev')} AS total_revenue, {R4('gp')} AS gross_margin_value,
+       {R4('lift')} AS margin_opportunity, moves AS pricing_opportunities, risk AS high_risk_rows, review AS awaiting_review,
+       {R4('coalesce(value, 0.0)')} AS total_inventory_value, {R4('coalesce(excess, 0.0)')} AS excess_inventory_value,
+       {R4('CASE WHEN value > 0 THEN coalesce(cogs, 0.0) / value ELSE 0.0 END')} AS inventory_turnover,
+       {R4('CASE WHEN n > 0 THEN out * 1.0 / n ELSE 0.0 END')} AS stockout_rate,
+       {R4('CASE WHEN rev <> 0 THEN gp / rev ELSE 0.0 END')} AS gross_margin_pct
+FROM kpi_cube_joint j LEFT JOIN kpi_cube_stock s ON j.r = s.r AND j.c = s.c""", "kpi_cube_joint", "kpi_cube_stock")
+q("decision_log_stream", f"""
+SELECT sku_id, logged_at, CAST(0 AS BIGINT) AS sequence, note, decision, {R6('override_price')} AS override_price FROM decision_log
+QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY logged_at DESC, note DESC NULLS LAST, decision DESC NULLS LAST, override_price DESC NULLS LAST) = 1""",
+  "decision_log")

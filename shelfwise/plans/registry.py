@@ -1181,3 +1181,51 @@ def q_model_report(spark, sf):
     m = _model(spark, sf, "gbt")[1].filter(F.col("split") == "test").groupBy("model").pivot(
         "metric", ["mae", "rmse", "wape", "rmsle", "bias"]).agg(F.first("value"))
     return m.crossJoin(t.select("baseline_WAPE", "WAPE_improvement"))
+
+
+# ------------------------------------------------------------ kept states: periods, tails, cubes, streams
+def _last_week(panel: DataFrame) -> int:
+    return panel.agg(F.max("week_num")).first()[0] or 0
+
+
+@query("elasticity_states")
+def q_elasticity_states(spark, sf):
+    """Estimates from stored moment states: the history, then its last periods one after the other, then a
+    back-dated one again."""
+    from shelfwise.operators import states as es
+    p = pipe(spark, sf)
+    path, last, week = sio.scratch_path(spark, "moment-states"), _last_week(p.panel), F.col("week_num")
+    for part in (week <= last - 2, week == last - 1, week == last, week == last // 2):
+        states = es.refresh(spark, path, p.panel.where(part))
+    return el.elasticity_table(p.panel, p.products, moments=es.moments(states))
+
+
+@query("feat_from_tail")
+def q_feat_from_tail(spark, sf):
+    """Features of the last period from the tail state of the periods before it."""
+    from shelfwise.operators import tails
+    p = pipe(spark, sf)
+    last, week = _last_week(p.panel), F.col("week_num")
+    path = sio.scratch_path(spark, "tail-state")
+    state = tails.advance(tails.tail_state(p.panel.where(week < last - 1)), p.panel.where(week == last - 1))
+    state.write.parquet(path)
+    new = tails.next_features(spark.read.schema(state.schema).parquet(path), p.panel.where(week == last), p.products)
+    return rounded(new.select(*KEY, *ft.FILL_ZERO), *ft.FILL_ZERO)
+
+
+@query("kpi_cube")
+def q_kpi_cube(spark, sf):
+    """Headline KPIs of every slice over region, category and tier."""
+    from shelfwise.operators import cube
+    p = pipe(spark, sf)
+    return _rnd(cube.all_slices(cube.joint_cube(p.joint), cube.stock_cube(p.inventory_status, p.panel)))
+
+
+@query("decision_log_stream")
+def q_decision_log_stream(spark, sf):
+    """The derived reviewer log read as a stream of files; each SKU's last entry."""
+    from shelfwise.streaming import decisions as ds
+    log, out, mark = (sio.scratch_path(spark, f"decision-{x}") for x in ("log", "table", "mark"))
+    sio.derive_decision_log(_J(spark, sf)).withColumn("sequence", F.lit(0).cast("long")).repartition(4).write.parquet(log)
+    ds.start_decisions(ds.read_log_stream(spark, log, 1), out, mark).awaitTermination()
+    return rounded(ds.current(spark, out), "override_price")
