@@ -1,4 +1,4 @@
-"""Benchmark decontamination: word-pair seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare word-pair seeds, then Smith-Waterman alignment.
 
 Words are lower-cased and cut at white space and ASCII punctuation. Training passages are aligned
 with the item (match 2, mismatch -1, gap -1); the similarity is the score over the item's best
@@ -8,8 +8,11 @@ Seeds lose no pair. An alignment of M matches and E errors with an item of m wor
 2M - E >= 2 * similar * m. Two matches in a row that lie more than two words apart, in the item or
 in the document, cost two errors at least, so at least M - 1 - E / 2 >= similar * m - 1 matches have
 their next one or two words on, on both sides. And the alignment takes up at most
-M + E <= (3 - 2 * similar) * m words (a *span*). So of an item's words, that many must start such a
-pair found inside two neighbouring spans of a document; only these are aligned.
+M + E <= (3 - 2 * similar) * m words (a *span*). So of an item's words, that many (``need``) must start
+such a pair found inside two neighbouring spans of a document. Of the W words of an item that start
+pairs, any W - need + 1 then hold one that is found: those whose pairs are rarest in the benchmark are
+the item's seeds. Only stretches in which a seed is found have their other pairs counted, and only
+those with ``need`` words found are aligned.
 
 Scale: the benchmark is sent to the tasks in parts of about ``PART_CHARS`` characters, one pass over
 the documents each (a single one for any usual benchmark). A pass reads every text where it lies and
@@ -123,29 +126,55 @@ class Seeds:
         order = np.argsort(pair, kind="stable")
         self.word = word[order]
         self.pair, self.first, self.count = np.unique(pair[order], return_index=True, return_counts=True)
+        # seeds: the words of each item whose pairs are rarest, one more than may all be missing
+        of_pair = np.repeat(np.arange(len(self.pair)), self.count)
+        words = len(self.item)
+        often = np.bincount(self.word, self.count[of_pair], words)
+        order = np.lexsort((often, often == 0, self.item))  # words that start no pair come last
+        place = np.empty(words, np.int64)
+        place[order] = np.arange(words) - start[self.item]
+        starts = np.bincount(self.item[often > 0], minlength=len(items))
+        self.seed = (often > 0) & (place < (starts - self.need + 1)[self.item])
+        self.rare = np.zeros(len(self.pair), bool)
+        self.rare[of_pair[self.seed[self.word]]] = True
         self.bits = np.zeros(1 << search.log2_bits - 3, np.uint8)
         top = self.pair >> np.uint64(64 - search.log2_bits)
         np.bitwise_or.at(self.bits, (top >> np.uint64(3)).astype(np.int64), (1 << (top & np.uint64(7)).astype(np.int64)).astype(np.uint8))
 
-    def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
-        """(item, first word): the item may be aligned within two spans of the document from there."""
+    def _known(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the pair, place) of those pairs of a document that the items have."""
         pair, at = word_pairs(h)
         hit = np.flatnonzero(in_bitmap(self.bits, pair))
         pair, at = pair[hit], at[hit]
         k = np.minimum(np.searchsorted(self.pair, pair), len(self.pair) - 1)
         real = self.pair[k] == pair
-        k, at = k[real], at[real]
-        if not len(k):
-            return []
-        n, words, codes = self.count[k], len(self.item), []
+        return k[real], at[real]
+
+    def _found(self, k: np.ndarray, at: np.ndarray, keep) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct (tile, word) for which ``keep(tile, word)`` holds: words of items that start a
+        pair found in the two spans from a tile on. A bounded number of hits is looked at at once."""
+        n, words, codes = self.count[k], len(self.item), [np.empty(0, np.int64)]
         for part in np.split(np.arange(len(k)), np.flatnonzero(np.diff(np.cumsum(n) // HITS)) + 1):
             c = n[part]
             word = self.word[np.repeat(self.first[k[part]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)]
             tile = np.repeat(at[part], c) // self.span[self.item[word]]
-            codes.append(np.unique(np.concatenate([tile * words + word, (tile[tile > 0] - 1) * words + word[tile > 0]])))
-        tile, word = np.divmod(np.unique(np.concatenate(codes)), words)
-        held, n = np.unique(tile * len(self.items) + self.item[word], return_counts=True)
-        tile, item = np.divmod(held, len(self.items))
+            tile, word = np.concatenate([tile, tile[tile > 0] - 1]), np.concatenate([word, word[tile > 0]])
+            live = keep(tile, word)
+            codes.append(np.unique(tile[live] * words + word[live]))
+        return np.divmod(np.unique(np.concatenate(codes)), words)
+
+    def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
+        """(item, first word): the item may be aligned within two spans of the document from there."""
+        k, at = self._known(h)
+        rare = self.rare[k]
+        if not rare.any():
+            return []
+        items = len(self.items)
+        code = lambda t, w: t * items + self.item[w]
+        seeded = np.unique(code(*self._found(k[rare], at[rare], lambda _, w: self.seed[w])))
+        tile, word = self._found(k, at, lambda t, w: seeded[np.minimum(np.searchsorted(seeded, code(t, w)), len(seeded) - 1)] == code(t, w))
+        held, n = np.unique(code(tile, word), return_counts=True)
+        tile, item = np.divmod(held, items)
         live = n >= self.need[item]
         return list(zip(item[live].tolist(), (tile * self.span[item])[live].tolist(), strict=True))
 

@@ -368,3 +368,37 @@ def test_url_keys():
     assert warc.url_key("http://example.org:8080") == "org,example:8080)/"
     assert warc.url_key("example.org?x") == "org,example)/?x" and warc.url_key(None) == ""
     assert len(WORDS) == 60
+
+
+def test_rare_seeds_lose_nothing():
+    """Stretches found by seeds first are those that a plain count of all shared pairs finds."""
+    rng = np.random.default_rng(4)
+    for words, similar in ((12, 0.5), (40, 0.5), (40, 0.8), (400, 0.35)):
+        h = lambda n: rng.integers(1, words + 1, n).astype(np.uint64)  # noqa: B023, E731
+        items = [h(n) for n in (3, 4, 9, 20, 20, 45)]
+        seeds = decontaminate.Seeds(items, decontaminate.Search(similar=similar))
+        for k, x in enumerate(items):  # one more word than may all be missing
+            mine = seeds.seed[seeds.item == k]
+            assert mine.sum() == len(x) - seeds.need[k] and not mine[-1]
+        found = 0
+        for n in (0, 1, 2, 5, 60, 300):
+            doc = np.concatenate([h(n), items[3][1:], h(n), items[5][::2]]) if n > 2 else h(n)
+            held = collections.defaultdict(set)
+            pairs = collections.defaultdict(list)
+            for i in range(len(doc)):
+                for step in (1, 2):
+                    if i + step < len(doc):
+                        pairs[int(doc[i]), int(doc[i + step])].append(i)  # one apart here, two there: a pair too
+            for k, x in enumerate(items):
+                for w in range(len(x)):
+                    for step in (1, 2):
+                        for i in pairs.get((int(x[w]), int(x[w + step])), []) if w + step < len(x) else []:
+                            tile = i // int(seeds.span[k])
+                            held[k, tile].add(w)
+                            if tile:
+                                held[k, tile - 1].add(w)
+            want = {(k, t * int(seeds.span[k])) for (k, t), v in held.items() if len(v) >= seeds.need[k]}
+            got = seeds.candidates(doc)
+            assert len(got) == len(set(got)) and set(got) == want
+            found += len(want)
+        assert found

@@ -1,6 +1,7 @@
 """Quality rules, BPE, substring dedup and line dedup against brute force."""
 import collections
 import hashlib
+import random
 import re
 import struct
 
@@ -274,3 +275,22 @@ def test_line_dedup_dense_group(spark):
         lines.append(" ".join(w))
     df = spark.createDataFrame([(i, t) for i, t in enumerate([" ".join(base), *lines])], "doc_id long, text string")
     assert {r.doc_id for r in line_dedup.removed_lines(df).collect()} == set(range(1, 121))
+
+
+def test_long_lines_are_bounded_by_words(spark):
+    """Above EDIT_CHARS words are compared: lines of like words and unlike lengths meet, lines over the
+    same vocabulary with far fewer or other words do not."""
+    rng = random.Random(31)
+    words = [f"w{i}" for i in range(40)]
+    line = [rng.choice(words) for _ in range(900)]
+    longer = ["x" * 120 if i % 50 == 7 else w for i, w in enumerate(line)]  # 2 % of the words, over half as many characters again
+    other, short = [rng.choice(words) for _ in range(900)], [rng.choice(words) for _ in range(300)]
+    texts = [" ".join(x) for x in (line, longer, other, short, line + ["end"])]
+    assert line_dedup.EDIT_CHARS < len(texts[0]) < 0.8 * len(texts[1])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.n_removed for r in line_dedup.report(df).collect()}
+    assert rows == {0: 0, 1: 1, 2: 0, 3: 0, 4: 1}
+    near = line_dedup.lines(df).select("doc_id", F.struct("simhash", "size", "k").alias("a"))
+    pair = near.where("doc_id = 0").select("a").crossJoin(near.where("doc_id > 0").select("doc_id", F.col("a").alias("b")))  # four rows
+    allowed = {r.doc_id for r in pair.withColumn("b", F.expr("named_struct('simhash', a.simhash, 'size', b.size, 'k', b.k)")).where(line_dedup._near("a", "b")).collect()}
+    assert allowed == {1, 2, 4}
