@@ -27,7 +27,7 @@ as one. Ties between stretches: the first. Empty tables: no pairs. Extra columns
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -150,29 +150,51 @@ class Seeds:
         real = self.pair[k] == pair
         return k[real], at[real]
 
-    def _found(self, k: np.ndarray, at: np.ndarray, keep) -> tuple[np.ndarray, np.ndarray]:
-        """The distinct (tile, word) for which ``keep(tile, word)`` holds: words of items that start a
-        pair found in the two spans from a tile on. A bounded number of hits is looked at at once."""
-        n, words, codes = self.count[k], len(self.item), [np.empty(0, np.int64)]
-        for part in np.split(np.arange(len(k)), np.flatnonzero(np.diff(np.cumsum(n) // HITS)) + 1):
-            c = n[part]
-            word = self.word[np.repeat(self.first[k[part]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)]
-            tile = np.repeat(at[part], c) // self.span[self.item[word]]
-            tile, word = np.concatenate([tile, tile[tile > 0] - 1]), np.concatenate([word, word[tile > 0]])
-            live = keep(tile, word)
-            codes.append(np.unique(tile[live] * words + word[live]))
-        return np.divmod(np.unique(np.concatenate(codes)), words)
+    def _hits(self, k: np.ndarray, at: np.ndarray) -> Callable[[], Iterable[tuple[np.ndarray, np.ndarray]]]:
+        """Parts of all (word of an item, place in the document) that start a shared pair; a bounded number
+        at once, made anew for every pass if they are several."""
+        n = self.count[k]
+        parts = np.split(np.arange(len(k)), np.flatnonzero(np.diff(np.cumsum(n) // HITS)) + 1)
+
+        def part(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            c = n[rows]
+            return self.word[np.repeat(self.first[k[rows]], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)], np.repeat(at[rows], c)
+        if len(parts) == 1:
+            only = [part(parts[0])]
+            return lambda: only
+        return lambda: map(part, parts)
+
+    def _tiles(self, word: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tile, word): a place counts for the tile it lies in and the one before."""
+        tile = at // self.span[self.item[word]]
+        before = tile > 0
+        return np.concatenate([tile, tile[before] - 1]), np.concatenate([word, word[before]])
 
     def candidates(self, h: np.ndarray) -> list[tuple[int, int]]:
         """(item, first word): the item may be aligned within two spans of the document from there."""
         k, at = self._known(h)
-        rare = self.rare[k]
-        if not rare.any():
+        if not self.rare[k].any():
             return []
-        items = len(self.items)
+        items, words, hits = len(self.items), len(self.item), self._hits(k, at)
+        # items that the whole document has too few pairs of are out of the question
+        total = sum(np.bincount(self.item[word], minlength=items) for word, _ in hits())
+        likely = (total >= self.need)[self.item]
         code = lambda t, w: t * items + self.item[w]
-        seeded = np.unique(code(*self._found(k[rare], at[rare], lambda _, w: self.seed[w])))
-        tile, word = self._found(k, at, lambda t, w: seeded[np.minimum(np.searchsorted(seeded, code(t, w)), len(seeded) - 1)] == code(t, w))
+        seeded = [np.empty(0, np.int64)]
+        for word, place in hits():
+            live = (likely & self.seed)[word]
+            seeded.append(np.unique(code(*self._tiles(word[live], place[live]))))
+        seeded = np.unique(np.concatenate(seeded))
+        if not len(seeded):
+            return []
+        found = []
+        for word, place in hits():
+            live = likely[word]
+            tile, word = self._tiles(word[live], place[live])
+            own = code(tile, word)
+            live = seeded[np.minimum(np.searchsorted(seeded, own), len(seeded) - 1)] == own
+            found.append(np.unique(tile[live] * words + word[live]))
+        tile, word = np.divmod(np.unique(np.concatenate(found)), words)
         held, n = np.unique(code(tile, word), return_counts=True)
         tile, item = np.divmod(held, items)
         live = n >= self.need[item]
