@@ -1,10 +1,11 @@
 """Gradient boosting on distributed histograms, and its trees as Catalyst expressions.
 
-Fit. Each numeric feature is cut once into at most ``bins`` bins; a row becomes the list of its cells
-(feature, bin), one-hot slots only where they are set. Per tree level ONE aggregate over the rows sums
-gradients and counts by (node, cell). Tasks add up their Arrow batches first, so what is shuffled and
-collected is the table of nodes x bins, whatever the data. Splits are chosen on that table, and rows
-find their node and gradient by column expressions; nothing is indexed or moved by row.
+Fit. Each numeric feature is cut once into at most ``bins`` bins; a row becomes a fixed number of cells:
+(feature, bin) of every numeric feature and the slot, if any, of every category. Rows lie as blocks of
+NumPy arrays in a persisted RDD, which spares every tree level a query plan. Per level one job sums
+gradients and counts by (node, cell): tasks add up their blocks, the sums are dealt by feature and added
+in turn, and the best split of those features is chosen there. So what is shuffled is the table of nodes
+x bins, whatever the data, and the driver gets one candidate split per node and share of the features.
 
 Gradients are summed as integers (millionths), so a fit does not depend on partitions or on the order
 of sums, and equals a plain NumPy version of the same rules exactly.
@@ -19,18 +20,21 @@ can be replaced, so that prices inside an array are scored by ``transform`` with
 from __future__ import annotations
 
 import json
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators.encoding import Encoding, summed
+from shelfwise.operators.encoding import Encoding
 from shelfwise.session import stored_table
 
 SCALE = 1_000_000
-#: Trees after which predictions are written out, so that expressions stay short.
+#: Trees after which predictions are written out, so that lost blocks are soon computed again.
 STEP = 10
 
 
@@ -64,19 +68,18 @@ def bin_edges(train: DataFrame, encoding: Encoding, bins: int) -> list[np.ndarra
     return [np.array([x for x in np.unique(np.array(cuts[i], float)) if x > lows[i]]) if cuts[i] is not None else np.empty(0) for i in range(len(encoding.numeric))]
 
 
-def best_splits(node: np.ndarray, cell: np.ndarray, grad: np.ndarray, count: np.ndarray, totals: dict[int, tuple[int, int]],
+def best_splits(node: np.ndarray, cell: np.ndarray, grad: np.ndarray, count: np.ndarray, totals: tuple[np.ndarray, np.ndarray],
                 n_numeric: int, width: int, min_leaf: int) -> dict[int, tuple[float, int, int, int, int]]:
-    """{node: (gain, matrix column, bin, gradient left, rows left)} from the histogram table."""
-    out: dict[int, tuple[float, int, int, int, int]] = {}
-    order = np.lexsort((cell, node))
-    node, cell, grad, count = node[order], cell[order], grad[order], count[order]
+    """{node: (gain, matrix column, bin, gradient left, rows left)} from the histogram table, whose rows
+    ascend by node and cell; ``totals`` are the gradient and rows of every node."""
+    if not len(node):
+        return {}
     group = node * (1 << 32) + cell // width
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     g, n = np.cumsum(grad), np.cumsum(count)
     before = np.repeat(first, np.diff(np.r_[first, len(group)]))
     g, n = g - (g[before] - grad[before]), n - (n[before] - count[before])  # up to and with this bin
-    total_g = np.array([totals[int(v)][0] for v in node], np.int64)
-    total_n = np.array([totals[int(v)][1] for v in node], np.int64)
+    total_g, total_n = totals[0][node], totals[1][node]
     feature, b = cell // width, cell % width
     hot = feature >= n_numeric  # only set slots have cells: the left side is what remains
     gl, nl = np.where(hot, total_g - grad, g), np.where(hot, total_n - count, n)
@@ -84,38 +87,72 @@ def best_splits(node: np.ndarray, cell: np.ndarray, grad: np.ndarray, count: np.
     ok = (nl >= min_leaf) & (nr >= min_leaf)
     with np.errstate(divide="ignore", invalid="ignore"):
         gain = gl.astype(float) ** 2 / nl + gr.astype(float) ** 2 / nr - total_g.astype(float) ** 2 / total_n
-    for i in np.flatnonzero(ok & (gain > 1e-9 * SCALE)):
-        v = int(node[i])
-        if v not in out or gain[i] > out[v][0]:  # cells ascend: the first of equal gains stays
-            out[v] = (float(gain[i]), int(feature[i]), int(b[i]) + (0 if hot[i] else 1), int(gl[i]), int(nl[i]))
-    return out
+    at = np.flatnonzero(ok & (gain > 1e-9 * SCALE))
+    at = at[np.lexsort((at, -gain[at], node[at]))]  # cells ascend: the first of equal gains stays
+    at = at[np.flatnonzero(np.r_[True, node[at][1:] != node[at][:-1]])] if len(at) else at
+    return {int(node[i]): (float(gain[i]), int(feature[i]), int(b[i]) + (0 if hot[i] else 1), int(gl[i]), int(nl[i])) for i in at}
 
 
-def grow(histogram, n_numeric: int, edges: list[np.ndarray], rules: Rules) -> list[Split]:
-    """One tree. ``histogram(tree)`` gives (node, cell, gradient, count) arrays over the rows of the
-    nodes that are leaves so far, in which cell -1 holds a node's totals."""
+def grow(search, n_numeric: int, edges: list[np.ndarray], rules: Rules) -> list[Split]:
+    """One tree. ``search(tree, live)`` gives {node: (gradient, rows)} and the best splits of the nodes
+    ``live``, which are leaves so far."""
     tree = [Split()]
-    live, width = {0}, rules.bins + 1
+    live = [0]
     for _ in range(rules.depth):
-        node, cell, grad, count = histogram(tree, live)
-        whole = cell < 0
-        totals = {int(v): (int(g), int(n)) for v, g, n in zip(node[whole], grad[whole], count[whole], strict=True)}
+        totals, found = search(tree, live)
         if len(tree) == 1 and totals:
             tree[0] = Split(value=-rules.rate * totals[0][0] / totals[0][1] / SCALE)
-        found = best_splits(node[~whole], cell[~whole], grad[~whole], count[~whole], totals, n_numeric, width, rules.min_leaf)
-        live = set()
+        live = []
         for v, (gain, feature, b, gl, nl) in sorted(found.items()):
             g, n = totals[v]
             threshold = float(edges[feature][b - 1]) if feature < n_numeric else 0.5
             left = len(tree)
             tree[v] = Split(feature, threshold, b, gain / SCALE / SCALE, left, left + 1)
             tree += [Split(value=-rules.rate * gl / nl / SCALE), Split(value=-rules.rate * (g - gl) / (n - nl) / SCALE)]
-            live |= {left, left + 1}
+            live += [left, left + 1]
         if not live:
             break
     return tree
 
 
+@dataclass(frozen=True)
+class Cells:
+    """Where a matrix column lies in a block: numeric feature ``i`` in block column ``i`` as cell i * width
+    + bin; a one-hot slot as its own cell in the block column of its category, which holds ``none`` if no
+    slot is set."""
+    n_numeric: int
+    width: int
+    kind_of: tuple[int, ...]  # category of every slot
+
+    @property
+    def first(self) -> int:
+        return self.n_numeric * self.width
+
+    @property
+    def none(self) -> int:
+        return self.first + len(self.kind_of)
+
+    def nodes(self, tree: list[Split], cells: np.ndarray) -> np.ndarray:
+        """The leaf of every row of a block."""
+        at = np.zeros(len(cells), np.int64)
+        f = np.array([s.feature for s in tree])
+        slot = f >= self.n_numeric
+        column = np.array([0 if s.feature < 0 else s.feature if s.feature < self.n_numeric else self.n_numeric + self.kind_of[s.feature - self.n_numeric] for s in tree])
+        cut = np.where(slot, self.first + f - self.n_numeric, f * self.width + np.array([s.bin for s in tree]))
+        left, right = np.array([s.left for s in tree]), np.array([s.right for s in tree])
+        rows = np.arange(len(cells))
+        while len(rows):
+            rows = rows[f[at[rows]] >= 0]
+            v = at[rows]
+            x = cells[rows, column[v]]
+            at[rows] = np.where(np.where(slot[v], x != cut[v], x < cut[v]), left[v], right[v])
+        return at
+
+    def after(self, tree: list[Split], p: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Predictions ``p`` with those of one more tree."""
+        return p + np.array([s.value for s in tree])[self.nodes(tree, cells)]
+
+
 def _walk(tree: list[Split], test, leaf, v: int = 0) -> str:
     s = tree[v]
     if s.feature < 0:
@@ -181,10 +218,10 @@ class BoostedTrees:
 def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), encoding: Encoding | None = None) -> BoostedTrees:
     """Fits on every row of ``train``. No rows: a model without trees that predicts 0."""
     from pyspark.ml.feature import Bucketizer
+    spark = train.sparkSession
     encoding = encoding or Encoding.fit(train)
     n_numeric, width = len(encoding.numeric), rules.bins + 1
-    span = len(encoding.names) * width + 1
-    base = train.agg(F.avg(label)).first()[0]
+    n_rows, base = train.agg(F.count(F.lit(1)), F.avg(label)).first()
     if base is None:
         return BoostedTrees(encoding, 0.0, [], rules)
     base = round(float(base), 6)  # the last digits of a mean depend on the order of its sum
@@ -194,40 +231,83 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
     rows = train.select(F.col(label).cast("double").alias("y"), *(c.alias(f"x{i}") for i, c in enumerate(encoding.columns())))
     binned = Bucketizer(inputCols=[f"x{i}" for i in cut], outputCols=[f"b{i}" for i in cut], handleInvalid="keep",
                         splitsArray=[[-np.inf, *edges[i].tolist(), np.inf] for i in cut]).transform(rows) if cut else rows
-    cells = [f"int({i * width} + b{i})" if i in set(cut) else f"{i * width}" for i in range(n_numeric)]
-    slots = [f"if(x{i} = 1D, {i * width}, null)" for i in range(n_numeric, len(encoding.names))]
-    rows = stored_table(binned.select("y", F.lit(base).alias("p"), F.expr(f"array_compact(array({', '.join([*cells, *slots])}))").alias("cells")).hint("rebalance"), "boosting-rows")
-
-    def test(s: Split) -> str:
-        return f"cells[{s.feature}] < {s.feature * width + s.bin}" if s.feature < n_numeric else f"not array_contains(cells, {s.feature * width})"
-
+    kinds = list(dict.fromkeys(c for c, _ in encoding.slots))
+    layout = Cells(n_numeric, width, tuple(kinds.index(c) for c, _ in encoding.slots))
+    numbers = [f"int({i * width} + b{i})" if i in set(cut) else f"{i * width}" for i in range(n_numeric)]
+    slots = ["coalesce(" + ", ".join([*(f"if(x{n_numeric + k} = 1D, {layout.first + k}, null)" for k, of in enumerate(layout.kind_of) if of == j), f"{layout.none}"]) + ")"
+             for j in range(len(kinds))]
+    small, span = np.min_scalar_type(layout.none), layout.none + 1
+    cores = spark.sparkContext.defaultParallelism
+    parts = max(1, min(n_rows // 2_000, max(cores, n_rows // 200_000)))
+    deal = min(parts, 8)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = b.column(0).to_numpy(zero_copy_only=False)
+            cells = b.column(1).flatten().to_numpy().astype(small).reshape(len(y), n_numeric + len(kinds))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((y, np.full(len(y), base), cells))], pa.binary())], names=["block"])
+
+    def blocks(packed: DataFrame) -> RDD:
+        return stored_table(packed, "boosting-rows").rdd.map(lambda r: pickle.loads(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
+
+    held = blocks(binned.select("y", F.expr(f"array({', '.join([*numbers, *slots])})").cast("array<int>").alias("cells"))
+                  .repartition(parts).mapInArrow(pack, "block binary"))
     trees: list[list[Split]] = []
-    fresh: list[str] = []
+    old = None
+
+    def search(tree: list[Split], live: list[int]):
+        names, min_leaf = np.array(live), rules.min_leaf
+
+        def add_up(part):
+            total, n = np.zeros(len(names) * span, np.int64), np.zeros(len(names) * span, np.int64)
+            sums = np.zeros((2, len(names)), np.int64)
+            for y, p, cells in part:
+                node = layout.nodes(tree, cells)
+                at = np.minimum(np.searchsorted(names, node), len(names) - 1)
+                here = np.flatnonzero(names[at] == node)
+                at, cells = at[here], cells[here]
+                g = np.floor((p[here] - y[here]) * SCALE + 0.5)
+                cell = (at[:, None] * span + cells).ravel()
+                # integers below 2**53: exact
+                total += np.bincount(cell, np.repeat(g, cells.shape[1]), len(total)).astype(np.int64)
+                n += np.bincount(cell, minlength=len(n))
+                sums += np.array([np.bincount(at, g, len(names)), np.bincount(at, minlength=len(names))]).astype(np.int64)
+            k = np.flatnonzero(n)
+            k = k[k % span != layout.none]
+            feature = np.where(k % span < layout.first, k % span // width, k % span - layout.first + n_numeric)
+            for share in range(deal):
+                of = k[feature % deal == share]
+                yield share, (sums, of, total[of], n[of])
+
+        def choose(part):
+            total, n = np.zeros(len(names) * span, np.int64), np.zeros(len(names) * span, np.int64)
+            sums = np.zeros((2, len(names)), np.int64)
+            for _, (s, k, g, c) in part:
+                sums += s
+                total[k] += g
+                n[k] += c
+            k = np.flatnonzero(n)
+            cell = k % span
+            cell = np.where(cell < layout.first, cell, layout.first + (cell - layout.first) * width)
+            yield sums, best_splits(k // span, cell, total[k], n[k], (sums[0], sums[1]), n_numeric, width, min_leaf)
+
+        shares = held.mapPartitions(add_up).partitionBy(deal, lambda share: share).mapPartitions(choose).collect()  # a row a share
+        totals = {live[i]: (int(g), int(n)) for i, (g, n) in enumerate(shares[0][0].T) if n}
+        found: dict[int, tuple[float, int, int, int, int]] = {}
+        for _, splits in shares:
+            for i, s in splits.items():
+                if live[i] not in found or (-s[0], s[1]) < (-found[live[i]][0], found[live[i]][1]):
+                    found[live[i]] = s
+        return totals, found
+
     for k in range(rules.trees):
-        p = " + ".join(["p", *fresh])
-
-        def histogram(tree: list[Split], live: set[int], p=p):
-            at = rows.select(F.expr(_once(_walk(tree, test, lambda v, _: str(v)))).alias("node"), F.expr(f"floor(({_once(p)} - y) * {SCALE} + 0.5D)").alias("g"), "cells")
-            at = at.where(F.col("node").isin(sorted(live)))
-
-            names = np.array(sorted(live))
-
-            def cells_of(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-                lists = b.column(2)
-                size = np.diff(lists.offsets.to_numpy())
-                node, g = np.searchsorted(names, b.column(0).to_numpy()), b.column(1).to_numpy()
-                cell = np.r_[np.repeat(node, size) * span + 1 + lists.flatten().to_numpy(), node * span]  # a node's cell 0: its totals
-                n = np.bincount(cell)
-                total = np.bincount(cell, np.r_[np.repeat(g, size), g].astype(float))  # integers below 2**53: exact
-                k = np.flatnonzero(n)
-                return names[k // span] * span + k % span, total[k].astype(np.int64), n[k]
-            cell, g, n = summed(at, cells_of, ["g long", "n long"])
-            return cell // span, cell % span - 1, g, n
-
-        tree = grow(histogram, n_numeric, edges, rules)
+        tree = grow(search, n_numeric, edges, rules)
         trees.append(tree)
-        fresh.append(_walk(tree, test, lambda _, s: _number(s.value)))
-        if len(fresh) == STEP and k + 1 < rules.trees:
-            rows = stored_table(rows.select("y", F.expr(_once(" + ".join(["p", *fresh]))).alias("p"), "cells").hint("rebalance"), "boosting-rows")
-            fresh = []
+        if old:
+            old.unpersist()  # the first level of this tree has computed what follows from it
+        old = held
+        if k + 1 < rules.trees:
+            done = held.map(lambda r, tree=tree: (r[0], layout.after(tree, r[1], r[2]), r[2]))
+            held = done.persist(StorageLevel.MEMORY_AND_DISK) if (k + 1) % STEP else blocks(spark.createDataFrame(done.map(lambda r: (pickle.dumps(r),)), "block binary"))
+    held.unpersist()
     return BoostedTrees(encoding, base, trees, rules)

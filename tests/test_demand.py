@@ -110,6 +110,26 @@ def test_boosting_equals_numpy(spark, tmp_path):
     assert nothing.predict(df).agg(F.max("prediction")).first()[0] == 0.0
 
 
+def test_boosting_plans_no_query_per_level(spark, monkeypatch):
+    """A level is one job over persisted blocks: the queries planned do not grow with the levels."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    df = table(spark).repartition(2).cache()
+    enc = Encoding.fit(df, NUMERIC, CATEGORICAL)
+    calls = []
+    for name in ("toArrow", "collect", "first"):
+        monkeypatch.setattr(Classic, name, lambda self, *a, _was=getattr(Classic, name), **k: calls.append(1) or _was(self, *a, **k))
+    used = []
+    for depth in (1, 5):
+        calls.clear()
+        model = boosting.fit_boosted_trees(df, "y", boosting.Rules(trees=boosting.STEP + 2, depth=depth, bins=16, min_leaf=5), enc)
+        used.append(len(calls))
+        x, y = matrix(df, enc)
+    assert len(set(used)) == 1 and max(len(t) for t in model.trees) > 15
+    want = numpy_trees(x, y, boosting.bin_edges(df, enc, 16), model.rules, 3)
+    got = np.array([r.prediction for r in model.predict(enc.matrix(df)).select("prediction").collect()])
+    assert np.abs(got - want).max() < 1e-9
+
+
 @pytest.mark.parametrize("kind", ["ridge", "gbt"])
 def test_prices_are_scored_without_exploding(spark, kind):
     df = table(spark).withColumnsRenamed({"a": "realized_price", "b": "price_change_pct"}).withColumn("regular_price", F.abs("realized_price") + 1)
