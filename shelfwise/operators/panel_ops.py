@@ -62,19 +62,30 @@ def _relative(df: DataFrame, part: list[str], whole: list[str], name: str) -> Da
     return both.select(*part, safe_div(F.col("_part"), F.col("_whole"), 1.0).alias(name))
 
 
-def seasonality_index(df: DataFrame) -> DataFrame:
-    """Category demand in the calendar month of the period over the category's demand."""
-    df = df.withColumn("_month", F.month("week_start"))
-    index = _relative(df, ["category", "_month"], ["category"], "seasonality_index")
-    return df.join(index.withColumn("seasonality_index", r4(F.col("seasonality_index"))), ["category", "_month"]).drop("_month")
+def season_table(df: DataFrame) -> DataFrame:
+    """Category demand in a calendar month over the category's demand, by category and ``_month``."""
+    index = _relative(df.withColumn("_month", F.month("week_start")), ["category", "_month"], ["category"], "seasonality_index")
+    return index.withColumn("seasonality_index", r4(F.col("seasonality_index")))
 
 
-def economic_index(df: DataFrame) -> DataFrame:
-    """Total demand of the period over the mean period's."""
+def seasonality_index(df: DataFrame, season: DataFrame | None = None) -> DataFrame:
+    """Category demand in the calendar month of the period over the category's demand; ``season`` is the
+    table of it, if it was stored before."""
+    season = season_table(df) if season is None else season
+    return df.withColumn("_month", F.month("week_start")).join(season, ["category", "_month"]).drop("_month")
+
+
+def economy_table(df: DataFrame) -> DataFrame:
+    """Total demand of a period over the mean period's, by period."""
     weeks = df.groupBy("week_num").agg(F.sum("latent_demand").alias("_units"))
     mean = weeks.agg((F.sum("_units") / F.count(F.lit(1))).alias("_mean"))
-    index = weeks.join(F.broadcast(mean)).select("week_num", r4(safe_div(F.col("_units"), F.col("_mean"), 1.0)).alias("economic_demand_index"))
-    return df.join(index, "week_num")
+    return weeks.join(F.broadcast(mean)).select("week_num", r4(safe_div(F.col("_units"), F.col("_mean"), 1.0)).alias("economic_demand_index"))
+
+
+def economic_index(df: DataFrame, economy: DataFrame | None = None) -> DataFrame:
+    """Total demand of the period over the mean period's; ``economy`` is the table of it, if it was
+    stored before."""
+    return df.join(economy_table(df) if economy is None else economy, "week_num")
 
 
 def lifecycle_stage(df: DataFrame) -> DataFrame:

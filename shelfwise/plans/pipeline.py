@@ -74,7 +74,7 @@ class Pipeline:
 
     @cached_property
     def panel(self) -> DataFrame:
-        return self._mat(dt.build_panel(self.cells, self.products_full), "panel")
+        return self._mat(dt.build_panel(self.cells, self.products_full, self._mat), "panel")
 
     # ---- features / model inputs
     @cached_property

@@ -79,3 +79,15 @@ def test_an_empty_transfer_table_replaces_the_old_one(spark, small_pipe, tmp_pat
     sio.write_decisions(str(tmp_path), {"transfers": small_pipe.transfers})
     sio.write_decisions(str(tmp_path), {"transfers": small_pipe.transfers.limit(0)})
     assert spark.read.parquet(f"{tmp_path}/transfers").count() == 0
+
+
+def test_panel_joins_do_not_shuffle_the_cells(spark):
+    """The measured indexes are stored first, so that the joins with them are planned without an exchange."""
+    from shelfwise.plans.pipeline import Pipeline
+    p, seen = Pipeline(spark, SF_SMALL), {}
+    was = p._mat
+    p._mat = lambda df, name: was(seen.setdefault(name, df), name)
+    assert p.panel.count() == p.cells.count() > 0
+    assert "hashpartitioning" not in seen["panel"]._jdf.queryExecution().executedPlan().toString()
+    cells = seen["cells"].select("region_no", "region", "week_num", "week_start").distinct()
+    assert cells.groupBy("region_no", "week_num").count().where("count > 1").isEmpty()
