@@ -20,9 +20,11 @@ every score is the smoothed share of good labels (0.5 without labels). Extra col
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,8 @@ from shelfwise.llm import quality_rules
 from shelfwise.llm.common import lowest, stored, words_col
 
 SOURCES, LANGS, WORDS = 32, 8, 512
+#: Feature rows that are widened to numbers at once.
+BLOCK = 4_096
 
 
 @dataclass(frozen=True)
@@ -63,15 +67,54 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                     F.array(*(x.cast("double") for x in page_view)).alias("page_view"))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float) -> np.ndarray:
+@dataclass(frozen=True)
+class Examples:
+    """Feature rows on the driver: measurements as numbers, word classes as one byte each. They are widened
+    to a matrix with an intercept a block of rows at a time."""
+    numbers: np.ndarray
+    words: np.ndarray
+
+    @staticmethod
+    def of(view: str, rows: pa.Table) -> Examples:
+        """Of collected rows; only the text view has word classes."""
+        numbers = rows[view].combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+        if view != "text_view":
+            return Examples(numbers, np.zeros((rows.num_rows, 0), np.uint8))
+        lists, words = rows["words"].combine_chunks(), np.zeros((rows.num_rows, WORDS), np.uint8)
+        words[np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = 1
+        return Examples(numbers, words)
+
+    @staticmethod
+    def all(parts: list[Examples]) -> Examples:
+        return Examples(np.vstack([e.numbers for e in parts]), np.vstack([e.words for e in parts]))
+
+    def where(self, chosen: np.ndarray) -> Examples:
+        return Examples(self.numbers[chosen], self.words[chosen])
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for i in range(0, len(self.numbers), BLOCK):
+            at = slice(i, i + BLOCK)
+            numbers, words = self.numbers[at], self.words[at]
+            yield at, np.hstack([np.ones((len(numbers), 1)), numbers, words])
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return np.concatenate([x @ w for _, x in self.blocks()])
+
+
+def fit_logistic(x: np.ndarray | Examples, y: np.ndarray, l2: float) -> np.ndarray:
     """Newton steps for an L2-penalised logistic regression; the first weight is the free intercept."""
-    x = np.hstack([np.ones((len(x), 1)), x])
-    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], l2)
+    if not isinstance(x, Examples):
+        x = Examples(x, np.zeros((len(x), 0), np.uint8))
+    w = np.zeros(1 + x.numbers.shape[1] + x.words.shape[1])
+    penalty = np.full(len(w), l2)
     penalty[0] = 1e-6
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(h, x.T @ (y - p) - penalty * w)
+        h, slope = np.diag(penalty), -penalty * w
+        for at, b in x.blocks():
+            p = 1 / (1 + np.exp(-np.clip(b @ w, -30, 30)))
+            h += (b * (p * (1 - p))[:, None]).T @ b
+            slope += b.T @ (y[at] - p)
+        step = np.linalg.solve(h, slope)
         w += step
         if np.abs(step).max() < 1e-8:
             break
@@ -89,17 +132,6 @@ def _logit(view: str, w: np.ndarray) -> Column:
     return score
 
 
-def _rows(view: str, rows: list) -> np.ndarray:
-    """Feature matrix of collected rows."""
-    x = np.array([r[view] for r in rows])
-    if view != "text_view":
-        return x
-    words = np.zeros((len(rows), WORDS))
-    for i, r in enumerate(rows):
-        words[i, r["words"]] = 1.0
-    return np.hstack([x, words])
-
-
 def _probability(logit: Column) -> Column:
     return 1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))))
 
@@ -111,18 +143,19 @@ def train_and_score(docs: DataFrame, labels: DataFrame, plan: Plan = Plan(), lab
              .dropna().groupBy("id").agg(F.min("y").alias("y")))
     marked = stored(rows.join(given, "id", "left").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(4))), "marked")
     labelled = marked.where("y is not null")
-    known = lowest(labelled, F.xxhash64("id"), plan.most_labels).orderBy(F.xxhash64("id"), "row").limit(plan.most_labels).collect()  # bounded by the plan
-    y = np.array([r["y"] for r in known], float)
+    known = lowest(labelled, F.xxhash64("id"), plan.most_labels).orderBy(F.xxhash64("id"), "row").limit(plan.most_labels) \
+        .select("y", "part", "words", "text_view", "page_view").toArrow()  # bounded by the plan
+    y = known["y"].to_numpy().astype(float)
     views = ("text_view", "page_view")
     if len(set(y)) < 2:
         p = (y.sum() + 1) / (len(y) + 2)
         return rows.select(F.col("id").alias(id_col), *(F.lit(float(p)).alias(c) for c in ("p_text", "p_page", "quality_score")), F.lit(bool(p >= 0.5)).alias("kept"))
-    x = {v: _rows(v, known) for v in views}
-    held = np.array([r["part"] == 0 for r in known])
+    x, held = {v: Examples.of(v, known) for v in views}, known["part"].to_numpy() == 0
+    del known
     if not 0 < y[held].mean() < 1 if held.any() else True:  # too few rows to keep some back
         held = np.zeros(len(y), bool)
-    own = {v: [(x[v][~held], y[~held])] for v in views}
-    fit = lambda v: fit_logistic(np.vstack([a for a, _ in own[v]]), np.concatenate([b for _, b in own[v]]), plan.l2)
+    own = {v: [(x[v].where(~held), y[~held])] for v in views}
+    fit = lambda v: fit_logistic(Examples.all([a for a, _ in own[v]]), np.concatenate([b for _, b in own[v]]), plan.l2)
     weights = {v: fit(v) for v in views}
     taken: set[int] = set()
     for _ in range(plan.rounds):
@@ -136,11 +169,11 @@ def train_and_score(docs: DataFrame, labels: DataFrame, plan: Plan = Plan(), lab
                 new = [r for r in picked.collect() if r["text"] not in taken][:plan.per_round]
                 taken.update(r["text"] for r in new)
                 if new:
-                    found = marked.where(F.col("row").isin([r["row"] for r in new])).select(pupil, "words").collect()
-                    own[pupil].append((_rows(pupil, found), np.full(len(found), float(good))))
+                    found = marked.where(F.col("row").isin([r["row"] for r in new])).select(pupil, "words").toArrow()
+                    own[pupil].append((Examples.of(pupil, found), np.full(found.num_rows, float(good))))
         weights = {v: fit(v) for v in views}
     back = held if held.any() else np.ones(len(y), bool)
-    logits = np.column_stack([np.hstack([np.ones((back.sum(), 1)), x[v][back]]) @ weights[v] for v in views])
+    logits = np.column_stack([x[v].where(back).scores(weights[v]) for v in views])
     each = [fit_logistic(logits[:, [k]], y[back], plan.l2) for k in range(2)]  # calibration of each view
     both = fit_logistic(np.column_stack([each[k][0] + each[k][1] * logits[:, k] for k in range(2)]), y[back], plan.l2)
     calibrated = [F.lit(float(each[k][0])) + float(each[k][1]) * _logit(v, weights[v]) for k, v in enumerate(views)]
