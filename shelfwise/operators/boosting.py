@@ -3,9 +3,10 @@
 Fit. Each numeric feature is cut once into at most ``bins`` bins; a row becomes a fixed number of cells:
 (feature, bin) of every numeric feature and the slot, if any, of every category. Rows lie as blocks of
 NumPy arrays in a persisted RDD, which spares every tree level a query plan. Per level one job sums
-gradients and counts by (node, cell): tasks add up their blocks, the sums are dealt by feature and added
-in turn, and the best split of those features is chosen there. So what is shuffled is the table of nodes
-x bins, whatever the data, and the driver gets one candidate split per node and share of the features.
+gradients and counts by (node, cell): tasks add up their blocks. Of up to ``FEW`` tasks the driver adds
+these tables of nodes x bins and chooses the splits, which takes one stage. The tables of more tasks are
+dealt by feature and added in turn, and the best split of those features is chosen there: the driver gets
+one candidate split per node and share of the features. Either way a table's size does not depend on the data.
 
 Gradients are summed as integers (millionths), so a fit does not depend on partitions or on the order
 of sums, and equals a plain NumPy version of the same rules exactly.
@@ -36,6 +37,8 @@ from shelfwise.session import stored_table
 SCALE = 1_000_000
 #: Trees after which predictions are written out, so that lost blocks are soon computed again.
 STEP = 10
+#: Tables of sums, of some 5 MB at most, that the driver adds up by itself.
+FEW = 16
 
 
 @dataclass(frozen=True)
@@ -62,10 +65,11 @@ class Split:
 def bin_edges(train: DataFrame, encoding: Encoding, bins: int) -> list[np.ndarray]:
     """Increasing cut points of every numeric feature: approximate quantiles, at most ``bins`` - 1."""
     at = ", ".join(f"{k / bins!r}D" for k in range(1, bins))
-    cuts = train.agg(*(F.expr(f"percentile_approx({encoding.sql(i)}, array({at}), 10000) as q{i}") for i in range(len(encoding.numeric)))).first()
-    lows = train.agg(*(F.min(F.expr(encoding.sql(i))).alias(f"m{i}") for i in range(len(encoding.numeric)))).first()
+    every = range(len(encoding.numeric))
+    found = train.agg(*(F.expr(f"percentile_approx({encoding.sql(i)}, array({at}), 10000) as q{i}") for i in every),
+                      *(F.min(F.expr(encoding.sql(i))).alias(f"m{i}") for i in every)).first()
     # a cut at the least value would leave the left side empty
-    return [np.array([x for x in np.unique(np.array(cuts[i], float)) if x > lows[i]]) if cuts[i] is not None else np.empty(0) for i in range(len(encoding.numeric))]
+    return [np.array([x for x in np.unique(np.array(found[f"q{i}"], float)) if x > found[f"m{i}"]]) if found[f"q{i}"] is not None else np.empty(0) for i in every]
 
 
 def best_splits(node: np.ndarray, cell: np.ndarray, grad: np.ndarray, count: np.ndarray, totals: tuple[np.ndarray, np.ndarray],
@@ -117,9 +121,9 @@ def grow(search, n_numeric: int, edges: list[np.ndarray], rules: Rules) -> list[
 
 @dataclass(frozen=True)
 class Cells:
-    """Where a matrix column lies in a block: numeric feature ``i`` in block column ``i`` as cell i * width
-    + bin; a one-hot slot as its own cell in the block column of its category, which holds ``none`` if no
-    slot is set."""
+    """Where a matrix column lies in a block, whose rows are the data's columns: numeric feature ``i`` in block
+    row ``i`` as cell i * width + bin; a one-hot slot as its own cell in the block row of its category, which
+    holds ``none`` if no slot is set."""
     n_numeric: int
     width: int
     kind_of: tuple[int, ...]  # category of every slot
@@ -134,20 +138,24 @@ class Cells:
 
     def nodes(self, tree: list[Split], cells: np.ndarray) -> np.ndarray:
         """The leaf of every row of a block."""
-        at = np.zeros(len(cells), np.int64)
+        at = np.zeros(cells.shape[1], np.int64)
         f = np.array([s.feature for s in tree])
         slot = f >= self.n_numeric
         column = np.array([0 if s.feature < 0 else s.feature if s.feature < self.n_numeric else self.n_numeric + self.kind_of[s.feature - self.n_numeric] for s in tree])
         cut = np.where(slot, self.first + f - self.n_numeric, f * self.width + np.array([s.bin for s in tree]))
         left, right = np.array([s.left for s in tree]), np.array([s.right for s in tree])
-        rows = np.arange(len(cells))
+        rows = np.arange(cells.shape[1])
         while len(rows):
             rows = rows[f[at[rows]] >= 0]
             v = at[rows]
-            x = cells[rows, column[v]]
+            x = cells[column[v], rows]
             at[rows] = np.where(np.where(slot[v], x != cut[v], x < cut[v]), left[v], right[v])
         return at
 
+    def span_of(self, row: int) -> tuple[int, int]:
+        """The first cell of a block row and the cell after its last."""
+        return (row * self.width, (row + 1) * self.width) if row < self.n_numeric else (self.first, self.none + 1)
+
     def after(self, tree: list[Split], p: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """Predictions ``p`` with those of one more tree."""
         return p + np.array([s.value for s in tree])[self.nodes(tree, cells)]
@@ -239,12 +247,12 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
     small, span = np.min_scalar_type(layout.none), layout.none + 1
     cores = spark.sparkContext.defaultParallelism
     parts = max(1, min(n_rows // 2_000, max(cores, n_rows // 200_000)))
-    deal = min(parts, 8)
+    deal = min(parts, 8) if parts > FEW else 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             y = b.column(0).to_numpy(zero_copy_only=False)
-            cells = b.column(1).flatten().to_numpy().astype(small).reshape(len(y), n_numeric + len(kinds))
+            cells = np.ascontiguousarray(b.column(1).flatten().to_numpy().astype(small).reshape(len(y), n_numeric + len(kinds)).T)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((y, np.full(len(y), base), cells))], pa.binary())], names=["block"])
 
     def blocks(packed: DataFrame) -> RDD:
@@ -258,25 +266,32 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
     def search(tree: list[Split], live: list[int]):
         names, min_leaf = np.array(live), rules.min_leaf
 
+        place = np.full(len(tree), -1)
+        place[names] = np.arange(len(names))
+
         def add_up(part):
-            total, n = np.zeros(len(names) * span, np.int64), np.zeros(len(names) * span, np.int64)
+            total, n = np.zeros((len(names), span), np.int64), np.zeros((len(names), span), np.int64)
             sums = np.zeros((2, len(names)), np.int64)
             for y, p, cells in part:
-                node = layout.nodes(tree, cells)
-                at = np.minimum(np.searchsorted(names, node), len(names) - 1)
-                here = np.flatnonzero(names[at] == node)
-                at, cells = at[here], cells[here]
+                at = place[layout.nodes(tree, cells)]
+                here = np.flatnonzero(at >= 0)
+                if len(here) < len(at):
+                    at, cells = at[here], cells[:, here]
                 g = np.floor((p[here] - y[here]) * SCALE + 0.5)
-                cell = (at[:, None] * span + cells).ravel()
-                # integers below 2**53: exact
-                total += np.bincount(cell, np.repeat(g, cells.shape[1]), len(total)).astype(np.int64)
-                n += np.bincount(cell, minlength=len(n))
+                for row, cell in enumerate(cells):  # one by one, as a row's sums fit the processor's cache
+                    low, high = layout.span_of(row)
+                    cell = at * (high - low) + (cell.astype(np.int64) - low)
+                    shape = len(names), high - low
+                    # integers below 2**53: exact
+                    total[:, low:high] += np.bincount(cell, g, shape[0] * shape[1]).reshape(shape).astype(np.int64)
+                    n[:, low:high] += np.bincount(cell, minlength=shape[0] * shape[1]).reshape(shape)
                 sums += np.array([np.bincount(at, g, len(names)), np.bincount(at, minlength=len(names))]).astype(np.int64)
+            total, n = total.ravel(), n.ravel()
             k = np.flatnonzero(n)
             k = k[k % span != layout.none]
             feature = np.where(k % span < layout.first, k % span // width, k % span - layout.first + n_numeric)
             for share in range(deal):
-                of = k[feature % deal == share]
+                of = k[feature % deal == share] if deal > 1 else k
                 yield share, (sums, of, total[of], n[of])
 
         def choose(part):
@@ -291,7 +306,11 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
             cell = np.where(cell < layout.first, cell, layout.first + (cell - layout.first) * width)
             yield sums, best_splits(k // span, cell, total[k], n[k], (sums[0], sums[1]), n_numeric, width, min_leaf)
 
-        shares = held.mapPartitions(add_up).partitionBy(deal, lambda share: share).mapPartitions(choose).collect()  # a row a share
+        tables = held.mapPartitions(add_up)
+        if parts > FEW:
+            shares = tables.partitionBy(deal, lambda share: share).mapPartitions(choose).collect()  # a row a share
+        else:
+            shares = list(choose(tables.collect()))  # a table a task
         totals = {live[i]: (int(g), int(n)) for i, (g, n) in enumerate(shares[0][0].T) if n}
         found: dict[int, tuple[float, int, int, int, int]] = {}
         for _, splits in shares:

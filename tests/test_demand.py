@@ -130,6 +130,20 @@ def test_boosting_plans_no_query_per_level(spark, monkeypatch):
     assert np.abs(got - want).max() < 1e-9
 
 
+def test_levels_over_few_blocks_shuffle_nothing(spark, monkeypatch):
+    """The tables of few tasks are added by the driver in one stage, those of many by a shuffle: same trees."""
+    from pyspark import RDD
+    df = table(spark, n=9000).repartition(4).cache()
+    enc = Encoding.fit(df, NUMERIC, CATEGORICAL)
+    rules = boosting.Rules(trees=3, depth=4, bins=16, min_leaf=10)
+    dealt = []
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, *a, _was=RDD.partitionBy: dealt.append(1) or _was(self, *a))
+    model = boosting.fit_boosted_trees(df, "y", rules, enc)
+    assert not dealt
+    monkeypatch.setattr(boosting, "FEW", 1)
+    assert boosting.fit_boosted_trees(df, "y", rules, enc).trees == model.trees and len(dealt) == 12
+
+
 @pytest.mark.parametrize("kind", ["ridge", "gbt"])
 def test_prices_are_scored_without_exploding(spark, kind):
     df = table(spark).withColumnsRenamed({"a": "realized_price", "b": "price_change_pct"}).withColumn("regular_price", F.abs("realized_price") + 1)
