@@ -36,6 +36,8 @@ from shelfwise.llm.common import map_arrow, new_path, stored
 ARCHIVE_BYTES = 16 << 20
 BLOCK_LINES = 3000
 PART_LINES = 200_000
+#: Archives are unpacked in such pieces, as what follows a member in its last piece is copied.
+PIECE_BYTES = 4096
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 CAPTURE = ("page_id long, url_key string, payload_bytes long, payload_digest string, record_type string, "
            "refers_to long, archive string, record_offset long, record_length long")
@@ -88,11 +90,14 @@ def _members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
     """(offset, length, content) of the gzip members that hold something."""
     at, view = 0, memoryview(data)
     while at < len(data):
-        step = zlib.decompressobj(31)
-        content = step.decompress(view[at:])
-        end = len(data) - len(step.unused_data)
-        if content:
-            yield at, end - at, content
+        step, content, end = zlib.decompressobj(31), [], at
+        while not step.eof and end < len(data):
+            piece = view[end:end + PIECE_BYTES]
+            content.append(step.decompress(piece))
+            end += len(piece)
+        end -= len(step.unused_data)
+        if any(content):
+            yield at, end - at, b"".join(content)
         at = end
 
 

@@ -316,6 +316,37 @@ def pages(spark):
     return rows, spark.createDataFrame([(*r, 1, 1) for r in rows], "page_id long, url string, html string, size int, sha1 int")
 
 
+def test_members_are_unpacked_in_pieces(monkeypatch):
+    """What follows a member in the archive is not copied for each member, and large members are whole."""
+    import gzip
+    import types
+    import zlib
+    rng = random.Random(3)
+    contents = [bytes(rng.randrange(256) for _ in range(n)) for n in (*[300] * 200, 40_000, warc.PIECE_BYTES, 1)]
+    packed = [gzip.compress(c, mtime=0) for c in contents]
+    data = b"".join(p + warc.EMPTY_MEMBER for p in packed)
+    fed = []
+
+    def counted(bits, make=zlib.decompressobj):
+        step = make(bits)
+
+        class Counted:
+            eof = property(lambda _: step.eof)
+            unused_data = property(lambda _: step.unused_data)
+
+            def decompress(self, piece):
+                fed.append(len(piece))
+                return step.decompress(piece)
+        return Counted()
+
+    monkeypatch.setattr(warc, "zlib", types.SimpleNamespace(decompressobj=counted))
+    found = list(warc._members(data))
+    assert [c for _, _, c in found] == contents and [n for _, n, _ in found] == [len(p) for p in packed]
+    assert all(data[at:at + n] == p for (at, n, _), p in zip(found, packed, strict=True))
+    assert sum(fed) <= len(data) + 2 * len(contents) * warc.PIECE_BYTES
+    assert list(warc._members(b"")) == [] and [c for _, _, c in warc._members(data[:100])] == [zlib.decompressobj(31).decompress(data[:100])]
+
+
 def test_warc(spark):
     rows, df = pages(spark)
     path = warc.write_archives(df)
