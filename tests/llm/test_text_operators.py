@@ -192,6 +192,14 @@ def line_groups(rows):
     return {p: top(p) for p in places}
 
 
+def test_lines_are_measured_once(docs):
+    """What is measured of a whole line is computed below the explode of its words, and the words are made once."""
+    plan = line_dedup.lines(docs)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert "replace(" not in above and "replace(" in below
+    assert plan.count("array_distinct") == 1
+
+
 def test_line_dedup(docs, rows, empty):
     first = line_groups(rows)
     gone = {p for p, f in first.items() if f != p}
