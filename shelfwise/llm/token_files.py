@@ -21,7 +21,9 @@ runs from the last step to the first, so that decoding reads forward.
 
 Tokenising: texts are cut at single spaces between two other characters (no token of the tokenizer
 reaches over one, the next piece begins with that space), and the library encodes each distinct
-piece once per worker while it is remembered. ``Pieces`` proves the cut on loading.
+piece once per worker while it is remembered; pieces over a line end are made of those of their lines.
+Pieces of several texts are numbered by Arrow, and each distinct one is looked up once. ``Pieces``
+proves both cuts on loading.
 
 Edge cases: null texts are empty and have the end id alone. Null ids sort first and stay null.
 Equal ids follow the hash of their texts; rows repeated as a whole are each written. An empty
@@ -40,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,11 +62,14 @@ HEADER = struct.Struct("<4sIIQIIIII")
 DOCUMENT = np.dtype([("has_id", "<u4"), ("n", "<u4"), ("id", "<i8")])
 #: Remembered pieces of a worker (twice so many at most) and the longest one: memory bounds only.
 REMEMBERED, LONGEST, SHORT_TAILS = 700_000, 64, 1000
+#: Bytes of texts whose pieces are looked up together (one longer text is taken alone).
+TOGETHER = 4 << 20
 
 
 # ---- tokenising -----------------------------------------------------------------------------
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 _PAIR = re.compile(r"\s\s")
 #: Letters, then ASCII punctuation (an apostrophe may begin a word of its own, "<" a special token).
 _WORD = re.compile(r"([^\W\d_]+)([!-&(-/:;=-@\[-`{-~]*)")
@@ -90,7 +96,8 @@ class _Memory(dict):
 
 class Pieces:
     """The tokenizers library behind a memory of pieces: the ids of a text are those of its pieces,
-    and those of a piece are those of its words (letters behind a space, punctuation behind them)."""
+    and those of a piece are those of its lines (a line end between two other characters is a word of its
+    own) and words (letters behind a space or line end, punctuation behind them)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -100,9 +107,17 @@ class Pieces:
         self.alphabet = _alphabet()
         self.now, self.before = _Memory(self._new), {}
         self.tails: dict[str, bytes] = {"": b""}
+        self.line_end = b""
         probe = "a b, c 12 it's\n\n d  e \t é?! f <x> 'll   g h\n i ñandú — ²x x² 漢字。 "
         self.by_piece = self.whole.normalizer is None and self.split is not None and not any(map(str.isspace, "".join(self.special)))
+        self.by_line = False
         self.by_piece = self.by_piece and all(self.encode(t) == self._encode(t) for t in (probe, probe.strip(), probe))
+        if self.by_piece:
+            self.line_end, self.by_line = self._word("\n"), True
+            probe = "a.\nThe b, an\n'll a.\nThe, it\né\n\ng d!\n—x\n12\r\ny a\nb\n c\n.\nThe a"
+            self.by_line = all(self.encode(t) == self._encode(t) for t in (probe, probe))
+            if not self.by_line:
+                self.now, self.before = _Memory(self._new), {}
 
     def _encode(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -113,17 +128,20 @@ class Pieces:
         return array("I", [t.id for t in self.model.tokenize(shown.translate(self.alphabet))]).tobytes()
 
     def _new(self, piece: str) -> bytes:
-        """Ids of a piece (without its leading space), remembered."""
+        """Ids of a piece (without its leading space, or with the line end before it), remembered."""
         ids = self.before.get(piece)
         if ids is None:
-            m = _WORD.fullmatch(piece)
+            line = piece[0] == "\n"
+            lead, space, rest = (self.line_end, "", piece[1:]) if line else (b"", " ", piece)
+            m = _WORD.fullmatch(rest)
             if m and m[1].isalpha():
                 word, tail = m.groups()
-                ids = (self.now.get(word) or self.before.get(word)) if tail else None
+                key = "\n" + word if line else word
+                ids = (self.now.get(key) or self.before.get(key)) if tail else None
                 if ids is None:
-                    ids = self._word(" " + word)
+                    ids = lead + self._word(space + word)
                     if tail:
-                        self._remember(word, ids)
+                        self._remember(key, ids)
                 end = self.tails.get(tail)
                 if end is None:
                     end = self._word(tail)
@@ -131,9 +149,11 @@ class Pieces:
                         self.tails[tail] = end
                 ids += end
             elif any(t in piece for t in self.special):
-                ids = self._encode(" " + piece)
+                ids = self._encode(space + piece)
+            elif self.by_line and len(parts := _LINE_END.split(piece)) > 1:
+                ids = self.now[parts[0]] + b"".join([self.now["\n" + x] for x in parts[1:]])
             else:
-                ids = array("I", [t.id for w, _ in self.split.pre_tokenize_str(" " + piece) for t in self.model.tokenize(w)]).tobytes()
+                ids = array("I", [t.id for w, _ in self.split.pre_tokenize_str(space + piece) for t in self.model.tokenize(w)]).tobytes()
         return self._remember(piece, ids)
 
     def _remember(self, piece: str, ids: bytes) -> bytes:
@@ -151,6 +171,33 @@ class Pieces:
         first = self._encode(parts[0]) if parts[0] else b""
         return first + b"".join(map(self.now.__getitem__, parts[1:]))
 
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """:meth:`encode` of every text (null: empty). Texts are taken together up to ``TOGETHER`` bytes, so that
+        a piece is looked up once for all its places in them."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(ends, TOGETHER + (ends[at - 1] if at else 0), "right")))
+            yield from self._together(texts.slice(at, stop - at))
+            at = stop
+
+    def _together(self, texts: pa.Array) -> list[bytes]:
+        whole = [t or "" for t in texts.to_pylist()]
+        if not self.by_piece:
+            return [self.encode(t) for t in whole]
+        # at every space of these a piece begins
+        plain = [i for i, t in enumerate(whole) if t and _PAIR.search(t) is None and not t[0].isspace() and not t[-1].isspace()]
+        if not plain:
+            return [self.encode(t) for t in whole]
+        parts = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        first = parts.offsets.to_numpy()
+        distinct = parts.flatten().dictionary_encode()
+        found = pa.array(map(self.now.__getitem__, distinct.dictionary.to_numpy(zero_copy_only=False)), pa.large_binary()).take(distinct.indices)
+        ids, place = memoryview(found.buffers()[2] or b""), np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8)
+        after, end = place[first[:-1] - first[0] + 1].tolist(), place[first[1:] - first[0]].tolist()
+        done = {i: self._encode(whole[i].split(" ", 1)[0]) + ids[a:z] for i, a, z in zip(plain, after, end, strict=True)}
+        return [done[i] if i in done else self.encode(t) for i, t in enumerate(whole)]
+
 
 _LOADED: dict[str, Pieces] = {}
 
@@ -281,7 +328,7 @@ def unpack_block(data: memoryview, table: Table) -> tuple[int, int, int, np.ndar
 def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(part, block, before, n, docs, ids): documents in order of their ids, gathered to blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = pieces(tokenizer).encode, TaskContext.get().partitionId()
+        encode_all, part = pieces(tokenizer).encode_all, TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         block, before, held, entries, size = 0, 0, [], [], 0
 
@@ -292,8 +339,8 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
                                               + [pa.array([np.array(entries, DOCUMENT).tobytes()], pa.binary()), pa.array([small.tobytes()], pa.binary())],
                                               names=["part", "block", "before", "n", "docs", "ids"])
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in zip(b.column(0).to_pylist(), encode_all(b.column(1)), strict=True):
+                ids += end
                 held.append(ids)
                 entries.append((doc_id is not None, len(ids) // 4, doc_id or 0))
                 size += len(ids) // 4

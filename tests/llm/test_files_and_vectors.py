@@ -35,6 +35,32 @@ def test_pieces_are_the_library(rows):
             assert np.frombuffer(own.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_pieces_of_several_texts(rows, monkeypatch):
+    """Texts taken together have the library's ids, whatever their number, nulls and odd white space."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    library, own = Tokenizer.from_file(tokenizer_path()), token_files.Pieces(tokenizer_path())
+    rng = random.Random(6)
+    odd = ["".join(rng.choice("abA é\n\n .,'s1<") for _ in range(rng.randint(1, 40))) for _ in range(600)]
+    texts = [None, "", *(t for _, t in rows), *TEXTS, *odd, None, "x.\nThe 'll\n'll y", "<|endoftext|>\n<|endoftext|> a.\n<|endoftext|>"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for most in (1, 300, 1 << 22):
+        monkeypatch.setattr(token_files, "TOGETHER", most)
+        every = pa.array(["skipped", *texts], pa.string()).slice(1)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_all(every)] == want
+    assert list(own.encode_all(pa.array([], pa.string()))) == [] and list(own.encode_all(pa.array([None, ""], pa.string()))) == [b"", b""]
+
+
+def test_pieces_over_line_ends_are_remembered():
+    """The lines of a piece are looked up by themselves: known ones are not encoded again."""
+    own = token_files.Pieces(tokenizer_path())
+    assert own.by_line
+    own.encode("a alpha. beta\nGamma, x.\nDelta. delta\nEnd")
+    own._word = own._encode = own.split = own.model = None  # nothing is left that could encode
+    assert own.now["alpha.\nGamma,"] == own.now["alpha."] + own.now["\nGamma,"]
+    assert own.now["beta\nDelta.\nEnd"] == own.now["beta"] + own.now["\nDelta."] + own.now["\nEnd"]
+
+
 def test_pieces_forget(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 5)
     own, fresh = token_files.Pieces(tokenizer_path()), token_files.Pieces(tokenizer_path())
