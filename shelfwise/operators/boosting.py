@@ -4,7 +4,8 @@ Fit. Each numeric feature is cut once into at most ``bins`` bins; a row becomes
 (feature, bin) of every numeric feature and the slot, if any, of every category. Rows lie as blocks of
 NumPy arrays in a persisted RDD, which spares every tree level a query plan. Per level one job sums
 gradients and counts by (node, cell): tasks add up their blocks. Of up to ``FEW`` tasks the driver adds
-these tables of nodes x bins and chooses the splits, which takes one stage. The tables of more tasks are
+these tables of nodes x bins and chooses the splits, which takes one stage; of two children tasks count the
+smaller one then, and the other's sums are the difference to their parent's. The tables of more tasks are
 dealt by feature and added in turn, and the best split of those features is chosen there: the driver gets
 one candidate split per node and share of the features. Either way a table's size does not depend on the data.
 
@@ -36,7 +37,7 @@ from shelfwise.session import stored_table
 
 SCALE = 1_000_000
 #: Trees after which predictions are written out, so that lost blocks are soon computed again.
-STEP = 10
+STEP = 25
 #: Tables of sums, of some 5 MB at most, that the driver adds up by itself.
 FEW = 16
 
@@ -263,8 +264,16 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
     trees: list[list[Split]] = []
     old = None
 
+    few = parts <= FEW
+    kept: dict[int, tuple] = {}  # of every node split last: its gradient and rows, both by cell, and the rows left
+
     def search(tree: list[Split], live: list[int]):
-        names, min_leaf = np.array(live), rules.min_leaf
+        if len(tree) == 1:
+            kept.clear()
+        pairs = {v: (tree[v].left, tree[v].right) for v in kept}
+        # of two children the smaller one is added up; the other's sums are what it leaves of their parent's
+        counted = [p[0 if 2 * kept[v][3] <= kept[v][0][1] else 1] for v, p in pairs.items()] or live
+        names, min_leaf = np.array(counted), rules.min_leaf
 
         place = np.full(len(tree), -1)
         place[names] = np.arange(len(names))
@@ -275,12 +284,12 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
             for y, p, cells in part:
                 at = place[layout.nodes(tree, cells)]
                 here = np.flatnonzero(at >= 0)
-                if len(here) < len(at):
-                    at, cells = at[here], cells[:, here]
+                every = len(here) == len(at)
+                at = at[here]
                 g = np.floor((p[here] - y[here]) * SCALE + 0.5)
                 for row, cell in enumerate(cells):  # one by one, as a row's sums fit the processor's cache
                     low, high = layout.span_of(row)
-                    cell = at * (high - low) + (cell.astype(np.int64) - low)
+                    cell = at * (high - low) + ((cell if every else cell[here]).astype(np.int64) - low)
                     shape = len(names), high - low
                     # integers below 2**53: exact
                     total[:, low:high] += np.bincount(cell, g, shape[0] * shape[1]).reshape(shape).astype(np.int64)
@@ -292,25 +301,39 @@ def fit_boosted_trees(train: DataFrame, label: str, rules: Rules = Rules(), enco
             feature = np.where(k % span < layout.first, k % span // width, k % span - layout.first + n_numeric)
             for share in range(deal):
                 of = k[feature % deal == share] if deal > 1 else k
-                yield share, (sums, of, total[of], n[of])
+                yield share, (sums, of.astype(np.min_scalar_type(len(n))), total[of], n[of].astype(np.min_scalar_type(n.max(initial=0))))
 
-        def choose(part):
+        def added(part):
+            """(gradient and rows, both by cell) of the nodes ``names``."""
             total, n = np.zeros(len(names) * span, np.int64), np.zeros(len(names) * span, np.int64)
             sums = np.zeros((2, len(names)), np.int64)
             for _, (s, k, g, c) in part:
                 sums += s
                 total[k] += g
                 n[k] += c
+            return sums, total.reshape(-1, span), n.reshape(-1, span)
+
+        def best(sums, total, n):
+            total, n = total.ravel(), n.ravel()
             k = np.flatnonzero(n)
             cell = k % span
             cell = np.where(cell < layout.first, cell, layout.first + (cell - layout.first) * width)
-            yield sums, best_splits(k // span, cell, total[k], n[k], (sums[0], sums[1]), n_numeric, width, min_leaf)
+            return sums, best_splits(k // span, cell, total[k], n[k], (sums[0], sums[1]), n_numeric, width, min_leaf)
 
         tables = held.mapPartitions(add_up)
-        if parts > FEW:
-            shares = tables.partitionBy(deal, lambda share: share).mapPartitions(choose).collect()  # a row a share
+        if few:
+            sums, total, n = added(tables.collect())  # a table a task
+            if kept:
+                of = {v: (sums[:, i], total[i], n[i]) for i, v in enumerate(counted)}
+                for v, (left, right) in pairs.items():
+                    known, other = (left, right) if left in of else (right, left)
+                    of[other] = tuple(a - b for a, b in zip(kept[v], of[known], strict=False))
+                sums, total, n = np.array([of[v][0] for v in live]).T, np.array([of[v][1] for v in live]), np.array([of[v][2] for v in live])
+            shares = [best(sums, total, n)]
+            kept.clear()
+            kept.update({live[i]: (sums[:, i], total[i], n[i], s[4]) for i, s in sorted(shares[0][1].items())})
         else:
-            shares = list(choose(tables.collect()))  # a table a task
+            shares = tables.partitionBy(deal, lambda share: share).mapPartitions(lambda part: [best(*added(part))]).collect()  # a row a share
         totals = {live[i]: (int(g), int(n)) for i, (g, n) in enumerate(shares[0][0].T) if n}
         found: dict[int, tuple[float, int, int, int, int]] = {}
         for _, splits in shares:

@@ -144,6 +144,26 @@ def test_levels_over_few_blocks_shuffle_nothing(spark, monkeypatch):
     assert boosting.fit_boosted_trees(df, "y", rules, enc).trees == model.trees and len(dealt) == 12
 
 
+def test_only_smaller_children_are_counted(spark, monkeypatch):
+    """Tasks add up one child of a split, the one with fewer rows; the other is the rest of its parent."""
+    from pyspark import RDD
+    df = table(spark, n=9000).repartition(4).cache()
+    enc = Encoding.fit(df, NUMERIC, CATEGORICAL)
+    seen = []
+
+    def collect(self, _was=RDD.collect):
+        out = _was(self)
+        seen.append(sum(s for _, (s, *_) in out))
+        return out
+    monkeypatch.setattr(RDD, "collect", collect)
+    model = boosting.fit_boosted_trees(df, "y", boosting.Rules(trees=2, depth=4, bins=16, min_leaf=10), enc)
+    assert len(seen) == 8
+    for tree, levels in zip(model.trees, (seen[:4], seen[4:]), strict=True):
+        assert levels[0].shape[1] == 1 and levels[0][1].sum() == 9000
+        assert sum(s.shape[1] for s in levels[1:]) <= sum(s.feature >= 0 for s in tree)
+        assert all(s[1].sum() <= 4500 for s in levels[1:])
+
+
 @pytest.mark.parametrize("kind", ["ridge", "gbt"])
 def test_prices_are_scored_without_exploding(spark, kind):
     df = table(spark).withColumnsRenamed({"a": "realized_price", "b": "price_change_pct"}).withColumn("regular_price", F.abs("realized_price") + 1)
