@@ -200,6 +200,27 @@ def test_lines_are_measured_once(docs):
     assert plan.count("array_distinct") == 1
 
 
+def test_only_what_differs_is_compared(spark):
+    """Shared words at the ends of two lines are left out of the comparison, which stays exact."""
+    rng = random.Random(8)
+    pairs = [("a b c", "a b c"), ("a", "a a"), ("a b", "b"), ("a b a", "a"), ("x a", "y a"), ("aa bb", "bb aa"), ("a b c d", "a d"), ("abcd", "abcde")]
+    for _ in range(400):
+        words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 14))]
+        other = list(words)
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(other))
+            other[at:at + rng.randint(0, 1)] = [rng.choice(words)] * rng.randint(0 if len(other) > 1 else 1, 2)
+        pairs.append((" ".join(words), " ".join(other)) if other else ("a", "a"))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, na string, nb string")
+    between = line_dedup._between(F.col("na"), F.col("nb"))
+    got = {r.i: r for r in df.select("i", line_dedup._similar("na", "nb").alias("same"), between.alias("w")).collect()}
+    for i, (a, b) in enumerate(pairs):
+        assert got[i].same == (edit_distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9)), (a, b)
+        u, v = got[i].w
+        assert not (u and v) or (u[0] != v[0] and u[-1] != v[-1]), (a, b, u, v)
+    assert [tuple(map(list, got[i].w)) for i in (0, 6)] == [([], []), (["b", "c"], [])]
+
+
 def test_line_dedup(docs, rows, empty):
     first = line_groups(rows)
     gone = {p for p, f in first.items() if f != p}
