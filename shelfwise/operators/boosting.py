@@ -15,8 +15,9 @@ of sums, and equals a plain NumPy version of the same rules exactly.
 Rules: squared error, ``depth`` levels, shrinkage ``rate``, at least ``min_leaf`` rows on both sides, the
 largest gain, ties to the lower feature, then the lower bin. A split sends x < threshold to the left.
 
-Scoring. ``expression`` is the whole ensemble as one SQL expression over the feature columns. Features
-can be replaced, so that prices inside an array are scored by ``transform`` without exploding rows.
+Scoring. ``expression`` is the whole ensemble as one SQL expression over the feature columns, whose size does
+not grow with the nodes: they are constant arrays. Features can be replaced, so that prices inside an array
+are scored by ``transform`` without exploding rows.
 """
 
 from __future__ import annotations
@@ -162,21 +163,23 @@ class Cells:
         return p + np.array([s.value for s in tree])[self.nodes(tree, cells)]
 
 
-def _walk(tree: list[Split], test, leaf, v: int = 0) -> str:
-    s = tree[v]
-    if s.feature < 0:
-        return leaf(v, s)
-    return f"if({test(s)}, {_walk(tree, test, leaf, s.left)}, {_walk(tree, test, leaf, s.right)})"
+def _once(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, evaluated once. Lambdas are evaluated as they stand: an
+    ensemble is too long for one generated method."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _once(sql: str) -> str:
-    """The expression inside a lambda: an ensemble is too long for one generated method, and lambdas
-    are evaluated as they stand."""
-    return f"element_at(transform(array(0), one -> {sql}), 1)"
+def _constant(values: list, kind: str) -> str:
+    """An array of numbers as one SQL literal, which costs the parser and the optimizer one node."""
+    return f"cast(split('{' '.join(map(str, values))}', ' ') as array<{kind}>)"
+
+
+def _finite(x: float) -> float:
+    return float(x) if np.isfinite(x) else 0.0
 
 
 def _number(x: float) -> str:
-    return f"{x!r}D" if np.isfinite(x) else "0D"
+    return f"{_finite(x)!r}D"
 
 
 @dataclass(frozen=True)
@@ -188,16 +191,33 @@ class BoostedTrees:
     kind: str = "gbt"
 
     def expression(self, replace: dict[str, str] | None = None) -> str:
-        """The prediction as SQL; ``replace`` gives other expressions for numeric features."""
-        columns = {i: self.encoding.sql(i, replace) for i in {s.feature for t in self.trees for s in t if s.feature >= 0}}
-        leaf = lambda _, s: _number(s.value)
-        terms = [_walk(t, lambda s: f"{columns[s.feature]} < {_number(s.threshold)}", leaf) for t in self.trees]
-        while len(terms) > 1:  # a balanced sum: expression depth grows with the logarithm of the trees
+        """The prediction as SQL; ``replace`` gives other expressions for numeric features. The nodes of all trees
+        are constant arrays, through which a row goes level by level; leaves stay where they are."""
+        if not self.trees:
+            return _number(self.base)
+        used = sorted({s.feature for t in self.trees for s in t if s.feature >= 0})
+        place = {f: i for i, f in enumerate(used)}
+        roots, nodes, height = [], [], 0
+        for tree in self.trees:
+            at, level = len(nodes), [0] * len(tree)
+            roots.append(at)
+            for v, s in enumerate(tree):  # children come after their parent
+                inner = s.feature >= 0
+                if inner:
+                    level[s.left] = level[s.right] = level[v] + 1
+                nodes.append((place[s.feature] if inner else 0, _finite(s.threshold), at + (s.left if inner else v), at + (s.right if inner else v), _finite(s.value)))
+            height = max(height, *level)
+        feature, threshold, left, right, value = (_constant(list(c), kind) for c, kind in zip(zip(*nodes, strict=True), ("int", "double", "int", "int", "double"), strict=True))
+        leaf = f"aggregate(sequence(1, {height}), v, (at, _) -> if(x[{feature}[at]] < {threshold}[at], {left}[at], {right}[at]))" if used else "v"
+        terms = [f"t[{i}]" for i in range(len(self.trees))]
+        while len(terms) > 1:  # a balanced sum
             terms = [f"({' + '.join(terms[i:i + 2])})" for i in range(0, len(terms), 2)]
-        return f"({_number(self.base)} + {terms[0]})" if terms else _number(self.base)
+        values = f"transform({_constant(roots, 'int')}, v -> {value}[{leaf}])"
+        scored = _once("t", values, f"({_number(self.base)} + {terms[0]})")
+        return _once("x", f"array({', '.join(self.encoding.sql(i, replace) for i in used)})", scored) if used else scored
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("prediction", F.expr(_once(self.expression())))
+        return df.withColumn("prediction", F.expr(self.expression()))
 
     def importance(self) -> list[tuple[str, float]]:
         """Total gain by matrix column, as shares."""

@@ -16,6 +16,7 @@ from shelfwise.operators.boosting import BoostedTrees, Rules, fit_boosted_trees
 from shelfwise.operators.encoding import Encoding
 from shelfwise.operators.features import GROUP_COLS, TARGET_COL
 from shelfwise.operators.linear import LinearModel, fit_linear
+from shelfwise.session import stored_table
 
 
 def baseline_seasonal_naive(split_features: DataFrame) -> DataFrame:
@@ -74,8 +75,9 @@ def load_model(spark, path: str):
 def train_evaluate(split_features: DataFrame, kind: str = "gbt", max_iter: int | None = None):
     """Fit on train, score val/test; returns (model, metrics DataFrame, test predictions)."""
     model = fit_model(split_features.filter(F.col("split") == "train"), kind, max_iter)
-    scored = model.predict(split_features.filter(F.col("split").isin("val", "test"))) \
-        .withColumn("predicted", F.greatest(F.col("prediction"), F.lit(0.0)))
+    scored = model.predict(split_features.filter(F.col("split").isin("val", "test"))).select(
+        "split", "week_num", "sku_id", "category", "region", "customer_tier", TARGET_COL, F.greatest(F.col("prediction"), F.lit(0.0)).alias("predicted"))
+    scored = stored_table(scored, "scored")  # metrics and predictions read it, some more than once
     return model, evaluation_table(scored, kind), test_predictions(scored)
 
 
@@ -101,8 +103,10 @@ def feature_importance(spark, model, top: int | None = None) -> DataFrame:
 def predict_at_price_model(model, rows: DataFrame, prices: Column) -> DataFrame:
     """Every price of the array ``prices`` scored by a fitted linear or boosted model: the model is an
     expression over the row's features in which the price and the price change are replaced, so the
-    rows are neither exploded nor encoded again. Adds ``model_sims``, (candidate_price, predicted_units)."""
+    rows are neither exploded nor encoded again. Adds ``model_sims``, (candidate_price, predicted_units).
+    Few rows make much work here, so they are dealt anew: by their bytes all would be put in one task."""
     change = "if(regular_price > 0, p / regular_price - 1, price_change_pct)"
     units = f"greatest({model.expression({'realized_price': 'p', 'price_change_pct': change})}, 0D)"
-    return rows.withColumn("_prices", prices).withColumn(
+    dealt = rows.withColumn("_prices", prices).repartition(rows.sparkSession.sparkContext.defaultParallelism)
+    return dealt.withColumn(
         "model_sims", F.expr(f"transform(_prices, p -> named_struct('candidate_price', p, 'predicted_units', {units}))")).drop("_prices")
