@@ -458,3 +458,30 @@ def test_co_training_keeps_word_classes_small():
     penalty = np.r_[1e-6, np.ones(9 + co_training.WORDS)]
     slope = plain.T @ (y - 1 / (1 + np.exp(-(plain @ w)))) - penalty * w
     assert np.abs(slope).max() < 1e-6 and np.allclose(x.scores(w), plain @ w)
+
+
+def test_components_are_joined_by_new_edges(spark):
+    """op9_line_dedup: edges added to known components contract their roots only, and a settled forest of stars
+    is seen without one more round."""
+    import random
+
+    from shelfwise.llm import common
+    random.seed(7)
+    edges = [(random.randrange(400), random.randrange(400)) for _ in range(230)]
+    more = [(random.randrange(450), random.randrange(450)) for _ in range(60)]
+    frame = lambda rows: spark.createDataFrame(rows, "u long, v long")
+    want = {r.node: r.root for r in common.components(frame(edges + more)).collect()}
+    known = common.stored(common.components(frame(edges)), "roots")
+    got = {r.node: r.root for r in common.joined_components(known, frame(more)).collect()}
+    assert got == want
+    assert {r.node: r.root for r in common.joined_components(known, frame([])).collect()} == {r.node: r.root for r in known.collect()}
+    none = common.components(frame([]))
+    assert none.isEmpty() and {r.node: r.root for r in common.joined_components(none, frame([(2, 1)])).collect()} == {1: 1, 2: 1}
+
+
+def test_settled_components_need_one_round(spark, monkeypatch):
+    from shelfwise.llm import common
+    rounds = []
+    monkeypatch.setattr(common, "stored", lambda df, name, _was=common.stored: rounds.append(name) or _was(df, name))
+    out = common.components(spark.createDataFrame([(k, k % 3) for k in range(3, 30)], "u long, v long"))
+    assert rounds == ["edges"] and {r.node: r.root for r in out.collect()} == {k: k % 3 for k in range(30)}
