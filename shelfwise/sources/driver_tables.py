@@ -20,7 +20,7 @@ change a result.
 
 Scale notes: lineitem is the only large input. It is joined to the per-order attributes on
 the order key and to the SKU of its part, then aggregated once, straight to the panel's
-grain: partial sums collapse hot SKUs before the shuffle. The part side is broadcast by
+grain: partial sums, over some ``TASK_LINES`` lines a task, collapse the cells before the shuffle. The part side is broadcast by
 measured size; beyond that the shuffle join of a hot part is split by adaptive execution.
 """
 
@@ -37,6 +37,9 @@ from shelfwise.operators import panel_ops as po
 
 PERIOD_DAYS = 23
 UNKNOWN = "UNKNOWN"
+TIERS = ["Retail", "Fleet", "Trade"]
+#: Lines that a task adds up, if there are enough for all cores.
+TASK_LINES = 2_000_000
 
 # attributes without a source: constants chosen so that every policy branch is reachable
 BRAND_TIERS = ["Premium", "Mid-Tier", "Economy", "Private Label"]
@@ -101,21 +104,25 @@ def sku_dimension(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -
 
 def cell_demand(spark: SparkSession, sf_dir: str, grain: str = "brand_type") -> DataFrame:
     """Sums of the line items per panel cell: units, value, discount, returned and open units."""
+    # numbers travel as integers, flags and tiers as small codes
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus",
-        F.to_date("l_shipdate").alias("ship_day"))
-    attrs = order_attributes(spark, sf_dir)
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
+        F.round(F.col("l_discount") * 100).cast("long").alias("disc"), F.to_date("l_shipdate").alias("ship_day"),
+        (F.when(F.col("l_returnflag") == "R", 1).otherwise(0) + F.when(F.col("l_linestatus") == "O", 2).otherwise(0)).cast("byte").alias("flags"))
+    # a task hands on at most one row a cell, so few tasks, each over many lines, hand on few rows; all cores work,
+    # and a task's cells fit its memory even if every line has its own
+    tasks = max(2 * spark.sparkContext.defaultParallelism, li.count() // TASK_LINES)
+    attrs = order_attributes(spark, sf_dir).select("o_orderkey", "order_day", F.col("region_no").cast("int").alias("region_no"), (
+        F.array_position(F.array(*map(F.lit, TIERS)), F.col("customer_tier")) - 1).cast("byte").alias("tier_no"))
     skus = sku_dimension(spark, sf_dir, grain).select("p_partkey", "sku_id")
     first = F.broadcast(read_table(spark, sf_dir, "orders").agg(F.to_date(F.min("o_orderdate")).alias("epoch")))  # one row
-    disc = F.round(F.col("l_discount") * 100).cast("long")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    day = F.coalesce("order_day", "ship_day")
+    day, disc, cents = F.coalesce("order_day", "ship_day"), F.col("disc"), F.col("cents")
     lines = (li.join(attrs, li.l_orderkey == attrs.o_orderkey, "left").join(skus, li.l_partkey == skus.p_partkey, "left")
-             .join(first))
+             .join(first)).coalesce(tasks)
     sums = lines.groupBy(
         F.coalesce("sku_id", F.lit(f"{UNKNOWN}|{UNKNOWN}")).alias("sku_id"),
-        F.coalesce("region_no", F.lit(-1)).cast("int").alias("region_no"),
-        F.coalesce("customer_tier", F.lit("Trade")).alias("customer_tier"),
+        F.coalesce("region_no", F.lit(-1)).alias("region_no"),
+        F.coalesce("tier_no", F.lit(TIERS.index("Trade")).cast("byte")).alias("tier_no"),
         (F.floor(F.datediff(day, "epoch") / PERIOD_DAYS) + 1).cast("int").alias("week_num"),
         "epoch",
     ).agg(
@@ -124,8 +131,8 @@ def cell_demand(spark: SparkSession, sf_dir: str, grain: str = "brand_type") ->
         F.sum(disc).alias("disc_pct_sum"),
         F.sum(cents).alias("value_cents"),
         F.sum(cents * (100 - disc)).alias("net_value"),
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0.0)).alias("returned"),
-        F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)).alias("open_units"),
+        F.sum(F.when(F.col("flags") % 2 == 1, F.col("l_quantity")).otherwise(0.0)).alias("returned"),
+        F.sum(F.when(F.col("flags") >= 2, F.col("l_quantity")).otherwise(0.0)).alias("open_units"),
         F.min("l_suppkey").alias("supplier_no"),
     )
     # what follows from the keys is added to the sums, not carried through their shuffle
@@ -133,8 +140,9 @@ def cell_demand(spark: SparkSession, sf_dir: str, grain: str = "brand_type") ->
     keys = ["sku_id", "region_no", "region", "customer_tier", "week_num", "week_start"]
     return sums.join(names, "region_no", "left").withColumns({
         "region": F.coalesce("region", F.lit(UNKNOWN)),
+        "customer_tier": _pick(F.col("tier_no"), TIERS),
         "week_start": F.date_add("epoch", (F.col("week_num") - 1) * PERIOD_DAYS),
-    }).select(*keys, *[c for c in sums.columns if c not in keys and c != "epoch"])
+    }).select(*keys, *[c for c in sums.columns if c not in (*keys, "tier_no", "epoch")])
 
 
 def build_products(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None, grain: str = "brand_type") -> DataFrame:
