@@ -221,6 +221,38 @@ def test_only_what_differs_is_compared(spark):
     assert [tuple(map(list, got[i].w)) for i in (0, 6)] == [([], []), (["b", "c"], [])]
 
 
+def test_line_fingerprints_need_no_shuffle_and_keys_are_compiled(spark):
+    """op9_line_dedup: a line's fingerprint is made where it is read, and no method of the keys' code is too long
+    (8,000 bytes) for Java to compile."""
+    found = line_dedup.lines(spark.createDataFrame([(1, "some words in a line")], "doc_id long, text string"))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    code = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    parts = code.codegenStringSeq(line_dedup.keys(found)._jdf.queryExecution().executedPlan())
+    assert parts.size() and max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
+
+
+def test_walk_bounds_the_distance(spark):
+    """Walking the words of one line along another's gives an upper bound, exact for words put in or left out;
+    pairs that are not likely alike are judged in the same way."""
+    rng = random.Random(12)
+    pairs = [("a b c d e", "a b d e"), ("a b c d", "a x b c d"), ("a b c d e f", "a c d x e f"), ("a", "b c d e f g"), ("a b a b", "b a b a")]
+    for _ in range(300):
+        words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 30))]
+        other = list(words)
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(other))
+            other[at:at + rng.randint(0, 2)] = [rng.choice(words)] * rng.randint(0 if len(other) > 2 else 1, 2)
+        pairs.append((" ".join(words), " ".join(other) or "a"))
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, na string, nb string")
+    words = F.struct(F.split("na", " ").alias("u"), F.split("nb", " ").alias("v"))
+    rows = df.select("i", line_dedup._walked(words).alias("most"), line_dedup._similar("na", "nb", False).alias("same"), line_dedup._similar("na", "nb").alias("likely"))
+    got = {r.i: r for r in rows.collect()}
+    for i, (a, b) in enumerate(pairs):
+        d = edit_distance(a, b)
+        assert got[i].most >= d and got[i].same == got[i].likely == (d <= int(max(len(a), len(b)) * 0.2 + 1e-9)), (a, b)
+    assert [got[i].most for i in range(3)] == [2, 2, 4]
+
+
 def test_line_dedup(docs, rows, empty):
     first = line_groups(rows)
     gone = {p for p, f in first.items() if f != p}
