@@ -460,6 +460,34 @@ def test_co_training_keeps_word_classes_small():
     assert np.abs(slope).max() < 1e-6 and np.allclose(x.scores(w), plain @ w)
 
 
+def test_grams_of_many_texts_are_made_at_once():
+    """pipeline (ngram_jaccard_join), op5_jaccard_join: words of a batch are those of each text by itself, equal words and
+    only they have equal hashes, and batches are bounded in rows and bytes."""
+    import random
+
+    import pyarrow as pa
+
+    from shelfwise.llm import common
+    rng = random.Random(3)
+    texts = [None, "", " \t\n\x0b\x0c\r ", "a", "A b\x0bC\x0c\r\nd ", "x" * 300, "no\u00a0break É é ß", "word wordword Wordword", "ab", "c", None, "abcdefgh abcdefghi", "d"]
+    texts += [" ".join(rng.choice(["the", "of", "Longer", "wordwordwordword", "é"]) for _ in range(rng.randrange(40))) for _ in range(60)]
+    for array in (pa.array(texts), pa.array(["zz", *texts, "zz"]).slice(1, len(texts)), pa.array(texts, pa.large_string())):
+        h, ends = common.word_hashes(array)
+        own = [h[a:b].tolist() for a, b in zip([0, *ends], ends)]
+        words = [common.words_of(t, lower=True) for t in texts]
+        assert [len(x) for x in own] == [len(x) for x in words]
+        pairs = {(w, x) for ws, xs in zip(words, own) for w, x in zip(ws, xs)}
+        assert len(pairs) == len({w for w, _ in pairs}) == len({x for _, x in pairs})
+        got, ends = jaccard_join.grams(array, 3)
+        for x, a, b in zip(own, [0, *ends], ends):
+            n = min(3, len(x))
+            assert got[a:b].tolist() == sorted({common.gram_hashes(np.array(x[k:k + n], np.uint64), n)[0] for k in range(len(x) - n + 1)} if n else [])
+    big = pa.RecordBatch.from_arrays([pa.array(range(1203)), pa.array([None, "x" * (jaccard_join.BATCH_BYTES + 1), *["y" * 9000] * 601, *["z"] * 600])], names=["doc_id", "text"])
+    cut = list(jaccard_join._cut([big]))
+    assert pa.Table.from_batches(cut) == pa.Table.from_batches([big])
+    assert all(b.num_rows <= jaccard_join.BATCH and (b.num_rows == 1 or b.column(1).nbytes <= jaccard_join.BATCH_BYTES + 9 * b.num_rows) for b in cut)
+
+
 def test_components_are_joined_by_new_edges(spark):
     """op9_line_dedup: edges added to known components contract their roots only, and a settled forest of stars
     is seen without one more round."""
